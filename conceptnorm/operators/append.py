@@ -17,13 +17,12 @@ def append_compendia(store: Vocabulary, records: DataFrame, strict: bool = False
     """A10: the store with ``records`` appended.
 
     Existing identifiers keep id and label; new identifiers and the new
-    cliques and descriptions get ids after the store's largest. Appending a
+    cliques get ids after the store's largest (description ids follow them). Appending a
     record that is already loaded duplicates (primary, type): run the D1
     audit on the result before writing it.
     """
     existing = ExistingStore(identifiers=store.identifiers,
-                             max_clique_id=max_id(store.cliques),
-                             max_description_id=max_id(store.descriptions))
+                             max_clique_id=max_id(store.cliques))
     new = normalize_compendia(records, store.types.select("curie"), strict=strict,
                               existing=existing)
     return replace(

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from conceptnorm.functions.scalars import has_duplicates, is_curie
-from conceptnorm.operators.keys import dense_ids
+from conceptnorm.operators.keys import dense_ids, dense_ids_by_split
 from conceptnorm.operators.skew import top_k_per_group
 from conceptnorm.schema import COMPENDIA_COLUMNS, CONFLATION_TYPE_IDS, ORDER_KEY
 
@@ -61,12 +61,20 @@ def conflation_type_of(file_name: Column) -> Column:
     return mapping[base]
 
 
-def cluster_members(parsed: DataFrame) -> DataFrame:
+def number_lines(parsed: DataFrame, scan_order: bool = False) -> DataFrame:
+    """Valid lines with 1-based cluster ids in line order."""
+    valid = parsed.where(F.col("error").isNull())
+    if scan_order:
+        return dense_ids_by_split(valid, "cluster_id")
+    return dense_ids(valid, ORDER_KEY, "cluster_id")
+
+
+def cluster_members(parsed: DataFrame, scan_order: bool = False) -> DataFrame:
     """Numbered clusters exploded to (cluster_id, pos, curie, is_canonical).
 
     Repeated members are dropped with the canonical kept first.
     """
-    clusters = dense_ids(parsed.where(F.col("error").isNull()), ORDER_KEY, "cluster_id")
+    clusters = number_lines(parsed, scan_order)
     return (clusters.select("cluster_id", "conflation_type", "value",
                             F.posexplode(F.array_distinct("members")).alias("pos", "curie"))
                     .withColumn("is_canonical", (F.col("pos") == 0).cast("int")))
@@ -102,13 +110,13 @@ def missing_report(resolved: DataFrame) -> DataFrame:
 
 
 def normalize_conflation(lines: DataFrame, identifiers: DataFrame,
-                         strict: bool = False) -> ConflationTables:
+                         strict: bool = False, scan_order: bool = False) -> ConflationTables:
     parsed = parse_lines(lines)
     if strict:
         bad = parsed.where(F.col("error").isNotNull()).limit(1).collect()
         if bad:
             raise ConflationError(f"{bad[0]['error']}: {bad[0]['value'][:200]}")
-    resolved = resolve(cluster_members(parsed), identifiers)
+    resolved = resolve(cluster_members(parsed, scan_order), identifiers)
     missing = missing_report(resolved)
     if strict:
         first = missing.orderBy("cluster_id").limit(1).collect()
@@ -180,7 +188,7 @@ def filter_clusters(parsed: DataFrame, valid: DataFrame) -> DataFrame:
     Relational division without collecting a cluster: explode distinct
     members, left join the valid set, AND-aggregate per cluster.
     """
-    lines = dense_ids(parsed.where(F.col("error").isNull()), ORDER_KEY, "cluster_id")
+    lines = number_lines(parsed)
     exploded = lines.select("cluster_id", F.explode(F.array_distinct("members")).alias("curie"))
     flags = (exploded.join(valid.select("curie", F.lit(True).alias("_ok")), "curie", "left")
                      .groupBy("cluster_id")

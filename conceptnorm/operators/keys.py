@@ -46,6 +46,31 @@ def dense_ids(df: DataFrame, order_cols: list[str | Column], id_col: str = "id",
                   .drop("_mid", "_pid", "_off"))
 
 
+def dense_ids_by_split(df: DataFrame, id_col: str = "id", start_after: int = 0,
+                       max_broadcast_splits: int = 2_000_000) -> DataFrame:
+    """Dense ids in scan order for rows read straight from files, with no
+    shuffle of the rows.
+
+    Requires the ``ORDER_KEY`` columns as the release readers produce them:
+    ``row_in_split`` is ``monotonically_increasing_id()`` taken on the scan,
+    so the rows of one split are a contiguous run of ids inside one task.
+    One small aggregation gives each split its row count and first row id;
+    a running sum over the splits (one row per split) gives its offset.
+    """
+    split = ["file_ord", "file_path", "split_start"]
+    stats = (df.groupBy(*split)
+               .agg(F.count(F.lit(1)).alias("_n"), F.min("row_in_split").alias("_first")))
+    offsets = stats.select(
+        *split, "_first",
+        F.coalesce(F.sum("_n").over(Window.orderBy(*split).rowsBetween(
+            Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
+    offsets = bounded_broadcast(offsets, max_broadcast_splits)
+    return (df.join(offsets, split)
+              .withColumn(id_col, (F.col("_off") + F.col("row_in_split") - F.col("_first")
+                                   + 1 + F.lit(start_after)).cast("bigint"))
+              .drop("_off", "_first"))
+
+
 def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
     """Broadcast ``df`` only after proving it has at most ``max_rows`` rows.
 

@@ -23,9 +23,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from conceptnorm.functions.scalars import nan_to_null
-from conceptnorm.operators.keys import bounded_broadcast, dense_ids, max_id
+from conceptnorm.operators.keys import bounded_broadcast, dense_ids, dense_ids_by_split, max_id
 from conceptnorm.schema import ORDER_KEY, UNKNOWN_TAXON_LABEL
 
+# description ids are clique_id * this + position: a clique may hold up to
+# this many descriptions (audited by `too_many_descriptions`)
+DESCRIPTIONS_PER_CLIQUE = 1 << 24
 # a type vocabulary larger than this is joined with a shuffle, not broadcast
 MAX_BROADCAST_TYPES = 100_000
 
@@ -47,8 +50,16 @@ class CompendiaTables:
     membership_wide: DataFrame
 
 
-def number_records(records: DataFrame, start_after: int = 0) -> DataFrame:
-    """B6 key: 1-based clique ids in input order (file, part, split, row)."""
+def number_records(records: DataFrame, start_after: int = 0,
+                   scan_order: bool = False) -> DataFrame:
+    """B6 key: 1-based clique ids in input order (file, part, split, row).
+
+    ``scan_order``: rows come straight from the release readers, so ids are
+    assigned per split without shuffling the records; otherwise the records
+    are range-partitioned on the order key.
+    """
+    if scan_order:
+        return dense_ids_by_split(records, "clique_id", start_after=start_after)
     return dense_ids(records, ORDER_KEY, "clique_id", start_after=start_after)
 
 
@@ -81,6 +92,13 @@ def type_table(types_vocab: DataFrame) -> DataFrame:
     return dense_ids(types_vocab.select("curie").distinct(), ["curie"], "id")
 
 
+def too_many_descriptions(records: DataFrame) -> DataFrame:
+    """Records whose descriptions do not fit the description id range."""
+    n = F.aggregate("identifiers", F.lit(0).cast("bigint"),
+                    lambda acc, m: acc + F.coalesce(F.size(m["d"]), F.lit(0)))
+    return records.where(n >= F.lit(DESCRIPTIONS_PER_CLIQUE))
+
+
 def check_types(recs: DataFrame, types: DataFrame) -> DataFrame:
     """B10 audit: record types that are not in the vocabulary."""
     return (recs.select(F.col("type").alias("curie")).distinct()
@@ -92,21 +110,26 @@ class ExistingStore:
     """What an append needs from a store already written (A10)."""
     identifiers: DataFrame
     max_clique_id: int
-    max_description_id: int
 
 
 def normalize_compendia(records: DataFrame, types_vocab: DataFrame,
                         strict: bool = False,
-                        existing: ExistingStore | None = None) -> CompendiaTables:
+                        existing: ExistingStore | None = None,
+                        scan_order: bool = False,
+                        materialize: bool = True) -> CompendiaTables:
     """B1-B11. With ``existing`` the records are appended to a store: known
     identifiers keep their id and label, new ones get ids after the largest,
-    and clique/description ids continue after the store's."""
-    recs = number_records(records, existing.max_clique_id if existing else 0)
+    and clique ids (hence description ids) continue after the store's."""
+    recs = number_records(records, existing.max_clique_id if existing else 0, scan_order)
     types = type_table(types_vocab)
     if strict:
         bad = check_types(recs, types).limit(1).collect()
         if bad:
             raise LoadError(f"type not in vocabulary: {bad[0]['curie']}")
+        crowded = too_many_descriptions(recs).limit(1).collect()
+        if crowded:
+            raise LoadError("clique has too many descriptions; preferred name: "
+                            f"{crowded[0]['preferred_name']}")
         empty = recs.where(F.coalesce(F.size("identifiers"), F.lit(0)) <= 0).limit(1).collect()
         if empty:
             raise LoadError("clique has no identifiers; preferred name: "
@@ -152,12 +175,16 @@ def normalize_compendia(records: DataFrame, types_vocab: DataFrame,
     cliques = cliques_wide.select(F.col("clique_id").alias("id"), "primary_identifier_id",
                                   "ic", "type_id", "preferred_name")
 
-    desc_rows = (recs.select("clique_id", F.posexplode("identifiers").alias("pos", "m"))
-                     .select("clique_id", "pos", F.col("m.i").alias("curie"),
-                             F.posexplode(F.coalesce(F.col("m.d"), F.array().cast("array<string>")))
-                              .alias("dpos", "desc")))
-    desc_ids = dense_ids(desc_rows, ["clique_id", "pos", "dpos"], "description_id",
-                         start_after=existing.max_description_id if existing else 0)
+    # descriptions keep their clique's order: id = clique_id << 24 | n-th
+    # description of the clique (members in order), no shuffle needed
+    desc_rows = (recs.select("clique_id", F.posexplode(F.flatten(F.transform(
+                    "identifiers", lambda m: F.transform(
+                        F.coalesce(m["d"], F.array().cast("array<string>")),
+                        lambda d: F.struct(m["i"].alias("curie"), d.alias("desc")))))).alias("dpos", "x"))
+                     .select("clique_id", "dpos", F.col("x.curie").alias("curie"),
+                             F.col("x.desc").alias("desc")))
+    desc_ids = desc_rows.withColumn(
+        "description_id", F.col("clique_id") * F.lit(DESCRIPTIONS_PER_CLIQUE) + F.col("dpos") + 1)
     descriptions = desc_ids.select(F.col("description_id").alias("id"), "desc")
     identifiers_descriptions = (desc_ids.join(id_map, "curie")
                                         .select("description_id", "identifier_id"))
@@ -169,8 +196,9 @@ def normalize_compendia(records: DataFrame, types_vocab: DataFrame,
                        .join(cliques_wide, "clique_id")
                        .select("member_curie", "member_id", "member_label", "clique_id", "pos",
                                "primary_curie", "primary_identifier_id", "type_curie",
-                               "ic", "preferred_name")
-                       .checkpoint(eager=True))
+                               "ic", "preferred_name"))
+    if materialize:
+        membership_wide = membership_wide.checkpoint(eager=True)
 
     return CompendiaTables(
         types=types.select("id", "curie"),

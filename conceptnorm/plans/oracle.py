@@ -82,7 +82,8 @@ ident AS (
 typ AS (SELECT row_number() OVER (ORDER BY curie) AS id, curie
         FROM (SELECT DISTINCT type_curie AS curie FROM recs)),
 dsc AS (
-  SELECT row_number() OVER (ORDER BY c.clique_id, d.doc_id) AS description_id,
+  SELECT c.clique_id * 16777216 + row_number() OVER (PARTITION BY c.clique_id ORDER BY d.doc_id)
+           AS description_id,
          c.primary_curie AS curie, d.text AS description
   FROM documents d
   JOIN clq c ON c.file_ord = 3 AND c.rec_key = CAST(floor(d.doc_id / 2) AS BIGINT)

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from conceptnorm.operators import audit, conflate, lookup, names
 from conceptnorm.plans.vocabulary import Vocabulary
-from conceptnorm.session import configure
+from conceptnorm.session import configure, scratch_path
 from conceptnorm.sources import fixtures as fx
 from conceptnorm.sources import release
 
@@ -29,13 +29,26 @@ SAMPLE_SEED = 42
 
 def vocabulary(spark: SparkSession, sf_dir: str,
                files: tuple[str, ...] = fx.COMPENDIA_FILES) -> Vocabulary:
-    """The store built from the release mapped from ``sf_dir`` (cached)."""
+    """The store of the release mapped from ``sf_dir`` (cached per session).
+
+    The whole release takes the production path: written once as files,
+    ingested from the files, the store written as Parquet to the shared
+    checkpoint folder and opened read-only. A subset of compendia files
+    (curation and append scenarios) is built in memory.
+    """
     configure(spark)
     key = (spark.sparkContext.applicationId, sf_dir, files)
     if key not in _STORES:
-        recs = fx.compendia_records(spark, sf_dir, files)
         types = fx.types_vocabulary(fx.compendia_records(spark, sf_dir))
-        _STORES[key] = Vocabulary.build(recs, fx.conflation_lines(spark, sf_dir), types)
+        if files == fx.COMPENDIA_FILES:
+            root = release.write_fixture_release(spark, sf_dir)
+            built = release.load_release(spark, root, types_vocab=types, materialize=False)
+            path = scratch_path(spark, "store")
+            built.write(path)
+            _STORES[key] = Vocabulary.load(spark, path)
+        else:
+            recs = fx.compendia_records(spark, sf_dir, files)
+            _STORES[key] = Vocabulary.build(recs, fx.conflation_lines(spark, sf_dir), types)
     return _STORES[key]
 
 

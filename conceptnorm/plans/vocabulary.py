@@ -40,15 +40,21 @@ class Vocabulary:
 
     @classmethod
     def build(cls, records: DataFrame, conflation_lines: DataFrame | None,
-              types_vocab: DataFrame, strict: bool = False) -> "Vocabulary":
+              types_vocab: DataFrame, strict: bool = False, scan_order: bool = False,
+              materialize: bool = True) -> "Vocabulary":
+        """Ingest. ``scan_order``: inputs come from the release readers (ids by
+        split, no shuffle of records). ``materialize=False`` when the store is
+        written right away (the write materializes it once)."""
         configure(records.sparkSession)
-        comp = normalize_compendia(records, types_vocab, strict=strict)
+        comp = normalize_compendia(records, types_vocab, strict=strict,
+                                   scan_order=scan_order, materialize=materialize)
         if conflation_lines is None:
             spark = records.sparkSession
             conflation_lines = spark.createDataFrame(
                 [], "file_name string, conflation_type int, file_ord int, file_path string, "
                     "split_start bigint, row_in_split bigint, value string")
-        conf = normalize_conflation(conflation_lines, comp.identifiers, strict=strict)
+        conf = normalize_conflation(conflation_lines, comp.identifiers, strict=strict,
+                                    scan_order=scan_order)
         return cls(
             types=comp.types, identifiers=comp.identifiers, cliques=comp.cliques,
             descriptions=comp.descriptions,
@@ -58,7 +64,8 @@ class Vocabulary:
             conflation_clusters=conf.conflation_clusters,
             conflation_members=conf.conflation_members,
             membership_wide=comp.membership_wide,
-            conflation_wide=conf.conflation_wide.checkpoint(eager=True),
+            conflation_wide=(conf.conflation_wide.checkpoint(eager=True) if materialize
+                             else conf.conflation_wide),
         )
 
     def tables(self) -> dict[str, DataFrame]:

@@ -203,12 +203,16 @@ def write_fixture_release(spark: SparkSession, sf_dir: str) -> str:
     return _WRITTEN[key]
 
 
-def load_release(spark: SparkSession, root: str, strict: bool = False):
-    """A1-A5 + ingest: the store built from a written release folder."""
+def load_release(spark: SparkSession, root: str, strict: bool = False,
+                 types_vocab: DataFrame | None = None, materialize: bool = True):
+    """A1-A5 + ingest: the store built from a written release folder. The
+    type vocabulary defaults to the types the release uses."""
     from conceptnorm.plans.vocabulary import Vocabulary
     records = read_compendia(spark, compendia_paths(spark, root))
-    types = records.select(F.col("type").alias("curie")).distinct()
-    return Vocabulary.build(records, read_conflation(spark, root), types, strict=strict)
+    if types_vocab is None:
+        types_vocab = records.select(F.col("type").alias("curie")).distinct()
+    return Vocabulary.build(records, read_conflation(spark, root), types_vocab, strict=strict,
+                            scan_order=True, materialize=materialize)
 
 
 def write_lines(df: DataFrame, path: str, col: str = "value") -> None:
