@@ -103,6 +103,11 @@ def singular(c: Column | str) -> Column:
              .otherwise(joined))
 
 
+def clean_variants(arr: Column) -> Column:
+    """Normalize whitespace, drop empties, keep first occurrences."""
+    return _clean(arr)
+
+
 def _clean(arr: Column) -> Column:
     normalized = F.transform(arr, normalize_ws)
     return F.array_distinct(F.filter(normalized, lambda x: x.isNotNull() & (F.length(x) > 0)))

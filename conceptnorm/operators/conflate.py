@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from conceptnorm.functions.scalars import has_duplicates, is_curie
-from conceptnorm.operators.keys import dense_ids, dense_ids_by_split
+from conceptnorm.operators.keys import dense_ids, dense_ids_by_split, stage
 from conceptnorm.operators.skew import top_k_per_group
 from conceptnorm.schema import COMPENDIA_COLUMNS, CONFLATION_TYPE_IDS, ORDER_KEY
 
@@ -116,7 +116,7 @@ def normalize_conflation(lines: DataFrame, identifiers: DataFrame,
         bad = parsed.where(F.col("error").isNotNull()).limit(1).collect()
         if bad:
             raise ConflationError(f"{bad[0]['error']}: {bad[0]['value'][:200]}")
-    resolved = resolve(cluster_members(parsed, scan_order), identifiers)
+    resolved = stage(resolve(cluster_members(parsed, scan_order), identifiers), "clusters")
     missing = missing_report(resolved)
     if strict:
         first = missing.orderBy("cluster_id").limit(1).collect()

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from conceptnorm.session import configure, shuffle_partitions
+from conceptnorm.session import configure, scratch_path, shuffle_partitions
 
 # monotonically_increasing_id() = partition index << 33 | row within partition
 _ROW_BITS = 33
@@ -24,15 +24,16 @@ def dense_ids(df: DataFrame, order_cols: list[str | Column], id_col: str = "id",
     """Return ``df`` with ``id_col`` = ``start_after`` + 1-based rank of the
     (unique) order key.
 
-    The result is checkpointed: ids are stable for every later use.
+    The sorted rows are staged (written once to the shared checkpoint
+    folder), so ids are stable for every later use and the range sampling
+    never re-runs the input.
     """
     spark = df.sparkSession
     configure(spark)
     n = num_partitions or shuffle_partitions(spark)
-    ranged = (df.repartitionByRange(n, *order_cols)
-                .sortWithinPartitions(*order_cols)
-                .withColumn("_mid", F.monotonically_increasing_id())
-                .checkpoint(eager=True))
+    ranged = stage(df.repartitionByRange(n, *order_cols)
+                     .sortWithinPartitions(*order_cols)
+                     .withColumn("_mid", F.monotonically_increasing_id()), "ids")
     pid = F.shiftright(F.col("_mid"), _ROW_BITS)
     row = F.col("_mid").bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
     counts = ranged.groupBy(pid.alias("_pid")).agg(F.count(F.lit(1)).alias("_n"))
@@ -46,6 +47,15 @@ def dense_ids(df: DataFrame, order_cols: list[str | Column], id_col: str = "id",
                   .drop("_mid", "_pid", "_off"))
 
 
+def stage(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as Parquet under the shared checkpoint folder and read it
+    back: lineage is cut, the rows are fixed (a lost executor recomputes
+    nothing nondeterministic), and later reads prune columns, nested ones too."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def dense_ids_by_split(df: DataFrame, id_col: str = "id", start_after: int = 0,
                        max_broadcast_splits: int = 2_000_000) -> DataFrame:
     """Dense ids in scan order for rows read straight from files, with no

@@ -164,14 +164,21 @@ def label(vocab: Vocabulary, inputs: DataFrame, col: str = "curie") -> DataFrame
 # E10 / E11 ----------------------------------------------------------------
 
 def _target_cliques(vocab: Vocabulary, targets: DataFrame) -> DataFrame:
-    """(input_curie, clique_id): cliques the target heads UNION contains."""
+    """(input_curie, clique_id): cliques the target heads or contains.
+
+    A clique's primary is its member at position 0, so "heads" is contained
+    in "contains" and one join on the member side covers both."""
+    mw = vocab.membership_wide.select(F.col("member_curie").alias("target_curie"), "clique_id")
+    return targets.join(mw, "target_curie").select("input_curie", "clique_id").distinct()
+
+
+def clique_names(vocab: Vocabulary) -> DataFrame:
+    """(clique_id, name): distinct non-blank preferred name and member labels
+    of each clique, aggregated once per clique (map-side first)."""
     mw = vocab.membership_wide
-    as_member = targets.join(mw.select(F.col("member_curie").alias("target_curie"),
-                                       "clique_id"), "target_curie")
-    as_primary = targets.join(mw.where(F.col("pos") == 0)
-                                .select(F.col("primary_curie").alias("target_curie"),
-                                        "clique_id"), "target_curie")
-    return (as_member.unionByName(as_primary).select("input_curie", "clique_id").distinct())
+    pref = mw.where(F.col("pos") == 0).select("clique_id", F.col("preferred_name").alias("name"))
+    labels = mw.select("clique_id", F.col("member_label").alias("name"))
+    return pref.unionByName(labels).where(is_named("name")).distinct()
 
 
 def all_names(vocab: Vocabulary, inputs: DataFrame, col: str = "curie") -> DataFrame:
@@ -182,38 +189,43 @@ def all_names(vocab: Vocabulary, inputs: DataFrame, col: str = "curie") -> DataF
                      "input_curie"))
     tc = _target_cliques(vocab, targets.select("input_curie",
                                                F.col("input_curie").alias("target_curie")))
-    mw = vocab.membership_wide
-    own = targets.select("input_curie", F.col("label").alias("name"))
-    pref = tc.join(mw.where(F.col("pos") == 0).select("clique_id", "preferred_name"),
-                   "clique_id").select("input_curie", F.col("preferred_name").alias("name"))
-    mates = tc.join(mw.select("clique_id", "member_label"), "clique_id") \
-              .select("input_curie", F.col("member_label").alias("name"))
-    return (own.unionByName(pref).unionByName(mates)
-               .where(is_named("name"))
+    own = targets.where(is_named("label")).select("input_curie", F.col("label").alias("name"))
+    via = tc.join(clique_names(vocab), "clique_id").select("input_curie", "name")
+    return (own.unionByName(via)
                .select(F.col("input_curie").alias("curie"), "name")
                .distinct())
 
 
+def cluster_categories(vocab: Vocabulary) -> DataFrame:
+    """(cluster_id, category): distinct types of the cliques of every member
+    of each conflation cluster -- at most (#types) rows per cluster, so a
+    huge cluster never expands into member pairs."""
+    types = vocab.membership_wide.select(F.col("member_curie"), F.col("type_curie"))
+    return (vocab.conflation_wide.select("cluster_id", "member_curie")
+                 .join(types, "member_curie")
+                 .select("cluster_id", F.col("type_curie").alias("category"))
+                 .distinct())
+
+
 def categories(vocab: Vocabulary, inputs: DataFrame, col: str = "curie") -> DataFrame:
     """Distinct (curie, category) over cliques of the CURIE and of every
-    conflation-cluster mate (both conflation types)."""
+    conflation-cluster mate (both conflation types).
+
+    Mates' categories come per cluster (``cluster_categories``), so the
+    result is linear in inputs x (own cliques + clusters), never in mates."""
     targets = (_input(inputs, col, "input_curie").select("input_curie").distinct()
                .join(vocab.identifiers.select(F.col("curie").alias("input_curie")),
                      "input_curie", "left_semi"))
-    cw = vocab.conflation_wide
-    mates = (targets.join(cw.select(F.col("member_curie").alias("input_curie"), "cluster_id"),
-                          "input_curie")
-                    .join(cw.select("cluster_id", F.col("member_curie").alias("target_curie")),
-                          "cluster_id")
-                    .select("input_curie", "target_curie"))
-    related = (targets.select("input_curie", F.col("input_curie").alias("target_curie"))
-               .unionByName(mates).distinct())
-    tc = _target_cliques(vocab, related)
-    types = vocab.membership_wide.where(F.col("pos") == 0).select("clique_id", "type_curie")
-    return (tc.join(types, "clique_id")
-              .select(F.col("input_curie").alias("curie"),
-                      F.col("type_curie").alias("category"))
-              .distinct())
+    own = (targets.join(vocab.membership_wide.select(F.col("member_curie").alias("input_curie"),
+                                                     F.col("type_curie").alias("category")),
+                        "input_curie"))
+    via = (targets.join(vocab.conflation_wide.select(F.col("member_curie").alias("input_curie"),
+                                                     "cluster_id"), "input_curie")
+                  .join(cluster_categories(vocab), "cluster_id")
+                  .select("input_curie", "category"))
+    return (own.unionByName(via)
+               .select(F.col("input_curie").alias("curie"), "category")
+               .distinct())
 
 
 # E13 / E14 ----------------------------------------------------------------

@@ -26,9 +26,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from conceptnorm.functions.names import name_variants
+from conceptnorm.functions.names import (clean_variants, paren_strips, remove_abbreviations,
+                                         singular)
 from conceptnorm.functions.scalars import ascii_lower, not_excluded_for_names
-from conceptnorm.operators.keys import bounded_broadcast
+from conceptnorm.operators.keys import bounded_broadcast, stage
 from conceptnorm.plans.vocabulary import Vocabulary
 
 # requested (length, prefix) keys are broadcast below this many rows
@@ -36,17 +37,28 @@ MAX_BROADCAST_KEYS = 2_000_000
 
 
 def variants(names: DataFrame, col: str = "name") -> DataFrame:
-    """F5 exploded: (name, variant_ord, variant), ordinals from 0."""
-    distinct = names.select(F.col(col).alias("name")).distinct()
-    return distinct.select("name", F.posexplode(name_variants(F.col("name")))
-                           .alias("variant_ord", "variant"))
+    """F5 exploded: (name, variant_ord, variant), ordinals from 0.
+
+    Built in steps (strips, base variants, all variants) so that each
+    expensive array expression is evaluated once per name."""
+    df = names.select(F.col(col).alias("name")).distinct()
+    df = df.withColumn("_strips", paren_strips(F.col("name")))
+    df = df.withColumn("_base", clean_variants(F.concat(
+        F.array("name"), F.col("_strips"), F.array(remove_abbreviations(F.col("name"))))))
+    df = df.withColumn("_all", clean_variants(F.concat(F.col("_base"),
+                                                       F.transform("_base", singular))))
+    # posexplode_outer: a plain posexplode lets the optimizer infer
+    # size(_all) > 0 and push that (the whole variant expression) below the
+    # distinct, into every input row
+    return (df.select("name", F.posexplode_outer("_all").alias("variant_ord", "variant"))
+              .where(F.col("variant").isNotNull()))
 
 
 def name_to_curie(vocab: Vocabulary, names: DataFrame, col: str = "name") -> DataFrame:
     """(name, curie, label) per distinct input name; NULLs when no match."""
-    var = (variants(names, col)
-           .withColumn("vkey", ascii_lower("variant"))
-           .withColumn("vlen", F.length("vkey")))
+    var = stage(variants(names, col)
+                .withColumn("vkey", ascii_lower("variant"))
+                .withColumn("vlen", F.length("vkey")), "variants")
     requested = var.select("vlen", "vkey").distinct()
     lengths = sorted(r["vlen"] for r in requested.select("vlen").distinct().collect())
 

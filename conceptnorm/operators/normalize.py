@@ -19,11 +19,12 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from conceptnorm.functions.scalars import nan_to_null
-from conceptnorm.operators.keys import bounded_broadcast, dense_ids, dense_ids_by_split, max_id
+from conceptnorm.operators.keys import (bounded_broadcast, dense_ids, dense_ids_by_split, max_id,
+                                        stage)
 from conceptnorm.schema import ORDER_KEY, UNKNOWN_TAXON_LABEL
 
 # description ids are clique_id * this + position: a clique may hold up to
@@ -88,8 +89,16 @@ def unknown_taxa(members: DataFrame, defined: DataFrame) -> DataFrame:
 
 
 def type_table(types_vocab: DataFrame) -> DataFrame:
-    """Vocabulary with ids following the sorted CURIE order."""
-    return dense_ids(types_vocab.select("curie").distinct(), ["curie"], "id")
+    """Vocabulary with ids following the sorted CURIE order.
+
+    The class vocabulary is small (hundreds of classes); once its size is
+    proven, one ordered window numbers it. Larger inputs take the two-pass
+    dense-id path."""
+    vocab = types_vocab.select("curie").distinct()
+    if vocab.limit(MAX_BROADCAST_TYPES + 1).count() <= MAX_BROADCAST_TYPES:
+        return vocab.select(F.row_number().over(Window.orderBy("curie")).cast("bigint").alias("id"),
+                            "curie")
+    return dense_ids(vocab, ["curie"], "id")
 
 
 def too_many_descriptions(records: DataFrame) -> DataFrame:
@@ -120,7 +129,14 @@ def normalize_compendia(records: DataFrame, types_vocab: DataFrame,
     """B1-B11. With ``existing`` the records are appended to a store: known
     identifiers keep their id and label, new ones get ids after the largest,
     and clique ids (hence description ids) continue after the store's."""
-    recs = number_records(records, existing.max_clique_id if existing else 0, scan_order)
+    # parse once: the records are staged as Parquet (split numbering then
+    # reads four small columns) and every table below reads only the
+    # (nested) columns it needs
+    start = existing.max_clique_id if existing else 0
+    if scan_order:
+        recs = number_records(stage(records, "records"), start, scan_order=True)
+    else:
+        recs = stage(number_records(records, start), "records")
     types = type_table(types_vocab)
     if strict:
         bad = check_types(recs, types).limit(1).collect()

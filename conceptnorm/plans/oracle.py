@@ -278,6 +278,7 @@ tc AS (
   UNION SELECT i.curie, c.clique_id FROM ident i JOIN clq c ON c.primary_curie = i.curie
 )"""
 
+
 ORACLE["all_names"] = _with(_TARGET_CLIQUES) + """
 SELECT DISTINCT curie, name FROM (
   SELECT curie, label AS name FROM ident

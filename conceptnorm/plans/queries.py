@@ -39,7 +39,7 @@ def vocabulary(spark: SparkSession, sf_dir: str,
     configure(spark)
     key = (spark.sparkContext.applicationId, sf_dir, files)
     if key not in _STORES:
-        types = fx.types_vocabulary(fx.compendia_records(spark, sf_dir))
+        types = fx.types_from_tables(spark, sf_dir)
         if files == fx.COMPENDIA_FILES:
             root = release.write_fixture_release(spark, sf_dir)
             built = release.load_release(spark, root, types_vocab=types, materialize=False)

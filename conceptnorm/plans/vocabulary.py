@@ -9,6 +9,7 @@ CURIE so that point lookups skip row groups by min/max statistics -- and
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, fields
 
 from pyspark.sql import DataFrame, SparkSession
@@ -74,15 +75,27 @@ class Vocabulary:
     def all_frames(self) -> dict[str, DataFrame]:
         return {f.name: getattr(self, f.name) for f in fields(self)}
 
-    def write(self, path: str, mode: str = "overwrite") -> None:
-        """One Parquet folder per table."""
+    def write(self, path: str, mode: str = "overwrite", parallel: int = 4) -> None:
+        """One Parquet folder per table.
+
+        The tables are independent jobs; up to ``parallel`` are submitted at
+        once from driver threads so small tables do not leave the cluster
+        idle while a large one finishes."""
         n = shuffle_partitions(self.identifiers.sparkSession)
-        for name, df in self.all_frames().items():
+
+        def write_one(item: tuple[str, DataFrame]) -> None:
+            name, df = item
             key = SORT_KEYS.get(name)
             if key:
                 df = df.repartitionByRange(n, key).sortWithinPartitions(key)
             df.write.mode(mode).parquet(f"{path.rstrip('/')}/{name}")
 
+        # the largest (serving) tables first, so the small ones fill in
+        frames = sorted(self.all_frames().items(), key=lambda kv: kv[0] not in SORT_KEYS)
+        with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
+            for future in [pool.submit(write_one, item) for item in frames]:
+                future.result()
+
     @classmethod
     def load(cls, spark: SparkSession, path: str) -> "Vocabulary":
         """Open a written store (immutable by construction)."""

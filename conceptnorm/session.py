@@ -55,6 +55,10 @@ def get_spark(master: str | None = None, shuffle_partitions: int = 8,
              .config("spark.driver.memory", os.environ.get("SPARK_DRIVER_MEMORY", "16g"))
              .config("spark.ui.enabled", "false")
              .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+             # local runs: small data, so smaller splits and coalesced
+             # partitions keep every core busy (cluster defaults otherwise)
+             .config("spark.sql.files.maxPartitionBytes", "8m")
+             .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
              .getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
     return configure(spark)

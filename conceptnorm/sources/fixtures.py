@@ -158,3 +158,13 @@ def conflation_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 def types_vocabulary(records: DataFrame) -> DataFrame:
     """The class vocabulary a release is loaded against (distinct types)."""
     return records.select(F.col("type").alias("curie")).distinct()
+
+
+def types_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same vocabulary read from the tables directly (part types only
+    need the part table): what a loader receives as its class list."""
+    fixed = spark.createDataFrame([("biolink:OrganismTaxon",), ("biolink:Gene",),
+                                   ("biolink:Drug",)], "curie string")
+    parts = table(spark, sf_dir, "part").select(
+        F.concat(F.lit("biolink:"), F.col("p_type")).alias("curie"))
+    return fixed.unionByName(parts).distinct()
