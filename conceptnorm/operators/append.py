@@ -35,6 +35,7 @@ def append_compendia(store: Vocabulary, records: DataFrame, strict: bool = False
         identifiers_cliques=store.identifiers_cliques.unionByName(new.identifiers_cliques),
         identifiers_taxa=store.identifiers_taxa.unionByName(new.identifiers_taxa).dropDuplicates(),
         membership_wide=store.membership_wide.unionByName(new.membership_wide),
+        cliques_wide=store.cliques_wide.unionByName(new.cliques_wide),
     )
 
 

@@ -206,5 +206,5 @@ def filter_stats(flagged: DataFrame) -> DataFrame:
         total.alias("total"),
         kept.alias("kept"),
         (total - kept).alias("dropped"),
-        F.round((total - kept) * 100.0 / total, 2).alias("dropped_pct"),
+        F.round((total - kept).cast("double") * 100 / total, 2).alias("dropped_pct"),
         F.count_if(F.col("kept") & F.col("has_duplicates")).alias("kept_with_duplicates"))

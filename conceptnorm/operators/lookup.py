@@ -27,10 +27,8 @@ def _input(inputs: DataFrame, col: str, as_name: str) -> DataFrame:
 
 
 def cliques_wide(vocab: Vocabulary) -> DataFrame:
-    """One row per clique: the primary member's row of the serving view."""
-    return (vocab.membership_wide.where(F.col("pos") == 0)
-                 .select("clique_id", "primary_curie", "primary_identifier_id",
-                         "type_curie", "ic", "preferred_name"))
+    """One row per clique: primary CURIE, type CURIE, ic, preferred name."""
+    return vocab.cliques_wide
 
 
 def descriptions_of(vocab: Vocabulary) -> DataFrame:
@@ -164,20 +162,21 @@ def label(vocab: Vocabulary, inputs: DataFrame, col: str = "curie") -> DataFrame
 # E10 / E11 ----------------------------------------------------------------
 
 def _target_cliques(vocab: Vocabulary, targets: DataFrame) -> DataFrame:
-    """(input_curie, clique_id): cliques the target heads or contains.
-
-    A clique's primary is its member at position 0, so "heads" is contained
-    in "contains" and one join on the member side covers both."""
-    mw = vocab.membership_wide.select(F.col("member_curie").alias("target_curie"), "clique_id")
-    return targets.join(mw, "target_curie").select("input_curie", "clique_id").distinct()
+    """(input_curie, clique_id): cliques the target heads UNION contains."""
+    member = vocab.membership_wide.select(F.col("member_curie").alias("target_curie"),
+                                          "clique_id")
+    primary = vocab.cliques_wide.select(F.col("primary_curie").alias("target_curie"),
+                                        "clique_id")
+    return (targets.join(member, "target_curie").select("input_curie", "clique_id")
+            .unionByName(targets.join(primary, "target_curie").select("input_curie", "clique_id"))
+            .distinct())
 
 
 def clique_names(vocab: Vocabulary) -> DataFrame:
     """(clique_id, name): distinct non-blank preferred name and member labels
     of each clique, aggregated once per clique (map-side first)."""
-    mw = vocab.membership_wide
-    pref = mw.where(F.col("pos") == 0).select("clique_id", F.col("preferred_name").alias("name"))
-    labels = mw.select("clique_id", F.col("member_label").alias("name"))
+    pref = vocab.cliques_wide.select("clique_id", F.col("preferred_name").alias("name"))
+    labels = vocab.membership_wide.select("clique_id", F.col("member_label").alias("name"))
     return pref.unionByName(labels).where(is_named("name")).distinct()
 
 
@@ -196,15 +195,22 @@ def all_names(vocab: Vocabulary, inputs: DataFrame, col: str = "curie") -> DataF
                .distinct())
 
 
+def _clique_types(vocab: Vocabulary, targets: DataFrame) -> DataFrame:
+    """(input_curie, category) over cliques each target heads or contains."""
+    tc = _target_cliques(vocab, targets)
+    return (tc.join(vocab.cliques_wide.select("clique_id", F.col("type_curie").alias("category")),
+                    "clique_id")
+              .select("input_curie", "category"))
+
+
 def cluster_categories(vocab: Vocabulary) -> DataFrame:
     """(cluster_id, category): distinct types of the cliques of every member
     of each conflation cluster -- at most (#types) rows per cluster, so a
     huge cluster never expands into member pairs."""
-    types = vocab.membership_wide.select(F.col("member_curie"), F.col("type_curie"))
-    return (vocab.conflation_wide.select("cluster_id", "member_curie")
-                 .join(types, "member_curie")
-                 .select("cluster_id", F.col("type_curie").alias("category"))
-                 .distinct())
+    members = vocab.conflation_wide.select(F.col("cluster_id").alias("input_curie"),
+                                           F.col("member_curie").alias("target_curie"))
+    return (_clique_types(vocab, members)
+            .select(F.col("input_curie").alias("cluster_id"), "category").distinct())
 
 
 def categories(vocab: Vocabulary, inputs: DataFrame, col: str = "curie") -> DataFrame:
@@ -216,9 +222,8 @@ def categories(vocab: Vocabulary, inputs: DataFrame, col: str = "curie") -> Data
     targets = (_input(inputs, col, "input_curie").select("input_curie").distinct()
                .join(vocab.identifiers.select(F.col("curie").alias("input_curie")),
                      "input_curie", "left_semi"))
-    own = (targets.join(vocab.membership_wide.select(F.col("member_curie").alias("input_curie"),
-                                                     F.col("type_curie").alias("category")),
-                        "input_curie"))
+    own = _clique_types(vocab, targets.select("input_curie",
+                                              F.col("input_curie").alias("target_curie")))
     via = (targets.join(vocab.conflation_wide.select(F.col("member_curie").alias("input_curie"),
                                                      "cluster_id"), "input_curie")
                   .join(cluster_categories(vocab), "cluster_id")

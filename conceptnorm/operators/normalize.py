@@ -47,8 +47,10 @@ class CompendiaTables:
     identifiers_descriptions: DataFrame
     identifiers_cliques: DataFrame
     identifiers_taxa: DataFrame
-    # serving view: one row per membership with everything a lookup needs
+    # serving views: one row per membership / per clique with everything a
+    # lookup needs
     membership_wide: DataFrame
+    cliques_wide: DataFrame
 
 
 def number_records(records: DataFrame, start_after: int = 0,
@@ -225,4 +227,6 @@ def normalize_compendia(records: DataFrame, types_vocab: DataFrame,
         identifiers_cliques=identifiers_cliques,
         identifiers_taxa=identifiers_taxa,
         membership_wide=membership_wide,
+        cliques_wide=cliques_wide.select("clique_id", "primary_curie", "primary_identifier_id",
+                                         "type_curie", "ic", "preferred_name"),
     )

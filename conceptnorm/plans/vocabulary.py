@@ -22,7 +22,7 @@ from conceptnorm.session import configure, shuffle_partitions
 
 # tables written sorted by this column (lookups filter or join on it)
 SORT_KEYS = {"identifiers": "curie", "membership_wide": "member_curie",
-             "conflation_wide": "member_curie"}
+             "conflation_wide": "member_curie", "cliques_wide": "primary_curie"}
 
 
 @dataclass
@@ -38,6 +38,7 @@ class Vocabulary:
     conflation_members: DataFrame
     membership_wide: DataFrame
     conflation_wide: DataFrame
+    cliques_wide: DataFrame
 
     @classmethod
     def build(cls, records: DataFrame, conflation_lines: DataFrame | None,
@@ -65,10 +66,51 @@ class Vocabulary:
             conflation_clusters=conf.conflation_clusters,
             conflation_members=conf.conflation_members,
             membership_wide=comp.membership_wide,
+            cliques_wide=comp.cliques_wide,
             conflation_wide=(conf.conflation_wide.checkpoint(eager=True) if materialize
                              else conf.conflation_wide),
         )
 
+    @classmethod
+    def from_tables(cls, tables: dict[str, DataFrame]) -> "Vocabulary":
+        """A store given as the nine tables alone (e.g. written by another
+        loader): the serving views are derived by joins. A member's position
+        is 0 for the clique's primary and 1 otherwise."""
+        ids = tables["identifiers"]
+        types = tables["types"]
+        cliques_wide = (tables["cliques"]
+                        .join(ids.select(F.col("id").alias("primary_identifier_id"),
+                                         F.col("curie").alias("primary_curie")),
+                              "primary_identifier_id")
+                        .join(types.select(F.col("id").alias("type_id"),
+                                           F.col("curie").alias("type_curie")), "type_id")
+                        .select(F.col("id").alias("clique_id"), "primary_curie",
+                                "primary_identifier_id", "type_curie", "ic", "preferred_name"))
+        membership_wide = (tables["identifiers_cliques"]
+                           .join(ids.select(F.col("id").alias("identifier_id"),
+                                            F.col("curie").alias("member_curie"),
+                                            F.col("label").alias("member_label")),
+                                 "identifier_id")
+                           .join(cliques_wide, "clique_id")
+                           .select("member_curie", F.col("identifier_id").alias("member_id"),
+                                   "member_label", "clique_id",
+                                   F.when(F.col("identifier_id") == F.col("primary_identifier_id"),
+                                          0).otherwise(1).alias("pos"),
+                                   "primary_curie", "primary_identifier_id", "type_curie", "ic",
+                                   "preferred_name"))
+        conflation_wide = (tables["conflation_members"]
+                           .join(tables["conflation_clusters"]
+                                 .select(F.col("id").alias("cluster_id"),
+                                         F.col("type").alias("conflation_type")), "cluster_id")
+                           .join(ids.select(F.col("id").alias("identifier_id"),
+                                            F.col("curie").alias("member_curie")), "identifier_id")
+                           .select("cluster_id", "conflation_type", "member_curie",
+                                   F.col("identifier_id").alias("member_id"),
+                                   (1 - F.col("is_canonical")).alias("pos"), "is_canonical"))
+        return cls(**{name: tables[name] for name in TABLE_NAMES},
+                   membership_wide=membership_wide, conflation_wide=conflation_wide,
+                   cliques_wide=cliques_wide)
+
     def tables(self) -> dict[str, DataFrame]:
         return {name: getattr(self, name) for name in TABLE_NAMES}
 
