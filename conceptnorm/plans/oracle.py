@@ -443,3 +443,7 @@ UNION ALL
 SELECT 'SUPP:' || {_s('s_suppkey')}, s_name, true FROM supplier
 WHERE 'SUPP:' || {_s('s_suppkey')} NOT IN (SELECT curie FROM known3)
 """
+
+ORACLE["rebuild_conflation"] = ORACLE["conflation_clusters_resolved"]
+
+ORACLE["stream_append_identifiers"] = _with() + "SELECT curie, label FROM ident"

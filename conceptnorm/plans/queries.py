@@ -352,6 +352,35 @@ def append_new_identifiers(spark, sf_dir):
             .select("curie", "label", F.coalesce("is_new", F.lit(True)).alias("is_new")))
 
 
+def malformed_lines(spark, sf_dir):
+    """A8 over the written release (every line parses: no rows)."""
+    root = _written_release(spark, sf_dir)
+    return release.malformed_lines(spark, release.compendia_paths(spark, root))
+
+
+def rebuild_conflation(spark, sf_dir):
+    """Open the written store, rebuild both conflation tables from the
+    release's conflation files; the rebuilt clusters in natural keys."""
+    from conceptnorm.operators.append import rebuild_conflation as rebuild
+    root = _written_release(spark, sf_dir)
+    rebuilt = rebuild(vocabulary(spark, sf_dir), release.read_conflation(spark, root))
+    return rebuilt.conflation_wide.select("cluster_id", "conflation_type", "member_curie",
+                                          F.col("pos").alias("member_pos"), "is_canonical")
+
+
+def stream_append_identifiers(spark, sf_dir):
+    """A10 as a stream: the release's compendia files picked up by a
+    Structured Streaming query and appended micro-batch by micro-batch;
+    the identifiers (CURIE, label) of the resulting store."""
+    from conceptnorm.streaming.incremental import load_streamed, start_append_stream
+    root = _written_release(spark, sf_dir)
+    store, ckpt = scratch_path(spark, "stream-store"), scratch_path(spark, "stream-ckpt")
+    query = start_append_stream(spark, f"{root}/compendia", store, ckpt,
+                                fx.types_from_tables(spark, sf_dir), recursive=True)
+    query.awaitTermination()
+    return load_streamed(spark, store).identifiers.select("curie", "label")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "members_exploded": members_exploded,
     "identifiers_first_label": identifiers_first_label,
@@ -391,5 +420,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "release_manifest": release_manifest,
     "ingest_from_files": ingest_from_files,
     "append_new_identifiers": append_new_identifiers,
+    "malformed_lines": malformed_lines,
+    "rebuild_conflation": rebuild_conflation,
+    "stream_append_identifiers": stream_append_identifiers,
 }
 

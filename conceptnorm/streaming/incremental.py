@@ -93,7 +93,8 @@ def append_batch(records: DataFrame, epoch: int, store: str, types_vocab: DataFr
 
 def start_append_stream(spark: SparkSession, source_dir: str, store: str, checkpoint: str,
                         types_vocab: DataFrame, available_now: bool = True,
-                        max_files_per_trigger: int | None = None) -> StreamingQuery:
+                        max_files_per_trigger: int | None = None,
+                        recursive: bool = False) -> StreamingQuery:
     """Start the stream: new files in ``source_dir`` -> store at ``store``.
 
     Within a micro-batch, line order is (file path, split start, row); row ids
@@ -103,6 +104,8 @@ def start_append_stream(spark: SparkSession, source_dir: str, store: str, checkp
     reader = spark.readStream.schema(COMPENDIA_RECORD).option("mode", "FAILFAST")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    if recursive:   # release files written as folders of part files
+        reader = reader.option("recursiveFileLookup", "true")
     stream = reader.json(source_dir).select(
         "*", F.col("_metadata.file_path").alias("file_path"),
         F.col("_metadata.file_name").alias("file_name"),
