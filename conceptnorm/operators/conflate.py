@@ -109,14 +109,23 @@ def missing_report(resolved: DataFrame) -> DataFrame:
     return stats.join(first, "cluster_id")
 
 
-def normalize_conflation(lines: DataFrame, identifiers: DataFrame,
-                         strict: bool = False, scan_order: bool = False) -> ConflationTables:
+def prepare_conflation(lines: DataFrame, strict: bool = False,
+                       scan_order: bool = False) -> DataFrame:
+    """C1-C3 without identifiers: parsed, numbered, exploded members, staged.
+    Runs while the compendia are still being normalized."""
     parsed = parse_lines(lines)
     if strict:
         bad = parsed.where(F.col("error").isNotNull()).limit(1).collect()
         if bad:
             raise ConflationError(f"{bad[0]['error']}: {bad[0]['value'][:200]}")
-    resolved = stage(resolve(cluster_members(parsed, scan_order), identifiers), "clusters")
+    return stage(cluster_members(parsed, scan_order), "cluster-members")
+
+
+def normalize_conflation(lines: DataFrame, identifiers: DataFrame,
+                         strict: bool = False, scan_order: bool = False,
+                         prepared: DataFrame | None = None) -> ConflationTables:
+    members = prepared if prepared is not None else prepare_conflation(lines, strict, scan_order)
+    resolved = stage(resolve(members, identifiers), "clusters")
     missing = missing_report(resolved)
     if strict:
         first = missing.orderBy("cluster_id").limit(1).collect()

@@ -15,7 +15,7 @@ from dataclasses import dataclass, fields
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from conceptnorm.operators.conflate import normalize_conflation
+from conceptnorm.operators.conflate import normalize_conflation, prepare_conflation
 from conceptnorm.operators.normalize import normalize_compendia
 from conceptnorm.schema import TABLE_NAMES
 from conceptnorm.session import configure, shuffle_partitions
@@ -48,15 +48,20 @@ class Vocabulary:
         split, no shuffle of records). ``materialize=False`` when the store is
         written right away (the write materializes it once)."""
         configure(records.sparkSession)
-        comp = normalize_compendia(records, types_vocab, strict=strict,
-                                   scan_order=scan_order, materialize=materialize)
         if conflation_lines is None:
             spark = records.sparkSession
             conflation_lines = spark.createDataFrame(
                 [], "file_name string, conflation_type int, file_ord int, file_path string, "
                     "split_start bigint, row_in_split bigint, value string")
+        # the two halves are independent until conflation members resolve
+        # against identifiers: parse/number/stage the clusters meanwhile
+        with ThreadPoolExecutor(max_workers=1) as pool:
+            pending = pool.submit(prepare_conflation, conflation_lines, strict, scan_order)
+            comp = normalize_compendia(records, types_vocab, strict=strict,
+                                       scan_order=scan_order, materialize=materialize)
+            prepared = pending.result()
         conf = normalize_conflation(conflation_lines, comp.identifiers, strict=strict,
-                                    scan_order=scan_order)
+                                    scan_order=scan_order, prepared=prepared)
         return cls(
             types=comp.types, identifiers=comp.identifiers, cliques=comp.cliques,
             descriptions=comp.descriptions,
@@ -117,7 +122,7 @@ class Vocabulary:
     def all_frames(self) -> dict[str, DataFrame]:
         return {f.name: getattr(self, f.name) for f in fields(self)}
 
-    def write(self, path: str, mode: str = "overwrite", parallel: int = 4) -> None:
+    def write(self, path: str, mode: str = "overwrite", parallel: int = 8) -> None:
         """One Parquet folder per table.
 
         The tables are independent jobs; up to ``parallel`` are submitted at

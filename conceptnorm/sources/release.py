@@ -207,11 +207,16 @@ def load_release(spark: SparkSession, root: str, strict: bool = False,
                  types_vocab: DataFrame | None = None, materialize: bool = True):
     """A1-A5 + ingest: the store built from a written release folder. The
     type vocabulary defaults to the types the release uses."""
+    from concurrent.futures import ThreadPoolExecutor
+
     from conceptnorm.plans.vocabulary import Vocabulary
-    records = read_compendia(spark, compendia_paths(spark, root))
+    with ThreadPoolExecutor(max_workers=1) as pool:   # list both folders at once
+        lines_future = pool.submit(read_conflation, spark, root)
+        records = read_compendia(spark, compendia_paths(spark, root))
+        lines = lines_future.result()
     if types_vocab is None:
         types_vocab = records.select(F.col("type").alias("curie")).distinct()
-    return Vocabulary.build(records, read_conflation(spark, root), types_vocab, strict=strict,
+    return Vocabulary.build(records, lines, types_vocab, strict=strict,
                             scan_order=True, materialize=materialize)
 
 
