@@ -30,6 +30,8 @@ from conceptnorm.schema import ORDER_KEY, UNKNOWN_TAXON_LABEL
 # description ids are clique_id * this + position: a clique may hold up to
 # this many descriptions (audited by `too_many_descriptions`)
 DESCRIPTIONS_PER_CLIQUE = 1 << 24
+# distinct taxa above this many are joined with a shuffle (AQE splits skew)
+MAX_BROADCAST_TAXA = 5_000_000
 # a type vocabulary larger than this is joined with a shuffle, not broadcast
 MAX_BROADCAST_TYPES = 100_000
 
@@ -171,8 +173,15 @@ def normalize_compendia(records: DataFrame, types_vocab: DataFrame,
     member_ids = members.join(id_map, "curie")
     identifiers_cliques = member_ids.select("identifier_id", "clique_id")
 
+    # one taxon may be linked from a third of all members (e.g. human genes):
+    # resolve the distinct taxa once and broadcast that map when its size is
+    # proven small, so the links never shuffle by (hot) taxon
+    taxon_ids = bounded_broadcast(
+        members.select(F.explode("t").alias("curie")).distinct()
+               .join(id_map.withColumnRenamed("identifier_id", "taxa_identifier_id"), "curie"),
+        MAX_BROADCAST_TAXA)
     taxa_links = (member_ids.select("identifier_id", F.explode("t").alias("curie"))
-                  .join(id_map.withColumnRenamed("identifier_id", "taxa_identifier_id"), "curie")
+                  .join(taxon_ids, "curie")
                   .select("identifier_id", "taxa_identifier_id"))
     identifiers_taxa = taxa_links.dropDuplicates()
 
