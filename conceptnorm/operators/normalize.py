@@ -170,7 +170,11 @@ def normalize_compendia(records: DataFrame, types_vocab: DataFrame,
         identifiers = known.unionByName(added)
     id_map = identifiers.select("curie", F.col("id").alias("identifier_id"))
 
-    member_ids = members.join(id_map, "curie")
+    # the one big member -> id join, staged: memberships, taxon links and the
+    # serving view all read it instead of repeating the shuffle
+    member_ids = stage(members.join(identifiers.select(
+        "curie", F.col("id").alias("identifier_id"), F.col("label").alias("member_label")),
+        "curie"), "members")
     identifiers_cliques = member_ids.select("identifier_id", "clique_id")
 
     # one taxon may be linked from a third of all members (e.g. human genes):
@@ -216,9 +220,8 @@ def normalize_compendia(records: DataFrame, types_vocab: DataFrame,
     identifiers_descriptions = (desc_ids.join(id_map, "curie")
                                         .select("description_id", "identifier_id"))
 
-    labelled = (members.select("clique_id", "pos", "curie")
-                       .join(identifiers.select("curie", F.col("id").alias("member_id"),
-                                                F.col("label").alias("member_label")), "curie"))
+    labelled = member_ids.select("clique_id", "pos", "curie", "member_label",
+                                 F.col("identifier_id").alias("member_id"))
     membership_wide = (labelled.withColumnRenamed("curie", "member_curie")
                        .join(cliques_wide, "clique_id")
                        .select("member_curie", "member_id", "member_label", "clique_id", "pos",

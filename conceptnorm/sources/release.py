@@ -122,10 +122,9 @@ def read_compendia(spark: SparkSession, paths: list[tuple[str, int, str]],
 def read_conflation(spark: SparkSession, root: str) -> DataFrame:
     """A2/A5: conflation lines with their type from the file name."""
     folder = f"{root.rstrip('/')}/conflation"
-    sel = selected_conflation(manifest(spark, folder))
-    paths = _paths(sel, folder)
-    types = {r["file_name"]: r["conflation_type"] for r in sel.collect()}
-    unknown = [n for n, t in types.items() if t is None]
+    rows = selected_conflation(manifest(spark, folder)).orderBy("file_ord").collect()
+    paths = [(r["file_name"], r["file_ord"], f"{folder}/{r['file_name']}") for r in rows]
+    unknown = [r["file_name"] for r in rows if r["conflation_type"] is None]
     if unknown:
         raise ValueError(f"unknown conflation file name(s): {unknown}")
     lines = spark.read.text([p for _, _, p in paths])
