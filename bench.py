@@ -64,11 +64,12 @@ def main() -> None:
         times[name] = round(time.time() - t, 3)
     total = round(sum(times.values()), 3)
     sf = os.path.basename(sf_dir.rstrip("/")).removeprefix("sf")
+    n_ids, n_members = v.identifiers.count(), v.membership_wide.count()
     print(json.dumps({"metric": "ingest_plus_lookups_wall", "value": total, "unit": "sec",
                       "queries": times, "sf": sf, "release_write_setup_sec": setup,
                       "warmup_sec": warmup,
-                      "rows": {"identifiers": v.identifiers.count(),
-                               "memberships": v.membership_wide.count()}}))
+                      "rows": {"identifiers": n_ids, "memberships": n_members},
+                      "ingest_identifiers_per_sec": round(n_ids / times["ingest"], 1)}))
     spark.stop()
 
 

@@ -447,3 +447,9 @@ WHERE 'SUPP:' || {_s('s_suppkey')} NOT IN (SELECT curie FROM known3)
 ORACLE["rebuild_conflation"] = ORACLE["conflation_clusters_resolved"]
 
 ORACLE["stream_append_identifiers"] = _with() + "SELECT curie, label FROM ident"
+
+ORACLE["release_manifest"] = _with() + """
+SELECT DISTINCT file_name, true AS selected, CAST(file_ord AS INTEGER) AS file_ord,
+       CAST(NULL AS VARCHAR) AS note
+FROM recs
+"""

@@ -329,8 +329,11 @@ def required_columns(spark, sf_dir):
 
 
 def release_manifest(spark, sf_dir):
+    """A3/A4: the written release listed and selected (load order, notes);
+    byte sizes stay in ``release.manifest`` (they depend on the writer)."""
     root = _written_release(spark, sf_dir)
-    return release.selected_compendia(release.manifest(spark, f"{root}/compendia"))
+    return (release.selected_compendia(release.manifest(spark, f"{root}/compendia"))
+            .select("file_name", "selected", "file_ord", "note"))
 
 
 def ingest_from_files(spark, sf_dir):

@@ -20,9 +20,14 @@ from conceptnorm.operators.normalize import normalize_compendia
 from conceptnorm.schema import TABLE_NAMES
 from conceptnorm.session import configure, shuffle_partitions
 
-# tables written sorted by this column (lookups filter or join on it)
-SORT_KEYS = {"identifiers": "curie", "membership_wide": "member_curie",
-             "conflation_wide": "member_curie", "cliques_wide": "primary_curie"}
+# tables written sorted by these columns (lookups filter or join on the
+# first). The second column lets the range partitioner split a CURIE that
+# holds a third of all rows across tasks. Identifiers need no sort here:
+# their ids were assigned on rows already range-partitioned and sorted by
+# CURIE, and that order reaches the files.
+SORT_KEYS = {"membership_wide": ["member_curie", "clique_id"],
+             "conflation_wide": ["member_curie", "cluster_id"],
+             "cliques_wide": ["primary_curie", "clique_id"]}
 
 
 @dataclass
@@ -132,9 +137,9 @@ class Vocabulary:
 
         def write_one(item: tuple[str, DataFrame]) -> None:
             name, df = item
-            key = SORT_KEYS.get(name)
-            if key:
-                df = df.repartitionByRange(n, key).sortWithinPartitions(key)
+            keys = SORT_KEYS.get(name)
+            if keys:
+                df = df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
             df.write.mode(mode).parquet(f"{path.rstrip('/')}/{name}")
 
         # the largest (serving) tables first, so the small ones fill in

@@ -17,7 +17,7 @@ def test_entry_runs(spark):
 def test_registry_consistent():
     q, o = entry.queries(), entry.oracle_sql()
     assert set(o) <= set(q)
-    assert set(q) - set(o) == {"release_manifest", "malformed_lines"}
+    assert set(q) - set(o) == {"malformed_lines"}
 
 
 @pytest.mark.parametrize("name", ["preferred_bulk", "conflation_bulk", "name_to_curie",
