@@ -16,11 +16,14 @@ from pyspark.sql import functions as F
 from conceptnorm.plans.vocabulary import Vocabulary
 
 
-def row_counts(tables: dict[str, DataFrame]) -> DataFrame:
-    """(table_name, row_count) for every table."""
+def row_counts(tables: dict[str, DataFrame], spark=None) -> DataFrame:
+    """(table_name, row_count) for every table (no tables: no rows;
+    pass ``spark`` for that case)."""
     parts = [df.agg(F.count(F.lit(1)).cast("bigint").alias("row_count"))
                .select(F.lit(name).alias("table_name"), "row_count")
              for name, df in tables.items()]
+    if not parts:
+        return spark.createDataFrame([], "table_name string, row_count bigint")
     return reduce(DataFrame.unionByName, parts)
 
 

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from conceptnorm.operators import audit, conflate, lookup, names
 from conceptnorm.plans.vocabulary import Vocabulary
-from conceptnorm.session import configure, scratch_path
+from conceptnorm.session import configure, scratch_path, session_key
 from conceptnorm.sources import fixtures as fx
 from conceptnorm.sources import release
 
@@ -37,7 +37,7 @@ def vocabulary(spark: SparkSession, sf_dir: str,
     (curation and append scenarios) is built in memory.
     """
     configure(spark)
-    key = (spark.sparkContext.applicationId, sf_dir, files)
+    key = (session_key(spark), sf_dir, files)
     if key not in _STORES:
         types = fx.types_from_tables(spark, sf_dir)
         if files == fx.COMPENDIA_FILES:

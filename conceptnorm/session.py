@@ -33,17 +33,36 @@ def _local_checkpoint_root() -> str:
     return tempfile.mkdtemp(prefix="conceptnorm-ckpt-", dir=base)
 
 
+_LOCAL_ROOT: dict[str, str] = {}
+
+
+def _context(spark: SparkSession):
+    try:                      # classic sessions; a Connect session has none
+        return spark.sparkContext
+    except Exception:         # noqa: BLE001
+        return None
+
+
 def configure(spark: SparkSession) -> SparkSession:
     """Apply runtime settings and make sure a checkpoint folder exists."""
     for key, value in RUNTIME_CONF.items():
-        spark.conf.set(key, value)
-    sc = spark.sparkContext
-    if sc.getCheckpointDir() is None:
+        try:
+            spark.conf.set(key, value)
+        except Exception:     # noqa: BLE001 - a setting the session forbids
+            pass
+    sc = _context(spark)
+    if sc is not None and sc.getCheckpointDir() is None:
         configured = spark.conf.get("spark.checkpoint.dir", None)
         sc.setCheckpointDir(configured or _local_checkpoint_root())
     return spark
 
 
+def session_key(spark: SparkSession) -> str:
+    """Identifies the running application (cache key for built stores)."""
+    sc = _context(spark)
+    return sc.applicationId if sc is not None else spark.conf.get("spark.app.id", "connect")
+
+
 def get_spark(master: str | None = None, shuffle_partitions: int = 8,
               app_name: str = "conceptnorm") -> SparkSession:
     """Session for tests, tools and the benchmark (local by default)."""
@@ -65,8 +84,16 @@ def get_spark(master: str | None = None, shuffle_partitions: int = 8,
 
 
 def checkpoint_root(spark: SparkSession) -> str:
+    """The shared folder for staged data: the session's checkpoint folder
+    (``spark.checkpoint.dir``); a local temporary one only when unset."""
     configure(spark)
-    return spark.sparkContext.getCheckpointDir()
+    sc = _context(spark)
+    if sc is not None:
+        return sc.getCheckpointDir()
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    if configured:
+        return configured
+    return _LOCAL_ROOT.setdefault("root", _local_checkpoint_root())
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

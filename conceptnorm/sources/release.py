@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from conceptnorm.operators.conflate import conflation_type_of
 from conceptnorm.schema import (COMPENDIA_COLUMNS, COMPENDIA_RECORD, FILE_SUFFIX,
                                 FIRST_SHARD_SUFFIX, TAXON_FILE)
-from conceptnorm.session import scratch_path
+from conceptnorm.session import scratch_path, session_key
 
 # characters of a malformed line shown in its report
 PREVIEW_CHARS = 200
@@ -194,7 +194,7 @@ def write_release(records: DataFrame, lines: DataFrame, root: str) -> str:
 def write_fixture_release(spark: SparkSession, sf_dir: str) -> str:
     """The driver tables' release written once per session and data folder."""
     from conceptnorm.sources import fixtures as fx
-    key = (spark.sparkContext.applicationId, sf_dir)
+    key = (session_key(spark), sf_dir)
     if key not in _WRITTEN:
         root = scratch_path(spark, "release")
         _WRITTEN[key] = write_release(fx.compendia_records(spark, sf_dir),

@@ -15,6 +15,7 @@ def test_row_counts_two_tables_empty_and_none(spark):
     got = {r.table_name: r.row_count for r in audit.row_counts({"t1": t1, "t2": t2}).collect()}
     assert got == {"t1": 2, "t2": 1}
     assert audit.row_counts({"t": empty}).first().row_count == 0
+    assert audit.row_counts({}, spark).count() == 0
     pretty = audit.pretty_counts(audit.row_counts({"t": spark.range(1234567)})).first()
     assert pretty.row_count == "1,234,567"
 

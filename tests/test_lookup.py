@@ -40,6 +40,9 @@ def test_any_cliques_ordered_by_clique_id(spark, ordering_store):
     assert [r.identifier for r in rows] == ["CHEBI:1", "CHEBI:2", "CHEBI:3"]
     assert [r.description for r in rows] == ["Desc A", "Desc B", "Desc C"]
     assert [r.label for r in rows] == ["Compound A", "Compound B", "Compound C"]
+    again = (lookup.any_cliques(ordering_store, one(spark, "MESH:D014867"))
+             .orderBy("clique_id", "identifier").collect())
+    assert again == rows                                   # repeatable
 
 
 def test_preferred_cliques_description_fan_out(spark, ordering_store):
