@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from conceptnorm.functions.names import (clean_variants, paren_strips, remove_abbreviations,
                                          singular)
 from conceptnorm.functions.scalars import ascii_lower, not_excluded_for_names
-from conceptnorm.operators.keys import bounded_broadcast, stage
+from conceptnorm.operators.keys import stage
 from conceptnorm.plans.vocabulary import Vocabulary
 
 # requested (length, prefix) keys are broadcast below this many rows
@@ -60,7 +60,12 @@ def name_to_curie(vocab: Vocabulary, names: DataFrame, col: str = "name") -> Dat
                 .withColumn("vkey", ascii_lower("variant"))
                 .withColumn("vlen", F.length("vkey")), "variants")
     requested = var.select("vlen", "vkey").distinct()
-    lengths = sorted(r["vlen"] for r in requested.select("vlen").distinct().collect())
+    # one small action: how many keys (the broadcast bound) and which lengths
+    summary = requested.agg(F.count(F.lit(1)).alias("n"),
+                            F.array_sort(F.collect_set("vlen")).alias("lengths")).first()
+    lengths = list(summary["lengths"] or [])
+    if summary["n"] <= MAX_BROADCAST_KEYS:
+        requested = F.broadcast(requested)
 
     labels = (vocab.identifiers
               .where(F.col("label").isNotNull() & not_excluded_for_names("curie"))
@@ -74,8 +79,7 @@ def name_to_curie(vocab: Vocabulary, names: DataFrame, col: str = "name") -> Dat
     else:
         expanded = labels.select("curie", "label", "lkey", F.lit(0).alias("vlen"),
                                  F.lit("").alias("vkey")).where(F.lit(False))
-    wanted = expanded.join(bounded_broadcast(requested, MAX_BROADCAST_KEYS),
-                           ["vlen", "vkey"], "left_semi")
+    wanted = expanded.join(requested, ["vlen", "vkey"], "left_semi")
     winners = (wanted.groupBy("vlen", "vkey")
                      .agg(F.min(F.struct("lkey", "label", "curie")).alias("best")))
     matched = (var.join(winners, ["vlen", "vkey"])

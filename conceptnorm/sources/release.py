@@ -95,8 +95,7 @@ def compendia_paths(spark: SparkSession, root: str) -> list[tuple[str, int, str]
 
 # -- A1 / A2: scans ----------------------------------------------------------
 
-def _file_names(spark: SparkSession, paths: list[tuple[str, int, str]],
-                extra: dict[str, object] | None = None) -> DataFrame:
+def _file_names(spark: SparkSession, paths: list[tuple[str, int, str]]) -> DataFrame:
     rows = [(name, ord_, _strip_scheme(path)) for name, ord_, path in paths]
     return spark.createDataFrame(rows, "file_name string, file_ord int, entry string")
 
