@@ -92,6 +92,14 @@ def unknown_taxa(members: DataFrame, defined: DataFrame) -> DataFrame:
                 .select("curie", F.lit(UNKNOWN_TAXON_LABEL).alias("label")))
 
 
+def first_missing_taxon(members: DataFrame, known: DataFrame):
+    """Strict B4: the undefined taxon referenced earliest (with its clique),
+    or None. One bounded action (at most one row reaches the driver)."""
+    refs = members.select("clique_id", F.explode("t").alias("curie"))
+    missing = refs.join(known, "curie", "left_anti")
+    return missing.orderBy("clique_id", "curie").limit(1).first()
+
+
 def type_table(types_vocab: DataFrame) -> DataFrame:
     """Vocabulary with ids following the sorted CURIE order.
 
@@ -129,7 +137,8 @@ def normalize_compendia(records: DataFrame, types_vocab: DataFrame,
                         strict: bool = False,
                         existing: ExistingStore | None = None,
                         scan_order: bool = False,
-                        materialize: bool = True) -> CompendiaTables:
+                        materialize: bool = True,
+                        insert_missing_taxa: bool = True) -> CompendiaTables:
     """B1-B11. With ``existing`` the records are appended to a store: known
     identifiers keep their id and label, new ones get ids after the largest,
     and clique ids (hence description ids) continue after the store's."""
@@ -157,6 +166,14 @@ def normalize_compendia(records: DataFrame, types_vocab: DataFrame,
 
     members = explode_members(recs)
     defined = first_seen_labels(members)
+    if not insert_missing_taxa:
+        known = defined.select("curie")
+        if existing is not None:
+            known = known.unionByName(existing.identifiers.select("curie"))
+        first = first_missing_taxon(members, known)
+        if first is not None:
+            raise LoadError(f"taxon missing from identifiers (clique {first['clique_id']}): "
+                            f"{first['curie']}")
     if existing is None:
         identifiers = dense_ids(defined.unionByName(unknown_taxa(members, defined)),
                                 ["curie"], "id").select("id", "curie", "label")

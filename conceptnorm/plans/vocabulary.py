@@ -28,6 +28,10 @@ from conceptnorm.session import configure, shuffle_partitions
 SORT_KEYS = {"membership_wide": ["member_curie", "clique_id"],
              "conflation_wide": ["member_curie", "cluster_id"],
              "cliques_wide": ["primary_curie", "clique_id"]}
+# CURIE columns that point lookups filter on get a Parquet bloom filter, so
+# a row group that cannot hold the CURIE is skipped without being read
+BLOOM_COLUMNS = {"identifiers": "curie", "membership_wide": "member_curie",
+                 "conflation_wide": "member_curie", "cliques_wide": "primary_curie"}
 
 
 @dataclass
@@ -48,7 +52,7 @@ class Vocabulary:
     @classmethod
     def build(cls, records: DataFrame, conflation_lines: DataFrame | None,
               types_vocab: DataFrame, strict: bool = False, scan_order: bool = False,
-              materialize: bool = True) -> "Vocabulary":
+              materialize: bool = True, insert_missing_taxa: bool = True) -> "Vocabulary":
         """Ingest. ``scan_order``: inputs come from the release readers (ids by
         split, no shuffle of records). ``materialize=False`` when the store is
         written right away (the write materializes it once)."""
@@ -63,7 +67,8 @@ class Vocabulary:
         with ThreadPoolExecutor(max_workers=1) as pool:
             pending = pool.submit(prepare_conflation, conflation_lines, strict, scan_order)
             comp = normalize_compendia(records, types_vocab, strict=strict,
-                                       scan_order=scan_order, materialize=materialize)
+                                       scan_order=scan_order, materialize=materialize,
+                                       insert_missing_taxa=insert_missing_taxa)
             prepared = pending.result()
         conf = normalize_conflation(conflation_lines, comp.identifiers, strict=strict,
                                     scan_order=scan_order, prepared=prepared)
@@ -140,7 +145,11 @@ class Vocabulary:
             keys = SORT_KEYS.get(name)
             if keys:
                 df = df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
-            df.write.mode(mode).parquet(f"{path.rstrip('/')}/{name}")
+            writer = df.write.mode(mode)
+            if name in BLOOM_COLUMNS:
+                writer = writer.option(f"parquet.bloom.filter.enabled#{BLOOM_COLUMNS[name]}",
+                                       "true")
+            writer.parquet(f"{path.rstrip('/')}/{name}")
 
         # the largest (serving) tables first, so the small ones fill in
         frames = sorted(self.all_frames().items(), key=lambda kv: kv[0] not in SORT_KEYS)

@@ -115,3 +115,11 @@ def test_store_roundtrip(spark, store, tmp_path):
         assert sorted(map(tuple, getattr(loaded, name).collect())) == \
             sorted(map(tuple, df.collect())), name
     assert loaded.identifiers.where(F.col("curie") == "G:1").count() == 1
+
+
+def test_missing_taxa_rejected_when_not_inserted(spark, tmp_path):
+    root = write_sample_release(str(tmp_path))
+    recs = release.read_compendia(spark, release.compendia_paths(spark, root))
+    types = spark.createDataFrame([(t,) for t in SAMPLE_TYPES], "curie string")
+    with pytest.raises(LoadError, match=r"taxon missing from identifiers \(clique 3\): TX:9"):
+        Vocabulary.build(recs, None, types, scan_order=True, insert_missing_taxa=False)
