@@ -191,12 +191,17 @@ def _element_leaves(inner: T.DataType):
     return per_elem
 
 
-def filter_clusters(parsed: DataFrame, valid: DataFrame) -> DataFrame:
+def filter_clusters(parsed: DataFrame, valid: DataFrame, keep_empty: bool = False) -> DataFrame:
     """Clusters (one row per line) with a ``kept`` flag = every member valid.
 
     Relational division without collecting a cluster: explode distinct
     members, left join the valid set, AND-aggregate per cluster.
+    ``keep_empty``: an empty list is kept (vacuously valid) instead of being
+    dropped as a parse error.
     """
+    if keep_empty:
+        parsed = parsed.withColumn("error", F.when(F.col("error") == "empty", F.lit(None))
+                                              .otherwise(F.col("error")))
     lines = number_lines(parsed)
     exploded = lines.select("cluster_id", F.explode(F.array_distinct("members")).alias("curie"))
     flags = (exploded.join(valid.select("curie", F.lit(True).alias("_ok")), "curie", "left")
@@ -217,3 +222,11 @@ def filter_stats(flagged: DataFrame) -> DataFrame:
         (total - kept).alias("dropped"),
         F.round((total - kept).cast("double") * 100 / total, 2).alias("dropped_pct"),
         F.count_if(F.col("kept") & F.col("has_duplicates")).alias("kept_with_duplicates"))
+
+
+def require_kept(stats: DataFrame) -> DataFrame:
+    """C7 guard: fail when the filter keeps no cluster at all."""
+    row = stats.first()
+    if not row or not row["kept"]:
+        raise ValueError("no cluster kept by the filter")
+    return stats

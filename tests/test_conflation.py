@@ -105,3 +105,14 @@ def test_type_from_file_name(spark):
                                "f string")
     got = [r.t for r in df.select(conflate.conflation_type_of(F.col("f")).alias("t")).collect()]
     assert got == [1, 2, None]
+
+
+def test_keep_empty_and_require_kept(spark):
+    parsed = conflate.parse_lines(lines(spark, ['[]', '["Z:1"]']))
+    valid = spark.createDataFrame([("A:1",)], "curie string")
+    strict = conflate.filter_stats(conflate.filter_clusters(parsed, valid))
+    with pytest.raises(ValueError, match="no cluster kept"):
+        conflate.require_kept(strict)
+    loose = conflate.filter_clusters(parsed, valid, keep_empty=True)
+    assert {r.value: r.kept for r in loose.collect()} == {"[]": True, '["Z:1"]': False}
+    assert conflate.require_kept(conflate.filter_stats(loose)).first().kept == 1
