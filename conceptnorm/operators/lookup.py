@@ -51,6 +51,35 @@ def preferred(vocab: Vocabulary, inputs: DataFrame, col: str = "curie") -> DataF
     return _input(inputs, col, "input_curie").join(mw, "input_curie")
 
 
+# literal CURIE lists at most this long become a filter pushed to the scan
+MAX_LITERAL_KEYS = 10_000
+
+
+def preferred_for(vocab: Vocabulary, curies: list[str]) -> DataFrame:
+    """E1 for literal CURIEs: an IN filter pushed to the Parquet scan of the
+    CURIE-sorted serving table (row-group min/max and bloom-filter skipping)
+    instead of a join; long lists fall back to the join."""
+    spark = vocab.membership_wide.sparkSession
+    if len(curies) > MAX_LITERAL_KEYS:
+        return preferred(vocab, spark.createDataFrame([(c,) for c in curies], "curie string"))
+    return (vocab.membership_wide.where(F.col("member_curie").isin(list(curies)))
+            .select(F.col("member_curie").alias("input_curie"),
+                    F.col("primary_curie").alias("preferred_curie"), "type_curie"))
+
+
+def conflation_for(vocab: Vocabulary, curie: str,
+                   conflation_type: str | None = None) -> DataFrame:
+    """E3 for one literal CURIE: its clusters by a pushed filter on the
+    CURIE-sorted conflation view, then their members by a semi join."""
+    type_id = conflation_type_id(conflation_type)
+    cw = vocab.conflation_wide
+    clusters = cw.where(F.col("member_curie") == curie).select("cluster_id")
+    out = cw.join(clusters, "cluster_id", "left_semi")
+    if type_id is not None:
+        out = out.where(F.col("conflation_type") == type_id)
+    return out.select(F.lit(curie).alias("query_curie"), "member_curie", "is_canonical")
+
+
 # E3 / E4 ------------------------------------------------------------------
 
 def conflation(vocab: Vocabulary, inputs: DataFrame, col: str = "curie") -> DataFrame:

@@ -123,3 +123,18 @@ def test_unknown_inputs_give_nothing(spark, sample):
         assert fn(sample, x).count() == 0, fn.__name__
     assert lookup.label(sample, x).first().label is None
     assert sample.identifiers.where(F.col("curie") == "XYZZY:1").count() == 0
+
+
+def test_literal_lookups_push_filters(spark, sample, tmp_path):
+    from conceptnorm.plans.vocabulary import Vocabulary
+    path = str(tmp_path / "store")
+    sample.write(path)
+    store = Vocabulary.load(spark, path)
+    df = lookup.preferred_for(store, ["G:4", "XYZZY:1"])
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters" in plan and "In(member_curie" in plan
+    assert sorted((r.input_curie, r.preferred_curie) for r in df.collect()) == [
+        ("G:4", "G:4"), ("G:4", "P:1")]
+    rows = lookup.conflation_for(store, "G:4", "GeneProtein").collect()
+    assert sorted((r.member_curie, r.is_canonical) for r in rows) == [("G:4", 0), ("P:1", 1)]
+    assert lookup.conflation_for(store, "G:4", "DrugChemical").count() == 0
