@@ -9,6 +9,7 @@ directory, so the registered queries share one ingest.
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,6 +22,7 @@ from conceptnorm.sources import fixtures as fx
 from conceptnorm.sources import release
 
 _STORES: dict[tuple[str, str, tuple[str, ...]], Vocabulary] = {}
+_LOCK = threading.RLock()
 
 # fixed parameters of the sampling query
 SAMPLE_SIZE = 100
@@ -38,6 +40,11 @@ def vocabulary(spark: SparkSession, sf_dir: str,
     """
     configure(spark)
     key = (session_key(spark), sf_dir, files)
+    with _LOCK:                       # concurrent callers share one build
+        return _build_store(spark, sf_dir, files, key)
+
+
+def _build_store(spark: SparkSession, sf_dir: str, files: tuple[str, ...], key) -> Vocabulary:
     if key not in _STORES:
         types = fx.types_from_tables(spark, sf_dir)
         if files == fx.COMPENDIA_FILES:

@@ -12,6 +12,8 @@ scan, before any shuffle, and one split is read whole by one task.
 
 from __future__ import annotations
 
+import threading
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -24,6 +26,7 @@ from conceptnorm.session import scratch_path, session_key
 PREVIEW_CHARS = 200
 
 _WRITTEN: dict[tuple[str, str], str] = {}
+_LOCK = threading.Lock()
 
 
 # -- A3 / A4 / A5: listing and selection -------------------------------------
@@ -194,11 +197,12 @@ def write_fixture_release(spark: SparkSession, sf_dir: str) -> str:
     """The driver tables' release written once per session and data folder."""
     from conceptnorm.sources import fixtures as fx
     key = (session_key(spark), sf_dir)
-    if key not in _WRITTEN:
-        root = scratch_path(spark, "release")
-        _WRITTEN[key] = write_release(fx.compendia_records(spark, sf_dir),
-                                      fx.conflation_lines(spark, sf_dir), root)
-    return _WRITTEN[key]
+    with _LOCK:
+        if key not in _WRITTEN:
+            root = scratch_path(spark, "release")
+            _WRITTEN[key] = write_release(fx.compendia_records(spark, sf_dir),
+                                          fx.conflation_lines(spark, sf_dir), root)
+        return _WRITTEN[key]
 
 
 def load_release(spark: SparkSession, root: str, strict: bool = False,
