@@ -10,6 +10,8 @@ counts -- one row per partition -- go through a global window.
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -47,12 +49,29 @@ def dense_ids(df: DataFrame, order_cols: list[str | Column], id_col: str = "id",
                   .drop("_mid", "_pid", "_off"))
 
 
+_SCOPES: list[list[str]] = []
+
+
+@contextmanager
+def staging_scope():
+    """Collect the paths staged inside the block (for ``drop_paths`` once
+    whatever reads them has been written out)."""
+    paths: list[str] = []
+    _SCOPES.append(paths)
+    try:
+        yield paths
+    finally:
+        _SCOPES.remove(paths)
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet under the shared checkpoint folder and read it
     back: lineage is cut, the rows are fixed (a lost executor recomputes
     nothing nondeterministic), and later reads prune columns, nested ones too."""
     path = scratch_path(df.sparkSession, name)
     df.write.mode("overwrite").parquet(path)
+    for scope in list(_SCOPES):
+        scope.append(path)
     return df.sparkSession.read.parquet(path)
 
 

@@ -17,7 +17,8 @@ from pyspark.sql import functions as F
 
 from conceptnorm.operators import audit, conflate, lookup, names
 from conceptnorm.plans.vocabulary import Vocabulary
-from conceptnorm.session import configure, scratch_path, session_key
+from conceptnorm.operators.keys import staging_scope
+from conceptnorm.session import configure, drop_paths, scratch_path, session_key
 from conceptnorm.sources import fixtures as fx
 from conceptnorm.sources import release
 
@@ -49,9 +50,11 @@ def _build_store(spark: SparkSession, sf_dir: str, files: tuple[str, ...], key)
         types = fx.types_from_tables(spark, sf_dir)
         if files == fx.COMPENDIA_FILES:
             root = release.write_fixture_release(spark, sf_dir)
-            built = release.load_release(spark, root, types_vocab=types, materialize=False)
             path = scratch_path(spark, "store")
-            built.write(path)
+            with staging_scope() as staged:
+                built = release.load_release(spark, root, types_vocab=types, materialize=False)
+                built.write(path)
+            drop_paths(spark, staged)     # the written store no longer needs them
             _STORES[key] = Vocabulary.load(spark, path)
         else:
             recs = fx.compendia_records(spark, sf_dir, files)

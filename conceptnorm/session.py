@@ -105,3 +105,18 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+
+
+def drop_paths(spark: SparkSession, paths: list[str]) -> int:
+    """Delete staged folders through the Hadoop file system of each path
+    (local, HDFS or object store alike). Returns how many were deleted; a
+    session without a JVM context deletes nothing."""
+    sc = _context(spark)
+    if sc is None:
+        return 0
+    jvm, conf = sc._jvm, sc._jsc.hadoopConfiguration()
+    deleted = 0
+    for p in paths:
+        path = jvm.org.apache.hadoop.fs.Path(p)
+        deleted += bool(path.getFileSystem(conf).delete(path, True))
+    return deleted

@@ -123,3 +123,20 @@ def test_missing_taxa_rejected_when_not_inserted(spark, tmp_path):
     types = spark.createDataFrame([(t,) for t in SAMPLE_TYPES], "curie string")
     with pytest.raises(LoadError, match=r"taxon missing from identifiers \(clique 3\): TX:9"):
         Vocabulary.build(recs, None, types, scan_order=True, insert_missing_taxa=False)
+
+
+def test_staged_data_can_be_dropped_after_write(spark, tmp_path):
+    import os
+
+    from conceptnorm.operators.keys import staging_scope
+    from conceptnorm.session import drop_paths
+    root = write_sample_release(str(tmp_path / "release"))
+    types = spark.createDataFrame([(t,) for t in SAMPLE_TYPES], "curie string")
+    with staging_scope() as staged:
+        built = release.load_release(spark, root, types_vocab=types, materialize=False)
+        built.write(str(tmp_path / "store"))
+    assert len(staged) >= 4
+    assert drop_paths(spark, staged) == len(staged)
+    assert not any(os.path.exists(p.replace("file:", "")) for p in staged)
+    loaded = Vocabulary.load(spark, str(tmp_path / "store"))
+    assert loaded.identifiers.count() == 9 and loaded.membership_wide.count() == 9
