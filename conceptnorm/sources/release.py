@@ -164,16 +164,24 @@ def malformed_lines(spark: SparkSession, paths: list[tuple[str, int, str]]) -> D
                       F.substring("value", 1, PREVIEW_CHARS).alias("preview"))
 
 
-def type_profile(spark: SparkSession, paths: list[tuple[str, int, str]]) -> DataFrame:
+def type_profile(spark: SparkSession, paths: list[tuple[str, int, str]],
+                 vocabulary: DataFrame | None = None) -> DataFrame:
     """Per file, the type of its first non-empty line, how many types,
-    and how many records; files whose first type is missing are flagged."""
+    and how many records; files whose first type is missing are flagged, and
+    with a class ``vocabulary`` (column ``curie``) so are unknown types."""
     lines = _lines(spark, paths).withColumn("type", F.get_json_object("value", "$.type"))
     first = F.min_by("type", F.struct("file_path", "split_start", "row_in_split"))
-    return (lines.groupBy("file_name")
-                 .agg(first.alias("first_type"),
-                      F.count_distinct("type").alias("n_types"),
-                      F.count(F.lit(1)).alias("n_records"))
-                 .withColumn("first_type_missing", F.col("first_type").isNull()))
+    profile = (lines.groupBy("file_name")
+                    .agg(first.alias("first_type"),
+                         F.count_distinct("type").alias("n_types"),
+                         F.count(F.lit(1)).alias("n_records"))
+                    .withColumn("first_type_missing", F.col("first_type").isNull()))
+    if vocabulary is None:
+        return profile
+    known = vocabulary.select(F.col("curie").alias("first_type"), F.lit(True).alias("_known"))
+    return (profile.join(known, "first_type", "left")
+                   .withColumn("first_type_known", F.coalesce("_known", F.lit(False)))
+                   .drop("_known"))
 
 
 # -- writing a release derived from the driver tables --------------------------

@@ -23,7 +23,7 @@ from pyspark.sql.utils import AnalysisException
 from conceptnorm.operators.keys import max_id
 from conceptnorm.operators.normalize import ExistingStore, normalize_compendia
 from conceptnorm.plans.vocabulary import Vocabulary
-from conceptnorm.schema import COMPENDIA_RECORD
+from conceptnorm.schema import COMPENDIA_RECORD, TAXON_FILE
 from conceptnorm.session import configure
 
 EPOCH = "epoch"
@@ -112,8 +112,10 @@ def start_append_stream(spark: SparkSession, source_dir: str, store: str, checkp
         F.col("_metadata.file_block_start").alias("split_start"))
 
     def each_batch(batch: DataFrame, epoch: int) -> None:
+        # the taxon compendium first, then by path (as a batch load orders files)
+        taxon_first = F.when(F.col("file_path").contains(f"/{TAXON_FILE}"), 0).otherwise(1)
         records = (batch.withColumn("row_in_split", F.monotonically_increasing_id())
-                        .withColumn("file_ord", F.lit(0)))
+                        .withColumn("file_ord", taxon_first))
         append_batch(records, int(epoch), store, types_vocab)
 
     writer = stream.writeStream.foreachBatch(each_batch).option("checkpointLocation", checkpoint)

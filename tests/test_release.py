@@ -48,6 +48,10 @@ def test_required_columns_and_type_profile(spark, tmp_path):
             for r in release.type_profile(spark, paths).collect()}
     assert prof == {"Gene.txt": ("biolink:Gene", 2, 2, False),
                     "Broken.txt": (None, 0, 1, True)}
+    vocab = spark.createDataFrame([("biolink:Protein",)], "curie string")
+    known = {r.file_name: r.first_type_known
+             for r in release.type_profile(spark, paths, vocab).collect()}
+    assert known == {"Gene.txt": False, "Broken.txt": False}
 
 
 def test_malformed_lines(spark, tmp_path):
