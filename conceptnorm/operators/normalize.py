@@ -108,6 +108,7 @@ def type_table(types_vocab: DataFrame) -> DataFrame:
     dense-id path."""
     vocab = types_vocab.select("curie").distinct()
     if vocab.limit(MAX_BROADCAST_TYPES + 1).count() <= MAX_BROADCAST_TYPES:
+        # proven small: one ordered window over the vocabulary
         return vocab.select(F.row_number().over(Window.orderBy("curie")).cast("bigint").alias("id"),
                             "curie")
     return dense_ids(vocab, ["curie"], "id")

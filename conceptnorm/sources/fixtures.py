@@ -95,14 +95,14 @@ def part_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = (table(spark, sf_dir, "documents")
             .select(F.floor(F.col("doc_id") / 2).cast("bigint").alias("p_partkey"),
                     F.struct("doc_id", "text").alias("doc"))
-            .groupBy("p_partkey")
+            .groupBy("p_partkey")                      # two documents per part
             .agg(F.array_sort(F.collect_list("doc")).alias("docs"))
             .select("p_partkey", F.transform("docs", lambda x: x["text"]).alias("d")))
     supps = (table(spark, sf_dir, "lineitem")
              .where(F.col("l_linenumber") == 1)
              .select(F.col("l_partkey").alias("p_partkey"), "l_suppkey")
              .distinct()
-             .groupBy("p_partkey")
+             .groupBy("p_partkey")          # a record's member list, as the format holds it
              .agg(F.array_sort(F.collect_list("l_suppkey")).alias("supps")))
     joined = part.join(docs, "p_partkey", "left").join(supps, "p_partkey", "left")
     primary = member(curie("PART:", "p_partkey"), F.col("p_name"),
@@ -135,6 +135,8 @@ def compendia_records(spark: SparkSession, sf_dir: str,
 
 def _cluster_lines(grouped: DataFrame, prefix: str, key: str, file_name: str,
                    file_ord: int) -> DataFrame:
+    # the conflation file format is one list per line, so building a line
+    # gathers its cluster; everything downstream re-explodes it in parallel
     keys = F.array_sort(F.collect_list(key))
     lines = grouped.agg(keys.alias("keys"))
     return lines.select(

@@ -67,6 +67,7 @@ def selected_compendia(listing: DataFrame) -> DataFrame:
                                           F.lit("unrecognized file name"))
                                     .when(F.col("_sharded").isNotNull(),
                                           F.lit("replaced by shards"))))
+    # one row per release file: the global order is over file names only
     order = Window.orderBy((F.col("file_name") != TAXON_FILE), "file_name")
     chosen = (flagged.where("selected")
               .withColumn("file_ord", F.row_number().over(order).cast("int"))
@@ -77,7 +78,7 @@ def selected_compendia(listing: DataFrame) -> DataFrame:
 
 def selected_conflation(listing: DataFrame) -> DataFrame:
     """A5: ``.txt`` files sorted by name; type from the name (NULL if unknown)."""
-    order = Window.orderBy("file_name")
+    order = Window.orderBy("file_name")     # one row per file
     return (listing.where(F.col("file_name").endswith(FILE_SUFFIX))
                    .withColumn("file_ord", F.row_number().over(order).cast("int"))
                    .withColumn("conflation_type", conflation_type_of(F.col("file_name")))
@@ -147,6 +148,7 @@ def required_columns(spark: SparkSession, paths: list[tuple[str, int, str]]) ->
     keys = (_lines(spark, paths)
             .select("file_name", F.explode(F.json_object_keys("value")).alias("key"))
             .distinct()
+            # distinct keys per file: bounded by the record schema's width
             .groupBy("file_name").agg(F.array_sort(F.collect_list("key")).alias("present")))
     required = F.array(*[F.lit(c) for c in COMPENDIA_COLUMNS])
     return keys.select("file_name",
@@ -189,6 +191,7 @@ def type_profile(spark: SparkSession, paths: list[tuple[str, int, str]],
 def write_release(records: DataFrame, lines: DataFrame, root: str) -> str:
     """Write records as JSON lines and cluster lines as text, one entry per
     release file, rows in line order (sorted write: part files in order)."""
+    # the file names (one row per release file) drive one write per file
     for name in [r["file_name"] for r in records.select("file_name").distinct().collect()]:
         (records.where(F.col("file_name") == name)
                 .orderBy("row_in_split")
