@@ -223,6 +223,20 @@ def normalize_compendia(records: DataFrame, types_vocab: DataFrame,
                     .join(type_map, "type_curie"))
     cliques = cliques_wide.select(F.col("clique_id").alias("id"), "primary_identifier_id",
                                   "ic", "type_id", "preferred_name")
+    if strict:
+        # the two UNIQUE constraints a load enforces: (primary, type) per
+        # clique and (identifier, taxon) per link; lenient mode keeps the
+        # cliques (audit D1 reports them) and de-duplicates the links
+        dup = (clique_rows.groupBy("primary_curie", "type_curie").count()
+               .where(F.col("count") > 1).limit(1).collect())
+        if dup:
+            raise LoadError(f"duplicate clique for ({dup[0]['primary_curie']}, "
+                            f"{dup[0]['type_curie']})")
+        dup = (taxa_links.groupBy("identifier_id", "taxa_identifier_id").count()
+               .where(F.col("count") > 1).limit(1).collect())
+        if dup:
+            raise LoadError("duplicate taxon link for identifier id "
+                            f"{dup[0]['identifier_id']}")
 
     # descriptions keep their clique's order: id = clique_id << 24 | n-th
     # description of the clique (members in order), no shuffle needed

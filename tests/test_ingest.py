@@ -140,3 +140,22 @@ def test_staged_data_can_be_dropped_after_write(spark, tmp_path):
     assert not any(os.path.exists(p.replace("file:", "")) for p in staged)
     loaded = Vocabulary.load(spark, str(tmp_path / "store"))
     assert loaded.identifiers.count() == 9 and loaded.membership_wide.count() == 9
+
+
+def test_strict_mode_rejects_duplicate_primary_type_and_taxon_link(spark, tmp_path):
+    from helpers import record, write_lines
+    types = spark.createDataFrame([("biolink:Gene",)], "curie string")
+    write_lines(str(tmp_path / "a" / "compendia"), "Gene.txt",
+                [record("biolink:Gene", [{"i": "G:1", "l": "a"}]),
+                 record("biolink:Gene", [{"i": "G:1", "l": "b"}])])
+    write_lines(str(tmp_path / "a" / "conflation"), "GeneProtein.txt", [""])
+    with pytest.raises(LoadError, match="duplicate clique"):
+        release.load_release(spark, str(tmp_path / "a"), types_vocab=types, strict=True)
+    write_lines(str(tmp_path / "b" / "compendia"), "Gene.txt",
+                [record("biolink:Gene", [{"i": "G:1", "l": "a", "t": ["T:1"]}]),
+                 record("biolink:Gene", [{"i": "G:2", "l": "b"}, {"i": "G:1", "t": ["T:1"]}])])
+    write_lines(str(tmp_path / "b" / "conflation"), "GeneProtein.txt", [""])
+    with pytest.raises(LoadError, match="duplicate taxon link"):
+        release.load_release(spark, str(tmp_path / "b"), types_vocab=types, strict=True)
+    lenient = release.load_release(spark, str(tmp_path / "b"), types_vocab=types)
+    assert lenient.identifiers_taxa.count() == 1
