@@ -135,11 +135,16 @@ def preferred_bulk(spark, sf_dir):
     return lookup.preferred(v, _all_identifiers(v))
 
 
+def _first_key(spark, sf_dir, table: str, key: str, prefix: str) -> str:
+    """The CURIE of a table's least key (one scalar from the table)."""
+    return fx.table(spark, sf_dir, table).agg(
+        fx.curie(prefix, F.min(key)).alias("c")).first()["c"]
+
+
 def preferred_one(spark, sf_dir):
+    """E1 for one CURIE (the least supplier): a filter pushed to the scan."""
     v = vocabulary(spark, sf_dir)
-    first_supplier = fx.table(spark, sf_dir, "supplier").agg(
-        fx.curie("SUPP:", F.min("s_suppkey")).alias("curie"))
-    return lookup.preferred(v, first_supplier)
+    return lookup.preferred_for(v, [_first_key(spark, sf_dir, "supplier", "s_suppkey", "SUPP:")])
 
 
 def edges_normalized(spark, sf_dir):
@@ -175,10 +180,10 @@ def conflation_bulk(spark, sf_dir):
 
 
 def conflation_one(spark, sf_dir):
+    """E3 for one CURIE (the least customer), GeneProtein clusters only."""
     v = vocabulary(spark, sf_dir)
-    first_customer = fx.table(spark, sf_dir, "customer").agg(
-        fx.curie("CUST:", F.min("c_custkey")).alias("curie"))
-    return lookup.conflation_filtered(v, first_customer, conflation_type="GeneProtein")
+    return lookup.conflation_for(v, _first_key(spark, sf_dir, "customer", "c_custkey", "CUST:"),
+                                 "GeneProtein")
 
 
 def preferred_cliques(spark, sf_dir):
