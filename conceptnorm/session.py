@@ -36,7 +36,7 @@ def _local_checkpoint_root() -> str:
 _LOCAL_ROOT: dict[str, str] = {}
 
 
-def _context(spark: SparkSession):
+def jvm_context(spark: SparkSession):
     try:                      # classic sessions; a Connect session has none
         return spark.sparkContext
     except Exception:         # noqa: BLE001
@@ -50,7 +50,7 @@ def configure(spark: SparkSession) -> SparkSession:
             spark.conf.set(key, value)
         except Exception:     # noqa: BLE001 - a setting the session forbids
             pass
-    sc = _context(spark)
+    sc = jvm_context(spark)
     if sc is not None and sc.getCheckpointDir() is None:
         configured = spark.conf.get("spark.checkpoint.dir", None)
         sc.setCheckpointDir(configured or _local_checkpoint_root())
@@ -59,7 +59,7 @@ def configure(spark: SparkSession) -> SparkSession:
 
 def session_key(spark: SparkSession) -> str:
     """Identifies the running application (cache key for built stores)."""
-    sc = _context(spark)
+    sc = jvm_context(spark)
     return sc.applicationId if sc is not None else spark.conf.get("spark.app.id", "connect")
 
 
@@ -87,7 +87,7 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder for staged data: the session's checkpoint folder
     (``spark.checkpoint.dir``); a local temporary one only when unset."""
     configure(spark)
-    sc = _context(spark)
+    sc = jvm_context(spark)
     if sc is not None:
         return sc.getCheckpointDir()
     configured = spark.conf.get("spark.checkpoint.dir", None)
@@ -111,7 +111,7 @@ def drop_paths(spark: SparkSession, paths: list[str]) -> int:
     """Delete staged folders through the Hadoop file system of each path
     (local, HDFS or object store alike). Returns how many were deleted; a
     session without a JVM context deletes nothing."""
-    sc = _context(spark)
+    sc = jvm_context(spark)
     if sc is None:
         return 0
     jvm, conf = sc._jvm, sc._jsc.hadoopConfiguration()

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from conceptnorm.operators.conflate import conflation_type_of
 from conceptnorm.schema import (COMPENDIA_COLUMNS, COMPENDIA_RECORD, FILE_SUFFIX,
                                 FIRST_SHARD_SUFFIX, TAXON_FILE)
-from conceptnorm.session import scratch_path, session_key
+from conceptnorm.session import jvm_context, scratch_path, session_key
 
 # characters of a malformed line shown in its report
 PREVIEW_CHARS = 200
@@ -46,6 +46,34 @@ def manifest(spark: SparkSession, folder: str) -> DataFrame:
                       F.max("modificationTime").alias("modified")))
 
 
+def list_entries(spark: SparkSession, folder: str) -> DataFrame:
+    """A3 as metadata only: the top-level entries of a folder (name, parts,
+    bytes, modified) from one file-system listing on the driver -- no scan
+    job. Falls back to ``manifest`` where the session has no JVM context."""
+    sc = jvm_context(spark)
+    if sc is None:
+        return manifest(spark, folder)
+    jvm, conf = sc._jvm, sc._jsc.hadoopConfiguration()
+    root = jvm.org.apache.hadoop.fs.Path(folder)
+    fs = root.getFileSystem(conf)
+    rows = []
+    for st in fs.listStatus(root):
+        name = st.getPath().getName()
+        if name.startswith((".", "_")):
+            continue
+        if st.isDirectory():
+            parts = [p for p in fs.listStatus(st.getPath())
+                     if p.isFile() and not p.getPath().getName().startswith((".", "_"))]
+            rows.append((name, len(parts), sum(p.getLen() for p in parts),
+                         max((p.getModificationTime() for p in parts), default=0)))
+        else:
+            rows.append((name, 1, st.getLen(), st.getModificationTime()))
+    listing = spark.createDataFrame(rows, "file_name string, n_parts bigint, size bigint, "
+                                          "modified_ms bigint")
+    return listing.select("file_name", "n_parts", "size",
+                          F.timestamp_millis("modified_ms").alias("modified"))
+
+
 def _strip_scheme(path: str) -> str:
     return path.split(":", 1)[1] if path.startswith("file:") else path
 
@@ -94,7 +122,7 @@ def _paths(selection: DataFrame, folder: str) -> list[tuple[str, int, str]]:
 
 def compendia_paths(spark: SparkSession, root: str) -> list[tuple[str, int, str]]:
     folder = f"{root.rstrip('/')}/compendia"
-    return _paths(selected_compendia(manifest(spark, folder)), folder)
+    return _paths(selected_compendia(list_entries(spark, folder)), folder)
 
 
 # -- A1 / A2: scans ----------------------------------------------------------
@@ -125,7 +153,7 @@ def read_compendia(spark: SparkSession, paths: list[tuple[str, int, str]],
 def read_conflation(spark: SparkSession, root: str) -> DataFrame:
     """A2/A5: conflation lines with their type from the file name."""
     folder = f"{root.rstrip('/')}/conflation"
-    rows = selected_conflation(manifest(spark, folder)).orderBy("file_ord").collect()
+    rows = selected_conflation(list_entries(spark, folder)).orderBy("file_ord").collect()
     paths = [(r["file_name"], r["file_ord"], f"{folder}/{r['file_name']}") for r in rows]
     unknown = [r["file_name"] for r in rows if r["conflation_type"] is None]
     if unknown:

@@ -26,6 +26,17 @@ def test_manifest_sizes(spark, tmp_path):
     rows = release.manifest(spark, str(tmp_path)).collect()
     assert [(r.file_name, r.n_parts, r.size) for r in rows] == [
         ("Gene.txt", 1, os.path.getsize(path))]
+    listed = release.list_entries(spark, str(tmp_path)).collect()
+    assert [(r.file_name, r.n_parts, r.size) for r in listed] == [
+        ("Gene.txt", 1, os.path.getsize(path))]
+
+
+def test_listing_counts_part_folders(spark, tmp_path):
+    df = spark.createDataFrame([("a",), ("b",), ("c",)], "value string").repartition(3)
+    df.write.text(str(tmp_path / "Gene.txt"))
+    a = {r.file_name: (r.n_parts, r.size) for r in release.list_entries(spark, str(tmp_path)).collect()}
+    b = {r.file_name: (r.n_parts, r.size) for r in release.manifest(spark, str(tmp_path)).collect()}
+    assert a == b and a["Gene.txt"][0] == 3
 
 
 def test_conflation_selection_types(spark, tmp_path):
