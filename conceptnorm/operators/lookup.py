@@ -22,6 +22,12 @@ def single(spark: SparkSession, curie: str, name: str = "curie") -> DataFrame:
     return spark.createDataFrame([(curie,)], f"{name} string")
 
 
+def numbered_inputs(inputs: DataFrame, col: str = "input_ord") -> DataFrame:
+    """Tag inputs with their scan order; lookups carry the column through, so
+    ``orderBy(col)`` returns results in input order (repeats repeated)."""
+    return inputs.withColumn(col, F.monotonically_increasing_id())
+
+
 def _input(inputs: DataFrame, col: str, as_name: str) -> DataFrame:
     return inputs.withColumnRenamed(col, as_name) if col != as_name else inputs
 

@@ -138,3 +138,12 @@ def test_literal_lookups_push_filters(spark, sample, tmp_path):
     rows = lookup.conflation_for(store, "G:4", "GeneProtein").collect()
     assert sorted((r.member_curie, r.is_canonical) for r in rows) == [("G:4", 0), ("P:1", 1)]
     assert lookup.conflation_for(store, "G:4", "DrugChemical").count() == 0
+
+
+def test_results_in_input_order(spark, sample):
+    order = ["P:1", "G:1", "P:1", "TX:1", "XYZZY:1", "G:2"]
+    inputs = lookup.numbered_inputs(spark.createDataFrame([(c,) for c in order], "curie string")
+                                    .coalesce(1))
+    rows = lookup.preferred(sample, inputs).orderBy("input_ord", "preferred_curie").collect()
+    # P:1 heads one clique and is a member of another: two rows per input
+    assert [r.input_curie for r in rows] == ["P:1", "P:1", "G:1", "P:1", "P:1", "TX:1", "G:2"]
