@@ -17,6 +17,7 @@ key, so AQE's skew-join split of the member side is safe.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Window
@@ -147,11 +148,13 @@ def normalize_compendia(records: DataFrame, types_vocab: DataFrame,
     # reads four small columns) and every table below reads only the
     # (nested) columns it needs
     start = existing.max_clique_id if existing else 0
-    if scan_order:
-        recs = number_records(stage(records, "records"), start, scan_order=True)
-    else:
-        recs = stage(number_records(records, start), "records")
-    types = type_table(types_vocab)
+    with ThreadPoolExecutor(max_workers=1) as pool:   # independent jobs run together
+        types_job = pool.submit(type_table, types_vocab)
+        if scan_order:
+            recs = number_records(stage(records, "records"), start, scan_order=True)
+        else:
+            recs = stage(number_records(records, start), "records")
+        types = types_job.result()
     if strict:
         bad = check_types(recs, types).limit(1).collect()
         if bad:
@@ -190,26 +193,32 @@ def normalize_compendia(records: DataFrame, types_vocab: DataFrame,
 
     # the one big member -> id join, staged: memberships, taxon links and the
     # serving view all read it instead of repeating the shuffle
-    member_ids = stage(members.join(identifiers.select(
-        "curie", F.col("id").alias("identifier_id"), F.col("label").alias("member_label")),
-        "curie"), "members")
+    with ThreadPoolExecutor(max_workers=3) as pool:
+        member_job = pool.submit(stage, members.join(identifiers.select(
+            "curie", F.col("id").alias("identifier_id"), F.col("label").alias("member_label")),
+            "curie"), "members")
+        # one taxon may be linked from a third of all members (e.g. human
+        # genes): resolve the distinct taxa once and broadcast that map when
+        # its size is proven small, so links never shuffle by (hot) taxon
+        taxon_job = pool.submit(
+            bounded_broadcast,
+            members.select(F.explode("t").alias("curie")).distinct()
+                   .join(id_map.withColumnRenamed("identifier_id", "taxa_identifier_id"),
+                         "curie"),
+            MAX_BROADCAST_TAXA)
+        type_job = pool.submit(
+            bounded_broadcast,
+            types.select(F.col("curie").alias("type_curie"), F.col("id").alias("type_id")),
+            MAX_BROADCAST_TYPES)
+        member_ids, taxon_ids, type_map = (member_job.result(), taxon_job.result(),
+                                           type_job.result())
     identifiers_cliques = member_ids.select("identifier_id", "clique_id")
 
-    # one taxon may be linked from a third of all members (e.g. human genes):
-    # resolve the distinct taxa once and broadcast that map when its size is
-    # proven small, so the links never shuffle by (hot) taxon
-    taxon_ids = bounded_broadcast(
-        members.select(F.explode("t").alias("curie")).distinct()
-               .join(id_map.withColumnRenamed("identifier_id", "taxa_identifier_id"), "curie"),
-        MAX_BROADCAST_TAXA)
     taxa_links = (member_ids.select("identifier_id", F.explode("t").alias("curie"))
                   .join(taxon_ids, "curie")
                   .select("identifier_id", "taxa_identifier_id"))
     identifiers_taxa = taxa_links.dropDuplicates()
 
-    type_map = bounded_broadcast(
-        types.select(F.col("curie").alias("type_curie"), F.col("id").alias("type_id")),
-        MAX_BROADCAST_TYPES)
     clique_rows = recs.select(
         "clique_id",
         F.col("identifiers")[0]["i"].alias("primary_curie"),
