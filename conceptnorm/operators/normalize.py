@@ -148,13 +148,20 @@ def normalize_compendia(records: DataFrame, types_vocab: DataFrame,
     # reads four small columns) and every table below reads only the
     # (nested) columns it needs
     start = existing.max_clique_id if existing else 0
+    def vocabulary_map():
+        types = type_table(types_vocab)
+        type_map = bounded_broadcast(
+            types.select(F.col("curie").alias("type_curie"), F.col("id").alias("type_id")),
+            MAX_BROADCAST_TYPES)
+        return types, type_map
+
     with ThreadPoolExecutor(max_workers=1) as pool:   # independent jobs run together
-        types_job = pool.submit(type_table, types_vocab)
+        types_job = pool.submit(vocabulary_map)
         if scan_order:
             recs = number_records(stage(records, "records"), start, scan_order=True)
         else:
             recs = stage(number_records(records, start), "records")
-        types = types_job.result()
+        types, type_map = types_job.result()
     if strict:
         bad = check_types(recs, types).limit(1).collect()
         if bad:
@@ -167,6 +174,9 @@ def normalize_compendia(records: DataFrame, types_vocab: DataFrame,
         if empty:
             raise LoadError("clique has no identifiers; preferred name: "
                             f"{empty[0]['preferred_name']}")
+    # lenient: a record whose type is not in the vocabulary is left out whole
+    # (after numbering, so split ids stay exact), keeping the store consistent
+    recs = recs.join(type_map.select(F.col("type_curie").alias("type")), "type", "left_semi")
 
     members = explode_members(recs)
     defined = first_seen_labels(members)
@@ -193,7 +203,7 @@ def normalize_compendia(records: DataFrame, types_vocab: DataFrame,
 
     # the one big member -> id join, staged: memberships, taxon links and the
     # serving view all read it instead of repeating the shuffle
-    with ThreadPoolExecutor(max_workers=3) as pool:
+    with ThreadPoolExecutor(max_workers=2) as pool:
         member_job = pool.submit(stage, members.join(identifiers.select(
             "curie", F.col("id").alias("identifier_id"), F.col("label").alias("member_label")),
             "curie"), "members")
@@ -206,12 +216,7 @@ def normalize_compendia(records: DataFrame, types_vocab: DataFrame,
                    .join(id_map.withColumnRenamed("identifier_id", "taxa_identifier_id"),
                          "curie"),
             MAX_BROADCAST_TAXA)
-        type_job = pool.submit(
-            bounded_broadcast,
-            types.select(F.col("curie").alias("type_curie"), F.col("id").alias("type_id")),
-            MAX_BROADCAST_TYPES)
-        member_ids, taxon_ids, type_map = (member_job.result(), taxon_job.result(),
-                                           type_job.result())
+        member_ids, taxon_ids = member_job.result(), taxon_job.result()
     identifiers_cliques = member_ids.select("identifier_id", "clique_id")
 
     taxa_links = (member_ids.select("identifier_id", F.explode("t").alias("curie"))

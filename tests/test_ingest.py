@@ -159,3 +159,14 @@ def test_strict_mode_rejects_duplicate_primary_type_and_taxon_link(spark, tmp_pa
         release.load_release(spark, str(tmp_path / "b"), types_vocab=types, strict=True)
     lenient = release.load_release(spark, str(tmp_path / "b"), types_vocab=types)
     assert lenient.identifiers_taxa.count() == 1
+
+
+def test_lenient_mode_leaves_out_records_of_unknown_type(spark, tmp_path):
+    from conceptnorm.operators import audit
+    root = write_sample_release(str(tmp_path))
+    types = spark.createDataFrame([("biolink:Gene",), ("biolink:OrganismTaxon",)], "curie string")
+    store = release.load_release(spark, root, types_vocab=types)
+    assert store.cliques.count() == 5                     # the Protein record is left out
+    assert store.identifiers_cliques.count() == 7
+    report = {r.check_name: r.violations for r in audit.report(store).collect()}
+    assert set(report.values()) == {0}                    # no orphans
