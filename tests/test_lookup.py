@@ -147,3 +147,14 @@ def test_results_in_input_order(spark, sample):
     rows = lookup.preferred(sample, inputs).orderBy("input_ord", "preferred_curie").collect()
     # P:1 heads one clique and is a member of another: two rows per input
     assert [r.input_curie for r in rows] == ["P:1", "P:1", "G:1", "P:1", "P:1", "TX:1", "G:2"]
+
+
+def test_names_and_categories_of_a_primary_that_is_not_a_member(spark, ordering_store):
+    # CHEBI:1 heads clique 1 but is not in the membership table of this store
+    names = sorted(r.name for r in lookup.all_names(ordering_store, one(spark, "CHEBI:1")).collect())
+    assert names == ["Compound A", "Water"]
+    cats = [r.category for r in lookup.categories(ordering_store, one(spark, "CHEBI:1")).collect()]
+    assert cats == ["biolink:SmallMolecule"]
+    water = sorted(r.name for r in lookup.all_names(ordering_store,
+                                                    one(spark, "MESH:D014867")).collect())
+    assert water == ["Compound A", "Compound B", "Compound C", "Water"]
