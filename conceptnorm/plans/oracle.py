@@ -234,6 +234,7 @@ ORACLE["conflation_bulk"] = _with() + """
 SELECT a.member_curie AS query_curie, b.member_curie, b.is_canonical AS member_is_canonical,
        b.conflation_type AS conflation_type_id
 FROM cw a JOIN cw b ON a.cluster_id = b.cluster_id
+WHERE a.is_canonical = 1
 """
 
 ORACLE["conflation_one"] = _with() + f"""

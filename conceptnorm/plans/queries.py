@@ -175,8 +175,12 @@ def conflation_clusters_resolved(spark, sf_dir):
 
 
 def conflation_bulk(spark, sf_dir):
+    """E4 over every cluster, entered through its canonical member: each
+    member is returned once per cluster (linear in the members; entering
+    through every member would return all pairs within each cluster)."""
     v = vocabulary(spark, sf_dir)
-    return lookup.conflation(v, v.conflation_wide.select(F.col("member_curie").alias("curie")))
+    canonical = v.conflation_wide.where(F.col("is_canonical") == 1)
+    return lookup.conflation(v, canonical.select(F.col("member_curie").alias("curie")))
 
 
 def conflation_one(spark, sf_dir):
