@@ -273,19 +273,17 @@ SELECT x.curie, i.label FROM (
 LEFT JOIN ident i ON i.curie = x.curie
 """
 
-_TARGET_CLIQUES = """
-tc AS (
-  SELECT i.curie AS input_curie, m.clique_id FROM ident i JOIN ms m ON m.curie = i.curie
-  UNION SELECT i.curie, c.clique_id FROM ident i JOIN clq c ON c.primary_curie = i.curie
-)"""
-
-
-ORACLE["all_names"] = _with(_TARGET_CLIQUES) + """
+ORACLE["all_names"] = _with("""
+tgt AS (SELECT i.curie, i.label FROM ident i WHERE i.curie IN (SELECT primary_curie FROM clq))""", """
+tcp AS (
+  SELECT t.curie AS input_curie, m.clique_id FROM tgt t JOIN ms m ON m.curie = t.curie
+  UNION SELECT t.curie, c.clique_id FROM tgt t JOIN clq c ON c.primary_curie = t.curie
+)""") + """
 SELECT DISTINCT curie, name FROM (
-  SELECT curie, label AS name FROM ident
-  UNION ALL SELECT tc.input_curie, c.preferred_name FROM tc JOIN clq c ON c.clique_id = tc.clique_id
-  UNION ALL SELECT tc.input_curie, il.label FROM tc
-    JOIN ms m ON m.clique_id = tc.clique_id JOIN ident il ON il.curie = m.curie
+  SELECT curie, label AS name FROM tgt
+  UNION ALL SELECT tcp.input_curie, c.preferred_name FROM tcp JOIN clq c ON c.clique_id = tcp.clique_id
+  UNION ALL SELECT tcp.input_curie, il.label FROM tcp
+    JOIN ms m ON m.clique_id = tcp.clique_id JOIN ident il ON il.curie = m.curie
 ) WHERE name IS NOT NULL AND trim(name, ' ') <> ''
 """
 

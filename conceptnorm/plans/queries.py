@@ -222,8 +222,12 @@ def label(spark, sf_dir):
 
 
 def all_names(spark, sf_dir):
+    """E10 for every clique's primary identifier (each clique's names reach
+    its primary once; asking for every member would give every member every
+    name of its cliques, i.e. all pairs within a clique)."""
     v = vocabulary(spark, sf_dir)
-    return lookup.all_names(v, _all_identifiers(v))
+    primaries = v.cliques_wide.select(F.col("primary_curie").alias("curie")).distinct()
+    return lookup.all_names(v, primaries)
 
 
 def categories(spark, sf_dir):
