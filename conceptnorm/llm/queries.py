@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from conceptnorm.llm import decontaminate
+from conceptnorm.llm import decontaminate, near_dup, quality, secret_scan
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,4 +20,29 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         decontaminate.contaminated(F.col("n_hit"), F.col("n_words")).alias("contaminated"))
 
 
-QUERIES = {"op1_decontamination": op1_decontamination}
+def op7_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_dup.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    trusted = table(spark, sf_dir, "labels").filter("quality = 1").select("doc_id")
+    return quality.scores(table(spark, sf_dir, "documents"), trusted)
+
+
+def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found, _ = secret_scan.scan(table(spark, sf_dir, "documents"))
+    spans = F.col("spans")
+    base = F.filter(spans, lambda s: s["kind_no"] < len(secret_scan.BASE))
+
+    def shown(x):
+        return F.array_join(F.transform(x, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    def count(i, kind):
+        return F.size(F.filter(spans, lambda s: s["kind_no"] == i)).cast("bigint").alias(f"n_{kind}")
+
+    counts = [count(i, r.kind) for i, r in enumerate(secret_scan.BASE)]
+    return found.select("doc_id", *counts, F.sha2(shown(base), 256).alias("base_sha256"), shown(spans).alias("spans"))
+
+
+QUERIES = {f.__name__: f for f in (op1_decontamination, op4_quality_rules, op7_near_dup, op10_secret_scan)}
