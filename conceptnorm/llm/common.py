@@ -2,21 +2,25 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+_LOCAL: dict[str, str] = {}
+
+
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that the cluster shares (``spark.checkpoint.dir``). A session on a local
-    master without that setting gets one under the warehouse; any other session raises."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder.rstrip("/")
-    if not spark.conf.get("spark.master", "").startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
-    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_staged"
+    """The folder that the cluster shares: ``spark.checkpoint.dir``, or the context's checkpoint
+    folder. Without either, a local master gets a temporary one; any other session raises."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not folder:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        folder = _LOCAL.setdefault("folder", tempfile.mkdtemp(prefix="staged-"))
+    return folder.rstrip("/")
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:

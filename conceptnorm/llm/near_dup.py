@@ -8,11 +8,12 @@ by the pair of band i of the first collection and band j of the second: half * h
 
 A pair key can only be shared if both of its bands are, so bands that one set alone holds are
 dropped first. Equal sets are one class, so copies cost nothing further. Candidates are compared
-on their full sets. Within a table's bucket no list of all pairs is made: members are compared with
-one hub, linked ones fall into one component, and only members that are still in different
-components are compared with the next hubs, until every bucket is settled. That gives the
-components of all links between members of a bucket. Components come from alternating star
-contraction on staged edges; nothing of that is collected.
+on their full sets. Within a table's bucket no list of all pairs is made: each class is compared
+with one hub first, the least that it meets, and linked ones fall into one component. Then only
+members that are still in different components are compared with the bucket's first hubs, the next
+ones, and so on, until every bucket is settled. That gives the components of all links between
+members of a bucket. Components come from pointer jumping and alternating star contraction on
+staged edges; nothing of that is collected.
 
 Defined results: the set of a text is its distinct n-word shingles; of a text with fewer words,
 the whole sequence as one; of a null or wordless text, empty, and such a document is linked with
@@ -101,7 +102,7 @@ def star_components(edges: DataFrame) -> DataFrame:
     while True:
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-        large = both.join(least, "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+        large = both.join(least, "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         step = large.join(least, "a")
         edges = stage(step.select("a", F.col("m").alias("b")).unionByName(
@@ -112,6 +113,17 @@ def star_components(edges: DataFrame) -> DataFrame:
         last = now
 
 
+def forest_roots(parents: DataFrame) -> DataFrame:
+    """(node, root) for a forest (a, b) in which each a has one parent b < a, by pointer jumping."""
+    now = stage(parents.select("a", "b"), "forest")
+    while True:
+        up = now.select(F.col("a").alias("b"), F.col("b").alias("c"))
+        now = stage(now.join(up, "b", "left").select("a", F.coalesce("c", "b").alias("b"), F.col("c").isNotNull().alias("moved")), "forest")
+        if not now.filter("moved").head(1):
+            return now.select(F.col("a").alias("node"), F.col("b").alias("root"))
+        now = now.drop("moved")
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 2,
                     percent: int = 80, half: int = HALF, rows: int = ROWS, seed: int = SEED) -> DataFrame:
     """One row per document: doc_id, text_hash (xxhash64 of the text), n_shingles, component_id (the
@@ -125,85 +137,105 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         "key1 bigint, key2 bigint, bands array<bigint>"), "sketch")
 
     # classes of equal sets, named by their least id
-    full = sketch.filter("n_shingles > 0")
-    classes = stage(full.groupBy("key1", "key2", "n_shingles").agg(
+    full = sketch.filter("n_shingles > 0").drop("bands")
+    classes = stage(sketch.filter("n_shingles > 0").groupBy("key1", "key2", "n_shingles").agg(
         F.min(F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "text_hash"))).alias("least"),
         F.first("bands").alias("bands")).select(
         "key1", "key2", "n_shingles", F.col("least.doc_id").alias("node"), F.col("least.text_hash").alias("node_hash"),
         "bands"), "classes")
-    members = full.drop("bands").join(classes.drop("bands", "node_hash"), ["key1", "key2", "n_shingles"])
-
-    # rows that share an id but not a set
-    twice = members.filter("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("node").alias("b"), F.max("node").alias("c"))
-    twice = twice.select(F.explode(F.array(F.struct(F.col("doc_id").alias("a"), "b"), F.struct(F.col("doc_id").alias("a"), F.col("c").alias("b")))).alias("x")) \
-        .select("x.*").filter("a <> b") if _repeated(sketch) else None
-
-    buckets = _buckets(classes, half)
-    found = _linked(docs, classes, buckets, shingle, percent, twice)
-    out = members.join(found, "node", "left").select(
-        "doc_id", "text_hash", "n_shingles", F.coalesce("root", "node").alias("component_id"))
+    found = _linked(docs, classes, _tables(classes, half), shingle, percent, _shared_ids(full, classes))
+    names = classes.drop("bands", "node_hash").join(found, "node", "left").select(
+        "key1", "key2", "n_shingles", F.coalesce("root", "node").alias("component_id"))
+    out = full.join(names, ["key1", "key2", "n_shingles"]).select("doc_id", "text_hash", "n_shingles", "component_id")
     empty = sketch.filter("n_shingles = 0").select("doc_id", "text_hash", "n_shingles", F.col("doc_id").alias("component_id"))
     return out.unionByName(empty).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.col("component_id").isNull()))
 
 
-def _repeated(sketch: DataFrame) -> bool:
-    return bool(sketch.filter("doc_id IS NOT NULL").groupBy("doc_id").count().filter("count > 1").head(1))
+def _shared_ids(full: DataFrame, classes: DataFrame) -> DataFrame | None:
+    """Edges between the classes of rows that share an id but not a set, if there are such rows."""
+    own = full.filter("doc_id IS NOT NULL")
+    if not own.groupBy("doc_id").count().filter("count > 1").head(1):
+        return None
+    own = own.join(classes.select("key1", "key2", "n_shingles", "node"), ["key1", "key2", "n_shingles"])
+    return stage(own.select(F.col("doc_id").alias("a"), F.col("node").alias("b")).filter("a <> b").distinct(), "shared")
 
 
-def _buckets(classes: DataFrame, half: int) -> DataFrame:
-    """(bucket, node, n_shingles) of all tables' buckets that hold more than one class."""
-    nodes = classes.filter("node IS NOT NULL")
-    band = nodes.select("node", "n_shingles", F.posexplode("bands").alias("i", "band"))
+def _tables(classes: DataFrame, half: int) -> DataFrame:
+    """(bucket, node, n_shingles): the pair keys of both bands that are not one class's alone."""
+    band = classes.filter("node IS NOT NULL").select("node", "n_shingles", F.posexplode("bands").alias("i", "band"))
     shared = band.groupBy("i", "band").agg(F.count("*").alias("n")).filter("n > 1").select("i", "band")
     sides = band.join(shared, ["i", "band"], "left_semi").groupBy("node", "n_shingles").agg(
         F.collect_list(F.when(F.col("i") < half, F.struct("i", "band"))).alias("u"),      # half at most
         F.collect_list(F.when(F.col("i") >= half, F.struct("i", "band"))).alias("v"))
-    keys = sides.select("node", "n_shingles", F.explode("u").alias("x"), "v").select(
+    return stage(sides.select("node", "n_shingles", F.explode("u").alias("x"), "v").select(
         F.explode("v").alias("y"), "x", "node", "n_shingles").select(
-        F.xxhash64("x.i", "x.band", "y.i", "y.band").alias("bucket"), "node", "n_shingles")
-    keys = stage(keys, "tables")
-    several = keys.groupBy("bucket").agg(F.min("node").alias("m"), F.max("node").alias("n")).filter("m <> n").select("bucket")
-    return stage(keys.join(several, "bucket", "left_semi"), "buckets")
+        F.xxhash64("x.i", "x.band", "y.i", "y.band").alias("bucket"), "node", "n_shingles"), "tables")
+
+
+def _close(percent: int, a: str, b: str):
+    """Whether sets of these sizes can be similar enough."""
+    return 100 * F.least(a, b) >= percent * F.greatest(a, b)
+
 
+def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) whose full sets are similar enough."""
+    both = pairs.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("x")), "a") \
+        .join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("y")), "b")
+    same = F.size(F.array_intersect("x", "y"))
+    both = both.withColumn("same", same).filter(100 * F.col("same") >= percent * (F.size("x") + F.size("y") - F.col("same")))
+    return both.select(*pairs.columns)
 
-def _linked(docs: DataFrame, classes: DataFrame, buckets: DataFrame, shingle: int, percent: int,
+
+def _linked(docs: DataFrame, classes: DataFrame, tables: DataFrame, shingle: int, percent: int,
             more: DataFrame | None) -> DataFrame:
-    """(node, root) of the components of all links between classes of a bucket."""
-    named = small(buckets.select("node").distinct().join(
-        classes.select("node", "node_hash").filter("node IS NOT NULL"), "node")
-        .select(F.col("node").alias("doc_id"), F.col("node_hash").alias("text_hash")).distinct(), BROADCAST_IDS)
+    """(node, root) of the components of all links between classes of a bucket, and the edges
+    ``more``. Nodes that aren't there are roots of their own."""
+    # first each class with one hub: the least that any of its buckets has
+    hubs = tables.groupBy("bucket").agg(F.min("node").alias("hub"), F.max("node").alias("last")).filter("hub <> last").drop("last")
+    sizes = tables.select(F.col("node").alias("b"), F.col("n_shingles").alias("n_b")).distinct()
+    first = tables.join(hubs, "bucket").filter("hub <= node").groupBy("node", "n_shingles").agg(F.min("hub").alias("b"))
+    first = stage(first.join(sizes, "b").filter(_close(percent, "n_shingles", "n_b")).select(F.col("node").alias("a"), "b").distinct(), "first")
+    named = small(tables.join(hubs, "bucket", "left_semi").select("node").distinct()
+                  .join(classes.select("node", "node_hash"), "node")
+                  .select(F.col("node").alias("doc_id"), F.col("node_hash").alias("text_hash")).distinct(), BROADCAST_IDS)
     sets = stage(docs.join(named, ["doc_id", "text_hash"], "left_semi").select("doc_id", "text").mapInArrow(
         _sets(shingle), f"node {docs.schema['doc_id'].dataType.simpleString()}, shingles array<bigint>"), "sets")
-    place = Window.partitionBy("bucket").orderBy("node")
-    ranked = stage(buckets.withColumn("place", F.row_number().over(place)), "ranked")
-    stars, low, high = None, 1, 1 + FIRST_HUBS
+    roots = forest_roots(_verified(first.filter("a <> b"), sets, percent).distinct())
     if more is not None:
-        stars = star_components(more)
+        roots = star_components(more.unionByName(roots.select(F.col("node").alias("a"), F.col("root").alias("b"))))
+
+    # then, in buckets whose members aren't in one component yet, members of different ones
+    live = _unsettled(tables.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")))
+    if not live.head(1):
+        return roots
+    live = stage(live.withColumn("place", F.row_number().over(Window.partitionBy("bucket").orderBy("node", "n_shingles"))), "ranked")
+    links, low, high = None, 1, 1 + FIRST_HUBS
     while True:
-        live = ranked.withColumn("root", F.col("node"))
-        if stars is not None:                    # buckets whose members are not yet all in one component
-            live = ranked.join(stars, "node", "left").withColumn("root", F.coalesce("root", "node"))
-        open_ = live.groupBy("bucket").agg(F.min("root").alias("m"), F.max("root").alias("n"), F.max("place").alias("p")) \
-            .filter((F.col("m") != F.col("n")) & (F.col("p") > low)).select("bucket")
-        live = stage(live.join(open_, "bucket", "left_semi"), "live")
-        if not live.head(1):
-            break
-        hubs = live.filter((F.col("place") >= low) & (F.col("place") < high)).select(
+        near = live.filter((F.col("place") >= low) & (F.col("place") < high)).select(
             "bucket", *(F.col(c).alias(f"hub_{c}") for c in ("node", "root", "place", "n_shingles")))
-        pairs = live.join(hubs, "bucket").filter(
-            (F.col("place") > F.col("hub_place")) & (F.col("root") != F.col("hub_root"))
-            & (100 * F.least("n_shingles", "hub_n_shingles") >= percent * F.greatest("n_shingles", "hub_n_shingles")))
-        pairs = pairs.select(F.col("node").alias("a"), F.col("hub_node").alias("b")).distinct()
-        both = pairs.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("x")), "a") \
-            .join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("y")), "b")
-        same = F.size(F.array_intersect("x", "y"))
-        links = stage(both.select("a", "b", same.alias("same"), (F.size("x") + F.size("y") - same).alias("all"))
-                      .filter(100 * F.col("same") >= percent * F.col("all")).select("a", "b").distinct(), "links")
-        if links.head(1):
-            stars = star_components(links if stars is None else links.unionByName(
-                stars.select(F.col("node").alias("a"), F.col("root").alias("b"))))
+        pairs = live.join(near, "bucket").filter((F.col("place") > F.col("hub_place")) & (F.col("root") != F.col("hub_root"))
+                                                 & _close(percent, "n_shingles", "hub_n_shingles"))
+        pairs = pairs.select(F.col("node").alias("a"), F.col("hub_node").alias("b"), F.col("root").alias("root_a"),
+                             F.col("hub_root").alias("root_b")).distinct()
+        new = stage(_verified(pairs, sets, percent).select(F.col("root_a").alias("a"), F.col("root_b").alias("b")).distinct(), "links")
+        if new.head(1):
+            merged = star_components(new)
+            links = new if links is None else links.unionByName(new)
+            live = live.join(merged.select(F.col("node").alias("root"), F.col("root").alias("to")), "root", "left") \
+                .withColumn("root", F.coalesce("to", "root")).drop("to")
         low, high = high, high * MORE_HUBS
-    return stars if stars is not None else classes.select("node", F.col("node").alias("root")).limit(0)
+        live = stage(_unsettled(live, F.max("place") > low), "live")
+        if not live.head(1):
+            break
+    if links is None:
+        return roots
+    return star_components(links.unionByName(roots.select(F.col("node").alias("a"), F.col("root").alias("b"))))
+
+
+def _unsettled(live: DataFrame, also=None) -> DataFrame:
+    """Rows of the buckets whose members are in several components."""
+    open_ = live.groupBy("bucket").agg((F.min("root") != F.max("root")).alias("open"), (F.lit(True) if also is None else also).alias("also"))
+    return live.join(open_.filter("open AND also").select("bucket"), "bucket", "left_semi")
 
 
 def one_of_each(docs: DataFrame, **how) -> DataFrame:

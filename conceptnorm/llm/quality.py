@@ -1,7 +1,8 @@
 """Quality rules: a log-likelihood ratio of hashed n-grams, and counts on words and lines.
 
-Words and pairs of neighbouring words are hashed into ``BUCKETS`` buckets. Counts over the trusted
-documents and over the whole corpus give two multinomials (with one added to each bucket); a
+Words and pairs of neighbouring words are hashed into ``BUCKETS`` buckets. Counts over the whole
+corpus (with one added to each bucket) give a multinomial; counts over the trusted documents, with
+``BUCKETS`` more spread as the corpus is, give another, so few trusted documents say little. A
 document's ratio is the sum over its grams of log(trusted / corpus), divided by the number of
 grams. A document is kept if it passes the base rules and its ratio is ``LEAST`` or more: the
 threshold is fixed, there is no draw. Counting is one aggregation to ``BUCKETS`` rows, scoring a
@@ -58,15 +59,13 @@ def ratios(docs: DataFrame, trusted: DataFrame) -> list[float]:
     grams = _grams(docs.select("doc_id", "text").join(good, "doc_id", "left").select("text", "good"))
     counts = grams.select("good", F.explode(F.transform(F.concat("h1", "h2"), _bucket)).alias("bucket")) \
         .groupBy("bucket").agg(F.count("*").alias("corpus"), F.count("good").alias("trusted"))
-    corpus, target = [1] * BUCKETS, [1] * BUCKETS
     rows = counts.collect()                      # BUCKETS rows at most
-    if not any(r["trusted"] for r in rows):
-        return [0.0] * BUCKETS
+    corpus, target = [1] * BUCKETS, [0] * BUCKETS
     for r in rows:
         corpus[r["bucket"]] += r["corpus"]
-        target[r["bucket"]] += r["trusted"]
-    shift = math.log(sum(corpus) / sum(target))
-    return [math.log(t / c) + shift for t, c in zip(target, corpus, strict=True)]
+        target[r["bucket"]] = r["trusted"]
+    all_, good = sum(corpus), sum(target)
+    return [math.log((t * all_ / c + BUCKETS) / (good + BUCKETS)) for t, c in zip(target, corpus, strict=True)]
 
 
 def scores(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col: str = "text",
