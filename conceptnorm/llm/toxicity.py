@@ -2,8 +2,8 @@
 
 One dictionary is made of toxic text and one of ordinary text. A document is cut into windows of
 ``WINDOW`` words; each is compressed with either dictionary, and the bytes that the toxic one saves are its
-margin. The document's score is a logistic function of how many of its windows reach each margin
-and of how many there are. Its weights, and the margin from which a window counts as toxic, are
+margin. The document's score is a logistic function of how many of its windows, and what share of
+them, reach each margin. Its weights, and the margin from which a window counts as toxic, are
 calibrated.
 
 zstandard's own trainer keeps what is frequent, which is much the same in both classes. So each
@@ -59,7 +59,7 @@ class Model:
     lead: bytes = b""                # stands before each window
     tail: bytes = b""                # and after it
     margin: int = 1                  # from which on a window counts as toxic
-    weights: tuple[float, ...] = (0.0,) * (MARGINS + 2)
+    weights: tuple[float, ...] = (0.0,) * (2 * MARGINS + 1)
 
     def score(self, counts: np.ndarray) -> float:
         z = float(features(counts[None, :])[0] @ np.array(self.weights))
@@ -67,9 +67,11 @@ class Model:
 
 
 def features(counts: np.ndarray) -> np.ndarray:
-    """1, the logarithm of the number of windows, and of those that reach each margin."""
-    reach = np.cumsum(counts[:, ::-1], axis=1)[:, ::-1]
-    return np.concatenate([np.ones((len(counts), 1)), np.log1p(reach)], axis=1)
+    """1, and logarithms of how many windows reach each margin, and what share in percent: all 0
+    without windows."""
+    reach = np.cumsum(counts[:, ::-1], axis=1)[:, ::-1].astype(float)
+    share = 100 * reach / np.maximum(reach[:, :1], 1)
+    return np.concatenate([np.ones((len(counts), 1)), np.log1p(reach[:, 1:]), np.log1p(share[:, 1:])], axis=1)
 
 
 def _compressor(content: bytes) -> zstandard.ZstdCompressor:
