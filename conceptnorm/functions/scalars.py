@@ -40,6 +40,11 @@ def nocase_order(c: Column | str) -> list[Column]:
     return [ascii_lower(c), col(c)]
 
 
+def stripped(c: Column | str) -> Column:
+    """A string without the whitespace at its ends."""
+    return F.regexp_replace(col(c), f"^[{WS_CLASS}]+|[{WS_CLASS}]+$", "")
+
+
 def is_curie(c: Column | str) -> Column:
     """CURIE-shaped string."""
     return col(c).rlike(CURIE_PATTERN)

@@ -5,45 +5,77 @@ from __future__ import annotations
 
 from dataclasses import replace
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from conceptnorm.operators.conflate import normalize_conflation
-from conceptnorm.operators.keys import max_id
-from conceptnorm.operators.normalize import ExistingStore, normalize_compendia
-from conceptnorm.plans.vocabulary import Vocabulary
-
-
-def append_compendia(store: Vocabulary, records: DataFrame, strict: bool = False) -> Vocabulary:
-    """A10: the store with ``records`` appended.
-
-    Existing identifiers keep id and label; new identifiers and the new
-    cliques get ids after the store's largest (description ids follow them). Appending a
-    record that is already loaded duplicates (primary, type): run the D1
-    audit on the result before writing it.
-    """
-    existing = ExistingStore(identifiers=store.identifiers,
-                             max_clique_id=max_id(store.cliques))
-    new = normalize_compendia(records, store.types.select("curie"), strict=strict,
-                              existing=existing)
-    return replace(
-        store,
-        identifiers=new.identifiers,
-        cliques=store.cliques.unionByName(new.cliques),
-        descriptions=store.descriptions.unionByName(new.descriptions),
-        identifiers_descriptions=store.identifiers_descriptions.unionByName(
-            new.identifiers_descriptions),
-        identifiers_cliques=store.identifiers_cliques.unionByName(new.identifiers_cliques),
-        identifiers_taxa=store.identifiers_taxa.unionByName(new.identifiers_taxa).dropDuplicates(),
-        membership_wide=store.membership_wide.unionByName(new.membership_wide),
-        cliques_wide=store.cliques_wide.unionByName(new.cliques_wide),
-    )
-
-
-def rebuild_conflation(store: Vocabulary, lines: DataFrame, strict: bool = False) -> Vocabulary:
+from conceptnorm.operators.keys import max_id, stage
+from conceptnorm.operators.normalize import CompendiaTables, ExistingStore, normalize_compendia
+from conceptnorm.plans.vocabulary import BLOOM_COLUMNS, Vocabulary
+
+APPENDED = ("identifiers", "cliques", "descriptions", "identifiers_descriptions", "identifiers_cliques",
+            "identifiers_taxa", "membership_wide", "cliques_wide")
+CONFLATION = ("conflation_clusters", "conflation_members", "conflation_wide")
+
+
+def new_rows(store: Vocabulary, records: DataFrame, strict: bool = True,
+             scan_order: bool = False) -> tuple[dict[str, DataFrame], CompendiaTables]:
+    """The rows that ``records`` add to each table of a store. Known
+    identifiers keep id and label; new identifiers, cliques and descriptions
+    get ids after the store's largest; a taxon link is new if the store lacks
+    it. Appending a loaded record again duplicates (primary, type): run the
+    D1 audit on the result."""
+    last = max_id(store.identifiers)
+    existing = ExistingStore(identifiers=store.identifiers, max_clique_id=max_id(store.cliques),
+                             max_description_id=max_id(store.descriptions))
+    new = normalize_compendia(records, store.types.select("curie"), strict=strict, existing=existing,
+                              scan_order=scan_order, materialize=False)
+    rows = {name: getattr(new, name) for name in APPENDED}
+    rows["identifiers"] = new.identifiers.where(new.identifiers["id"] > last)
+    rows["identifiers_taxa"] = new.identifiers_taxa.join(
+        store.identifiers_taxa, ["identifier_id", "taxa_identifier_id"], "left_anti")
+    return rows, new
+
+
+def append_compendia(store: Vocabulary, records: DataFrame, strict: bool = True) -> Vocabulary:
+    """A10: the store with ``records`` appended, as frames."""
+    rows, new = new_rows(store, records, strict)
+    out = replace(store, **{name: getattr(store, name).unionByName(df) for name, df in rows.items()})
+    out.rejected = new.rejected
+    return out
+
+
+def append_to_store(spark: SparkSession, path: str, records: DataFrame, strict: bool = True) -> Vocabulary:
+    """A10 on disk: only the new rows are written, into the written store at
+    ``path``. They are staged first, so no table is read while it grows."""
+    rows, new = new_rows(Vocabulary.load(spark, path), records, strict)
+    staged = {name: stage(df, f"append-{name}") for name, df in rows.items()}
+    for name, df in staged.items():
+        writer = df.write.mode("append")
+        if name in BLOOM_COLUMNS:
+            writer = writer.option(f"parquet.bloom.filter.enabled#{BLOOM_COLUMNS[name]}", "true")
+        writer.parquet(f"{path.rstrip('/')}/{name}")
+    out = Vocabulary.load(spark, path)
+    out.rejected = new.rejected
+    return out
+
+
+def rebuild_conflation(store: Vocabulary, lines: DataFrame, strict: bool = True,
+                       scan_order: bool = False) -> Vocabulary:
     """Recompute both conflation tables against the stored identifiers;
-    every other table is untouched. Write with ``Vocabulary.write`` (the two
-    tables are replaced, the rest rewritten unchanged) or write just these."""
-    conf = normalize_conflation(lines, store.identifiers, strict=strict)
-    return replace(store, conflation_clusters=conf.conflation_clusters,
-                   conflation_members=conf.conflation_members,
-                   conflation_wide=conf.conflation_wide)
+    every other table is untouched."""
+    conf = normalize_conflation(lines, store.identifiers, strict=strict, scan_order=scan_order)
+    out = replace(store, **{name: getattr(conf, name) for name in CONFLATION})
+    out.rejected = conf.rejected
+    return out
+
+
+def replace_conflation(spark: SparkSession, path: str, lines: DataFrame, strict: bool = True,
+                       scan_order: bool = False) -> Vocabulary:
+    """A11 on disk: overwrite the conflation tables (and their view) of the
+    written store at ``path``; no other file is touched."""
+    rebuilt = rebuild_conflation(Vocabulary.load(spark, path), lines, strict, scan_order)
+    for name, df in [(name, stage(getattr(rebuilt, name), name)) for name in CONFLATION]:
+        df.write.mode("overwrite").parquet(f"{path.rstrip('/')}/{name}")
+    out = Vocabulary.load(spark, path)
+    out.rejected = rebuilt.rejected
+    return out

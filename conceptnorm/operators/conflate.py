@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from conceptnorm.functions.scalars import has_duplicates, is_curie
+from conceptnorm.functions.scalars import has_duplicates, is_curie, stripped
 from conceptnorm.operators.keys import dense_ids, dense_ids_by_split, stage
 from conceptnorm.operators.skew import top_k_per_group
 from conceptnorm.schema import COMPENDIA_COLUMNS, CONFLATION_TYPE_IDS, ORDER_KEY
@@ -28,7 +28,7 @@ class ConflationError(ValueError):
 
 def _as_json_list(value: Column) -> Column:
     """Python-literal tuples ``('a', 'b',)`` -> JSON-style lists."""
-    v = F.trim(value)
+    v = stripped(value)
     v = F.regexp_replace(v, r"^\((.*)\)$", "[$1]")
     return F.regexp_replace(v, r",\s*\]$", "]")
 
@@ -38,7 +38,7 @@ def parse_lines(lines: DataFrame) -> DataFrame:
 
     Adds ``members`` (array<string>) and ``error`` (NULL when valid).
     """
-    trimmed = lines.withColumn("value", F.trim("value")).where(F.col("value") != "")
+    trimmed = lines.withColumn("value", stripped("value")).where(F.col("value") != "")
     as_list = _as_json_list(F.col("value"))
     variants = F.from_json(as_list, "array<variant>")
     parsed = trimmed.withColumn("_v", variants)
@@ -75,7 +75,7 @@ def cluster_members(parsed: DataFrame, scan_order: bool = False) -> DataFrame:
     Repeated members are dropped with the canonical kept first.
     """
     clusters = number_lines(parsed, scan_order)
-    return (clusters.select("cluster_id", "conflation_type", "value",
+    return (clusters.select("cluster_id", "conflation_type", "file_name", "row_in_split", "value",
                             F.posexplode(F.array_distinct("members")).alias("pos", "curie"))
                     .withColumn("is_canonical", (F.col("pos") == 0).cast("int")))
 
@@ -88,6 +88,8 @@ class ConflationTables:
     conflation_wide: DataFrame
     # C5 audit of clusters with members absent from identifiers
     missing: DataFrame
+    # lines and clusters that a lenient load has left out
+    rejected: DataFrame
 
 
 def resolve(members: DataFrame, identifiers: DataFrame) -> DataFrame:
@@ -109,7 +111,22 @@ def missing_report(resolved: DataFrame) -> DataFrame:
     return stats.join(first, "cluster_id")
 
 
-def prepare_conflation(lines: DataFrame, strict: bool = False,
+def rejected_lines(lines: DataFrame) -> DataFrame:
+    """What a lenient load leaves out when it parses: (file_name, line_key, reason, value)."""
+    return (parse_lines(lines).where(F.col("error").isNotNull())
+            .select("file_name", F.col("row_in_split").alias("line_key"), F.col("error").alias("reason"), "value"))
+
+
+def rejected_clusters(resolved: DataFrame, missing: DataFrame) -> DataFrame:
+    """Clusters left out because of members absent from the identifiers."""
+    first = resolved.where(F.col("pos") == 0).select("cluster_id", "file_name", "row_in_split", "value")
+    reason = F.concat(F.when(F.col("canonical_missing"), F.lit("canonical CURIE missing; ")).otherwise(F.lit("")),
+                      F.lit("missing: "), F.col("n_missing").cast("string"))
+    return first.join(missing, "cluster_id").select(
+        "file_name", F.col("row_in_split").alias("line_key"), reason.alias("reason"), "value")
+
+
+def prepare_conflation(lines: DataFrame, strict: bool = True,
                        scan_order: bool = False) -> DataFrame:
     """C1-C3 without identifiers: parsed, numbered, exploded members, staged.
     Runs while the compendia are still being normalized."""
@@ -122,7 +139,7 @@ def prepare_conflation(lines: DataFrame, strict: bool = False,
 
 
 def normalize_conflation(lines: DataFrame, identifiers: DataFrame,
-                         strict: bool = False, scan_order: bool = False,
+                         strict: bool = True, scan_order: bool = False,
                          prepared: DataFrame | None = None) -> ConflationTables:
     members = prepared if prepared is not None else prepare_conflation(lines, strict, scan_order)
     resolved = stage(resolve(members, identifiers), "clusters")
@@ -141,7 +158,8 @@ def normalize_conflation(lines: DataFrame, identifiers: DataFrame,
     members = good.select("cluster_id", F.col("member_id").alias("identifier_id"), "is_canonical")
     wide = good.select("cluster_id", "conflation_type", F.col("curie").alias("member_curie"),
                        "member_id", "pos", "is_canonical")
-    return ConflationTables(clusters, members, wide, missing)
+    rejected = rejected_lines(lines).unionByName(rejected_clusters(resolved, missing))
+    return ConflationTables(clusters, members, wide, missing, rejected)
 
 
 # --------------------------------------------------------------------------

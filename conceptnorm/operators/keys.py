@@ -11,11 +11,12 @@ counts -- one row per partition -- go through a global window.
 from __future__ import annotations
 
 from contextlib import contextmanager
+from contextvars import ContextVar, copy_context
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from conceptnorm.session import configure, scratch_path, shuffle_partitions
+from conceptnorm.session import configure, scratch_path
 
 # monotonically_increasing_id() = partition index << 33 | row within partition
 _ROW_BITS = 33
@@ -32,14 +33,15 @@ def dense_ids(df: DataFrame, order_cols: list[str | Column], id_col: str = "id",
     """
     spark = df.sparkSession
     configure(spark)
-    n = num_partitions or shuffle_partitions(spark)
-    ranged = stage(df.repartitionByRange(n, *order_cols)
+    # without a number given, the planner sizes the ranges by their data
+    parts = [num_partitions] if num_partitions else []
+    ranged = stage(df.repartitionByRange(*parts, *order_cols)
                      .sortWithinPartitions(*order_cols)
                      .withColumn("_mid", F.monotonically_increasing_id()), "ids")
     pid = F.shiftright(F.col("_mid"), _ROW_BITS)
     row = F.col("_mid").bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
     counts = ranged.groupBy(pid.alias("_pid")).agg(F.count(F.lit(1)).alias("_n"))
-    # at most `n` rows: the running offset of each partition
+    # one row per partition: its running offset
     offsets = counts.select(
         "_pid",
         F.coalesce(F.sum("_n").over(Window.orderBy("_pid").rowsBetween(
@@ -49,7 +51,9 @@ def dense_ids(df: DataFrame, order_cols: list[str | Column], id_col: str = "id",
                   .drop("_mid", "_pid", "_off"))
 
 
-_SCOPES: list[list[str]] = []
+# the paths staged for whatever is being built in this context: builds in
+# different threads don't see each other's
+_SCOPE: ContextVar[list[str] | None] = ContextVar("staging_scope", default=None)
 
 
 @contextmanager
@@ -57,11 +61,16 @@ def staging_scope():
     """Collect the paths staged inside the block (for ``drop_paths`` once
     whatever reads them has been written out)."""
     paths: list[str] = []
-    _SCOPES.append(paths)
+    token = _SCOPE.set(paths)
     try:
         yield paths
     finally:
-        _SCOPES.remove(paths)
+        _SCOPE.reset(token)
+
+
+def submit(pool, fn, *args, **kwargs):
+    """``pool.submit`` that keeps the caller's staging scope."""
+    return pool.submit(copy_context().run, fn, *args, **kwargs)
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
@@ -70,34 +79,41 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     nothing nondeterministic), and later reads prune columns, nested ones too."""
     path = scratch_path(df.sparkSession, name)
     df.write.mode("overwrite").parquet(path)
-    for scope in list(_SCOPES):
+    scope = _SCOPE.get()
+    if scope is not None:
         scope.append(path)
     return df.sparkSession.read.parquet(path)
 
 
 def dense_ids_by_split(df: DataFrame, id_col: str = "id", start_after: int = 0,
-                       max_broadcast_splits: int = 2_000_000) -> DataFrame:
-    """Dense ids in scan order for rows read straight from files, with no
-    shuffle of the rows.
-
-    Requires the ``ORDER_KEY`` columns as the release readers produce them:
-    ``row_in_split`` is ``monotonically_increasing_id()`` taken on the scan,
-    so the rows of one split are a contiguous run of ids inside one task.
-    One small aggregation gives each split its row count and first row id;
-    a running sum over the splits (one row per split) gives its offset.
+                       whole_splits: bool = False) -> DataFrame:
+    """Dense ids in scan order for rows read from files.
+
+    Takes the ``ORDER_KEY`` columns as the release readers produce them. A
+    row's id is its rank within its split plus the rows of all splits before.
+    Ranks need the rows of a split together, a bounded group (a split is at
+    most ``spark.sql.files.maxPartitionBytes`` of a file).
+
+    ``whole_splits``: no row of the scan has been dropped, so the rows of a
+    split are a contiguous run of ``monotonically_increasing_id()`` values
+    and the rank is a difference, without a shuffle of the rows.
     """
     split = ["file_ord", "file_path", "split_start"]
     stats = (df.groupBy(*split)
                .agg(F.count(F.lit(1)).alias("_n"), F.min("row_in_split").alias("_first")))
+    # one row per split
     offsets = stats.select(
         *split, "_first",
         F.coalesce(F.sum("_n").over(Window.orderBy(*split).rowsBetween(
             Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
-    offsets = bounded_broadcast(offsets, max_broadcast_splits)
+    if whole_splits:
+        rank = F.col("row_in_split") - F.col("_first")
+    else:
+        rank = F.row_number().over(Window.partitionBy(*split).orderBy("row_in_split")) - 1
+        df, rank = df.withColumn("_rank", rank), F.col("_rank")
     return (df.join(offsets, split)
-              .withColumn(id_col, (F.col("_off") + F.col("row_in_split") - F.col("_first")
-                                   + 1 + F.lit(start_after)).cast("bigint"))
-              .drop("_off", "_first"))
+              .withColumn(id_col, (F.col("_off") + rank + 1 + F.lit(start_after)).cast("bigint"))
+              .drop("_off", "_first", "_rank"))
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:

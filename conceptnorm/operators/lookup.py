@@ -9,7 +9,7 @@ would return its rows once per call; unknown CURIEs give no rows unless noted.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from conceptnorm.functions.scalars import is_named
@@ -57,20 +57,16 @@ def preferred(vocab: Vocabulary, inputs: DataFrame, col: str = "curie") -> DataF
     return _input(inputs, col, "input_curie").join(mw, "input_curie")
 
 
-# literal CURIE lists at most this long become a filter pushed to the scan
-MAX_LITERAL_KEYS = 10_000
-
-
 def preferred_for(vocab: Vocabulary, curies: list[str]) -> DataFrame:
-    """E1 for literal CURIEs: an IN filter pushed to the Parquet scan of the
-    CURIE-sorted serving table (row-group min/max and bloom-filter skipping)
-    instead of a join; long lists fall back to the join."""
+    """E1 for literal CURIEs, one result per input as in ``preferred``
+    (repeats repeated). The same CURIEs are also a filter on the scan of the
+    CURIE-sorted serving table (row-group min/max and bloom-filter skipping)."""
     spark = vocab.membership_wide.sparkSession
-    if len(curies) > MAX_LITERAL_KEYS:
-        return preferred(vocab, spark.createDataFrame([(c,) for c in curies], "curie string"))
-    return (vocab.membership_wide.where(F.col("member_curie").isin(list(curies)))
-            .select(F.col("member_curie").alias("input_curie"),
-                    F.col("primary_curie").alias("preferred_curie"), "type_curie"))
+    inputs = spark.createDataFrame([(c,) for c in curies], "input_curie string")
+    mw = vocab.membership_wide.where(F.col("member_curie").isin(sorted(set(curies))))
+    return inputs.join(mw.select(F.col("member_curie").alias("input_curie"),
+                                 F.col("primary_curie").alias("preferred_curie"), "type_curie"),
+                       "input_curie")
 
 
 def conflation_for(vocab: Vocabulary, curie: str,
@@ -176,16 +172,21 @@ def synonyms(vocab: Vocabulary, inputs: DataFrame, col: str = "curie") -> DataFr
 
 
 def taxon(vocab: Vocabulary, inputs: DataFrame, col: str = "curie") -> DataFrame:
-    """(curie, taxon_curie) -- the least linked taxon, NULL if none."""
+    """(curie, taxon_curie) -- the least linked taxon, NULL if none.
+
+    Links are cut to the wanted identifiers, then to distinct taxa for their
+    names, so a taxon that a third of all links has is not a hot join key:
+    the taxon side is one row per taxon and small beside the links."""
     ids = vocab.identifiers
-    per_identifier = (vocab.identifiers_taxa
-                      .join(ids.select(F.col("id").alias("taxa_identifier_id"),
-                                       F.col("curie").alias("taxon")), "taxa_identifier_id")
-                      .groupBy("identifier_id").agg(F.min("taxon").alias("taxon_curie")))
-    resolved = (ids.select(F.col("curie"), F.col("id").alias("identifier_id"))
-                   .join(per_identifier, "identifier_id")
-                   .select("curie", "taxon_curie"))
-    return _input(inputs, col, "curie").join(resolved, "curie", "left")
+    wanted = (_input(inputs, col, "curie").select("curie").distinct()
+              .join(ids.select("curie", F.col("id").alias("identifier_id")), "curie"))
+    links = vocab.identifiers_taxa.join(wanted, "identifier_id")
+    names = (links.select("taxa_identifier_id").distinct()
+             .join(ids.select(F.col("id").alias("taxa_identifier_id"), F.col("curie").alias("taxon")),
+                   "taxa_identifier_id"))
+    per_curie = (links.join(names, "taxa_identifier_id")
+                 .groupBy("curie").agg(F.min("taxon").alias("taxon_curie")))
+    return _input(inputs, col, "curie").join(per_curie, "curie", "left")
 
 
 def label(vocab: Vocabulary, inputs: DataFrame, col: str = "curie") -> DataFrame:
@@ -207,12 +208,13 @@ def _target_cliques(vocab: Vocabulary, targets: DataFrame) -> DataFrame:
             .distinct())
 
 
-def clique_names(vocab: Vocabulary) -> DataFrame:
+def clique_names(vocab: Vocabulary, cliques: DataFrame) -> DataFrame:
     """(clique_id, name): distinct non-blank preferred name and member labels
-    of each clique, aggregated once per clique (map-side first)."""
+    of each wanted clique (``clique_id``, distinct), aggregated map-side first."""
     pref = vocab.cliques_wide.select("clique_id", F.col("preferred_name").alias("name"))
     labels = vocab.membership_wide.select("clique_id", F.col("member_label").alias("name"))
-    return pref.unionByName(labels).where(is_named("name")).distinct()
+    return (pref.unionByName(labels).where(is_named("name"))
+                .join(cliques, "clique_id", "left_semi").distinct())
 
 
 def all_names(vocab: Vocabulary, inputs: DataFrame, col: str = "curie") -> DataFrame:
@@ -224,7 +226,8 @@ def all_names(vocab: Vocabulary, inputs: DataFrame, col: str = "curie") -> DataF
     tc = _target_cliques(vocab, targets.select("input_curie",
                                                F.col("input_curie").alias("target_curie")))
     own = targets.where(is_named("label")).select("input_curie", F.col("label").alias("name"))
-    via = tc.join(clique_names(vocab), "clique_id").select("input_curie", "name")
+    names = clique_names(vocab, tc.select("clique_id").distinct())
+    via = tc.join(names, "clique_id").select("input_curie", "name")
     return (own.unionByName(via)
                .select(F.col("input_curie").alias("curie"), "name")
                .distinct())
@@ -232,18 +235,19 @@ def all_names(vocab: Vocabulary, inputs: DataFrame, col: str = "curie") -> DataF
 
 def _clique_types(vocab: Vocabulary, targets: DataFrame) -> DataFrame:
     """(input_curie, category) over cliques each target heads or contains."""
-    tc = _target_cliques(vocab, targets)
-    return (tc.join(vocab.cliques_wide.select("clique_id", F.col("type_curie").alias("category")),
-                    "clique_id")
-              .select("input_curie", "category"))
+    member = vocab.membership_wide.select(F.col("member_curie").alias("target_curie"),
+                                          F.col("type_curie").alias("category"))
+    primary = vocab.cliques_wide.select(F.col("primary_curie").alias("target_curie"),
+                                        F.col("type_curie").alias("category"))
+    return targets.join(member.unionByName(primary), "target_curie").select("input_curie", "category")
 
 
-def cluster_categories(vocab: Vocabulary) -> DataFrame:
+def cluster_categories(vocab: Vocabulary, clusters: DataFrame) -> DataFrame:
     """(cluster_id, category): distinct types of the cliques of every member
-    of each conflation cluster -- at most (#types) rows per cluster, so a
-    huge cluster never expands into member pairs."""
-    members = vocab.conflation_wide.select(F.col("cluster_id").alias("input_curie"),
-                                           F.col("member_curie").alias("target_curie"))
+    of each wanted cluster (``cluster_id``, distinct) -- at most (#types) rows
+    per cluster, so a huge cluster never expands into member pairs."""
+    members = (vocab.conflation_wide.join(clusters, "cluster_id", "left_semi")
+               .select(F.col("cluster_id").alias("input_curie"), F.col("member_curie").alias("target_curie")))
     return (_clique_types(vocab, members)
             .select(F.col("input_curie").alias("cluster_id"), "category").distinct())
 
@@ -259,10 +263,10 @@ def categories(vocab: Vocabulary, inputs: DataFrame, col: str = "curie") -> Data
                      "input_curie", "left_semi"))
     own = _clique_types(vocab, targets.select("input_curie",
                                               F.col("input_curie").alias("target_curie")))
-    via = (targets.join(vocab.conflation_wide.select(F.col("member_curie").alias("input_curie"),
+    mine = targets.join(vocab.conflation_wide.select(F.col("member_curie").alias("input_curie"),
                                                      "cluster_id"), "input_curie")
-                  .join(cluster_categories(vocab), "cluster_id")
-                  .select("input_curie", "category"))
+    via = (mine.join(cluster_categories(vocab, mine.select("cluster_id").distinct()), "cluster_id")
+               .select("input_curie", "category"))
     return (own.unionByName(via)
                .select(F.col("input_curie").alias("curie"), "category")
                .distinct())
@@ -276,6 +280,7 @@ def sample_identifiers(vocab: Vocabulary, n: int, seed: int = 42) -> DataFrame:
     ids = vocab.identifiers
     if n <= 0:
         raise ValueError("n must be positive")
+    check_sample_size(vocab, n)
     key = F.md5(F.concat(F.lit(str(seed)), F.col("curie")))
     return ids.select("curie", key.alias("_k")).orderBy("_k", "curie").limit(n).select("curie")
 
@@ -293,7 +298,3 @@ def ids_to_curies(vocab: Vocabulary, ids: DataFrame, col: str = "id") -> DataFra
     """(id, curie) for the ids that exist (IN-list semantics)."""
     wanted = ids.select(F.col(col).cast("bigint").alias("id"))
     return vocab.identifiers.join(wanted, "id", "left_semi").select("id", "curie")
-
-
-def ordered(df: DataFrame, *cols: Column | str) -> DataFrame:
-    return df.orderBy(*cols)

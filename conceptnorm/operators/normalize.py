@@ -20,17 +20,16 @@ from __future__ import annotations
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from conceptnorm.functions.scalars import nan_to_null
 from conceptnorm.operators.keys import (bounded_broadcast, dense_ids, dense_ids_by_split, max_id,
-                                        stage)
+                                        stage, submit)
 from conceptnorm.schema import ORDER_KEY, UNKNOWN_TAXON_LABEL
 
-# description ids are clique_id * this + position: a clique may hold up to
-# this many descriptions (audited by `too_many_descriptions`)
-DESCRIPTIONS_PER_CLIQUE = 1 << 24
+# cliques whose description counts are summed in one window
+CLIQUES_PER_BLOCK = 1 << 16
 # distinct taxa above this many are joined with a shuffle (AQE splits skew)
 MAX_BROADCAST_TAXA = 5_000_000
 # a type vocabulary larger than this is joined with a shuffle, not broadcast
@@ -54,6 +53,8 @@ class CompendiaTables:
     # lookup needs
     membership_wide: DataFrame
     cliques_wide: DataFrame
+    # records that a lenient load has left out (a strict one raises)
+    rejected: DataFrame
 
 
 def number_records(records: DataFrame, start_after: int = 0,
@@ -65,7 +66,8 @@ def number_records(records: DataFrame, start_after: int = 0,
     are range-partitioned on the order key.
     """
     if scan_order:
-        return dense_ids_by_split(records, "clique_id", start_after=start_after)
+        return dense_ids_by_split(records, "clique_id", start_after=start_after,
+                                  whole_splits=True)
     return dense_ids(records, ORDER_KEY, "clique_id", start_after=start_after)
 
 
@@ -115,11 +117,40 @@ def type_table(types_vocab: DataFrame) -> DataFrame:
     return dense_ids(vocab, ["curie"], "id")
 
 
-def too_many_descriptions(records: DataFrame) -> DataFrame:
-    """Records whose descriptions do not fit the description id range."""
-    n = F.aggregate("identifiers", F.lit(0).cast("bigint"),
-                    lambda acc, m: acc + F.coalesce(F.size(m["d"]), F.lit(0)))
-    return records.where(n >= F.lit(DESCRIPTIONS_PER_CLIQUE))
+def n_descriptions(identifiers: Column | str) -> Column:
+    """How many descriptions a record's members have."""
+    return F.aggregate(identifiers, F.lit(0).cast("bigint"),
+                       lambda acc, m: acc + F.coalesce(F.size(m["d"]), F.lit(0)))
+
+
+def description_offsets(recs: DataFrame, start_after: int = 0) -> DataFrame:
+    """(clique_id, desc_offset): how many descriptions come before a clique's
+    first, for cliques that have any. Two levels of running sums: within
+    blocks of cliques, and over the blocks (one row each)."""
+    counts = recs.select("clique_id", n_descriptions("identifiers").alias("n")).where(F.col("n") > 0)
+    counts = counts.withColumn("block", F.floor(F.col("clique_id") / CLIQUES_PER_BLOCK))
+    before = Window.unboundedPreceding, -1
+    blocks = counts.groupBy("block").agg(F.sum("n").alias("total"))
+    blocks = blocks.select("block", F.coalesce(F.sum("total").over(
+        Window.orderBy("block").rowsBetween(*before)), F.lit(0)).alias("block_offset"))
+    within = F.sum("n").over(Window.partitionBy("block").orderBy("clique_id").rowsBetween(*before))
+    return (counts.withColumn("within", F.coalesce(within, F.lit(0))).join(blocks, "block")
+                  .select("clique_id", (F.col("block_offset") + F.col("within") + F.lit(start_after))
+                          .cast("bigint").alias("desc_offset")))
+
+
+def rejected_records(recs: DataFrame, types: DataFrame) -> DataFrame:
+    """What a lenient load leaves out: (file_name, line_key, reason, value)
+    of records without identifiers or with a type outside the vocabulary."""
+    empty = F.coalesce(F.size("identifiers"), F.lit(0)) <= 0
+    known = types.select(F.col("curie").alias("type"), F.lit(True).alias("_known"))
+    reason = (F.when(empty, F.lit("no identifiers"))
+               .when(F.col("_known").isNull(), F.concat(F.lit("type not in vocabulary: "),
+                                                        F.coalesce("type", F.lit("")))))
+    return (recs.join(known, "type", "left").withColumn("reason", reason)
+                .where(F.col("reason").isNotNull())
+                .select("file_name", F.col("row_in_split").alias("line_key"), "reason",
+                        F.col("preferred_name").alias("value")))
 
 
 def check_types(recs: DataFrame, types: DataFrame) -> DataFrame:
@@ -133,10 +164,11 @@ class ExistingStore:
     """What an append needs from a store already written (A10)."""
     identifiers: DataFrame
     max_clique_id: int
+    max_description_id: int = 0
 
 
 def normalize_compendia(records: DataFrame, types_vocab: DataFrame,
-                        strict: bool = False,
+                        strict: bool = True,
                         existing: ExistingStore | None = None,
                         scan_order: bool = False,
                         materialize: bool = True,
@@ -156,7 +188,7 @@ def normalize_compendia(records: DataFrame, types_vocab: DataFrame,
         return types, type_map
 
     with ThreadPoolExecutor(max_workers=1) as pool:   # independent jobs run together
-        types_job = pool.submit(vocabulary_map)
+        types_job = submit(pool, vocabulary_map)
         if scan_order:
             recs = number_records(stage(records, "records"), start, scan_order=True)
         else:
@@ -166,17 +198,16 @@ def normalize_compendia(records: DataFrame, types_vocab: DataFrame,
         bad = check_types(recs, types).limit(1).collect()
         if bad:
             raise LoadError(f"type not in vocabulary: {bad[0]['curie']}")
-        crowded = too_many_descriptions(recs).limit(1).collect()
-        if crowded:
-            raise LoadError("clique has too many descriptions; preferred name: "
-                            f"{crowded[0]['preferred_name']}")
         empty = recs.where(F.coalesce(F.size("identifiers"), F.lit(0)) <= 0).limit(1).collect()
         if empty:
             raise LoadError("clique has no identifiers; preferred name: "
                             f"{empty[0]['preferred_name']}")
-    # lenient: a record whose type is not in the vocabulary is left out whole
-    # (after numbering, so split ids stay exact), keeping the store consistent
-    recs = recs.join(type_map.select(F.col("type_curie").alias("type")), "type", "left_semi")
+    # lenient: a record without identifiers or with a type outside the
+    # vocabulary is left out whole (after numbering, so split ids stay exact)
+    # and reported, keeping the store consistent
+    rejected = rejected_records(recs, types)
+    recs = (recs.where(F.size("identifiers") > 0)
+                .join(type_map.select(F.col("type_curie").alias("type")), "type", "left_semi"))
 
     members = explode_members(recs)
     defined = first_seen_labels(members)
@@ -204,13 +235,13 @@ def normalize_compendia(records: DataFrame, types_vocab: DataFrame,
     # the one big member -> id join, staged: memberships, taxon links and the
     # serving view all read it instead of repeating the shuffle
     with ThreadPoolExecutor(max_workers=2) as pool:
-        member_job = pool.submit(stage, members.join(identifiers.select(
+        member_job = submit(pool, stage, members.join(identifiers.select(
             "curie", F.col("id").alias("identifier_id"), F.col("label").alias("member_label")),
             "curie"), "members")
         # one taxon may be linked from a third of all members (e.g. human
         # genes): resolve the distinct taxa once and broadcast that map when
         # its size is proven small, so links never shuffle by (hot) taxon
-        taxon_job = pool.submit(
+        taxon_job = submit(pool, 
             bounded_broadcast,
             members.select(F.explode("t").alias("curie")).distinct()
                    .join(id_map.withColumnRenamed("identifier_id", "taxa_identifier_id"),
@@ -226,7 +257,7 @@ def normalize_compendia(records: DataFrame, types_vocab: DataFrame,
 
     clique_rows = recs.select(
         "clique_id",
-        F.col("identifiers")[0]["i"].alias("primary_curie"),
+        F.get("identifiers", 0)["i"].alias("primary_curie"),
         nan_to_null(F.col("ic")).alias("ic"),
         F.col("type").alias("type_curie"),
         "preferred_name")
@@ -252,16 +283,17 @@ def normalize_compendia(records: DataFrame, types_vocab: DataFrame,
             raise LoadError("duplicate taxon link for identifier id "
                             f"{dup[0]['identifier_id']}")
 
-    # descriptions keep their clique's order: id = clique_id << 24 | n-th
-    # description of the clique (members in order), no shuffle needed
+    # descriptions are numbered by clique, then by place within it (members in
+    # order): the clique's offset plus the place
     desc_rows = (recs.select("clique_id", F.posexplode(F.flatten(F.transform(
                     "identifiers", lambda m: F.transform(
                         F.coalesce(m["d"], F.array().cast("array<string>")),
                         lambda d: F.struct(m["i"].alias("curie"), d.alias("desc")))))).alias("dpos", "x"))
                      .select("clique_id", "dpos", F.col("x.curie").alias("curie"),
                              F.col("x.desc").alias("desc")))
-    desc_ids = desc_rows.withColumn(
-        "description_id", F.col("clique_id") * F.lit(DESCRIPTIONS_PER_CLIQUE) + F.col("dpos") + 1)
+    offsets = description_offsets(recs, existing.max_description_id if existing else 0)
+    desc_ids = desc_rows.join(offsets, "clique_id").withColumn(
+        "description_id", (F.col("desc_offset") + F.col("dpos") + 1).cast("bigint"))
     descriptions = desc_ids.select(F.col("description_id").alias("id"), "desc")
     identifiers_descriptions = (desc_ids.join(id_map, "curie")
                                         .select("description_id", "identifier_id"))
@@ -287,4 +319,5 @@ def normalize_compendia(records: DataFrame, types_vocab: DataFrame,
         membership_wide=membership_wide,
         cliques_wide=cliques_wide.select("clique_id", "primary_curie", "primary_identifier_id",
                                          "type_curie", "ic", "preferred_name"),
+        rejected=rejected,
     )

@@ -27,10 +27,10 @@ mem AS (
   SELECT 'OrganismTaxon.txt' AS file_name, 1 AS file_ord, CAST(n_nationkey AS BIGINT) AS rec_key,
          CAST(0 AS INTEGER) AS pos, 'TAXON:' || {_s('n_nationkey')} AS curie,
          n_name AS label, CAST(NULL AS VARCHAR) AS taxon
-  FROM nation WHERE n_nationkey < 20
+  FROM nation
   UNION ALL
   SELECT 'Gene.txt', 2, c_custkey, 0, 'CUST:' || {_s('c_custkey')}, c_name,
-         'TAXON:' || {_s('c_nationkey')} FROM customer
+         'TAXON:' || CASE WHEN c_custkey % 5 = 0 THEN c_mktsegment ELSE {_s('c_nationkey')} END FROM customer
   UNION ALL
   SELECT 'Gene.txt', 2, c_custkey, 1, 'ENS:' || {_s('c_custkey')}, NULL, NULL
   FROM customer WHERE c_custkey % 3 = 0
@@ -40,7 +40,7 @@ mem AS (
   SELECT 'MolecularMixture.txt', 3, s.l_partkey,
          CAST(row_number() OVER (PARTITION BY s.l_partkey ORDER BY s.l_suppkey) AS INTEGER),
          'SUPP:' || {_s('s.l_suppkey')}, NULL, NULL
-  FROM (SELECT DISTINCT l_partkey, l_suppkey FROM lineitem WHERE l_linenumber = 1) s
+  FROM (SELECT DISTINCT l_partkey, l_suppkey FROM lineitem) s
   WHERE s.l_partkey IN (SELECT p_partkey FROM part)
   UNION ALL
   SELECT 'SmallMolecule.txt', 4, s_suppkey, 0, 'SUPP:' || {_s('s_suppkey')}, s_name, NULL FROM supplier
@@ -49,7 +49,7 @@ recs AS (
   SELECT 'OrganismTaxon.txt' AS file_name, 1 AS file_ord, CAST(n_nationkey AS BIGINT) AS rec_key,
          'biolink:OrganismTaxon' AS type_curie, CAST(NULL AS DOUBLE) AS ic,
          n_name AS preferred_name, 'TAXON:' || {_s('n_nationkey')} AS primary_curie
-  FROM nation WHERE n_nationkey < 20
+  FROM nation
   UNION ALL
   SELECT 'Gene.txt', 2, c_custkey, 'biolink:Gene',
          CASE WHEN c_acctbal < 0 THEN NULL ELSE c_acctbal / 100 END, c_name,
@@ -82,29 +82,28 @@ ident AS (
 typ AS (SELECT row_number() OVER (ORDER BY curie) AS id, curie
         FROM (SELECT DISTINCT type_curie AS curie FROM recs)),
 dsc AS (
-  SELECT c.clique_id * 16777216 + row_number() OVER (PARTITION BY c.clique_id ORDER BY d.doc_id)
-           AS description_id,
+  SELECT row_number() OVER (ORDER BY c.clique_id, d.doc_id) AS description_id,
          c.primary_curie AS curie, d.text AS description
   FROM documents d
   JOIN clq c ON c.file_ord = 3 AND c.rec_key = CAST(floor(d.doc_id / 2) AS BIGINT)
 ),
 cgrp AS (
-  SELECT 1 AS conflation_type, p_brand AS g1, {_s('p_size')} AS g2, p_partkey AS k,
+  SELECT 1 AS conflation_type, CAST(floor(p_partkey / 4) AS BIGINT) AS g, 0 AS o, p_partkey AS k,
          'PART:' || {_s('p_partkey')} AS curie FROM part
   UNION ALL
-  SELECT 2, {_s('c_nationkey')}, c_mktsegment, c_custkey, 'CUST:' || {_s('c_custkey')} FROM customer
-),
-cmem AS (
-  SELECT conflation_type, g1, g2, k, curie,
-         min(k) OVER (PARTITION BY conflation_type, g1, g2) AS canon_key,
-         CAST(row_number() OVER (PARTITION BY conflation_type, g1, g2 ORDER BY k) - 1 AS INTEGER) AS pos
-  FROM cgrp
+  SELECT 1, s_suppkey, 1, s_suppkey, 'SUPP:' || {_s('s_suppkey')} FROM supplier
+  UNION ALL
+  SELECT 2, CAST(floor(c_custkey / 3) AS BIGINT), 0, c_custkey, 'CUST:' || {_s('c_custkey')} FROM customer
+  UNION ALL
+  SELECT 2, p_partkey, 1, p_partkey, 'PART:' || {_s('p_partkey')} FROM part
+  WHERE p_partkey % 7 = 0 AND p_partkey IN (SELECT CAST(floor(c_custkey / 3) AS BIGINT) FROM customer)
 ),
 cw AS (
-  SELECT dense_rank() OVER (ORDER BY conflation_type, canon_key) AS cluster_id,
-         CAST(conflation_type AS INTEGER) AS conflation_type, curie AS member_curie, k, pos,
+  SELECT dense_rank() OVER (ORDER BY conflation_type, g) AS cluster_id, g,
+         CAST(conflation_type AS INTEGER) AS conflation_type, curie AS member_curie, pos,
          CAST(CASE WHEN pos = 0 THEN 1 ELSE 0 END AS INTEGER) AS is_canonical
-  FROM cmem
+  FROM (SELECT *, CAST(row_number() OVER (PARTITION BY conflation_type, g ORDER BY o, k) - 1 AS INTEGER) AS pos
+        FROM cgrp)
 )
 """
 
@@ -231,10 +230,10 @@ SELECT cluster_id, conflation_type, member_curie, pos AS member_pos, is_canonica
 """
 
 ORACLE["conflation_bulk"] = _with() + """
-SELECT a.member_curie AS query_curie, b.member_curie, b.is_canonical AS member_is_canonical,
+SELECT q.member_curie AS query_curie, b.member_curie, b.is_canonical AS member_is_canonical,
        b.conflation_type AS conflation_type_id
-FROM cw a JOIN cw b ON a.cluster_id = b.cluster_id
-WHERE a.is_canonical = 1
+FROM (SELECT DISTINCT member_curie FROM cw) q
+JOIN cw a ON a.member_curie = q.member_curie JOIN cw b ON a.cluster_id = b.cluster_id
 """
 
 ORACLE["conflation_one"] = _with() + f"""
@@ -273,32 +272,29 @@ SELECT x.curie, i.label FROM (
 LEFT JOIN ident i ON i.curie = x.curie
 """
 
+# names as one long list of (clique, name), met through whatever belongs to the clique
 ORACLE["all_names"] = _with("""
-tgt AS (SELECT i.curie, i.label FROM ident i WHERE i.curie IN (SELECT primary_curie FROM clq))""", """
-tcp AS (
-  SELECT t.curie AS input_curie, m.clique_id FROM tgt t JOIN ms m ON m.curie = t.curie
-  UNION SELECT t.curie, c.clique_id FROM tgt t JOIN clq c ON c.primary_curie = t.curie
-)""") + """
-SELECT DISTINCT curie, name FROM (
-  SELECT curie, label AS name FROM tgt
-  UNION ALL SELECT tcp.input_curie, c.preferred_name FROM tcp JOIN clq c ON c.clique_id = tcp.clique_id
-  UNION ALL SELECT tcp.input_curie, il.label FROM tcp
-    JOIN ms m ON m.clique_id = tcp.clique_id JOIN ident il ON il.curie = m.curie
-) WHERE name IS NOT NULL AND trim(name, ' ') <> ''
+named AS (
+  SELECT clique_id, preferred_name AS name FROM clq
+  UNION SELECT ms.clique_id, ident.label FROM ms JOIN ident USING (curie)
+)""", """
+belongs AS (SELECT curie, clique_id FROM ms UNION SELECT primary_curie, clique_id FROM clq)""") + """
+SELECT curie, name FROM (
+  SELECT curie, label AS name FROM ident
+  UNION SELECT belongs.curie, named.name FROM belongs JOIN named USING (clique_id))
+WHERE trim(name, ' ') <> ''
 """
 
+# types as one list of (identifier, type), spread over clusters; alone, an identifier is its own
 ORACLE["categories"] = _with("""
-rel AS (
-  SELECT curie AS input_curie, curie AS target FROM ident
-  UNION SELECT a.member_curie, b.member_curie FROM cw a JOIN cw b ON a.cluster_id = b.cluster_id
-  WHERE a.member_curie IN (SELECT curie FROM ident)
+typed AS (SELECT curie, type_curie FROM ms UNION SELECT primary_curie, type_curie FROM clq)""", """
+groups AS (
+  SELECT curie, 'self ' || curie AS g FROM ident
+  UNION SELECT member_curie, 'cluster ' || cluster_id FROM cw
 )""", """
-tc2 AS (
-  SELECT r.input_curie, m.clique_id FROM rel r JOIN ms m ON m.curie = r.target
-  UNION SELECT r.input_curie, c.clique_id FROM rel r JOIN clq c ON c.primary_curie = r.target
-)""") + """
-SELECT DISTINCT tc2.input_curie AS curie, c.type_curie AS category
-FROM tc2 JOIN clq c ON c.clique_id = tc2.clique_id
+spread AS (SELECT DISTINCT g, type_curie FROM groups JOIN typed USING (curie))""") + """
+SELECT DISTINCT curie, type_curie AS category FROM groups JOIN spread USING (g)
+WHERE curie IN (SELECT curie FROM ident)
 """
 
 ORACLE["name_variants"] = _with(VARIANTS) + "SELECT name, variant_ord, variant FROM var"
@@ -345,30 +341,32 @@ SELECT max(CASE WHEN f.pos = 0 THEN f.member_curie END) AS canonical_curie,
 FROM flag f GROUP BY f.cluster_id HAVING count(*) FILTER (WHERE f.missing) > 0
 """
 
+# a line repeats its canonical member where its cluster's number divides by five
 _FLAGS = """
 valid AS (SELECT DISTINCT curie FROM mem WHERE file_ord IN (1, 2))""", """
 flags AS (
-  SELECT cw.cluster_id, max(cw.conflation_type) AS conflation_type,
+  SELECT cw.cluster_id, max(cw.conflation_type) AS conflation_type, max(cw.g) % 5 = 0 AS repeated,
          max(CASE WHEN cw.pos = 0 THEN cw.member_curie END) AS canonical_curie,
-         CAST(count(*) AS INTEGER) AS n_members,
-         bool_and(v.curie IS NOT NULL) AS kept,
-         '["' || string_agg(cw.member_curie, '","' ORDER BY cw.k) || '"]' AS value
+         bool_and(v.curie IS NOT NULL) AS kept, count(*) AS n,
+         '["' || string_agg(cw.member_curie, '","' ORDER BY cw.pos) AS listed
   FROM cw LEFT JOIN valid v ON v.curie = cw.member_curie GROUP BY cw.cluster_id
 )"""
 
 ORACLE["clusters_filtered"] = _with(*_FLAGS) + """
-SELECT canonical_curie, conflation_type, n_members, kept FROM flags
+SELECT canonical_curie, conflation_type, CAST(n + repeated::INT AS INTEGER) AS n_members, kept FROM flags
 """
 
 ORACLE["cluster_filter_stats"] = _with(*_FLAGS) + """
 SELECT count(*) AS total, count(*) FILTER (WHERE kept) AS kept,
        count(*) FILTER (WHERE NOT kept) AS dropped,
        round(CAST(count(*) FILTER (WHERE NOT kept) AS DOUBLE) * 100 / count(*), 2) AS dropped_pct,
-       count(*) FILTER (WHERE kept AND false) AS kept_with_duplicates
+       count(*) FILTER (WHERE kept AND repeated) AS kept_with_duplicates
 FROM flags
 """
 
-ORACLE["kept_cluster_lines"] = _with(*_FLAGS) + "SELECT value FROM flags WHERE kept"
+ORACLE["kept_cluster_lines"] = _with(*_FLAGS) + """
+SELECT listed || CASE WHEN repeated THEN '","' || canonical_curie ELSE '' END || '"]' AS value FROM flags WHERE kept
+"""
 
 ORACLE["curie_harvest"] = _with() + f"""
 SELECT DISTINCT x AS curie FROM (
@@ -443,6 +441,24 @@ SELECT 'SUPP:' || {_s('s_suppkey')}, s_name, true FROM supplier
 WHERE 'SUPP:' || {_s('s_suppkey')} NOT IN (SELECT curie FROM known3)
 """
 
+# suppliers stay known where a part lists them
+ORACLE["rejected_rows"] = _with("""
+known4 AS (SELECT DISTINCT curie FROM mem WHERE file_ord IN (1, 3))""", """
+lost AS (
+  SELECT cw.cluster_id, max(cw.conflation_type) AS t, max(cw.g) AS g, count(*) FILTER (WHERE k4.curie IS NULL) AS n,
+         bool_or(cw.pos = 0 AND k4.curie IS NULL) AS canon, max(CASE WHEN cw.pos = 0 THEN cw.member_curie END) AS canonical_curie,
+         '["' || string_agg(cw.member_curie, '","' ORDER BY cw.pos) AS listed
+  FROM cw LEFT JOIN known4 k4 ON k4.curie = cw.member_curie GROUP BY cw.cluster_id
+)""") + """
+SELECT file_name, rec_key AS line_key, 'type not in vocabulary: biolink:Drug' AS reason, preferred_name AS value
+FROM recs WHERE file_name = 'SmallMolecule.txt'
+UNION ALL
+SELECT CASE t WHEN 1 THEN 'DrugChemical.txt' ELSE 'GeneProtein.txt' END, 2 * g,
+       CASE WHEN canon THEN 'canonical CURIE missing; ' ELSE '' END || 'missing: ' || n,
+       listed || CASE WHEN g % 5 = 0 THEN '","' || canonical_curie ELSE '' END || '"]'
+FROM lost WHERE n > 0
+"""
+
 ORACLE["rebuild_conflation"] = ORACLE["conflation_clusters_resolved"]
 
 ORACLE["stream_append_identifiers"] = _with() + "SELECT curie, label FROM ident"

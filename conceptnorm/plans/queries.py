@@ -58,7 +58,8 @@ def _build_store(spark: SparkSession, sf_dir: str, files: tuple[str, ...], key)
             _STORES[key] = Vocabulary.load(spark, path)
         else:
             recs = fx.compendia_records(spark, sf_dir, files)
-            _STORES[key] = Vocabulary.build(recs, fx.conflation_lines(spark, sf_dir), types)
+            # clusters may have members that the subset lacks: those are left out and listed
+            _STORES[key] = Vocabulary.build(recs, fx.conflation_lines(spark, sf_dir), types, strict=False)
     return _STORES[key]
 
 
@@ -175,12 +176,10 @@ def conflation_clusters_resolved(spark, sf_dir):
 
 
 def conflation_bulk(spark, sf_dir):
-    """E4 over every cluster, entered through its canonical member: each
-    member is returned once per cluster (linear in the members; entering
-    through every member would return all pairs within each cluster)."""
+    """E4 for every member of every cluster. Clusters keep their size at any
+    scale, so the result grows as the members do."""
     v = vocabulary(spark, sf_dir)
-    canonical = v.conflation_wide.where(F.col("is_canonical") == 1)
-    return lookup.conflation(v, canonical.select(F.col("member_curie").alias("curie")))
+    return lookup.conflation(v, v.conflation_wide.select(F.col("member_curie").alias("curie")).distinct())
 
 
 def conflation_one(spark, sf_dir):
@@ -222,12 +221,9 @@ def label(spark, sf_dir):
 
 
 def all_names(spark, sf_dir):
-    """E10 for every clique's primary identifier (each clique's names reach
-    its primary once; asking for every member would give every member every
-    name of its cliques, i.e. all pairs within a clique)."""
+    """E10 for every identifier."""
     v = vocabulary(spark, sf_dir)
-    primaries = v.cliques_wide.select(F.col("primary_curie").alias("curie")).distinct()
-    return lookup.all_names(v, primaries)
+    return lookup.all_names(v, _all_identifiers(v))
 
 
 def categories(spark, sf_dir):
@@ -368,16 +364,29 @@ def ingest_from_files(spark, sf_dir):
 
 
 def append_new_identifiers(spark, sf_dir):
-    """A10: a store of the first three compendia, then the supplier file
-    appended: every identifier with whether the append added it."""
+    """A10: a store of the first three compendia written to disk, then the
+    supplier file appended there: every identifier with whether the append
+    added it."""
+    from conceptnorm.operators.append import append_to_store
     base = vocabulary(spark, sf_dir, fx.COMPENDIA_FILES[:3])
-    from conceptnorm.operators.append import append_compendia
-    added = append_compendia(base, fx.supplier_records(spark, sf_dir))
+    path = scratch_path(spark, "append-store")
+    base.write(path)
+    added = append_to_store(spark, path, fx.supplier_records(spark, sf_dir))
     old = base.identifiers.select("curie", F.lit(False).alias("is_new"))
     return (added.identifiers.join(old, "curie", "left")
             .select("curie", "label", F.coalesce("is_new", F.lit(True)).alias("is_new")))
 
 
+def rejected_rows(spark, sf_dir):
+    """What a lenient load leaves out, when neither the gene compendium nor
+    the type of the suppliers is there: by file and line, with the reason."""
+    files = tuple(f for f in fx.COMPENDIA_FILES if f != "Gene.txt")
+    types = fx.types_from_tables(spark, sf_dir).where(F.col("curie") != "biolink:Drug")
+    v = Vocabulary.build(fx.compendia_records(spark, sf_dir, files), fx.conflation_lines(spark, sf_dir),
+                         types, strict=False)
+    return v.rejected
+
+
 def malformed_lines(spark, sf_dir):
     """A8 over the written release (every line parses: no rows)."""
     root = _written_release(spark, sf_dir)
@@ -446,6 +455,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "release_manifest": release_manifest,
     "ingest_from_files": ingest_from_files,
     "append_new_identifiers": append_new_identifiers,
+    "rejected_rows": rejected_rows,
     "malformed_lines": malformed_lines,
     "rebuild_conflation": rebuild_conflation,
     "stream_append_identifiers": stream_append_identifiers,

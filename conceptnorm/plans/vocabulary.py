@@ -17,8 +17,9 @@ from pyspark.sql import functions as F
 
 from conceptnorm.operators.conflate import normalize_conflation, prepare_conflation
 from conceptnorm.operators.normalize import normalize_compendia
+from conceptnorm.operators.keys import submit
 from conceptnorm.schema import TABLE_NAMES
-from conceptnorm.session import configure, shuffle_partitions
+from conceptnorm.session import configure
 
 # tables written sorted by these columns (lookups filter or join on the
 # first). The second column lets the range partitioner split a CURIE that
@@ -51,9 +52,11 @@ class Vocabulary:
 
     @classmethod
     def build(cls, records: DataFrame, conflation_lines: DataFrame | None,
-              types_vocab: DataFrame, strict: bool = False, scan_order: bool = False,
+              types_vocab: DataFrame, strict: bool = True, scan_order: bool = False,
               materialize: bool = True, insert_missing_taxa: bool = True) -> "Vocabulary":
-        """Ingest. ``scan_order``: inputs come from the release readers (ids by
+        """Ingest. A strict load raises on what it can't take; a lenient one
+        leaves it out and lists it in ``rejected`` (file_name, line_key,
+        reason, value). ``scan_order``: inputs come from the release readers (ids by
         split, no shuffle of records). ``materialize=False`` when the store is
         written right away (the write materializes it once)."""
         configure(records.sparkSession)
@@ -65,14 +68,14 @@ class Vocabulary:
         # the two halves are independent until conflation members resolve
         # against identifiers: parse/number/stage the clusters meanwhile
         with ThreadPoolExecutor(max_workers=1) as pool:
-            pending = pool.submit(prepare_conflation, conflation_lines, strict, scan_order)
+            pending = submit(pool, prepare_conflation, conflation_lines, strict, scan_order)
             comp = normalize_compendia(records, types_vocab, strict=strict,
                                        scan_order=scan_order, materialize=materialize,
                                        insert_missing_taxa=insert_missing_taxa)
             prepared = pending.result()
         conf = normalize_conflation(conflation_lines, comp.identifiers, strict=strict,
                                     scan_order=scan_order, prepared=prepared)
-        return cls(
+        store = cls(
             types=comp.types, identifiers=comp.identifiers, cliques=comp.cliques,
             descriptions=comp.descriptions,
             identifiers_descriptions=comp.identifiers_descriptions,
@@ -85,6 +88,8 @@ class Vocabulary:
             conflation_wide=(conf.conflation_wide.checkpoint(eager=True) if materialize
                              else conf.conflation_wide),
         )
+        store.rejected = comp.rejected.unionByName(conf.rejected)
+        return store
 
     @classmethod
     def from_tables(cls, tables: dict[str, DataFrame]) -> "Vocabulary":
@@ -138,13 +143,11 @@ class Vocabulary:
         The tables are independent jobs; up to ``parallel`` are submitted at
         once from driver threads so small tables do not leave the cluster
         idle while a large one finishes."""
-        n = shuffle_partitions(self.identifiers.sparkSession)
-
         def write_one(item: tuple[str, DataFrame]) -> None:
             name, df = item
             keys = SORT_KEYS.get(name)
             if keys:
-                df = df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
+                df = df.repartitionByRange(*keys).sortWithinPartitions(*keys)
             writer = df.write.mode(mode)
             if name in BLOOM_COLUMNS:
                 writer = writer.option(f"parquet.bloom.filter.enabled#{BLOOM_COLUMNS[name]}",

@@ -28,12 +28,17 @@ RUNTIME_CONF = {
 }
 
 
-def _local_checkpoint_root() -> str:
-    base = os.environ.get("TMPDIR", "/tmp")
-    return tempfile.mkdtemp(prefix="conceptnorm-ckpt-", dir=base)
+_LOCAL_ROOT: dict[str, str] = {}
 
 
-_LOCAL_ROOT: dict[str, str] = {}
+def _local_checkpoint_root(master: str) -> str:
+    """A temporary folder, where one machine is all there is."""
+    if not master.startswith("local") or master.startswith("local-cluster"):
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+    base = os.environ.get("TMPDIR", "/tmp")
+    if "root" not in _LOCAL_ROOT:
+        _LOCAL_ROOT["root"] = tempfile.mkdtemp(prefix="conceptnorm-ckpt-", dir=base)
+    return _LOCAL_ROOT["root"]
 
 
 def jvm_context(spark: SparkSession):
@@ -44,16 +49,16 @@ def jvm_context(spark: SparkSession):
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Apply runtime settings and make sure a checkpoint folder exists."""
+    """Settings the session leaves open, and a checkpoint folder if it has
+    none. What the user has set stays as it is."""
+    own = spark.conf.getAll
     for key, value in RUNTIME_CONF.items():
-        try:
+        if key not in own and spark.conf.isModifiable(key):
             spark.conf.set(key, value)
-        except Exception:     # noqa: BLE001 - a setting the session forbids
-            pass
     sc = jvm_context(spark)
     if sc is not None and sc.getCheckpointDir() is None:
         configured = spark.conf.get("spark.checkpoint.dir", None)
-        sc.setCheckpointDir(configured or _local_checkpoint_root())
+        sc.setCheckpointDir(configured or _local_checkpoint_root(sc.master))
     return spark
 
 
@@ -85,7 +90,7 @@ def get_spark(master: str | None = None, shuffle_partitions: int = 8,
 
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder for staged data: the session's checkpoint folder
-    (``spark.checkpoint.dir``); a local temporary one only when unset."""
+    (``spark.checkpoint.dir``); on a local master without one, a temporary one."""
     configure(spark)
     sc = jvm_context(spark)
     if sc is not None:
@@ -93,7 +98,7 @@ def checkpoint_root(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured
-    return _LOCAL_ROOT.setdefault("root", _local_checkpoint_root())
+    raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -103,10 +108,6 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root}/scratch/{name}-{uuid.uuid4().hex}"
 
 
-def shuffle_partitions(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-
-
 def drop_paths(spark: SparkSession, paths: list[str]) -> int:
     """Delete staged folders through the Hadoop file system of each path
     (local, HDFS or object store alike). Returns how many were deleted; a

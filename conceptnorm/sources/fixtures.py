@@ -3,19 +3,20 @@
 The mapping (FIXTURES.md section 3) makes a release whose size grows with the
 tables, so every operator can run at scale and be checked against DuckDB:
 
-* ``OrganismTaxon.txt`` one taxon record per nation with key < 20 (the five
-  others stay referenced but undefined, which exercises the unknown-taxon
-  rule);
-* ``Gene.txt`` one record per customer, taxon = its nation, plus an
-  unlabelled ``ENS:`` secondary member for every third customer;
+* ``OrganismTaxon.txt`` one taxon record per nation;
+* ``Gene.txt`` one record per customer, plus an unlabelled ``ENS:`` secondary
+  member for every third customer; its taxon is its nation, for every fifth
+  customer its market segment, which no file defines (the unknown-taxon rule);
 * ``MolecularMixture.txt`` one record per part; secondary members are the
-  distinct suppliers of its first order lines (unlabelled); the part's
-  descriptions are the full texts of documents ``2k`` and ``2k+1``;
+  distinct suppliers of its order lines (unlabelled); the part's descriptions
+  are the full texts of documents ``2k`` and ``2k+1``;
 * ``SmallMolecule.txt`` one record per supplier (labelled, but after the
   unlabelled first sighting above, so first-seen labels stay NULL);
-* ``DrugChemical.txt`` one cluster per (brand, size) of parts,
-  ``GeneProtein.txt`` one per (nation, segment) of customers; canonical =
-  least key, members ascending.
+* ``DrugChemical.txt`` one cluster per four consecutive parts and the supplier
+  of that number; ``GeneProtein.txt`` one per three consecutive customers and,
+  where its number divides by seven, the part of that number, so some clusters
+  are mixed over files. Clusters keep their size at any scale. Every fifth line
+  repeats its canonical member at its end; a blank line follows every eleventh.
 
 File names sort in load order; the taxon file is loaded first.
 """
@@ -72,7 +73,7 @@ def _record(df: DataFrame, file_name: str, file_ord: int, key: str,
 
 
 def taxon_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    nation = table(spark, sf_dir, "nation").where(F.col("n_nationkey") < 20)
+    nation = table(spark, sf_dir, "nation")
     return _record(nation, COMPENDIA_FILES[0], 1, "n_nationkey",
                    F.lit("biolink:OrganismTaxon"), F.lit(None),
                    F.array(member(curie("TAXON:", "n_nationkey"), F.col("n_name"))),
@@ -81,7 +82,8 @@ def taxon_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def gene_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     customer = table(spark, sf_dir, "customer")
-    taxa = F.array(curie("TAXON:", "c_nationkey"))
+    taxa = F.array(F.when(F.col("c_custkey") % 5 == 0, F.concat(F.lit("TAXON:"), "c_mktsegment"))
+                   .otherwise(curie("TAXON:", "c_nationkey")))
     primary = member(curie("CUST:", "c_custkey"), F.col("c_name"), t=taxa)
     ens = member(curie("ENS:", "c_custkey"))
     ids = F.when(F.col("c_custkey") % 3 == 0, F.array(primary, ens)).otherwise(F.array(primary))
@@ -99,7 +101,6 @@ def part_records(spark: SparkSession, sf_dir: str) -> DataFrame:
             .agg(F.array_sort(F.collect_list("doc")).alias("docs"))
             .select("p_partkey", F.transform("docs", lambda x: x["text"]).alias("d")))
     supps = (table(spark, sf_dir, "lineitem")
-             .where(F.col("l_linenumber") == 1)
              .select(F.col("l_partkey").alias("p_partkey"), "l_suppkey")
              .distinct()
              .groupBy("p_partkey")          # a record's member list, as the format holds it
@@ -133,28 +134,40 @@ def compendia_records(spark: SparkSession, sf_dir: str,
     return out
 
 
-def _cluster_lines(grouped: DataFrame, prefix: str, key: str, file_name: str,
-                   file_ord: int) -> DataFrame:
-    # the conflation file format is one list per line, so building a line
-    # gathers its cluster; everything downstream re-explodes it in parallel
-    keys = F.array_sort(F.collect_list(key))
-    lines = grouped.agg(keys.alias("keys"))
-    return lines.select(
+def _cluster_lines(members: DataFrame, file_name: str, file_ord: int) -> DataFrame:
+    # a line is one list; clusters have a handful of members at any scale
+    own = F.transform(F.array_sort(F.collect_list(F.struct("ord", "key", "curie"))), lambda x: x["curie"])
+    lines = members.groupBy("cluster").agg(own.alias("own"))
+    value = F.when(F.col("cluster") % 5 == 0, F.concat("own", F.slice("own", 1, 1))).otherwise(F.col("own"))
+    text = F.to_json(value)
+    written = F.when(F.col("cluster") % 11 == 0, F.array(text, F.lit(""))).otherwise(F.array(text))
+    return lines.select("cluster", F.posexplode(written).alias("n", "value")).select(
         F.lit(file_name).alias("file_name"),
         F.lit(CONFLATION_TYPE_IDS[file_name.removesuffix(".txt")]).alias("conflation_type"),
         F.lit(file_ord).alias("file_ord"),
         F.lit(file_name).alias("file_path"),
         F.lit(0).cast("bigint").alias("split_start"),
-        F.element_at("keys", 1).cast("bigint").alias("row_in_split"),
-        F.to_json(F.transform("keys", lambda k: curie(prefix, k))).alias("value"))
+        (2 * F.col("cluster") + F.col("n")).cast("bigint").alias("row_in_split"),
+        "value")
+
+
+def _cluster_members(df: DataFrame, prefix: str, key: str, cluster: Column, ord_: int) -> DataFrame:
+    return df.select(cluster.cast("bigint").alias("cluster"), F.lit(ord_).alias("ord"),
+                     F.col(key).cast("bigint").alias("key"), curie(prefix, key).alias("curie"))
 
 
 def conflation_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One list-literal line per cluster, as the conflation files hold them."""
-    part = table(spark, sf_dir, "part").groupBy("p_brand", "p_size")
-    customer = table(spark, sf_dir, "customer").groupBy("c_nationkey", "c_mktsegment")
-    return (_cluster_lines(part, "PART:", "p_partkey", CONFLATION_FILES[0], 1)
-            .unionByName(_cluster_lines(customer, "CUST:", "c_custkey", CONFLATION_FILES[1], 2)))
+    part, customer = table(spark, sf_dir, "part"), table(spark, sf_dir, "customer")
+    drug = (_cluster_members(part, "PART:", "p_partkey", F.floor(F.col("p_partkey") / 4), 0)
+            .unionByName(_cluster_members(table(spark, sf_dir, "supplier"), "SUPP:", "s_suppkey",
+                                          F.col("s_suppkey"), 1)))
+    mixed = part.where(F.col("p_partkey") % 7 == 0).join(
+        customer.select(F.floor(F.col("c_custkey") / 3).alias("p_partkey")).distinct(), "p_partkey", "left_semi")
+    gene = (_cluster_members(customer, "CUST:", "c_custkey", F.floor(F.col("c_custkey") / 3), 0)
+            .unionByName(_cluster_members(mixed, "PART:", "p_partkey", F.col("p_partkey"), 1)))
+    return (_cluster_lines(drug, CONFLATION_FILES[0], 1)
+            .unionByName(_cluster_lines(gene, CONFLATION_FILES[1], 2)))
 
 
 def types_vocabulary(records: DataFrame) -> DataFrame:

@@ -17,8 +17,9 @@ import threading
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from conceptnorm.functions.scalars import stripped
 from conceptnorm.operators.conflate import conflation_type_of
-from conceptnorm.schema import (COMPENDIA_COLUMNS, COMPENDIA_RECORD, FILE_SUFFIX,
+from conceptnorm.schema import (COMPENDIA_COLUMNS, COMPENDIA_RECORD, CONFLATION_TYPE_IDS, FILE_SUFFIX,
                                 FIRST_SHARD_SUFFIX, TAXON_FILE)
 from conceptnorm.session import jvm_context, scratch_path, session_key
 
@@ -127,19 +128,41 @@ def compendia_paths(spark: SparkSession, root: str) -> list[tuple[str, int, str]
 
 # -- A1 / A2: scans ----------------------------------------------------------
 
-def _file_names(spark: SparkSession, paths: list[tuple[str, int, str]]) -> DataFrame:
-    rows = [(name, ord_, _strip_scheme(path)) for name, ord_, path in paths]
-    return spark.createDataFrame(rows, "file_name string, file_ord int, entry string")
+def _uri_path(spark: SparkSession, path: str) -> str:
+    """The path part of a location as its file system qualifies it (no scheme
+    or authority, ``.`` and doubled slashes resolved, nothing encoded)."""
+    sc = jvm_context(spark)
+    if sc is None:
+        return _strip_scheme(path).rstrip("/")
+    p = sc._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(sc._jsc.hadoopConfiguration())
+    return fs.makeQualified(p).toUri().getPath().rstrip("/")
+
+
+def _decoded_path(c):
+    """The path part of ``_metadata.file_path``, percent-decoded."""
+    path = F.regexp_replace(c, r"^[A-Za-z][A-Za-z0-9+.\-]*:(//[^/]*)?", "")
+    return F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
 
 
-def _with_order(df: DataFrame, names: DataFrame) -> DataFrame:
-    """Attach file name/order by the entry each part file belongs to."""
+def _with_order(df: DataFrame, paths: list[tuple[str, int, str]]) -> DataFrame:
+    """Attach file name/order by the entry each part file belongs to. A file
+    of no known entry fails the read."""
+    spark = df.sparkSession
+    entries = [_uri_path(spark, path) for _, _, path in paths]
+    names = spark.createDataFrame([(name, ord_, e) for (name, ord_, _), e in zip(paths, entries)],
+                                  "file_name string, file_ord int, entry string")
     ordered = df.select("*", F.col("_metadata.file_path").alias("file_path"),
                         F.col("_metadata.file_block_start").alias("split_start"),
                         F.monotonically_increasing_id().alias("row_in_split"))
-    entry = F.regexp_extract(F.regexp_replace("file_path", "^file:", ""), r"^(.*?\.txt[^/]*)", 1)
-    # the file-name table has one row per release file
-    return ordered.join(F.broadcast(names), entry == F.col("entry")).drop("entry")
+    # an entry is the file itself or the folder of its part files
+    path = _decoded_path(F.col("file_path"))
+    folder = F.regexp_replace(path, r"/[^/]*$", "")
+    known = F.array(*[F.lit(e) for e in entries])       # one per release file
+    entry = F.when(F.array_contains(known, path), path).otherwise(folder)
+    out = ordered.withColumn("entry", entry).join(F.broadcast(names), "entry", "left")
+    unknown = F.raise_error(F.concat(F.lit("file of no release entry: "), F.col("file_path")))
+    return out.withColumn("file_ord", F.coalesce("file_ord", unknown.cast("int"))).drop("entry")
 
 
 def read_compendia(spark: SparkSession, paths: list[tuple[str, int, str]],
@@ -147,27 +170,32 @@ def read_compendia(spark: SparkSession, paths: list[tuple[str, int, str]],
     """A1: records with (file_name, file_ord, file_path, split_start, row_in_split)."""
     reader = spark.read.schema(COMPENDIA_RECORD).option("mode", mode)
     df = reader.json([p for _, _, p in paths])
-    return _with_order(df, _file_names(spark, paths))
+    return _with_order(df, paths)
 
 
-def read_conflation(spark: SparkSession, root: str) -> DataFrame:
-    """A2/A5: conflation lines with their type from the file name."""
+def read_conflation(spark: SparkSession, root: str, types: dict[str, str] | None = None) -> DataFrame:
+    """A2/A5: conflation lines with their type from the file name, or from
+    ``types`` (file name -> conflation type name) for files named otherwise."""
+    types = {name: CONFLATION_TYPE_IDS[kind] for name, kind in (types or {}).items()}
     folder = f"{root.rstrip('/')}/conflation"
     rows = selected_conflation(list_entries(spark, folder)).orderBy("file_ord").collect()
     paths = [(r["file_name"], r["file_ord"], f"{folder}/{r['file_name']}") for r in rows]
-    unknown = [r["file_name"] for r in rows if r["conflation_type"] is None]
+    unknown = [r["file_name"] for r in rows if r["conflation_type"] is None and r["file_name"] not in types]
     if unknown:
         raise ValueError(f"unknown conflation file name(s): {unknown}")
     lines = spark.read.text([p for _, _, p in paths])
-    out = _with_order(lines, _file_names(spark, paths))
-    return out.withColumn("conflation_type", conflation_type_of(F.col("file_name")))
+    out = _with_order(lines, paths)
+    kind = conflation_type_of(F.col("file_name"))
+    for name, type_id in types.items():          # one per file that the caller names
+        kind = F.when(F.col("file_name") == name, F.lit(type_id)).otherwise(kind)
+    return out.withColumn("conflation_type", kind)
 
 
 # -- A7 / A8 / D8: checks and profiles ---------------------------------------
 
 def _lines(spark: SparkSession, paths: list[tuple[str, int, str]]) -> DataFrame:
     text = spark.read.text([p for _, _, p in paths])
-    return _with_order(text, _file_names(spark, paths)).where(F.trim("value") != "")
+    return _with_order(text, paths).where(stripped("value") != "")
 
 
 def required_columns(spark: SparkSession, paths: list[tuple[str, int, str]]) -> DataFrame:
@@ -244,7 +272,7 @@ def write_fixture_release(spark: SparkSession, sf_dir: str) -> str:
         return _WRITTEN[key]
 
 
-def load_release(spark: SparkSession, root: str, strict: bool = False,
+def load_release(spark: SparkSession, root: str, strict: bool = True,
                  types_vocab: DataFrame | None = None, materialize: bool = True):
     """A1-A5 + ingest: the store built from a written release folder. The
     type vocabulary defaults to the types the release uses."""

@@ -2,7 +2,10 @@
 
 Compendia JSON-lines files landing in a folder are appended to a store
 micro-batch by micro-batch: known identifiers keep id and label, new
-identifiers, cliques and descriptions get ids after the store's largest.
+identifiers, cliques and descriptions get ids after the store's largest; a
+taxon link is written once; a taxon that an epoch defines after another one
+only referenced it gets its label. What a batch can't take is written to
+``rejected``, per epoch like the rest.
 
 Layout: every table of a streamed store is partitioned by ``epoch`` (the
 micro-batch id). A batch writes its new rows into ``<table>/epoch=<id>`` with
@@ -20,13 +23,16 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.utils import AnalysisException
 
-from conceptnorm.operators.keys import max_id
-from conceptnorm.operators.normalize import ExistingStore, normalize_compendia
+from conceptnorm.operators.append import APPENDED, new_rows
+from conceptnorm.operators.keys import stage
+from conceptnorm.operators.normalize import normalize_compendia
 from conceptnorm.plans.vocabulary import Vocabulary
-from conceptnorm.schema import COMPENDIA_RECORD, TAXON_FILE
+from conceptnorm.schema import COMPENDIA_RECORD, TAXON_FILE, UNKNOWN_TAXON_LABEL
 from conceptnorm.session import configure
 
 EPOCH = "epoch"
+# labels of taxa that an earlier epoch only knew by reference
+RELABELS = "relabels"
 CONFLATION_SCHEMAS = {
     "conflation_clusters": "id bigint, type int",
     "conflation_members": "cluster_id bigint, identifier_id bigint, is_canonical int",
@@ -52,9 +58,22 @@ def load_streamed(spark: SparkSession, store: str, before: int | None = None) ->
         if df is None:
             return None
         frames[f.name] = df
+    relabels = _table(spark, store, RELABELS, limit)
+    if relabels is not None:        # few: taxa defined after they were first referenced
+        frames["identifiers"] = (frames["identifiers"].join(relabels, "id", "left")
+                                 .select("id", "curie", F.coalesce("new_label", "label").alias("label")))
     return Vocabulary(**frames)
 
 
+def _late_definitions(records: DataFrame, existing: Vocabulary) -> DataFrame:
+    """(id, new_label): unknown taxa of the store that the batch defines."""
+    order = ["file_ord", "file_path", "split_start", "row_in_split", "pos"]
+    members = records.select(*order[:-1], F.posexplode("identifiers").alias("pos", "m"))
+    labels = members.groupBy(F.col("m.i").alias("curie")).agg(F.min_by("m.l", F.struct(*order)).alias("new_label"))
+    unknown = existing.identifiers.where(F.col("label") == UNKNOWN_TAXON_LABEL)
+    return unknown.join(labels, "curie").where(F.col("new_label").isNotNull()).select("id", "new_label")
+
+
 def _empty_like(spark: SparkSession, df: DataFrame) -> DataFrame:
     return spark.createDataFrame([], df.schema)
 
@@ -65,24 +84,17 @@ def append_batch(records: DataFrame, epoch: int, store: str, types_vocab: DataFr
     configure(spark)
     existing = load_streamed(spark, store, before=epoch)
     if existing is None:
-        new = normalize_compendia(records, types_vocab, materialize=False)
-        delta = {"identifiers": new.identifiers}
+        new = normalize_compendia(records, types_vocab, strict=False, materialize=False)
+        delta = {name: getattr(new, name) for name in APPENDED}
+        relabels = spark.createDataFrame([], "id bigint, new_label string")
     else:
-        ctx = ExistingStore(identifiers=existing.identifiers,
-                            max_clique_id=max_id(existing.cliques))
-        new = normalize_compendia(records, existing.types.select("curie"), existing=ctx,
-                                  materialize=False)
-        delta = {"identifiers": new.identifiers.where(F.col("id") > max_id(existing.identifiers))}
-    delta.update({
-        "types": new.types if existing is None else _empty_like(spark, new.types),
-        "cliques": new.cliques,
-        "descriptions": new.descriptions,
-        "identifiers_descriptions": new.identifiers_descriptions,
-        "identifiers_cliques": new.identifiers_cliques,
-        "identifiers_taxa": new.identifiers_taxa,
-        "membership_wide": new.membership_wide,
-        "cliques_wide": new.cliques_wide,
-    })
+        relabels = stage(_late_definitions(records, existing), RELABELS)
+        existing.identifiers = (existing.identifiers.join(relabels, "id", "left")
+                                .select("id", "curie", F.coalesce("new_label", "label").alias("label")))
+        delta, new = new_rows(existing, records, strict=False)
+    delta[RELABELS] = relabels
+    delta["rejected"] = new.rejected
+    delta["types"] = new.types if existing is None else _empty_like(spark, new.types)
     # conflation tables are rebuilt in batch (A11), never streamed: an epoch
     # writes them empty so every table has the same partitions
     for name, schema in CONFLATION_SCHEMAS.items():

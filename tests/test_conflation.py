@@ -52,7 +52,7 @@ def test_duplicates_keep_canonical_first(spark):
 def test_missing_members_reported_and_strict_raises(spark):
     ids = idents(spark, ["A:1", "A:2"])
     tables = conflate.normalize_conflation(lines(spark, ['["X:0","A:1"]', '["A:1","X:9","X:1"]',
-                                                         '["A:2","A:1"]']), ids)
+                                                         '["A:2","A:1"]']), ids, strict=False)
     report = {r.cluster_id: (r.canonical_missing, r.n_missing, r.first_missing)
               for r in tables.missing.collect()}
     assert report == {1: (True, 1, ["X:0"]), 2: (False, 2, ["X:1", "X:9"])}
@@ -68,7 +68,7 @@ def test_missing_members_reported_and_strict_raises(spark):
 def test_missing_lists_first_ten_sorted(spark):
     members = [f"M:{i:02d}" for i in range(25, 0, -1)]
     value = '["A:1", ' + ", ".join(f'"{m}"' for m in members) + "]"
-    tables = conflate.normalize_conflation(lines(spark, [value]), idents(spark, ["A:1"]))
+    tables = conflate.normalize_conflation(lines(spark, [value]), idents(spark, ["A:1"]), strict=False)
     row = tables.missing.first()
     assert row.n_missing == 25 and row.first_missing == sorted(members)[:10]
 

@@ -157,7 +157,7 @@ def test_strict_mode_rejects_duplicate_primary_type_and_taxon_link(spark, tmp_pa
     write_lines(str(tmp_path / "b" / "conflation"), "GeneProtein.txt", [""])
     with pytest.raises(LoadError, match="duplicate taxon link"):
         release.load_release(spark, str(tmp_path / "b"), types_vocab=types, strict=True)
-    lenient = release.load_release(spark, str(tmp_path / "b"), types_vocab=types)
+    lenient = release.load_release(spark, str(tmp_path / "b"), types_vocab=types, strict=False)
     assert lenient.identifiers_taxa.count() == 1
 
 
@@ -165,7 +165,9 @@ def test_lenient_mode_leaves_out_records_of_unknown_type(spark, tmp_path):
     from conceptnorm.operators import audit
     root = write_sample_release(str(tmp_path))
     types = spark.createDataFrame([("biolink:Gene",), ("biolink:OrganismTaxon",)], "curie string")
-    store = release.load_release(spark, root, types_vocab=types)
+    store = release.load_release(spark, root, types_vocab=types, strict=False)
+    assert [(r.file_name, r.reason) for r in store.rejected.collect() if r.file_name == "Protein.txt"] == \
+        [("Protein.txt", "type not in vocabulary: biolink:Protein")]
     assert store.cliques.count() == 5                     # the Protein record is left out
     assert store.identifiers_cliques.count() == 7
     report = {r.check_name: r.violations for r in audit.report(store).collect()}
