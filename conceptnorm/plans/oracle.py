@@ -10,6 +10,7 @@ check), variants by regular expressions for depth-1 parentheticals.
 from __future__ import annotations
 
 from conceptnorm.functions.names import ABBREVIATION_PATTERN
+from conceptnorm.sources.fixtures import FAULTY
 from conceptnorm.functions.scalars import CURIE_PATTERN, LOWER_ASCII, UPPER_ASCII, WS_CLASS
 
 
@@ -468,3 +469,71 @@ SELECT DISTINCT file_name, true AS selected, CAST(file_ord AS INTEGER) AS file_o
        CAST(NULL AS VARCHAR) AS note
 FROM recs
 """
+
+
+def _faulty_tables() -> str:
+    out = []
+    for name, (columns, keep) in FAULTY.items():
+        listed = ", ".join(columns).replace("AS STRING", "AS VARCHAR")
+        out.append(f"{name} AS (SELECT * FROM (SELECT {listed} FROM (SELECT CAST(p_partkey AS BIGINT) AS k FROM part)) WHERE {keep})")
+    return ",\n".join(out)
+
+
+def _duplicates(table: str, keys: str) -> str:
+    return f"(SELECT {keys} FROM {table} GROUP BY {keys} HAVING count(*) > 1)"
+
+
+def _orphans(child: str, column: str, parent: str) -> str:
+    return (f"(SELECT c.{column} FROM {child} c WHERE c.{column} IS NOT NULL AND NOT EXISTS "
+            f"(SELECT 1 FROM {parent} p WHERE p.id = c.{column}))")
+
+
+def _rows(table: str, bad: str) -> str:
+    return f"(SELECT * FROM {table} WHERE {bad})"
+
+
+_CHECKS = {
+    "unique_types_curie": _duplicates("types", "curie"),
+    "unique_identifiers_curie": _duplicates("identifiers", "curie"),
+    "unique_cliques_primary_type": _duplicates("cliques", "primary_identifier_id, type_id"),
+    "unique_identifiers_taxa": _duplicates("identifiers_taxa", "identifier_id, taxa_identifier_id"),
+    "unique_conflation_members": _duplicates("conflation_members", "cluster_id, identifier_id"),
+    "fk_cliques_primary": _orphans("cliques", "primary_identifier_id", "identifiers"),
+    "fk_cliques_type": _orphans("cliques", "type_id", "types"),
+    "fk_idesc_description": _orphans("identifiers_descriptions", "description_id", "descriptions"),
+    "fk_idesc_identifier": _orphans("identifiers_descriptions", "identifier_id", "identifiers"),
+    "fk_icliques_identifier": _orphans("identifiers_cliques", "identifier_id", "identifiers"),
+    "fk_icliques_clique": _orphans("identifiers_cliques", "clique_id", "cliques"),
+    "fk_itaxa_identifier": _orphans("identifiers_taxa", "identifier_id", "identifiers"),
+    "fk_itaxa_taxon": _orphans("identifiers_taxa", "taxa_identifier_id", "identifiers"),
+    "fk_members_cluster": _orphans("conflation_members", "cluster_id", "conflation_clusters"),
+    "fk_members_identifier": _orphans("conflation_members", "identifier_id", "identifiers"),
+    "check_conflation_type": _rows("conflation_clusters", "type IS NULL OR type NOT IN (1, 2)"),
+    "check_is_canonical": _rows("conflation_members", "is_canonical IS NULL OR is_canonical NOT IN (0, 1)"),
+    "not_null_identifiers_curie": _rows("identifiers", "curie IS NULL"),
+    "not_null_cliques_columns": _rows("cliques", "primary_identifier_id IS NULL OR type_id IS NULL OR preferred_name IS NULL"),
+    "not_null_descriptions_desc": _rows("descriptions", '"desc" IS NULL'),
+    "empty_cliques": "(SELECT id FROM cliques WHERE id NOT IN (SELECT clique_id FROM identifiers_cliques))",
+    "one_canonical_per_cluster":
+        "(SELECT cluster_id FROM conflation_members GROUP BY cluster_id HAVING sum(is_canonical) <> 1)",
+}
+
+ORACLE["audit_violations"] = "WITH " + _faulty_tables().replace(" AS desc)", ' AS "desc")').replace("END AS desc", 'END AS "desc"') + "\n" + \
+    "\nUNION ALL ".join(f"SELECT '{name}' AS check_name, CAST((SELECT count(*) FROM {rows}) AS BIGINT) AS violations"
+                        for name, rows in _CHECKS.items())
+
+ORACLE["malformed_lines"] = f"""
+WITH s AS (
+  SELECT s_suppkey AS k, '{{"type":"biolink:Drug","ic":null,"identifiers":[{{"i":"SUPP:' || {_s('s_suppkey')}
+    || '"}}],"preferred_name":"' || s_name || '","taxa":[]}}' AS good FROM supplier
+),
+v AS (
+  SELECT k, CASE k % 7 WHEN 0 THEN left(good, 30) WHEN 1 THEN good || ' xyz' WHEN 2 THEN '[1,2]'
+    WHEN 3 THEN replace(good, '"ic":null', '"ic":"abc"') ELSE good END AS value FROM s
+),
+l AS (
+  SELECT k, value, row_number() OVER (ORDER BY k, n) AS line_number, n FROM (
+    SELECT k, value, 0 AS n FROM v UNION ALL SELECT k, '', 1 FROM v WHERE k % 5 = 0)
+)
+SELECT 'SmallMolecule.txt' AS file_name, line_number, left(value, 200) AS preview FROM l WHERE n = 0 AND k % 7 < 4
+"""

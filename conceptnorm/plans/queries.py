@@ -388,11 +388,18 @@ def rejected_rows(spark, sf_dir):
 
 
 def malformed_lines(spark, sf_dir):
-    """A8 over the written release (every line parses: no rows)."""
-    root = _written_release(spark, sf_dir)
+    """A8 over a compendium in which four lines in seven are faulty."""
+    root = scratch_path(spark, "faulty")
+    (fx.faulty_lines(spark, sf_dir).orderBy("line_key").select("value")
+       .write.text(f"{root}/compendia/SmallMolecule.txt"))
     return release.malformed_lines(spark, release.compendia_paths(spark, root))
 
 
+def audit_violations(spark, sf_dir):
+    """D1-D6 over a store that breaks every constraint."""
+    return audit.report(Vocabulary.from_tables(fx.faulty_tables(spark, sf_dir)))
+
+
 def rebuild_conflation(spark, sf_dir):
     """Open the written store, rebuild both conflation tables from the
     release's conflation files; the rebuilt clusters in natural keys."""
@@ -448,6 +455,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "kept_cluster_lines": kept_cluster_lines,
     "curie_harvest": curie_harvest,
     "audit_report": audit_report,
+    "audit_violations": audit_violations,
     "audit_unique_reappend": audit_unique_reappend,
     "duplicate_primary_type": duplicate_primary_type,
     "file_type_profile": file_type_profile,

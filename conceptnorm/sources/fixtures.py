@@ -183,3 +183,47 @@ def types_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     parts = table(spark, sf_dir, "part").select(
         F.concat(F.lit("biolink:"), F.col("p_type")).alias("curie"))
     return fixed.unionByName(parts).distinct()
+
+
+def faulty_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(line_key, value): a compendium line per supplier, four in seven of them faulty (cut short,
+    followed by text, not a record, of a wrong type); a blank line after every fifth."""
+    k = F.col("s_suppkey")
+    good = F.concat(F.lit('{"type":"biolink:Drug","ic":null,"identifiers":[{"i":"SUPP:'), k.cast("string"),
+                    F.lit('"}],"preferred_name":"'), F.col("s_name"), F.lit('","taxa":[]}'))
+    value = (F.when(k % 7 == 0, F.left(good, F.lit(30))).when(k % 7 == 1, F.concat(good, F.lit(" xyz")))
+             .when(k % 7 == 2, F.lit("[1,2]")).when(k % 7 == 3, F.replace(good, F.lit('"ic":null'), F.lit('"ic":"abc"')))
+             .otherwise(good))
+    lines = F.when(k % 5 == 0, F.array(value, F.lit(""))).otherwise(F.array(value))
+    return (table(spark, sf_dir, "supplier").select("s_suppkey", F.posexplode(lines).alias("n", "value"))
+            .select((2 * k + F.col("n")).alias("line_key"), "value"))
+
+
+def faulty_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The nine tables of a store that breaks every constraint, made from the parts' keys."""
+    part = table(spark, sf_dir, "part").withColumn("k", F.col("p_partkey").cast("bigint"))
+    return {name: part.selectExpr(*columns).where(keep) for name, (columns, keep) in FAULTY.items()}
+
+
+# table: columns as SQL over the part key k, and which rows there are
+FAULTY = {
+    "types": (["k AS id", "concat('t:', CAST(CAST(floor(k / 2) AS BIGINT) AS STRING)) AS curie"], "id >= 0"),
+    "identifiers": (["k AS id", "CASE WHEN k % 10 = 0 THEN NULL WHEN k % 10 = 1 THEN concat('dup:', CAST(k % 3 AS STRING)) "
+                     "ELSE concat('i:', CAST(k AS STRING)) END AS curie", "CAST(NULL AS STRING) AS label"], "id >= 0"),
+    "cliques": (["k AS id", "CASE WHEN k % 9 = 0 THEN k + 100000000 WHEN k % 9 = 1 THEN NULL ELSE k % 4 END AS primary_identifier_id",
+                 "CAST(NULL AS DOUBLE) AS ic", "CASE WHEN k % 8 = 0 THEN k + 100000000 WHEN k % 8 = 1 THEN NULL ELSE k % 6 END AS type_id",
+                 "CASE WHEN k % 11 = 0 THEN NULL ELSE 'name' END AS preferred_name"], "id >= 0"),
+    "descriptions": (["k AS id", "CASE WHEN k % 6 = 0 THEN NULL ELSE 'text' END AS desc"], "id >= 0"),
+    "identifiers_descriptions": (["CASE WHEN k % 5 = 0 THEN k + 100000000 ELSE k END AS description_id",
+                                  "CASE WHEN k % 7 = 0 THEN k + 100000000 ELSE k END AS identifier_id"], "description_id >= 0"),
+    "identifiers_cliques": (["CASE WHEN k % 5 = 1 THEN k + 100000000 ELSE k END AS identifier_id",
+                             "CASE WHEN k % 3 = 0 THEN k + 100000000 ELSE k END AS clique_id"], "identifier_id >= 0"),
+    "identifiers_taxa": (["CASE WHEN k % 12 = 1 THEN k + 100000000 ELSE CAST(floor(k / 4) AS BIGINT) END AS identifier_id",
+                          "CASE WHEN k % 13 = 2 THEN k + 100000000 ELSE CAST(floor(k / 4) AS BIGINT) END AS taxa_identifier_id"],
+                         "identifier_id >= 0"),
+    "conflation_clusters": (["k AS id", "CAST(CASE WHEN k % 14 = 0 THEN 3 WHEN k % 14 = 2 THEN NULL ELSE 1 END AS INT) AS type"],
+                            "id % 2 = 0"),
+    "conflation_members": (["CAST(floor(k / 3) AS BIGINT) AS cluster_id",
+                            "CASE WHEN k % 15 = 0 THEN k + 100000000 ELSE CAST(floor(k / 2) AS BIGINT) END AS identifier_id",
+                            "CAST(k % 4 AS INT) AS is_canonical"], "cluster_id >= 0"),
+}

@@ -16,6 +16,7 @@ import threading
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from conceptnorm.functions.scalars import stripped
 from conceptnorm.operators.conflate import conflation_type_of
@@ -212,14 +213,35 @@ def required_columns(spark: SparkSession, paths: list[tuple[str, int, str]]) ->
                        F.array_join("present", ",").alias("present"))
 
 
+def line_numbers(lines: DataFrame) -> DataFrame:
+    """Unfiltered scan lines with ``line_number``, from 1 within each entry.
+    The lines of a split are a contiguous run of row ids; a running sum over
+    an entry's splits (one row each) gives the lines before."""
+    split = ["file_name", "file_path", "split_start"]
+    stats = lines.groupBy(*split).agg(F.count(F.lit(1)).alias("_n"), F.min("row_in_split").alias("_first"))
+    before = Window.partitionBy("file_name").orderBy("file_path", "split_start").rowsBetween(
+        Window.unboundedPreceding, -1)
+    offsets = stats.select(*split, "_first", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    return (lines.join(offsets, split)
+                 .withColumn("line_number", F.col("_off") + F.col("row_in_split") - F.col("_first") + 1)
+                 .drop("_off", "_first"))
+
+
 def malformed_lines(spark: SparkSession, paths: list[tuple[str, int, str]]) -> DataFrame:
-    """Lines that are not valid records, with a 200-character preview."""
-    lines = _lines(spark, paths)
-    parsed = lines.withColumn("_rec", F.from_json("value", COMPENDIA_RECORD,
-                                                  {"mode": "PERMISSIVE"}))
-    bad = parsed.where(F.col("_rec").isNull() | F.get_json_object("value", "$").isNull())
-    return bad.select("file_name", "split_start", "row_in_split",
-                      F.substring("value", 1, PREVIEW_CHARS).alias("preview"))
+    """Lines that are not one valid record: (file_name, line_number,
+    preview of 200 characters). A line is valid if it is one JSON value with
+    nothing after it and fits the record's types."""
+    lines = line_numbers(_with_order(spark.read.text([p for _, _, p in paths]), paths))
+    lines = lines.where(stripped("value") != "")
+    record = T.StructType([*COMPENDIA_RECORD.fields, T.StructField("_corrupt", T.StringType())])
+    parsed = (lines.withColumn("_one", F.from_json(F.concat(F.lit("["), "value", F.lit("]")), "array<variant>"))
+              .withColumn("_rec", F.from_json("value", record, {"mode": "PERMISSIVE",
+                                                                "columnNameOfCorruptRecord": "_corrupt"})))
+    single = F.coalesce(F.size("_one") == 1, F.lit(False))
+    fits = F.col("_rec").isNotNull() & F.col("_rec._corrupt").isNull()
+    is_object = F.ltrim("value").startswith("{")
+    return (parsed.where(~(single & fits & is_object))
+                  .select("file_name", "line_number", F.substring("value", 1, PREVIEW_CHARS).alias("preview")))
 
 
 def type_profile(spark: SparkSession, paths: list[tuple[str, int, str]],

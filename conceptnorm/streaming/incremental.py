@@ -83,6 +83,8 @@ def append_batch(records: DataFrame, epoch: int, store: str, types_vocab: DataFr
     spark = records.sparkSession
     configure(spark)
     existing = load_streamed(spark, store, before=epoch)
+    if existing is not None and not existing.types.head(1):
+        existing = None             # the first epoch again: the folders hold only its own rows
     if existing is None:
         new = normalize_compendia(records, types_vocab, strict=False, materialize=False)
         delta = {name: getattr(new, name) for name in APPENDED}

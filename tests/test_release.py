@@ -68,10 +68,14 @@ def test_required_columns_and_type_profile(spark, tmp_path):
 def test_malformed_lines(spark, tmp_path):
     folder = str(tmp_path / "compendia")
     good = record("biolink:Gene", [{"i": "G:1"}])
-    write_lines(folder, "Gene.txt", [good, '{"type": "biolink:Gene", "identifiers": [', good])
+    bad = ['{"type": "biolink:Gene", "identifiers": [', good.replace("null", '"abc"', 1), "[1,2]",
+           good + " xyz", good + "," + good, "7", '"text"']
+    write_lines(folder, "Gene.txt", [good, "", bad[0], "\t", *bad[1:], "  " + good, good])
+    write_lines(folder, "Other.txt", ["", "x", good])
     paths = release.compendia_paths(spark, str(tmp_path))
-    rows = release.malformed_lines(spark, paths).collect()
-    assert len(rows) == 1 and rows[0].preview.startswith('{"type": "biolink:Gene"')
+    rows = {(r.file_name, r.line_number): r.preview for r in release.malformed_lines(spark, paths).collect()}
+    assert rows == {("Gene.txt", 3): bad[0], **{("Gene.txt", 5 + i): b[:200] for i, b in enumerate(bad[1:])},
+                    ("Other.txt", 2): "x"}
 
 
 def test_line_order_survives_many_splits(spark, tmp_path):
