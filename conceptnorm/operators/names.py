@@ -5,25 +5,18 @@ ASCII-case-insensitive literal prefix of some label wins, and among the labels
 it prefixes the least (folded label, label, CURIE) is returned. CURIEs that
 start with ``PMID:`` never match.
 
-A ``startswith`` join between two columns would be a nested loop. Instead
-labels are keyed by ``(L, first L folded characters)`` for each variant
-length L that occurs, which makes it an equi-join:
-
-1. variants (small side) -> distinct requested keys (L, prefix);
-2. labels are expanded only at the requested lengths and semi-joined to the
-   requested keys *before* any aggregation, so a short, popular prefix never
-   drags every label through the shuffle;
-3. one winner per key (partial aggregation map-side: a hot prefix is
-   combined before it is shuffled);
-4. join winners back to variants, keep the lowest variant ordinal per name.
-
-The set of variant lengths is bounded by the longest input name and is read
-as a small list of integers to build the label expansion.
+A ``startswith`` join between two columns would be a nested loop. In sorted
+order, though, all texts with a prefix stand together right after the prefix
+itself, so the first label at or after a variant is its only candidate. Variants
+and labels are therefore sorted together once (range-partitioned, staged), a
+running value carries the nearest following label to each variant, and the
+first label of the next partition that has one serves those at a partition's
+end. Work is linear in labels and variants; nothing is expanded by length.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from conceptnorm.functions.names import (clean_variants, paren_strips, remove_abbreviations,
@@ -32,8 +25,8 @@ from conceptnorm.functions.scalars import ascii_lower, not_excluded_for_names
 from conceptnorm.operators.keys import stage
 from conceptnorm.plans.vocabulary import Vocabulary
 
-# requested (length, prefix) keys are broadcast below this many rows
-MAX_BROADCAST_KEYS = 2_000_000
+# monotonically_increasing_id() = partition index << 33 | row within partition
+_ROW_BITS = 33
 
 
 def variants(names: DataFrame, col: str = "name") -> DataFrame:
@@ -54,35 +47,37 @@ def variants(names: DataFrame, col: str = "name") -> DataFrame:
               .where(F.col("variant").isNotNull()))
 
 
+def next_labels(keys: DataFrame, labels: DataFrame) -> DataFrame:
+    """(vkey, best): for each distinct ``vkey`` the first label (struct of
+    lkey, label, curie) at or after it in binary order, NULL past the last."""
+    label = F.struct("lkey", "label", "curie")
+    both = (keys.select("vkey", F.lit(None).cast("struct<lkey:string,label:string,curie:string>").alias("best"))
+            .unionByName(labels.select(F.col("lkey").alias("vkey"), label.alias("best"))))
+    order = ["vkey", F.col("best").asc_nulls_first()]
+    ranged = stage(both.repartitionByRange(*order).sortWithinPartitions(*order)
+                   .withColumn("_mid", F.monotonically_increasing_id()), "sorted-names")
+    ranged = ranged.withColumn("_pid", F.shiftright("_mid", _ROW_BITS))
+    # from a partition's end to its start: the label met last
+    running = (Window.partitionBy("_pid").orderBy(F.col("_mid").desc())
+               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    # one row per partition: the first label of those after it
+    firsts = ranged.groupBy("_pid").agg(F.min_by("best", F.when(F.col("best").isNotNull(), F.col("_mid"))).alias("_first"))
+    later = Window.orderBy(F.col("_pid").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    after = firsts.select("_pid", F.last("_first", ignorenulls=True).over(later).alias("_after"))
+    return (ranged.withColumn("_near", F.last("best", ignorenulls=True).over(running))
+                  .where(F.col("best").isNull()).join(after, "_pid")
+                  .select("vkey", F.coalesce("_near", "_after").alias("best")))
+
+
 def name_to_curie(vocab: Vocabulary, names: DataFrame, col: str = "name") -> DataFrame:
     """(name, curie, label) per distinct input name; NULLs when no match."""
-    var = stage(variants(names, col)
-                .withColumn("vkey", ascii_lower("variant"))
-                .withColumn("vlen", F.length("vkey")), "variants")
-    requested = var.select("vlen", "vkey").distinct()
-    # one small action: how many keys (the broadcast bound) and which lengths
-    summary = requested.agg(F.count(F.lit(1)).alias("n"),
-                            F.array_sort(F.collect_set("vlen")).alias("lengths")).first()
-    lengths = list(summary["lengths"] or [])
-    if summary["n"] <= MAX_BROADCAST_KEYS:
-        requested = F.broadcast(requested)
-
+    var = stage(variants(names, col).withColumn("vkey", ascii_lower("variant")), "variants")
     labels = (vocab.identifiers
               .where(F.col("label").isNotNull() & not_excluded_for_names("curie"))
               .select("curie", "label", ascii_lower("label").alias("lkey")))
-    if lengths:
-        expanded = (labels
-                    .select("curie", "label", "lkey",
-                            F.explode(F.array(*[F.lit(n) for n in lengths])).alias("vlen"))
-                    .where(F.length("lkey") >= F.col("vlen"))
-                    .withColumn("vkey", F.col("lkey").substr(F.lit(1), F.col("vlen"))))
-    else:
-        expanded = labels.select("curie", "label", "lkey", F.lit(0).alias("vlen"),
-                                 F.lit("").alias("vkey")).where(F.lit(False))
-    wanted = expanded.join(requested, ["vlen", "vkey"], "left_semi")
-    winners = (wanted.groupBy("vlen", "vkey")
-                     .agg(F.min(F.struct("lkey", "label", "curie")).alias("best")))
-    matched = (var.join(winners, ["vlen", "vkey"])
+    winners = (next_labels(var.select("vkey").distinct(), labels)
+               .where(F.startswith(F.col("best.lkey"), F.col("vkey"))))
+    matched = (var.join(winners, "vkey")
                   .groupBy("name")
                   .agg(F.min_by("best", "variant_ord").alias("best")))
     return (names.select(F.col(col).alias("name")).distinct()
