@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,14 +25,34 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
+_STAGED: ContextVar[list[str] | None] = ContextVar("staged", default=None)
+
+
+def stage(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
     """Write a frame as Parquet to the shared folder and read it back. This cuts the lineage:
-    a lost executor costs tasks, never rows, and nothing is computed twice."""
+    a lost executor costs tasks, never rows, and nothing is computed twice. Within
+    ``intermediates`` the folder goes at its end, unless it is to be kept."""
     path = f"{shared_folder(df.sparkSession)}/llm/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    if not keep and (paths := _STAGED.get()) is not None:
+        paths.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def intermediates(spark: SparkSession):
+    """Delete what is staged inside the block once it ends: for whoever writes a result there."""
+    paths: list[str] = []
+    token = _STAGED.set(paths)
+    try:
+        yield
+    finally:
+        _STAGED.reset(token)
+        for p in paths:
+            path = spark._jvm.org.apache.hadoop.fs.Path(p)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def small(df: DataFrame, max_rows: int) -> DataFrame:
     """Mark a frame for broadcast if it is proven to hold no more than ``max_rows`` rows of
     fixed width; a larger one is returned as it is and joined by a shuffle."""

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from conceptnorm.llm import decontaminate, language, mixing, near_dup
-from conceptnorm.llm.common import stage
+from conceptnorm.llm.common import intermediates, stage
 from conceptnorm.llm.queries import language_prototypes, sharded
 
 
@@ -53,7 +53,9 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last stage's rows. What a stage has staged on its way is deleted once it is written."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage_of in STAGES:
-        docs = stage(stage_of(spark, docs, sf_dir), f"pipeline-{name}")
+        with intermediates(spark):
+            docs = stage(stage_of(spark, docs, sf_dir), f"pipeline-{name}", keep=True)
     return docs
