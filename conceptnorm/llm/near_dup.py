@@ -9,10 +9,10 @@ by the pair of band i of the first collection and band j of the second: half * h
 A pair key can only be shared if both of its bands are, so bands that one set alone holds are
 dropped first. Equal sets are one class, so copies cost nothing further. Candidates are compared
 on their full sets. Within a table's bucket no list of all pairs is made: each class is compared
-with one hub first, the least that it meets, and linked ones fall into one component. Then only
-members that are still in different components are compared with the bucket's first hubs, the next
-ones, and so on, until every bucket is settled. That gives the components of all links between
-members of a bucket. Components come from pointer jumping and alternating star contraction on
+with one hub first, the least that it meets, then with one other hub in each of a few rounds, and
+linked ones fall into one component. Only members that are still in different components are then
+compared with the bucket's first hubs, the next ones, and so on, until every bucket is settled. That
+gives the components of all links between members of a bucket. Components come from pointer jumping and alternating star contraction on
 staged edges; nothing of that is collected.
 
 Defined results: the set of a text is its distinct n-word shingles; of a text with fewer words,
@@ -38,8 +38,9 @@ from conceptnorm.llm.words import Words, grams, mix, slices
 HALF, ROWS, SEED = 16, 3, 20240607
 #: A frame of ids is broadcast up to so many rows (16 bytes each).
 BROADCAST_IDS = 1_000_000
-#: The first round compares with one hub; each later one with eight times as many.
-FIRST_HUBS, MORE_HUBS = 1, 8
+#: Rounds in which each class is compared with one hub only. Then come rounds with all of a bucket's
+#: first hub, the next eight, and so on.
+SINGLE_ROUNDS, FIRST_HUBS, MORE_HUBS = 3, 1, 8
 
 
 def shingle_sets(words: Words, n: int) -> Iterator[np.ndarray]:
@@ -204,32 +205,61 @@ def _linked(docs: DataFrame, classes: DataFrame, tables: DataFrame, shingle: int
     if more is not None:
         roots = star_components(more.unionByName(roots.select(F.col("node").alias("a"), F.col("root").alias("b"))))
 
-    # then, in buckets whose members aren't in one component yet, members of different ones
-    live = _unsettled(tables.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")))
-    if not live.head(1):
+    # then, in buckets whose members aren't in one component yet, members of different ones: first
+    # each with one other hub a round, which joins up what is densely linked
+    live = stage(_unsettled(tables.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))), "live")
+    links = None
+    for r in range(SINGLE_ROUNDS):
+        if not live.head(1):
+            break
+        draw = F.xxhash64("node", F.lit(r))
+        hubs = live.groupBy("bucket").agg(F.min(F.struct(draw.alias("draw"), "node", "root", "n_shingles")).alias("hub"))
+        pairs = live.join(hubs, "bucket").filter((F.col("root") != F.col("hub.root")) & _close(percent, "n_shingles", "hub.n_shingles"))
+        pairs = pairs.groupBy(F.col("node").alias("a"), F.col("root").alias("root_a")).agg(F.min("hub").alias("hub"))
+        pairs = pairs.select("a", F.col("hub.node").alias("b"), "root_a", F.col("hub.root").alias("root_b"))
+        new = _new_links(pairs, sets, percent)
+        links = new if links is None else links.unionByName(new)
+        # each root under the least that it is linked with: a forest
+        hooks = new.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).groupBy("a").agg(F.min("b").alias("b"))
+        live = stage(_unsettled(_moved(live, forest_roots(hooks))), "live")
+    if live.head(1):
+        more = _exhausted(live, sets, percent)
+        if more is not None:
+            links = more if links is None else links.unionByName(more)
+    if links is None:
         return roots
+    return star_components(links.unionByName(roots.select(F.col("node").alias("a"), F.col("root").alias("b"))))
+
+
+def _new_links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(a, b): pairs of roots of which members (a, b of ``pairs``) are linked."""
+    return stage(_verified(pairs, sets, percent).select(F.col("root_a").alias("a"), F.col("root_b").alias("b")).distinct(), "links")
+
+
+def _moved(live: DataFrame, merged: DataFrame) -> DataFrame:
+    """The rows under the roots that theirs have come to."""
+    return live.join(merged.select(F.col("node").alias("root"), F.col("root").alias("to")), "root", "left") \
+        .withColumn("root", F.coalesce("to", "root")).drop("to")
+
+
+def _exhausted(live: DataFrame, sets: DataFrame, percent: int) -> DataFrame | None:
+    """Links between roots from all pairs of a bucket that aren't in one component by then."""
     live = stage(live.withColumn("place", F.row_number().over(Window.partitionBy("bucket").orderBy("node", "n_shingles"))), "ranked")
     links, low, high = None, 1, 1 + FIRST_HUBS
-    while True:
+    while live.head(1):
         near = live.filter((F.col("place") >= low) & (F.col("place") < high)).select(
             "bucket", *(F.col(c).alias(f"hub_{c}") for c in ("node", "root", "place", "n_shingles")))
         pairs = live.join(near, "bucket").filter((F.col("place") > F.col("hub_place")) & (F.col("root") != F.col("hub_root"))
                                                  & _close(percent, "n_shingles", "hub_n_shingles"))
         pairs = pairs.select(F.col("node").alias("a"), F.col("hub_node").alias("b"), F.col("root").alias("root_a"),
                              F.col("hub_root").alias("root_b")).distinct()
-        new = stage(_verified(pairs, sets, percent).select(F.col("root_a").alias("a"), F.col("root_b").alias("b")).distinct(), "links")
+        new = _new_links(pairs, sets, percent)
         if new.head(1):
-            merged = star_components(new)
             links = new if links is None else links.unionByName(new)
-            live = live.join(merged.select(F.col("node").alias("root"), F.col("root").alias("to")), "root", "left") \
-                .withColumn("root", F.coalesce("to", "root")).drop("to")
+            live = _moved(live, star_components(new))
         low, high = high, high * MORE_HUBS
         live = stage(_unsettled(live, F.max("place") > low), "live")
-        if not live.head(1):
-            break
-    if links is None:
-        return roots
-    return star_components(links.unionByName(roots.select(F.col("node").alias("a"), F.col("root").alias("b"))))
+    return links
 
 
 def _unsettled(live: DataFrame, also=None) -> DataFrame:
