@@ -9,6 +9,8 @@ check), variants by regular expressions for depth-1 parentheticals.
 
 from __future__ import annotations
 
+import re
+
 from conceptnorm.functions.names import ABBREVIATION_PATTERN
 from conceptnorm.sources.fixtures import FAULTY
 from conceptnorm.functions.scalars import CURIE_PATTERN, LOWER_ASCII, UPPER_ASCII, WS_CLASS
@@ -518,7 +520,7 @@ _CHECKS = {
         "(SELECT cluster_id FROM conflation_members GROUP BY cluster_id HAVING sum(is_canonical) <> 1)",
 }
 
-ORACLE["audit_violations"] = "WITH " + _faulty_tables().replace(" AS desc)", ' AS "desc")').replace("END AS desc", 'END AS "desc"') + "\n" + \
+ORACLE["audit_violations"] = "WITH " + re.sub(r"AS desc\b", 'AS "desc"', _faulty_tables()) + "\n" + \
     "\nUNION ALL ".join(f"SELECT '{name}' AS check_name, CAST((SELECT count(*) FROM {rows}) AS BIGINT) AS violations"
                         for name, rows in _CHECKS.items())
 
