@@ -3,10 +3,11 @@
 The standard library's parser streams a page's events. They make lines: runs of text between block
 tags, each with the number of tags met since the last. A line's ratio is its characters by its tags;
 ratios are smoothed with a Gaussian, and lines above a threshold (a part of the ratios' deviation)
-are the cluster of content. The region is what holds that content: the page's article or main
-elements with content lines if it has such elements, else the smallest element with most of the
-content's characters. All lines of the region are the text, short ones too, but for those in
-elements that their tag, class, id or role marks as something else (menus, adverts, comments, ...).
+are the cluster of content. The region is what holds that content: the page's article elements or,
+if none has a content line, its main ones; without either, the smallest container around all content
+lines. Lists, tables, quotes and sections are parts of a text and so no containers. All lines of the
+region and of every article are the text, short ones too, but for those in elements that their tag,
+class, id or role marks as something else (menus, adverts, comments, ...).
 
 Defined results: a null or empty page, or one without text, has the empty text; text outside any
 element counts as a line; tags that are never closed end where an outer one does, or with the page;
@@ -16,6 +17,7 @@ columns of the input are ignored.
 
 from __future__ import annotations
 
+import os
 import re
 from collections.abc import Iterator
 from html.parser import HTMLParser
@@ -25,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-SIGMA, RADIUS, THRESHOLD, MOST = 1.0, 2, 0.5, 0.6
+SIGMA, RADIUS, THRESHOLD = 1.0, 2, 0.5
 
 # fixed values: what HTML and common practice mark
 BLOCK = frozenset("""address article aside blockquote body br caption center dd details dialog div dl dt fieldset
@@ -35,6 +37,7 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 NO_TEXT = frozenset("""script style noscript template head title nav footer aside form button select textarea input
 iframe object svg math canvas audio video map dialog menu datalist""".split())
 CONTENT = frozenset(("article", "main"))
+CONTAINERS = frozenset("html body main article div center".split())
 OTHER_ROLES = frozenset("""navigation banner contentinfo complementary search form menu menubar alert alertdialog
 dialog tablist toolbar""".split())
 OTHER_WORDS = frozenset("""ad ads adv advert adverts advertisement advertising adsense adbox adslot adunit sponsor sponsors
@@ -159,22 +162,23 @@ def extract(html: str | None) -> str:
         return ""
     ratios = smoothed(np.array([len(text) / max(1, tags) for text, tags, _, _ in lines]))
     content = ratios >= min(THRESHOLD * float(ratios.std()), float(ratios.max()))
-    sizes: dict[int, int] = {}                   # characters of content lines in each element
-    held: dict[int, int] = {}                    # content lines in it
-    total = 0
-    for (text, _, path, _), c in zip(lines, content, strict=True):
-        if c:
-            total += len(text)
-            for n in path:
-                sizes[n] = sizes.get(n, 0) + len(text)
-                held[n] = held.get(n, 0) + 1
     kind = parser.kind
-    articles = {n for n in sizes if kind[n] == "article"} or {n for n in sizes if kind[n] == "main"}
-    if articles:
-        return " ".join(text for text, _, path, _ in lines if articles.intersection(path))
-    # paths are in order of depth, so later elements with most of the content are the smaller ones
-    region = max((n for n, size in sizes.items() if size >= MOST * total and held[n] > 1), default=-1)
-    return " ".join(text for text, _, path, _ in lines if region < 0 or region in path)
+    paths = [path for (_, _, path, _), c in zip(lines, content, strict=True) if c]
+    held = {n for path in paths for n in path}
+    articles = {n for _, _, path, _ in lines for n in path if kind[n] == "article"}
+    if held & articles:
+        region = articles
+    elif mains := {n for n in held if kind[n] == "main"}:
+        region = mains | articles
+    else:
+        # the element that itself holds a page's only content line isn't what stands around it
+        around = os.path.commonprefix(paths) if len(paths) > 1 else paths[0][:-1]
+        while around and kind[around[-1]] not in CONTAINERS:
+            around = around[:-1]
+        if not around:
+            return " ".join(text for text, _, _, _ in lines)
+        region = {around[-1]} | articles
+    return " ".join(text for text, _, path, _ in lines if region.intersection(path))
 
 
 def main_text(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", extra: list[str] | None = None) -> DataFrame:

@@ -23,6 +23,25 @@ def test_pages(html, text):
     assert extract(html) == text
 
 
+ITEMS = "".join(f"<li>{i} {LONG}</li>" for i in range(20))
+LISTED = " ".join(f"{i} {LONG}" for i in range(20))
+
+
+@pytest.mark.parametrize("html,text", [
+    (f"<div><h2>T</h2><p>intro</p><ul>{ITEMS}</ul><p>end</p></div>", f"T intro {LISTED} end"),
+    (f"<body><h2>T</h2><p>a</p><p>b</p><p>c</p><p>d</p><ol>{ITEMS}</ol><p>e</p><p>f</p><p>g</p><p>h</p></body>", f"T a b c d {LISTED} e f g h"),
+    (f"<div><h2>T</h2><p>by X</p><p>a</p><p>b</p><blockquote>{'<p>' + LONG + '</p>'}{'<p>' + LONG + '</p>'}</blockquote><p>c</p><p>d</p><p>e</p></div>",
+     f"T by X a b {LONG} {LONG} c d e"),
+    (f"<div><h1>T</h1><p>a</p><p>b</p><section>{ITEMS}</section><p>c</p><p>d</p><p>e</p></div>", f"T a b {LISTED} c d e"),
+    ("<div>" + f"<div>{f'<p>{LONG}</p>' * 13}</div><div>{f'<p>{LONG}</p>' * 7}</div>" + "</div>", " ".join([LONG] * 20)),
+    (f"<div><p>a</p><p>b</p><p>c</p><p>{LONG * 9}</p><p>d</p><p>e</p><p>f</p></div>", f"a b c {LONG * 9} d e f"),
+    (f"<article>{f'<p>{LONG}</p>' * 9}</article><div><p>a</p><p>b</p><p>c</p></div><article><p>x</p></article>", " ".join([LONG] * 9) + " x"),
+    (f"<div><nav>{LONG}</nav><p>{LONG}</p><ul>{ITEMS}</ul></div><footer>{LONG}</footer>", f"{LONG} {LISTED}"),
+])
+def test_dominant_parts_do_not_drop_the_rest(html, text):
+    assert extract(html) == text
+
+
 def test_smoothing_keeps_a_constant():
     import numpy as np
     assert np.allclose(smoothed(np.full(9, 3.0)), 3.0) and len(smoothed(np.ones(2))) == 2
