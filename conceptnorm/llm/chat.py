@@ -12,11 +12,13 @@ makes of it; turns are tokenized one by one, so shared turns have shared tokens.
 are under the loss mask.
 
 A node is known by the sum of hashes of (place, role, text) of its turns, 2 x 64 bits, which a
-running sum gives without collecting a conversation. Its place in the line comes from its first
-conversation: conversations sorted by their nodes keep those with a shared beginning together, so
-a node's first conversation and its depth sort the tree depth first. Offsets in the line are sums
-over blocks and within them. A conversation is read back as a stream of its sorted turns, with
-running digests.
+running sum gives without collecting a conversation. Of a node's children the one that most
+conversations go through carries its branch on, each other one begins a branch; so a conversation
+of n is on 1 + log2(n) branches at most, however long it is. A branch is known by the beginnings
+of branches on its path, later ones first where two leave the same branch. That list of
+bounded length sorts the branches depth first, and branch and depth sort the nodes. Offsets in the
+line are sums over blocks and within them. A conversation is read back as a stream of its sorted
+turns, with running digests.
 
 Defined results: rows of a conversation are sorted by turn, then role and text, null first; a null
 text or role is the empty string; rows without a conversation id are one conversation with id null;
@@ -82,14 +84,15 @@ def parsed(line: str) -> Iterator[tuple[str, str]]:
 
 
 def turns(conversations: DataFrame) -> DataFrame:
-    """conv_id, depth (from 1), role, text, node (key of the turns so far)."""
+    """conv_id, depth (from 1), role, text, node (key of the turns so far), parent (that of those before)."""
     rows = conversations.select("conv_id", "turn", F.coalesce(F.col("role").cast("string"), F.lit("")).alias("role"),
                                 F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     line = Window.partitionBy("conv_id").orderBy(F.col("turn").asc_nulls_first(), "role", "text")
     rows = rows.withColumn("depth", F.row_number().over(line)).drop("turn")
     so_far = Window.partitionBy("conv_id").orderBy("depth").rowsBetween(Window.unboundedPreceding, 0)
     own = [F.sum(F.xxhash64(F.lit(seed), "depth", "role", "text").cast("decimal(20,0)")).over(so_far).alias(f"k{seed}") for seed in (1, 2)]
-    return rows.select("*", *own).withColumn("node", F.struct("depth", "k1", "k2")).drop("k1", "k2")
+    rows = rows.select("*", *own).withColumn("node", F.struct("depth", "k1", "k2")).drop("k1", "k2")
+    return rows.withColumn("parent", F.lag("node").over(Window.partitionBy("conv_id").orderBy("depth")))
 
 
 def _offsets(rows: DataFrame, order: list[str], size: str, out: str) -> DataFrame:
@@ -110,14 +113,31 @@ def utf8(text: str) -> list[int]:
     return list(text.encode())
 
 
+def branches(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(nodes, owners): node, role, text and rank of its branch in depth-first order; for each
+    branch (of, its rank) a conversation that ends it (owner)."""
+    nodes = stage(rows.groupBy("node").agg(F.count("*").alias("n"), F.first("parent").alias("parent"), F.first("role").alias("role"),
+                                           F.first("text").alias("text")), "counted")
+    on = nodes.filter("parent IS NOT NULL").groupBy("parent").agg(F.max(F.struct("n", "node"))["node"].alias("on"))
+    first = nodes.join(on, F.col("node") == F.col("on"), "left").select("node", F.col("on").isNull().alias("first"))
+    path = Window.partitionBy("conv_id").orderBy("node")
+    so_far = path.rowsBetween(Window.unboundedPreceding, 0)
+    marked = rows.select("conv_id", "node").join(first, "node")
+    marked = stage(marked.withColumn("branch", F.last(F.when(F.col("first"), F.col("node")), ignorenulls=True).over(so_far)), "branches")
+    key = F.struct((-F.col("node.depth")).alias("d"), F.col("node.k1").alias("k1"), F.col("node.k2").alias("k2"))
+    keys = marked.filter("first").withColumn("key", F.collect_list(key).over(so_far)).groupBy("branch").agg(F.first("key").alias("key"))
+    ranks = _offsets(keys.withColumn("one", F.lit(1)), ["key"], "one", "rank").select("branch", "rank")
+    ends = marked.groupBy("branch").agg(F.max(F.struct("node", "conv_id"))["conv_id"].alias("owner"))
+    ranks = stage(ranks.join(ends, "branch"), "ranks")
+    at = marked.groupBy("node").agg(F.first("branch").alias("branch")).join(ranks.select("branch", "rank"), "branch").select("node", "rank")
+    return nodes.select("node", "role", "text").join(at, "node"), ranks.select(F.col("rank").alias("of"), "owner")
+
+
 def tree(rows: DataFrame, tokenize: Callable[[str], list[int]] = utf8) -> DataFrame:
     """The nodes, once each: node, depth, role, written, tokens, start (of its tokens in the line),
     position (id of its first token), attends (intervals of the line with its ancestors, end
     exclusive, before its own causal part), loss (whether its text is under the mask)."""
-    paths = rows.groupBy("conv_id").agg(F.array_sort(F.collect_list("node")).alias("path"))
-    ranks = _offsets(paths.withColumn("one", F.lit(1)), ["path", "conv_id"], "one", "rank").select(F.col("conv_id").alias("owner"), "rank")
-    ranked = rows.join(ranks, F.col("conv_id").eqNullSafe(F.col("owner")))
-    nodes = ranked.groupBy("node").agg(F.min("rank").alias("rank"), F.first("role").alias("role"), F.first("text").alias("text"))
+    nodes, owners = branches(rows)
     nodes = nodes.select("node", "node.depth", "rank", "role", written(F.col("role"), F.col("text")).alias("written"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -130,9 +150,9 @@ def tree(rows: DataFrame, tokenize: Callable[[str], list[int]] = utf8) -> DataFr
     nodes = nodes.mapInArrow(run, f"{_ddl(nodes)}, tokens array<int>, n_tokens bigint")
     nodes = _offsets(nodes, ["rank", "depth"], "n_tokens", "start")
     nodes = stage(nodes, "nodes")
-    # along the first conversation of each node: where its ancestors stand
-    line = ranked.select("conv_id", F.col("rank").alias("of"), "node").join(
-        nodes.select("node", "depth", "rank", "start", "n_tokens"), "node")
+    # along the conversation that ends each branch: where the ancestors of its nodes stand
+    line = rows.select("conv_id", "node").join(owners, F.col("conv_id").eqNullSafe(F.col("owner"))).select("of", "node") \
+        .join(nodes.select("node", "depth", "rank", "start", "n_tokens"), "node")
     ancestors = line.repartition("of").sortWithinPartitions("of", "depth").select("of", "rank", "depth", "start", "n_tokens") \
         .mapInArrow(_ancestors, "rank bigint, depth int, position bigint, attends array<struct<start: bigint, end: bigint>>")
     return nodes.join(ancestors, ["rank", "depth"]).withColumn("loss", F.col("role") == LOSS_ROLE).drop("n_tokens", "rank")
@@ -143,8 +163,8 @@ def _ddl(df: DataFrame) -> str:
 
 
 def _ancestors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by conversation and depth; gives those that the conversation owns. Neighbouring
-    intervals are merged, so the list is as long as the path has branches."""
+    """Rows sorted by branch and depth; gives those that are on the branch itself. Neighbouring
+    intervals are merged, so the list is no longer than the path has branches."""
     kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
     now, spans, position = None, [], 0
     for batch in batches:

@@ -69,3 +69,36 @@ def test_own_tokenizer_and_empty_table(spark):
     assert nodes.count() == 2
     assert {r["conv_id"]: r["n_tokens"] for r in C.read_back(nodes, leaves).collect()} == {1: 4, 2: 7}
     assert C.read_back(*C.formatted(d.limit(0))).collect() == []
+
+
+def test_one_conversation_of_a_third_of_the_rows(spark, monkeypatch):
+    # 40 conversations leave a long one, and a few share more with each other
+    long = [f"t{i}" for i in range(820)]
+    convs = {0: long} | {c: long[:c] + [f"x{c}"] for c in range(1, 41)} | {c + 100: long[:c * 2] + ["y", f"z{c % 3}", f"w{c}"] for c in range(25)}
+    rows = [(c, i, "user", t) for c, turns in convs.items() for i, t in enumerate(turns)]
+    assert 3 * len(long) >= len(rows)
+    widest = []
+    offsets = C._offsets
+
+    def seen(frame, order, size, out):
+        kinds = dict(frame.dtypes)
+        widest.extend(frame.selectExpr(f"max(size({x}))").first()[0] for x in order if kinds[x].startswith("array"))
+        return offsets(frame, order, size, out)
+
+    monkeypatch.setattr(C, "_offsets", seen)
+    nodes, leaves = C.formatted(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"))
+    assert all(n <= 1 + len(convs).bit_length() for n in widest)
+    got = {r["conv_id"]: r["turns_sha256"] for r in C.read_back(nodes, leaves).collect()}
+    assert got == {c: hashlib.sha256("".join(f"user\n{t}\n" for t in turns).encode()).hexdigest() for c, turns in convs.items()}
+    at, path = 0, []
+    tree = sorted(nodes.collect(), key=lambda r: r["start"])
+    assert len(tree) == len({tuple(turns[:i + 1]) for turns in convs.values() for i in range(len(turns))})
+    seen_paths = set()
+    for r in tree:
+        path = path[: r["depth"] - 1]
+        assert r["start"] == at and len(path) == r["depth"] - 1 and len(r["attends"]) <= 1 + len(convs).bit_length()
+        assert [i for s in r["attends"] for i in range(s["start"], s["end"])] == [i for x in path for i in range(x["start"], x["start"] + len(x["tokens"]))]
+        path.append(r)
+        seen_paths.add(tuple(list(C.parsed(x["written"]))[0][1] for x in path))
+        at += len(r["tokens"])
+    assert seen_paths == {tuple(turns[:i + 1]) for turns in convs.values() for i in range(len(turns))}
