@@ -1,14 +1,14 @@
 """Toxicity by compression distance, with two zstandard dictionaries.
 
-One dictionary is made of toxic text and one of ordinary text. A document is cut into windows of
-``WINDOW`` words; each is compressed with either dictionary, and the bytes that the toxic one saves are its
+One dictionary is made of toxic text and one of ordinary text. A document is cut into overlapping
+windows of ``WINDOW`` words; each is compressed with either dictionary, and the bytes that the toxic one saves are its
 margin. The document's score is a logistic function of how many of its windows, and what share of
 them, reach each margin. Its weights, and the margin from which a window counts as toxic, are
 calibrated.
 
 zstandard's own trainer keeps what is frequent, which is much the same in both classes. So each
-dictionary is the trained content of a sample of ordinary text, which both share, and then the words
-and beginnings of words that set its class apart, being found in many more of its documents. The
+dictionary is the trained content of a sample of ordinary text, which both share, and after it the words,
+beginnings of words and phrases that set its class apart, being found in many more of its documents. The
 shared part lies at the same distance in both, so a window's lengths differ only by what sets the
 classes apart.
 
@@ -24,6 +24,7 @@ several labels is toxic if one of them says so. Other columns are ignored.
 from __future__ import annotations
 
 import math
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -38,7 +39,8 @@ from conceptnorm.llm.words import Words, slices
 
 #: Labelled documents of each class that are learned from, at most.
 SAMPLE = 3000
-WINDOW, MARGINS = 1, 8
+#: Windows of so many words, one beginning after so many; a margin of so many bytes or more.
+WINDOW, STEP, MARGINS = 10, 5, 16
 #: Beginnings of words are looked at with so many characters.
 BEGINNINGS = range(4, 9)
 #: A window is stored as it is unless it gets some bytes shorter, and then its lengths tell nothing.
@@ -46,7 +48,9 @@ BEGINNINGS = range(4, 9)
 #: As no match begins in the last eight bytes, some of that text comes after it too.
 LEAD_BYTES = 64
 SHARED_BYTES, CLASS_BYTES = 16 << 10, 16 << 10
-#: A word or beginning sets a class apart if so many times the other's share of documents hold it,
+#: Phrases have up to so many words.
+PHRASE = 3
+#: A word, beginning or phrase sets a class apart if so many times the other's share of documents hold it,
 #: and if the log-likelihood ratio of that is no accident among all there are.
 TIMES, LEAST_G = 4.0, 30.0
 RIDGE = 0.3
@@ -88,21 +92,13 @@ def margins(model: Model, column: pa.Array) -> Iterator[np.ndarray]:
     words = Words(column)
     data = words.data.tobytes()
     ordinary, toxic = _compressor(model.ordinary).compress, _compressor(model.toxic).compress
-    known: dict[bytes, int] = {}                 # windows that come again aren't compressed again
     for first, end in zip(words.first[:-1].tolist(), words.first[1:].tolist(), strict=True):
         counts = [0] * (MARGINS + 1)
-        starts, ends = words.starts[first:end:WINDOW].tolist(), words.ends[first + WINDOW - 1:end:WINDOW].tolist()
-        if len(ends) < len(starts):
-            ends.append(int(words.ends[end - 1]))
-        for a, b in zip(starts, ends, strict=True):
-            window = data[a:b]
-            margin = known.get(window)
-            if margin is None:
-                part = model.lead + window + model.tail
-                margin = max(0, min(MARGINS, len(ordinary(part)) - len(toxic(part))))
-                if b - a <= 64:
-                    known[window] = margin
-            counts[margin] += 1
+        # the last window is the first that reaches the end
+        begins = range(first, max(first + 1, end - WINDOW + STEP), STEP) if end > first else range(0)
+        for i in begins:
+            part = model.lead + data[words.starts[i]:words.ends[min(i + WINDOW, end) - 1]] + model.tail
+            counts[max(0, min(MARGINS, len(ordinary(part)) - len(toxic(part))))] += 1
         yield np.array(counts)
 
 
@@ -110,18 +106,42 @@ def _parts(word: str) -> set[str]:
     return {f" {word} "} | {f" {word[:n]}" for n in BEGINNINGS if n < len(word)}
 
 
-def _apart(own: list[set[str]], other: list[set[str]]) -> bytes:
-    """The words and beginnings that set a class apart, the most telling at the end, CLASS_BYTES at most."""
-    here, there = (Counter(x for doc in docs for x in {p for w in doc for p in _parts(w)}) for docs in (own, other))
+def _phrases(words: list[str]) -> set[str]:
+    return {f" {' '.join(words[i:i + n])} " for n in range(2, PHRASE + 1) for i in range(len(words) - n + 1)}
+
+
+def _bucket(phrase: str) -> int:
+    return zlib.crc32(phrase.encode()) & 0xFFFFF
+
+
+def _apart(own: list[list[str]], other: list[list[str]]) -> bytes:
+    """The words, beginnings and phrases that set a class apart, the most telling at the end, CLASS_BYTES at most."""
     share = len(own) / (len(own) + len(other))
+    # phrases are counted if their bucket has as many as tell something
+    least = LEAST_G / (2 * math.log(1 / share))
+    buckets = np.zeros(1 << 20, np.int32)
+    for doc in own:
+        buckets[list({_bucket(x) for x in _phrases(doc)})] += 1
+
+    def counted(docs: list[list[str]]) -> Counter:
+        return Counter(x for doc in docs for x in {p for w in set(doc) for p in _parts(w)} | {p for p in _phrases(doc) if buckets[_bucket(p)] >= least})
+
+    here, there = counted(own), counted(other)
     found = {}
     for part, n in here.items():
         m = there[part]
         g = 2 * (n * math.log(n / (share * (n + m))) + (m * math.log(m / ((1 - share) * (n + m))) if m else 0))
         if g >= LEAST_G and n * len(other) >= TIMES * m * len(own):
             found[part] = g
+    # a phrase that a shorter one, or a word of it, says as well isn't needed
+    for part in sorted(found, key=len):
+        words = part.split()
+        if len(words) > 1 and part in found:
+            inner = (f" {' '.join(words[i:i + n])} " for n in range(1, len(words)) for i in range(len(words) - n + 1))
+            if any(found[part] <= 1.1 * found.get(x, 0) for x in inner):
+                del found[part]
     # a beginning that a longer one says as well, or better, isn't needed
-    for part in sorted(found, key=len, reverse=True):
+    for part in sorted((x for x in found if len(x.split()) == 1), key=len, reverse=True):
         for n in BEGINNINGS:
             short = part[:n + 1]
             if short != part and found.get(short, math.inf) <= 1.1 * found.get(part, 0):
@@ -140,17 +160,27 @@ def _words(text: str) -> list[str]:
     return [words.text(i, 1).decode() for i in range(len(words.starts))]
 
 
-def dictionaries(samples: list[tuple[str, int]]) -> Model:
-    """samples: (text, 1 if toxic else 0)."""
-    docs = [(_words(text or ""), y) for text, y in samples]
-    sets = [[set(words) for words, y in docs if y == k] for k in (0, 1)]
-    parts = [" ".join(words[i:i + 64]).encode() for words, y in docs if not y for i in range(0, len(words), 64)]
+def _trained(docs: list[list[str]], size: int) -> bytes:
+    """zstandard's dictionary of the documents' windows."""
+    windows = [" ".join(words[i:i + WINDOW]).encode() for words in docs for i in range(0, len(words), WINDOW)]
     try:
-        shared = zstandard.train_dictionary(SHARED_BYTES, parts, level=3).as_bytes()
+        return zstandard.train_dictionary(size, windows, level=3).as_bytes()
     except zstandard.ZstdError:      # too little text to train on
-        shared = b" ".join(parts)[-SHARED_BYTES:]
-    ordinary, toxic = _apart(sets[0], sets[1]), _apart(sets[1], sets[0])
-    return Model(ordinary + shared, toxic + shared, shared[-LEAD_BYTES:] + b" ", b" " + shared[-LEAD_BYTES:-LEAD_BYTES + 16])
+        return b" ".join(windows)[-size:]
+
+
+def dictionaries(samples: list[tuple[str, int]], plain: bool = False) -> Model:
+    """samples: (text, 1 if toxic else 0). plain: each dictionary as zstandard's trainer makes it of
+    its class's windows, without more."""
+    docs = [[_words(text or "") for text, y in samples if y == k] for k in (0, 1)]
+    if plain:
+        return Model(*(_trained(own, SHARED_BYTES + CLASS_BYTES) for own in docs))
+    shared = _trained(docs[0], SHARED_BYTES)
+    # last, where the search for matches begins; and as long, so the shared part is as far in both
+    apart = [_apart(docs[k], docs[1 - k]) for k in (0, 1)]
+    longest = max(map(len, apart))
+    ordinary, toxic = (shared + bytes(longest - len(part)) + part for part in apart)
+    return Model(ordinary, toxic, shared[-LEAD_BYTES:] + b" ", b" " + shared[-LEAD_BYTES:-LEAD_BYTES + 16])
 
 
 def calibrate(model: Model, counts: np.ndarray, labels: np.ndarray, odds: float | None = None) -> Model:

@@ -63,3 +63,24 @@ def test_margins_are_differences_of_compressed_lengths():
         part = model.lead + " ".join(words[i:i + T.WINDOW]).encode() + model.tail
         want[max(0, min(T.MARGINS, len(a.compress(part)) - len(b.compress(part))))] += 1
     assert counts.tolist() == want.tolist()
+
+
+def test_phrases_of_ordinary_words():
+    # every word is as frequent in either class; toxic documents hold phrases of them, the others the same backwards
+    import pyarrow as pa
+    rng = random.Random(17)
+    words = [a + b + c for a in "ka lo mi ru te vi zo pe".split() for b in "den fas gor lim rup sok wab hel".split() for c in "t ny ra ek".split()]
+    phrases = ["kadent migorny lofast", "rufasny kagort", "lodenny rugort mifast"]
+    rows = []
+    for i in range(600):
+        text = [rng.choice(words) for _ in range(rng.randrange(40, 80))]
+        for _ in range(4):
+            at = rng.randrange(len(text))
+            text[at:at] = rng.choice(phrases).split()[::1 if i % 3 == 0 else -1]
+        rows.append((" ".join(text), int(i % 3 == 0)))
+    model = T.dictionaries(rows[:400])
+    counts, y = np.array(list(T.margins(model, pa.array([t for t, _ in rows])))), np.array([float(k) for _, k in rows])
+    model = T.calibrate(model, counts[400:500], y[400:500])
+    held = np.array([model.score(x) for x in counts[500:]])
+    toxic, ordinary = held[y[500:] == 1], held[y[500:] == 0]
+    assert (toxic[:, None] > ordinary).mean() >= 0.9
