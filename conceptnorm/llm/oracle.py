@@ -99,3 +99,64 @@ SELECT doc_id, {', '.join(f"CAST(coalesce(n_{r.kind}, 0) AS BIGINT) AS n_{r.kind
   sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
 FROM d LEFT JOIN g USING (rid)
 """
+
+
+# all strings of 400 bytes, by their hexadecimal form
+ORACLE["op11_suffix_dedup"] = """
+WITH texts AS (
+  SELECT row_number() OVER () AS d, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+parts AS (       -- 400 starts each, as cutting strings out of a long one takes long
+  SELECT d, 400 * k AS first, substr(h, 800 * k + 1, 1598) AS part
+  FROM (SELECT d, h, unnest(range(0, (len(h) // 2) // 400 + 1)) AS k FROM texts)),
+strings AS (
+  SELECT d, first + unnest(range(0, len(part) // 2 - 399)) AS i,
+         unnest(list_transform(range(0, len(part) // 2 - 399), lambda i: md5_number(substr(part, 2 * i + 1, 800)))) AS s
+  FROM parts),
+twice AS (SELECT s FROM strings GROUP BY s HAVING count(*) > 1),
+starts AS (
+  SELECT d, i, i - lag(i) OVER (PARTITION BY d ORDER BY i) AS step FROM strings WHERE s IN (SELECT s FROM twice)),
+islands AS (
+  SELECT d, i, sum(CASE WHEN step <= 400 THEN 0 ELSE 1 END) OVER (PARTITION BY d ORDER BY i) AS k FROM starts),
+spans AS (SELECT d, k, min(i) AS a, max(i) + 400 AS b FROM islands GROUP BY d, k),
+gaps AS (
+  SELECT d, a, b, coalesce(lag(b) OVER (PARTITION BY d ORDER BY k), 0) AS last FROM spans),
+removed AS (
+  SELECT t.d, count(*) AS n_spans, sum(b - a) AS n_removed, max(b) AS tail,
+         string_agg(substr(h, 2 * last + 1, 2 * (a - last)), '' ORDER BY a) AS kept
+  FROM gaps JOIN texts t ON t.d = gaps.d GROUP BY t.d)
+SELECT doc_id, len(h) // 2 AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0) AS n_spans,
+       sha256(unhex(coalesce(kept, '') || substr(h, 2 * coalesce(tail, 0) + 1))) AS kept_sha256
+FROM texts LEFT JOIN removed ON removed.d = texts.d
+"""
+
+ORACLE["op13_collocations"] = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                      '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents),
+words AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda x: x <> '') AS w FROM pieces),
+totals AS (SELECT lang, sum(len(w)) AS n FROM words GROUP BY lang),
+phrases AS (
+  SELECT lang, k, phrase, count(*) AS f FROM (
+    SELECT lang, 1 AS k, unnest(w) AS phrase FROM words
+    UNION ALL SELECT lang, 2, unnest(list_transform(range(1, len(w)), lambda i: array_to_string(w[i:i + 1], ' '))) FROM words
+    UNION ALL SELECT lang, 3, unnest(list_transform(range(1, len(w) - 1), lambda i: array_to_string(w[i:i + 2], ' '))) FROM words
+    UNION ALL SELECT lang, 4, unnest(list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' '))) FROM words
+    UNION ALL SELECT lang, 5, unnest(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) FROM words)
+  GROUP BY lang, k, phrase HAVING count(*) >= 100),
+own AS (
+  SELECT * FROM phrases c WHERE k > 1 AND NOT EXISTS (
+    SELECT 1 FROM phrases x WHERE x.lang = c.lang AND x.k > c.k AND contains(' ' || x.phrase || ' ', ' ' || c.phrase || ' ')
+      AND 100 * x.f >= 100 * c.f)),
+cuts AS (
+  SELECT c.lang, c.phrase, c.f AS a, j, l.f AS l, r.f AS r, t.n,
+         (1000::HUGEINT * c.f * t.n) // (l.f::HUGEINT * r.f) AS score
+  FROM (SELECT *, string_split(phrase, ' ') AS w, unnest(range(1, k)) AS j FROM own) c
+  JOIN phrases l ON l.lang = c.lang AND l.phrase = array_to_string(c.w[1:j], ' ')
+  JOIN phrases r ON r.lang = c.lang AND r.phrase = array_to_string(c.w[j + 1:], ' ')
+  JOIN totals t ON t.lang = c.lang),
+best AS (SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) AS cut FROM cuts),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM best WHERE cut = 1)
+SELECT lang, rank, phrase, a, l, r, n::BIGINT AS n, score::BIGINT AS score FROM ranked WHERE rank <= 2000
+"""

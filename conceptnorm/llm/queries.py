@@ -7,13 +7,16 @@ from pyspark.sql import functions as F
 
 from conceptnorm.llm import (
     chat,
+    collocations,
     decontaminate,
     language,
     main_text,
     mixing,
     near_dup,
     quality,
+    repeats,
     reshard,
+    runs,
     secret_scan,
     toxicity,
 )
@@ -114,6 +117,36 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *counts, F.sha2(shown(base), 256).alias("base_sha256"), shown(spans).alias("spans"))
 
 
+def op11_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = repeats.without_repeats(table(spark, sf_dir, "documents"))
+    gone = F.aggregate("removed", F.lit(0).cast("bigint"), lambda n, x: n + x["end"] - x["start"])
+    return found.select("doc_id", "n_bytes", gone.alias("n_removed"), F.size("removed").cast("bigint").alias("n_spans"),
+                        F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of every tenth hash, the words from a on are made to repeat with period p."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    g = F.floor(h / 10)
+    n = F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+")).cast("bigint")
+    a = F.when((h % 10 == 0) & (n > 0), g % n)
+    docs = docs.withColumn("a", a).withColumn("p", 1 + F.floor((n - F.col("a")) / (3 + g % 8)))
+    found = runs.periodic_runs(docs, loop=("a", "p"))
+    # the longest run, then least start and period: later rows of the sorted list only if longer
+    first = F.aggregate("runs", F.get("runs", F.lit(0)), lambda x, y: F.when(y["length"] > x["length"], y).otherwise(x))
+    lines = F.transform("runs", lambda x: F.concat(F.concat_ws(",", x["start"], x["length"], x["period"]), F.lit("\n")))
+    return found.withColumn("longest", first).select(
+        "doc_id", F.size("runs").cast("bigint").alias("n_runs"), "longest.start", "longest.length", "longest.period",
+        F.floor(1000 * F.col("longest.length") / F.col("longest.period")).alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_decontamination, op2_chat_format, op3_mixing, op4_quality_rules, op5_resharding, op6_main_text,
-    op7_near_dup, op8_language_id, op9_toxicity, op10_secret_scan)}
+    op7_near_dup, op8_language_id, op9_toxicity, op10_secret_scan, op11_suffix_dedup,
+    op12_periodic_runs, op13_collocations)}
