@@ -7,10 +7,12 @@ from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 
+from conceptnorm.operators import label_order
 from conceptnorm.operators.conflate import normalize_conflation
-from conceptnorm.operators.keys import max_id, stage
+from conceptnorm.operators.keys import max_id, possibly_among, stage
 from conceptnorm.operators.normalize import CompendiaTables, ExistingStore, normalize_compendia
-from conceptnorm.plans.vocabulary import BLOOM_COLUMNS, Vocabulary
+from conceptnorm.plans import layout
+from conceptnorm.plans.vocabulary import Vocabulary
 
 APPENDED = ("identifiers", "cliques", "descriptions", "identifiers_descriptions", "identifiers_cliques",
             "identifiers_taxa", "membership_wide", "cliques_wide")
@@ -31,8 +33,9 @@ def new_rows(store: Vocabulary, records: DataFrame, strict: bool = True,
                               scan_order=scan_order, materialize=False)
     rows = {name: getattr(new, name) for name in APPENDED}
     rows["identifiers"] = new.identifiers.where(new.identifiers["id"] > last)
-    rows["identifiers_taxa"] = new.identifiers_taxa.join(
-        store.identifiers_taxa, ["identifier_id", "taxa_identifier_id"], "left_anti")
+    links = stage(new.identifiers_taxa, "links")
+    old = possibly_among(store.identifiers_taxa, "identifier_id", links.select("identifier_id").distinct())
+    rows["identifiers_taxa"] = links.join(old, ["identifier_id", "taxa_identifier_id"], "left_anti")
     return rows, new
 
 
@@ -49,11 +52,14 @@ def append_to_store(spark: SparkSession, path: str, records: DataFrame, strict:
     ``path``. They are staged first, so no table is read while it grows."""
     rows, new = new_rows(Vocabulary.load(spark, path), records, strict)
     staged = {name: stage(df, f"append-{name}") for name, df in rows.items()}
+    path = path.rstrip("/")
+    bucketed = layout.layout(spark, path)
     for name, df in staged.items():
-        writer = df.write.mode("append")
-        if name in BLOOM_COLUMNS:
-            writer = writer.option(f"parquet.bloom.filter.enabled#{BLOOM_COLUMNS[name]}", "true")
-        writer.parquet(f"{path.rstrip('/')}/{name}")
+        if name in bucketed:
+            layout.append_rows(df, path, name)
+        else:
+            df.write.mode("append").parquet(f"{path}/{name}")
+    label_order.append(staged["identifiers"], path)
     out = Vocabulary.load(spark, path)
     out.rejected = new.rejected
     return out
@@ -74,8 +80,19 @@ def replace_conflation(spark: SparkSession, path: str, lines: DataFrame, strict:
     """A11 on disk: overwrite the conflation tables (and their view) of the
     written store at ``path``; no other file is touched."""
     rebuilt = rebuild_conflation(Vocabulary.load(spark, path), lines, strict, scan_order)
+    path = path.rstrip("/")
+    found = layout.layout(spark, path)
     for name, df in [(name, stage(getattr(rebuilt, name), name)) for name in CONFLATION]:
-        df.write.mode("overwrite").parquet(f"{path.rstrip('/')}/{name}")
+        if name in found:
+            buckets = found[name][0]
+            heavy = layout.heavy_ids(df, layout.BUCKETED[name][1])
+            heavy = heavy if heavy.head(1) else None
+            layout.write_table(df, path, name, buckets, heavy)
+            found[name] = (buckets, heavy is not None)
+        else:
+            df.write.mode("overwrite").parquet(f"{path}/{name}")
+    if found:
+        layout.write_layout(spark, path, [(name, *x) for name, x in found.items()])
     out = Vocabulary.load(spark, path)
     out.rejected = rebuilt.rejected
     return out

@@ -185,6 +185,33 @@ def harvest_curies(records: DataFrame,
     return values.where(is_curie("curie")).distinct()
 
 
+def harvest_any(lines: DataFrame, col: str = "value", strict: bool = True) -> DataFrame:
+    """C10/F11 over lines of any JSON: every distinct CURIE-shaped string value,
+    under whatever keys and at any depth; keys themselves don't count.
+
+    Each line is one VARIANT. Level by level, strings are tested and containers
+    opened (``variant_explode``); a level is staged, so it is parsed and opened
+    once. There are as many levels as the deepest line has. A blank line has
+    no values; what isn't JSON raises, or has none if not ``strict``."""
+    text = F.col(col)
+    parse = F.parse_json if strict else F.try_parse_json
+    nodes = lines.where(F.trim(text) != "").select(parse(text).alias("v"))
+    found = None
+    while True:
+        holds = (F.try_variant_get("v", "$", "array<variant>").isNotNull()
+                 | F.try_variant_get("v", "$", "map<string,variant>").isNotNull())
+        level = nodes.where(F.col("v").isNotNull()).withColumn("_open", holds)
+        level = stage(level.select(F.when(F.col("_open"), F.col("v")).alias("v"),
+                                   F.when(~F.col("_open"), F.try_variant_get("v", "$", "string")).alias("curie")), "level")
+        curies = level.where(F.col("curie").isNotNull() & is_curie("curie")).select("curie").distinct()
+        found = curies if found is None else found.unionByName(curies)
+        inner = level.where(F.col("v").isNotNull()).select("v")
+        if not inner.head(1):
+            return found.distinct()
+        children = inner.sparkSession.tvf.variant_explode(F.col("v").outer())
+        nodes = inner.lateralJoin(children).select(F.col("value").alias("v"))
+
+
 def _leaves(dtype: T.DataType, c: Column) -> list[Column]:
     if isinstance(dtype, T.StringType):
         return [F.array(c)]

@@ -127,6 +127,44 @@ def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
     return df
 
 
+# a Bloom filter's bits per key and at most (8 MB)
+BLOOM_BITS_PER_KEY, MAX_BLOOM_BITS = 16, 1 << 26
+
+
+def _slots(col: str | Column, bits: int) -> list[Column]:
+    h = F.xxhash64(col)
+    return [h.bitwiseAND(F.lit(bits - 1)), F.shiftrightunsigned(h, 32).bitwiseAND(F.lit(bits - 1))]
+
+
+def bloom_filter(keys: DataFrame, col: str) -> tuple[DataFrame, int]:
+    """A Bloom filter (two bits a key) over a column: one staged row with an
+    array of 64-bit words, and its number of bits. Beyond MAX_BLOOM_BITS it
+    only lets more through."""
+    spark, n, bits = keys.sparkSession, keys.count(), 1 << 10
+    while bits < min(MAX_BLOOM_BITS, BLOOM_BITS_PER_KEY * n):
+        bits *= 2
+    slots = keys.where(F.col(col).isNotNull()).select(F.explode(F.array(*_slots(col, bits))).alias("slot"))
+    one = F.lit(1).cast("bigint")
+    words = slots.groupBy(F.shiftright("slot", 6).alias("word")).agg(
+        F.bit_or(F.call_function("shiftleft", one, F.col("slot").bitwiseAND(F.lit(63).cast("bigint")).cast("int"))).alias("w"))
+    # bits / 64 rows at most, whatever the keys
+    dense = spark.range(bits >> 6).withColumnRenamed("id", "word").join(words, "word", "left")
+    row = dense.agg(F.array_sort(F.collect_list(F.struct("word", F.coalesce("w", F.lit(0).cast("bigint")).alias("w")))).alias("x"))
+    return stage(row.select(F.transform("x", lambda y: y["w"]).alias("bits")), "bloom"), bits
+
+
+def possibly_among(df: DataFrame, col: str, keys: DataFrame, key_col: str | None = None) -> DataFrame:
+    """The rows of ``df`` whose ``col`` is among the keys, and about one in
+    sixty of the others: a filter on the scan, before any exchange."""
+    row, bits = bloom_filter(keys, key_col or col)
+    words = row.scalar()
+    for slot in _slots(col, bits):
+        word = F.get(words, F.shiftright(slot, 6).cast("int"))
+        bit = F.call_function("shiftrightunsigned", word, slot.bitwiseAND(F.lit(63).cast("bigint")).cast("int"))
+        df = df.where(bit.bitwiseAND(F.lit(1).cast("bigint")) == 1)
+    return df
+
+
 def max_id(df: DataFrame, col: str = "id") -> int:
     """Largest id of a table, 0 when empty (one scalar to the driver)."""
     top = df.agg(F.max(col).alias("m")).first()["m"]

@@ -9,6 +9,8 @@ would return its rows once per call; unknown CURIEs give no rows unless noted.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -45,16 +47,22 @@ def descriptions_of(vocab: Vocabulary) -> DataFrame:
                  .select("identifier_id", F.col("desc").alias("description")))
 
 
+def _joined(vocab: Vocabulary, table: str, inputs: DataFrame, key: str, columns: list) -> DataFrame:
+    """The inputs joined to a serving table on its bucket column: with its
+    buckets, and with the CURIEs that have a part of their own."""
+    out = [inputs.join(part.select(*columns), key) for part in vocab.parts(table)]
+    return reduce(DataFrame.unionByName, out)
+
+
 # E1 / E2 ------------------------------------------------------------------
 
 def preferred(vocab: Vocabulary, inputs: DataFrame, col: str = "curie") -> DataFrame:
     """(input_curie, preferred_curie, type_curie), one row per clique
     containing the input, repeated for repeated inputs. Other input columns
     (e.g. an ordinal) are carried through."""
-    mw = vocab.membership_wide.select(F.col("member_curie").alias("input_curie"),
-                                      F.col("primary_curie").alias("preferred_curie"),
-                                      "type_curie")
-    return _input(inputs, col, "input_curie").join(mw, "input_curie")
+    return _joined(vocab, "membership_wide", _input(inputs, col, "input_curie"), "input_curie",
+                   [F.col("member_curie").alias("input_curie"), F.col("primary_curie").alias("preferred_curie"),
+                    "type_curie"])
 
 
 def preferred_for(vocab: Vocabulary, curies: list[str]) -> DataFrame:
@@ -89,9 +97,8 @@ def conflation(vocab: Vocabulary, inputs: DataFrame, col: str = "curie") -> Data
     for every member of every cluster containing the input, the input
     included; no de-duplication across clusters."""
     cw = vocab.conflation_wide
-    hits = (_input(inputs, col, "query_curie")
-            .join(cw.select(F.col("member_curie").alias("query_curie"), "cluster_id"),
-                  "query_curie"))
+    hits = _joined(vocab, "conflation_wide", _input(inputs, col, "query_curie"), "query_curie",
+                   [F.col("member_curie").alias("query_curie"), "cluster_id"])
     mates = cw.select("cluster_id", "member_curie",
                       F.col("is_canonical").alias("member_is_canonical"),
                       F.col("conflation_type").alias("conflation_type_id"))

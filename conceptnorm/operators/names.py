@@ -12,6 +12,9 @@ and labels are therefore sorted together once (range-partitioned, staged), a
 running value carries the nearest following label to each variant, and the
 first label of the next partition that has one serves those at a partition's
 end. Work is linear in labels and variants; nothing is expanded by length.
+
+A written store has its labels in that order already (``label_order``): a
+lookup there reads only the files that its variants lead to.
 """
 
 from __future__ import annotations
@@ -21,7 +24,8 @@ from pyspark.sql import functions as F
 
 from conceptnorm.functions.names import (clean_variants, paren_strips, remove_abbreviations,
                                          singular)
-from conceptnorm.functions.scalars import ascii_lower, not_excluded_for_names
+from conceptnorm.functions.scalars import ascii_lower
+from conceptnorm.operators import label_order
 from conceptnorm.operators.keys import stage
 from conceptnorm.plans.vocabulary import Vocabulary
 
@@ -72,11 +76,12 @@ def next_labels(keys: DataFrame, labels: DataFrame) -> DataFrame:
 def name_to_curie(vocab: Vocabulary, names: DataFrame, col: str = "name") -> DataFrame:
     """(name, curie, label) per distinct input name; NULLs when no match."""
     var = stage(variants(names, col).withColumn("vkey", ascii_lower("variant")), "variants")
-    labels = (vocab.identifiers
-              .where(F.col("label").isNotNull() & not_excluded_for_names("curie"))
-              .select("curie", "label", ascii_lower("label").alias("lkey")))
-    winners = (next_labels(var.select("vkey").distinct(), labels)
-               .where(F.startswith(F.col("best.lkey"), F.col("vkey"))))
+    keys, spark = var.select("vkey").distinct(), vocab.identifiers.sparkSession
+    if label_order.files(spark, vocab.path) is not None:
+        found = label_order.next_stored(spark, vocab.path, keys, next_labels)
+    else:
+        found = next_labels(keys, label_order.nameable(vocab.identifiers))
+    winners = found.where(F.startswith(F.col("best.lkey"), F.col("vkey")))
     matched = (var.join(winners, "vkey")
                   .groupBy("name")
                   .agg(F.min_by("best", "variant_ord").alias("best")))

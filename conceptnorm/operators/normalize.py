@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from conceptnorm.functions.scalars import nan_to_null
 from conceptnorm.operators.keys import (bounded_broadcast, dense_ids, dense_ids_by_split, max_id,
-                                        stage, submit)
+                                        possibly_among, stage, submit)
 from conceptnorm.schema import ORDER_KEY, UNKNOWN_TAXON_LABEL
 
 # cliques whose description counts are summed in one window
@@ -211,11 +211,17 @@ def normalize_compendia(records: DataFrame, types_vocab: DataFrame,
 
     members = explode_members(recs)
     defined = first_seen_labels(members)
+    if existing is not None:
+        # of the store only what the batch can touch: a Bloom filter of its
+        # CURIEs on the scan, before anything is exchanged
+        touched = stage(defined.select("curie").unionByName(
+            members.select(F.explode("t").alias("curie"))).distinct(), "touched")
+        known = stage(possibly_among(existing.identifiers.select("id", "curie", "label"), "curie", touched), "known")
     if not insert_missing_taxa:
-        known = defined.select("curie")
+        there = defined.select("curie")
         if existing is not None:
-            known = known.unionByName(existing.identifiers.select("curie"))
-        first = first_missing_taxon(members, known)
+            there = there.unionByName(known.select("curie"))
+        first = first_missing_taxon(members, there)
         if first is not None:
             raise LoadError(f"taxon missing from identifiers (clique {first['clique_id']}): "
                             f"{first['curie']}")
@@ -223,12 +229,11 @@ def normalize_compendia(records: DataFrame, types_vocab: DataFrame,
         identifiers = dense_ids(defined.unionByName(unknown_taxa(members, defined)),
                                 ["curie"], "id").select("id", "curie", "label")
     else:
-        known = existing.identifiers.select("id", "curie", "label")
         fresh = defined.join(known.select("curie"), "curie", "left_anti")
         missing_taxa = unknown_taxa(members, defined.select("curie")
                                     .unionByName(known.select("curie")))
         added = dense_ids(fresh.unionByName(missing_taxa), ["curie"], "id",
-                          start_after=max_id(known)).select("id", "curie", "label")
+                          start_after=max_id(existing.identifiers)).select("id", "curie", "label")
         identifiers = known.unionByName(added)
     id_map = identifiers.select("curie", F.col("id").alias("identifier_id"))
 

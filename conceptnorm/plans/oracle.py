@@ -208,6 +208,14 @@ UNION ALL SELECT 'conflation_clusters', count(DISTINCT cluster_id) FROM cw
 UNION ALL SELECT 'conflation_members', count(*) FROM cw
 """
 
+ORACLE["max_ids"] = _with() + """
+SELECT 'types' AS table_name, CAST(count(*) AS BIGINT) AS max_id FROM typ
+UNION ALL SELECT 'identifiers', count(*) FROM ident
+UNION ALL SELECT 'cliques', count(*) FROM clq
+UNION ALL SELECT 'descriptions', count(*) FROM dsc
+UNION ALL SELECT 'conflation_clusters', count(DISTINCT cluster_id) FROM cw
+"""
+
 ORACLE["preferred_bulk"] = _with() + """
 SELECT i.curie AS input_curie, m.primary_curie AS preferred_curie, m.type_curie
 FROM ident i JOIN ms m ON m.curie = i.curie
@@ -539,3 +547,16 @@ l AS (
 )
 SELECT 'SmallMolecule.txt' AS file_name, line_number, left(value, 200) AS preview FROM l WHERE n = 0 AND k % 7 < 4
 """
+
+# values at any depth of lines that are written out here, as JSON
+ORACLE["curie_harvest_any"] = r"""
+WITH inner_lines AS (
+  SELECT c_custkey AS k, '{"type":"biolink:Gene","identifiers":[{"i":"CUST:' || c_custkey || '","xrefs":{"same":["ENS:' || c_custkey
+    || '",{"deep":[["ORD:' || c_custkey || '",7,null,true],"a b: no CURIE"]}]}}],"KEY:' || c_custkey || '":{"ref":"NATION:'
+    || c_nationkey || '","n":' || c_custkey || '},"seg\u006dent":"SEG\u003a' || c_mktsegment || '","name":"' || c_name || '"}' AS line
+  FROM customer),
+lines AS (
+  SELECT k, CASE WHEN k % 3 = 0 THEN '{"wrapped":[{"more":' || line || '},"WRAP:' || k || '"]}' ELSE line END AS line FROM inner_lines)
+SELECT DISTINCT json_extract_string(t.atom, '$') AS curie FROM lines, json_tree(line) t
+WHERE t.type = 'VARCHAR' AND regexp_matches(json_extract_string(t.atom, '$'), '^[A-Za-z][A-Za-z0-9._-]*:[^\s]+$')
+"""

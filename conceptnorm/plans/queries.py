@@ -11,12 +11,13 @@ from __future__ import annotations
 
 import threading
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from conceptnorm.operators import audit, conflate, lookup, names
-from conceptnorm.plans.vocabulary import Vocabulary
+from conceptnorm.plans.vocabulary import Vocabulary, max_id
 from conceptnorm.operators.keys import staging_scope
 from conceptnorm.session import configure, drop_paths, scratch_path, session_key
 from conceptnorm.sources import fixtures as fx
@@ -306,12 +307,24 @@ def curie_harvest(spark, sf_dir):
     return conflate.harvest_curies(fx.compendia_records(spark, sf_dir))
 
 
+def curie_harvest_any(spark, sf_dir):
+    """C10 over lines whose keys and depth no schema knows."""
+    return conflate.harvest_any(fx.nested_lines(spark, sf_dir))
+
+
 # -- D: audits --------------------------------------------------------------
 
 def audit_report(spark, sf_dir):
     return audit.report(vocabulary(spark, sf_dir))
 
 
+def max_ids(spark, sf_dir):
+    """D9 of each table that has ids, of the written store."""
+    tables = vocabulary(spark, sf_dir).tables()
+    out = [max_id(tables[name]).select(F.lit(name).alias("table_name"), "max_id") for name in sorted(tables) if "id" in tables[name].columns]
+    return reduce(DataFrame.unionByName, out)
+
+
 def _reappended(spark, sf_dir):
     """The release with the supplier compendium appended a second time."""
     recs = fx.compendia_records(spark, sf_dir)
@@ -454,6 +467,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "cluster_filter_stats": cluster_filter_stats,
     "kept_cluster_lines": kept_cluster_lines,
     "curie_harvest": curie_harvest,
+    "curie_harvest_any": curie_harvest_any,
+    "max_ids": max_ids,
     "audit_report": audit_report,
     "audit_violations": audit_violations,
     "audit_unique_reappend": audit_unique_reappend,

@@ -2,9 +2,10 @@
 
 ``Vocabulary.build`` runs ingest (compendia, then conflation: conflation
 members resolve against the complete identifier table). ``write`` stores
-every table as Parquet -- identifiers and the serving views range-sorted by
-CURIE so that point lookups skip row groups by min/max statistics -- and
-``load`` opens a written store read-only (A9, A12).
+every table as Parquet -- identifiers and the serving views bucketed and
+sorted by CURIE (``plans.layout``), the labels in their order
+(``operators.label_order``) -- and ``load`` opens a written store read-only
+(A9, A12).
 """
 
 from __future__ import annotations
@@ -15,26 +16,14 @@ from dataclasses import dataclass, fields
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from conceptnorm.operators import label_order
 from conceptnorm.operators.conflate import normalize_conflation, prepare_conflation
 from conceptnorm.operators.normalize import normalize_compendia
 from conceptnorm.operators.keys import submit
+from conceptnorm.plans import layout
 from conceptnorm.schema import TABLE_NAMES
 from conceptnorm.session import configure
 
-# tables written sorted by these columns (lookups filter or join on the
-# first). The second column lets the range partitioner split a CURIE that
-# holds a third of all rows across tasks. Identifiers need no sort here:
-# their ids were assigned on rows already range-partitioned and sorted by
-# CURIE, and that order reaches the files.
-SORT_KEYS = {"membership_wide": ["member_curie", "clique_id"],
-             "conflation_wide": ["member_curie", "cluster_id"],
-             "cliques_wide": ["primary_curie", "clique_id"]}
-# CURIE columns that point lookups filter on get a Parquet bloom filter, so
-# a row group that cannot hold the CURIE is skipped without being read
-BLOOM_COLUMNS = {"identifiers": "curie", "membership_wide": "member_curie",
-                 "conflation_wide": "member_curie", "cliques_wide": "primary_curie"}
-
-
 @dataclass
 class Vocabulary:
     types: DataFrame
@@ -50,6 +39,15 @@ class Vocabulary:
     conflation_wide: DataFrame
     cliques_wide: DataFrame
 
+    # of a written store: its folder, and the parts of its bucketed tables
+    path = None
+    parts_of = None
+
+    def parts(self, name: str) -> list[DataFrame]:
+        """The parts of a serving table: its buckets, and the rows of CURIEs
+        that have very many. Joined one by one, the buckets are used."""
+        return (self.parts_of or {}).get(name) or [getattr(self, name)]
+
     @classmethod
     def build(cls, records: DataFrame, conflation_lines: DataFrame | None,
               types_vocab: DataFrame, strict: bool = True, scan_order: bool = False,
@@ -137,36 +135,59 @@ class Vocabulary:
     def all_frames(self) -> dict[str, DataFrame]:
         return {f.name: getattr(self, f.name) for f in fields(self)}
 
-    def write(self, path: str, mode: str = "overwrite", parallel: int = 8) -> None:
-        """One Parquet folder per table.
+    def write(self, path: str, mode: str = "overwrite", parallel: int = 8,
+              heavy_rows: int | None = None) -> None:
+        """One Parquet folder per table, the serving tables bucketed by
+        CURIE, and the label order.
 
         The tables are independent jobs; up to ``parallel`` are submitted at
         once from driver threads so small tables do not leave the cluster
         idle while a large one finishes."""
-        def write_one(item: tuple[str, DataFrame]) -> None:
+        path, spark = path.rstrip("/"), self.identifiers.sparkSession
+        if mode != "overwrite":
+            raise ValueError("a store is written anew; operators.append adds rows to one")
+        buckets = layout.bucket_count(spark, self.identifiers.count())
+        ids = {"membership_wide": (self.identifiers_cliques, "identifier_id"),
+               "conflation_wide": (self.conflation_members, "identifier_id"),
+               "cliques_wide": (self.cliques, "primary_identifier_id")}
+
+        def write_one(item: tuple[str, DataFrame]) -> tuple[str, int, bool] | None:
             name, df = item
-            keys = SORT_KEYS.get(name)
-            if keys:
-                df = df.repartitionByRange(*keys).sortWithinPartitions(*keys)
-            writer = df.write.mode(mode)
-            if name in BLOOM_COLUMNS:
-                writer = writer.option(f"parquet.bloom.filter.enabled#{BLOOM_COLUMNS[name]}",
-                                       "true")
-            writer.parquet(f"{path.rstrip('/')}/{name}")
+            if name not in layout.BUCKETED:
+                df.write.mode("overwrite").parquet(f"{path}/{name}")
+                return None
+            heavy = layout.heavy_ids(*ids[name], heavy_rows) if name in ids else None
+            heavy = heavy if heavy is not None and heavy.head(1) else None
+            layout.write_table(df, path, name, buckets, heavy)
+            return name, buckets, heavy is not None
 
         # the largest (serving) tables first, so the small ones fill in
-        frames = sorted(self.all_frames().items(), key=lambda kv: kv[0] not in SORT_KEYS)
+        frames = sorted(self.all_frames().items(), key=lambda kv: kv[0] not in layout.BUCKETED)
         with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
-            for future in [pool.submit(write_one, item) for item in frames]:
-                future.result()
+            labels = pool.submit(label_order.write, self.identifiers, path)
+            written = [f.result() for f in [pool.submit(write_one, item) for item in frames]]
+            labels.result()
+        layout.write_layout(spark, path, [w for w in written if w])
 
     @classmethod
     def load(cls, spark: SparkSession, path: str) -> "Vocabulary":
         """Open a written store (immutable by construction)."""
         configure(spark)
-        frames = {f.name: spark.read.parquet(f"{path.rstrip('/')}/{f.name}")
-                  for f in fields(cls)}
-        return cls(**frames)
+        path = path.rstrip("/")
+        frames = {f.name: spark.read.parquet(f"{path}/{f.name}") for f in fields(cls)
+                  if f.name not in layout.BUCKETED}
+        found, parts = layout.layout(spark, path), {}
+        for name in layout.BUCKETED:
+            if name not in found:
+                parts[name] = [spark.read.parquet(f"{path}/{name}")]
+            else:
+                buckets, heavy = found[name]
+                own = layout.open_table(spark, path, name, buckets)
+                parts[name] = [own] + ([spark.read.parquet(f"{path}/{name}_heavy").select(*own.columns)] if heavy else [])
+            frames[name] = parts[name][0] if len(parts[name]) == 1 else parts[name][0].unionByName(parts[name][1])
+        store = cls(**frames)
+        store.path, store.parts_of = path, parts
+        return store
 
     def register_views(self, prefix: str = "") -> None:
         for name, df in self.all_frames().items():

@@ -185,6 +185,21 @@ def types_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fixed.unionByName(parts).distinct()
 
 
+def nested_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(value): a record line per customer with keys that the format doesn't
+    have, CURIEs under them at several depths, CURIEs as keys, and in every
+    third line one more object around it; a blank line after every fifth."""
+    k = F.col("c_custkey").cast("string")
+    inner = F.concat(
+        F.lit('{"type":"biolink:Gene","identifiers":[{"i":"CUST:'), k, F.lit('","xrefs":{"same":["ENS:'), k,
+        F.lit('",{"deep":[["ORD:'), k, F.lit('",7,null,true],"a b: no CURIE"]}]}}],"KEY:'), k,
+        F.lit('":{"ref":"NATION:'), F.col("c_nationkey").cast("string"), F.lit('","n":'), k,
+        F.lit('},"seg\\u006dent":"SEG\\u003a'), F.col("c_mktsegment"), F.lit('","name":"'), F.col("c_name"), F.lit('"}'))
+    line = F.when(F.col("c_custkey") % 3 == 0, F.concat(F.lit('{"wrapped":[{"more":'), inner, F.lit('},"WRAP:'), k, F.lit('"]}'))).otherwise(inner)
+    lines = F.when(F.col("c_custkey") % 5 == 0, F.array(line, F.lit(""))).otherwise(F.array(line))
+    return table(spark, sf_dir, "customer").select(F.explode(lines).alias("value"))
+
+
 def faulty_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(line_key, value): a compendium line per supplier, four in seven of them faulty (cut short,
     followed by text, not a record, of a wrong type); a blank line after every fifth."""
