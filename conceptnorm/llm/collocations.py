@@ -12,8 +12,9 @@ phrases that have reached the threshold (so far, and within the last cycle; at m
 so a few phrases too many pass), count what is left, and a join with those phrases leaves exactly
 the active ones before counts are shuffled. Counts of a step are staged. A phrase can only come to
 the threshold over a cycle if it has the threshold's share of a cycle's steps in one of them, so
-only such phrases' counts are added up. Phrases are 60-bit hashes with their length; a last scan
-writes them out and counts them by their words, so two phrases of one hash do no harm.
+only such phrases' counts are added up. Phrases are 60-bit hashes with their length (n frequent ones
+among m meet one of another phrase with a chance of n * m / 2**60); a last scan counts the frequent
+ones again and spells them, each once a task.
 
 Defined results: a null text has no words, a null language is ``und``. Equal rows count each. Texts
 without two words in a piece add to n alone. Languages without a candidate have no rows. Other
@@ -43,7 +44,7 @@ MIN_BITS, MAX_BITS = 1 << 16, 1 << 28
 #: Phrases that are broadcast at most (16 bytes each); more are joined by a shuffle.
 BROADCAST_PHRASES = 1_000_000
 #: Counts that a task holds before it passes them on.
-HELD = 1 << 20
+HELD = 1 << 21
 
 _ALL = np.arange(256)
 _CUT = np.isin(_ALL, [*b".,;:!?\n\x0b\x0c\r"])
@@ -155,24 +156,44 @@ def _counted(known: _Bitmap, recent: _Bitmap, words_too: bool, longest: int):
 
 
 def _written(known: _Bitmap, longest: int):
-    """(lang, phrase, n): counts of the known phrases by their words, and all words under null."""
+    """(lang, phrase, n): counts of the known phrases by their words, and all words under null. A
+    task spells each phrase once."""
+    def batch(held: dict[str, int], keys: np.ndarray, counts: np.ndarray, spelt: list[tuple[str, str]], place: np.ndarray) -> pa.RecordBatch:
+        own = [spelt[i] for i in place.tolist()]
+        return pa.RecordBatch.from_arrays(
+            [pa.array([*held, *(x for x, _ in own)], pa.string()), pa.array([*[None] * len(held), *(x for _, x in own)], pa.string()),
+             pa.array([*held.values(), *counts.tolist()], pa.int64())], names=["lang", "phrase", "n"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total: dict[str, int] = {}
+        none = np.zeros(0, _U), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        (keys, counts, place), spelt = none, []
         for whole in batches:
             for part in slices(whole, "text"):
                 phrases = _Phrases(part)
-                total: dict[str, int] = {}
                 for x, n in zip(phrases.lang, phrases.words.counts.tolist(), strict=True):
                     total[x] = total.get(x, 0) + n
-                langs, texts, counts = list(total), [None] * len(total), list(total.values())
-                for n, at, keys, has in phrases.within(longest, known):
-                    keys, at = keys[has], at[has]
-                    _, first, count = np.unique(keys, return_index=True, return_counts=True)
-                    for i, c in zip(at[first].tolist(), count.tolist(), strict=True):
-                        langs.append(phrases.lang[phrases.row[i]])
-                        texts.append(phrases.words.text(i, n).decode())
-                        counts.append(c)
-                yield pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), pa.array(texts, pa.string()), pa.array(counts, pa.int64())],
-                                                 names=["lang", "phrase", "n"])
+                for n, at, found, has in phrases.within(longest, known):
+                    found, at = found[has], at[has]
+                    own, first, count = np.unique(found, return_index=True, return_counts=True)
+                    old = np.searchsorted(keys, own)
+                    there = np.zeros(len(own), bool)
+                    there[old < len(keys)] = keys[old[old < len(keys)]] == own[old < len(keys)]
+                    counts[old[there]] += count[there]
+                    new = ~there
+                    if not new.any():
+                        continue
+                    begin = len(spelt)
+                    spelt += [(phrases.lang[phrases.row[i]], phrases.words.text(i, n).decode()) for i in at[first[new]].tolist()]
+                    keys = np.concatenate([keys, own[new]])
+                    counts = np.concatenate([counts, count[new]])
+                    place = np.concatenate([place, np.arange(begin, len(spelt))])
+                    order = np.argsort(keys)
+                    keys, counts, place = keys[order], counts[order], place[order]
+                if len(keys) > HELD:
+                    yield batch(total, keys, counts, spelt, place)
+                    total, ((keys, counts, place), spelt) = {}, (none, [])
+        yield batch(total, keys, counts, spelt, place)
     return run
 
 
@@ -216,7 +237,7 @@ def collocations(docs: DataFrame, lang_col: str = "lang", text_col: str = "text"
     corpus = docs.select(F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("text"),
                          F.coalesce(F.col(f"`{lang_col}`").cast("string"), F.lit("und")).alias("lang"),
                          F.pmod(F.monotonically_increasing_id(), F.lit(shards)).cast("int").alias("shard"))
-    corpus = stage(corpus, "shards", by="shard")
+    corpus = stage(corpus, "shards", by="shard", compression="zstd")
     known, = _bitmaps(*frequent(corpus, least, longest, shards), F.lit(True))
     found = corpus.select("text", "lang").mapInArrow(_written(known, longest), "lang string, phrase string, n bigint")
     found = stage(found.groupBy("lang", "phrase").agg(F.sum("n").alias("n")).filter(F.col("phrase").isNull() | (F.col("n") >= least)), "phrases")

@@ -28,13 +28,14 @@ def shared_folder(spark: SparkSession) -> str:
 _STAGED: ContextVar[list[str] | None] = ContextVar("staged", default=None)
 
 
-def stage(df: DataFrame, name: str, keep: bool = False, by: str | None = None) -> DataFrame:
+def stage(df: DataFrame, name: str, keep: bool = False, by: str | None = None,
+          compression: str = "snappy") -> DataFrame:
     """Write a frame as Parquet to the shared folder and read it back. This cuts the lineage:
     a lost executor costs tasks, never rows, and nothing is computed twice. Within
     ``intermediates`` the folder goes at its end, unless it is to be kept. With ``by`` each value
     of that column has a folder of its own, so a filter on it reads no others."""
     path = f"{shared_folder(df.sparkSession)}/llm/{name}-{uuid.uuid4().hex}"
-    (df.write.partitionBy(by) if by else df.write).parquet(path)
+    (df.write.partitionBy(by) if by else df.write).parquet(path, compression=compression)
     if not keep and (paths := _STAGED.get()) is not None:
         paths.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
