@@ -6,6 +6,7 @@ from __future__ import annotations
 from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from conceptnorm.operators import label_order
 from conceptnorm.operators.conflate import normalize_conflation
@@ -59,6 +60,10 @@ def append_to_store(spark: SparkSession, path: str, records: DataFrame, strict:
             layout.append_rows(df, path, name)
         else:
             df.write.mode("append").parquet(f"{path}/{name}")
+    if layout.DESCRIPTIONS in bucketed:
+        texts = staged["identifiers_descriptions"].join(staged["descriptions"].select(
+            F.col("id").alias("description_id"), F.col("desc").alias("description")), "description_id")
+        layout.append_rows(texts, path, layout.DESCRIPTIONS)
     label_order.append(staged["identifiers"], path)
     out = Vocabulary.load(spark, path)
     out.rejected = new.rejected

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from conceptnorm.functions.scalars import is_named
@@ -40,11 +40,9 @@ def cliques_wide(vocab: Vocabulary) -> DataFrame:
 
 
 def descriptions_of(vocab: Vocabulary) -> DataFrame:
-    """(identifier_id, description): one row per stored description."""
-    return (vocab.identifiers_descriptions
-                 .join(vocab.descriptions.withColumnRenamed("id", "description_id"),
-                       "description_id")
-                 .select("identifier_id", F.col("desc").alias("description")))
+    """(identifier_id, description): one row per stored description. In a
+    written store they lie in buckets by identifier, so no text is exchanged."""
+    return vocab.described().select("identifier_id", "description")
 
 
 def _joined(vocab: Vocabulary, table: str, inputs: DataFrame, key: str, columns: list) -> DataFrame:
@@ -137,8 +135,8 @@ def _with_descriptions(rows: DataFrame, vocab: Vocabulary) -> DataFrame:
 def preferred_cliques(vocab: Vocabulary, inputs: DataFrame, col: str = "curie") -> DataFrame:
     """E5: clique info of cliques headed by the input (flattened CliqueInfo:
     identifier, description, label, ic, type_curie)."""
-    rows = (_input(inputs, col, "primary_curie")
-            .join(cliques_wide(vocab), "primary_curie"))
+    rows = _joined(vocab, "cliques_wide", _input(inputs, col, "primary_curie"), "primary_curie",
+                   ["primary_curie", "clique_id", "primary_identifier_id", "type_curie", "ic", "preferred_name"])
     return (_with_descriptions(rows, vocab)
             .select(F.col("primary_curie").alias("identifier"), "description",
                     F.col("preferred_name").alias("label"), "ic", "type_curie"))
@@ -147,10 +145,9 @@ def preferred_cliques(vocab: Vocabulary, inputs: DataFrame, col: str = "curie")
 def any_cliques(vocab: Vocabulary, inputs: DataFrame, col: str = "curie") -> DataFrame:
     """Clique info of every clique containing the input; the description
     is the primary's. Sort with ``orderBy('clique_id', 'identifier')``."""
-    mw = vocab.membership_wide.select(
-        F.col("member_curie").alias("input_curie"), "clique_id", "primary_curie",
-        "primary_identifier_id", "type_curie", "ic", "preferred_name")
-    rows = _input(inputs, col, "input_curie").join(mw, "input_curie")
+    rows = _joined(vocab, "membership_wide", _input(inputs, col, "input_curie"), "input_curie",
+                   [F.col("member_curie").alias("input_curie"), "clique_id", "primary_curie",
+                    "primary_identifier_id", "type_curie", "ic", "preferred_name"])
     return (_with_descriptions(rows, vocab)
             .select("input_curie", "clique_id", F.col("primary_curie").alias("identifier"),
                     "description", F.col("preferred_name").alias("label"), "ic",
@@ -281,24 +278,45 @@ def categories(vocab: Vocabulary, inputs: DataFrame, col: str = "curie") -> Data
 
 # E13 / E14 ----------------------------------------------------------------
 
+# hash prefixes are so long that a cell holds about this many identifiers, and
+# have at most MAX_PREFIX hexadecimal digits (16.8 million cells)
+CELL_ROWS, MAX_PREFIX = 10_000, 6
+
+
 def sample_identifiers(vocab: Vocabulary, n: int, seed: int = 42) -> DataFrame:
     """N identifiers, uniformly without replacement (repeatable for a
-    seed): the n smallest md5(seed || curie). Top-k, never a full sort."""
-    ids = vocab.identifiers
+    seed): the n least by md5(seed || curie).
+
+    Exact for any n without sorting or collecting: identifiers are counted by
+    the first digits of their hash; all cells below the one in which the n-th
+    lies are taken whole by a filter, and only of that one cell, a few
+    thousand rows, the least are picked."""
     if n <= 0:
         raise ValueError("n must be positive")
-    check_sample_size(vocab, n)
+    top = check_sample_size(vocab, n)
+    digits = 1
+    while digits < MAX_PREFIX and 16 ** digits * CELL_ROWS < top:
+        digits += 1
     key = F.md5(F.concat(F.lit(str(seed)), F.col("curie")))
-    return ids.select("curie", key.alias("_k")).orderBy("_k", "curie").limit(n).select("curie")
-
-
-def check_sample_size(vocab: Vocabulary, n: int) -> None:
-    """E13 precondition: the table is non-empty and n <= max id."""
+    ids = vocab.identifiers.select("curie", key.alias("_k")).withColumn("_cell", F.left("_k", F.lit(digits)))
+    cells = ids.groupBy("_cell").agg(F.count(F.lit(1)).alias("_n"))
+    # one row per cell, 16 ** MAX_PREFIX at most
+    upto = cells.withColumn("_upto", F.sum("_n").over(Window.orderBy("_cell")))
+    cut = upto.where(F.col("_upto") >= n).orderBy("_cell").select("_cell", (F.col("_upto") - F.col("_n")).alias("before")).first()
+    if cut is None:               # ids have gaps, so there are fewer rows than the largest id
+        return ids.select("curie")
+    edge = ids.where(F.col("_cell") == cut["_cell"]).orderBy("_k", "curie").limit(n - cut["before"])
+    return ids.where(F.col("_cell") < cut["_cell"]).select("curie").unionByName(edge.select("curie"))
+
+
+def check_sample_size(vocab: Vocabulary, n: int) -> int:
+    """E13 precondition: the table is non-empty and n <= max id, which is returned."""
     top = vocab.identifiers.agg(F.max("id").alias("m")).first()["m"]
     if top is None:
         raise ValueError("identifiers table is empty")
     if n > top:
         raise ValueError(f"n = {n} exceeds the number of identifiers ({top})")
+    return top
 
 
 def ids_to_curies(vocab: Vocabulary, ids: DataFrame, col: str = "id") -> DataFrame:

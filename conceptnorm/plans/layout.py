@@ -30,6 +30,9 @@ BUCKETED = {"identifiers": ("curie", "id", "id"),
             "membership_wide": ("member_curie", "member_id", "clique_id"),
             "conflation_wide": ("member_curie", "member_id", "cluster_id"),
             "cliques_wide": ("primary_curie", "primary_identifier_id", "clique_id")}
+# texts by the identifier they describe: fetched last, by id
+DESCRIPTIONS = "descriptions_wide"
+_KEYS = BUCKETED | {DESCRIPTIONS: ("identifier_id", "identifier_id", "description_id")}
 # identifiers in a bucket, about
 ROWS_PER_BUCKET = 2_000_000
 # a CURIE with more rows in a table is kept out of its buckets
@@ -55,7 +58,7 @@ def _table_name(path: str, name: str) -> str:
 
 def write_table(df: DataFrame, path: str, name: str, buckets: int, heavy: DataFrame | None = None) -> None:
     """Write one serving table: its buckets, and beside them the heavy rows."""
-    column, id_col, second = BUCKETED[name]
+    column, id_col, second = _KEYS[name]
     spark, folder, table = df.sparkSession, f"{path}/{name}", _table_name(path, name)
     spark.sql(f"DROP TABLE IF EXISTS {table}")
     bloom = f"parquet.bloom.filter.enabled#{column}"
@@ -72,7 +75,7 @@ def write_table(df: DataFrame, path: str, name: str, buckets: int, heavy: DataFr
 
 def open_table(spark: SparkSession, path: str, name: str, buckets: int) -> DataFrame:
     """A bucketed table's files as a table that the planner knows the buckets of."""
-    column, table = BUCKETED[name][0], _table_name(path, name)
+    column, table = _KEYS[name][0], _table_name(path, name)
     if not spark.catalog.tableExists(table):
         schema = spark.read.parquet(f"{path}/{name}").schema
         columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
@@ -88,7 +91,7 @@ def append_rows(df: DataFrame, path: str, name: str) -> None:
     table = _table_name(path, name)
     buckets = layout(df.sparkSession, path)[name][0]
     order = df.sparkSession.table(table).columns
-    df.select(*order).repartition(buckets, BUCKETED[name][0]).write.insertInto(table)
+    df.select(*order).repartition(buckets, _KEYS[name][0]).write.insertInto(table)
 
 
 def write_layout(spark: SparkSession, path: str, rows: list[tuple[str, int, bool]]) -> None:

@@ -331,6 +331,10 @@ ORACLE["sample_identifiers"] = _with() + """
 SELECT curie FROM ident ORDER BY md5('42' || curie), curie LIMIT 100
 """
 
+ORACLE["sample_third"] = _with() + """
+SELECT curie FROM ident QUALIFY row_number() OVER (ORDER BY md5('42' || curie), curie) <= (SELECT count(*) // 3 FROM ident)
+"""
+
 ORACLE["ids_to_curies"] = _with() + """
 SELECT id, curie FROM ident WHERE id IN (SELECT o_orderkey FROM orders)
 """

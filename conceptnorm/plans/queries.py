@@ -257,6 +257,12 @@ def sample_identifiers(spark, sf_dir):
     return lookup.sample_identifiers(vocabulary(spark, sf_dir), SAMPLE_SIZE, SAMPLE_SEED)
 
 
+def sample_third(spark, sf_dir):
+    """E13 for a third of all identifiers."""
+    v = vocabulary(spark, sf_dir)
+    return lookup.sample_identifiers(v, v.identifiers.count() // 3, SAMPLE_SEED)
+
+
 def ids_to_curies(spark, sf_dir):
     """Every order key used as an identifier id (ids past the end miss)."""
     orders = fx.table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"))
@@ -461,6 +467,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "name_variants": name_variants,
     "name_to_curie": name_to_curie,
     "sample_identifiers": sample_identifiers,
+    "sample_third": sample_third,
     "ids_to_curies": ids_to_curies,
     "conflation_missing": conflation_missing,
     "clusters_filtered": clusters_filtered,

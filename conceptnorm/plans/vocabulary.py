@@ -42,12 +42,22 @@ class Vocabulary:
     # of a written store: its folder, and the parts of its bucketed tables
     path = None
     parts_of = None
+    # of a written store: its texts by identifier, in buckets
+    descriptions_wide = None
 
     def parts(self, name: str) -> list[DataFrame]:
         """The parts of a serving table: its buckets, and the rows of CURIEs
         that have very many. Joined one by one, the buckets are used."""
         return (self.parts_of or {}).get(name) or [getattr(self, name)]
 
+    def described(self) -> DataFrame:
+        """(identifier_id, description_id, description): one row per stored description."""
+        if self.descriptions_wide is not None:
+            return self.descriptions_wide
+        return self.identifiers_descriptions.join(
+            self.descriptions.select(F.col("id").alias("description_id"), F.col("desc").alias("description")),
+            "description_id").select("identifier_id", "description_id", "description")
+
     @classmethod
     def build(cls, records: DataFrame, conflation_lines: DataFrame | None,
               types_vocab: DataFrame, strict: bool = True, scan_order: bool = False,
@@ -165,9 +175,10 @@ class Vocabulary:
         frames = sorted(self.all_frames().items(), key=lambda kv: kv[0] not in layout.BUCKETED)
         with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
             labels = pool.submit(label_order.write, self.identifiers, path)
+            texts = pool.submit(layout.write_table, self.described(), path, layout.DESCRIPTIONS, buckets)
             written = [f.result() for f in [pool.submit(write_one, item) for item in frames]]
-            labels.result()
-        layout.write_layout(spark, path, [w for w in written if w])
+            labels.result(), texts.result()
+        layout.write_layout(spark, path, [*(w for w in written if w), (layout.DESCRIPTIONS, buckets, False)])
 
     @classmethod
     def load(cls, spark: SparkSession, path: str) -> "Vocabulary":
@@ -187,6 +198,8 @@ class Vocabulary:
             frames[name] = parts[name][0] if len(parts[name]) == 1 else parts[name][0].unionByName(parts[name][1])
         store = cls(**frames)
         store.path, store.parts_of = path, parts
+        if layout.DESCRIPTIONS in found:
+            store.descriptions_wide = layout.open_table(spark, path, layout.DESCRIPTIONS, found[layout.DESCRIPTIONS][0])
         return store
 
     def register_views(self, prefix: str = "") -> None:

@@ -140,6 +140,28 @@ def test_store_without_layout_still_opens(spark, written, tmp_path):
     assert sorted(names.name_to_curie(plain, asked).collect()) == sorted(names.name_to_curie(built, asked).collect())
 
 
+def test_texts_are_joined_last_and_stay_in_their_buckets(spark, written, no_broadcast):
+    built, store, _ = written()
+    everyone = store.identifiers.select("curie")
+    for op in (lookup.preferred_cliques, lookup.any_cliques):
+        found = op(store, everyone)
+        assert sorted(map(str, found.collect())) == sorted(map(str, op(built, everyone).collect()))
+        # the only exchange is that of the rows without texts
+        text = plan(op(store, everyone))
+        assert text.count("Exchange hashpartitioning") == 1 and "hashpartitioning(primary_identifier_id" in text
+
+
+def test_samples_of_any_size(spark, written, monkeypatch):
+    _, store, _ = written()
+    monkeypatch.setattr(lookup, "CELL_ROWS", 3)
+    everything = [r[0] for r in store.identifiers.select("curie").orderBy(F.md5(F.concat(F.lit("5"), F.col("curie")))).collect()]
+    for n in (1, 7, len(everything) // 3, len(everything)):
+        assert sorted(r[0] for r in lookup.sample_identifiers(store, n, 5).collect()) == sorted(everything[:n])
+    for n in (0, len(everything) + 1):
+        with pytest.raises(ValueError):
+            lookup.sample_identifiers(store, n)
+
+
 def test_harvest_at_any_depth(spark):
     deep = "[" * 20 + '"DEEP:1"' + "]" * 20
     lines = ['{"i":"A:1","KEY:1":{"x":["B:2",{"y":[["C:3"]]}],"n":5,"z":null,"t":true}}', "", "  ", '"ROOT:1"', "[]", "{}",
