@@ -9,10 +9,15 @@ by the pair of band i of the first collection and band j of the second: half * h
 A pair key can only be shared if both of its bands are, so bands that one set alone holds are
 dropped first. Equal sets are one class, so copies cost nothing further. Candidates are compared
 on their full sets. Within a table's bucket no list of all pairs is made: each class is compared
-with one hub first, the least that it meets, then with one other hub in each of a few rounds, and
-linked ones fall into one component. Only members that are still in different components are then
-compared with the bucket's first hubs, the next ones, and so on, until every bucket is settled. That
-gives the components of all links between members of a bucket. Components come from pointer jumping and alternating star contraction on
+with one hub first, the least that it meets, then with one other hub in a further round, and
+linked ones fall into one component. What is left are buckets with members of several components,
+mostly families of texts a little too different. A set of n shingles that is similar enough to
+another shares with it one of its n - ceil(percent * n / 100) + 1 rarest shingles (counted over all
+classes left, ties by hash): its prefix. So classes left are compared only where they share such a
+shingle, where it may be the first that they share (what follows it in both sets must suffice), and
+where they are in different components yet: with the first classes of a shingle, the next ones,
+and so on, until each is settled. Every class left that is linked with another left is found, be it
+in its bucket or not. Components come from pointer jumping and alternating star contraction on
 staged edges; nothing of that is collected.
 
 Defined results: the set of a text is its distinct n-word shingles; of a text with fewer words,
@@ -38,9 +43,9 @@ from conceptnorm.llm.words import Words, grams, mix, slices
 HALF, ROWS, SEED = 16, 3, 20240607
 #: A frame of ids is broadcast up to so many rows (16 bytes each).
 BROADCAST_IDS = 1_000_000
-#: Rounds in which each class is compared with one hub only. Then come rounds with all of a bucket's
-#: first hub, the next eight, and so on.
-SINGLE_ROUNDS, FIRST_HUBS, MORE_HUBS = 3, 1, 8
+#: Rounds in which each class is compared with one hub only. Then come rounds with the first eight
+#: classes of a shingle of the prefix, the next 56, and so on.
+SINGLE_ROUNDS, FIRST_HUBS, MORE_HUBS = 1, 8, 8
 
 
 def shingle_sets(words: Words, n: int) -> Iterator[np.ndarray]:
@@ -242,15 +247,37 @@ def _moved(live: DataFrame, merged: DataFrame) -> DataFrame:
         .withColumn("root", F.coalesce("to", "root")).drop("to")
 
 
+def _prefixes(live: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(bucket, node, root, n_shingles, at): of each class of ``live`` the shingles of its prefix
+    that classes of other components have too, and their places in the order of the set, from 1.
+    Shingles of one class alone come first in that order; they are counted, not moved on."""
+    own = live.select("node", "root").distinct().join(sets, "node")
+    # an id may have several sets: each is numbered, once and for all as the rows are staged
+    own = own.withColumn("n_shingles", F.size("shingles").cast("bigint")).withColumn("set_no", F.monotonically_increasing_id())
+    own = stage(own.select("node", "root", "n_shingles", "set_no", F.explode("shingles").alias("bucket")), "shingles")
+    held = own.groupBy("bucket").agg(F.count("*").alias("n"), (F.min("root") != F.max("root")).alias("open")).filter("n > 1")
+    of_set = Window.partitionBy("set_no")
+    alone = F.col("n_shingles") - F.count("*").over(of_set)
+    at = alone + F.row_number().over(of_set.orderBy("n", "bucket"))
+    longest = F.col("n_shingles") - F.floor((percent * F.col("n_shingles") + 99) / 100) + 1
+    found = own.join(held, "bucket").withColumn("at", at).filter((F.col("at") <= longest) & F.col("open"))
+    return stage(found.select("bucket", "node", "root", "n_shingles", "at"), "prefixes")
+
+
 def _exhausted(live: DataFrame, sets: DataFrame, percent: int) -> DataFrame | None:
-    """Links between roots from all pairs of a bucket that aren't in one component by then."""
-    live = stage(live.withColumn("place", F.row_number().over(Window.partitionBy("bucket").orderBy("node", "n_shingles"))), "ranked")
+    """Links between roots from all pairs that share a shingle of their prefixes and aren't in one
+    component by then."""
+    live = _unsettled(_prefixes(live, sets, percent))
+    live = stage(live.withColumn("place", F.row_number().over(Window.partitionBy("bucket").orderBy("at", "node"))), "ranked")
     links, low, high = None, 1, 1 + FIRST_HUBS
     while live.head(1):
         near = live.filter((F.col("place") >= low) & (F.col("place") < high)).select(
-            "bucket", *(F.col(c).alias(f"hub_{c}") for c in ("node", "root", "place", "n_shingles")))
-        pairs = live.join(near, "bucket").filter((F.col("place") > F.col("hub_place")) & (F.col("root") != F.col("hub_root"))
-                                                 & _close(percent, "n_shingles", "hub_n_shingles"))
+            "bucket", *(F.col(c).alias(f"hub_{c}") for c in ("node", "root", "place", "n_shingles", "at")))
+        # as their first common shingle: itself, and of each set what comes after it
+        most = 1 + F.least(F.col("n_shingles") - F.col("at"), F.col("hub_n_shingles") - F.col("hub_at"))
+        pairs = live.join(near, "bucket").filter(
+            (F.col("place") > F.col("hub_place")) & (F.col("root") != F.col("hub_root"))
+            & ((100 + percent) * most >= percent * (F.col("n_shingles") + F.col("hub_n_shingles"))))
         pairs = pairs.select(F.col("node").alias("a"), F.col("hub_node").alias("b"), F.col("root").alias("root_a"),
                              F.col("hub_root").alias("root_b")).distinct()
         new = _new_links(pairs, sets, percent)
