@@ -90,17 +90,28 @@ def conflation_for(vocab: Vocabulary, curie: str,
 
 # E3 / E4 ------------------------------------------------------------------
 
+def conflation_links(vocab: Vocabulary, inputs: DataFrame, col: str = "curie") -> DataFrame:
+    """(query_curie, cluster_id): the clusters of each input, repeated for repeated inputs."""
+    return _joined(vocab, "conflation_wide", _input(inputs, col, "query_curie"), "query_curie",
+                   [F.col("member_curie").alias("query_curie"), "cluster_id"])
+
+
+def conflation_members(vocab: Vocabulary, links: DataFrame | None = None) -> DataFrame:
+    """(cluster_id, member_curie, member_is_canonical, conflation_type_id): the members of the
+    clusters that ``links`` name, each once however many inputs share its cluster; of all without.
+    With the links this is the answer to E4 in inputs + members rows, not in their product."""
+    cw = vocab.conflation_wide
+    if links is not None:
+        cw = cw.join(links.select("cluster_id").distinct(), "cluster_id", "left_semi")
+    return cw.select("cluster_id", "member_curie", F.col("is_canonical").alias("member_is_canonical"),
+                     F.col("conflation_type").alias("conflation_type_id"))
+
+
 def conflation(vocab: Vocabulary, inputs: DataFrame, col: str = "curie") -> DataFrame:
     """(query_curie, member_curie, member_is_canonical, conflation_type_id)
     for every member of every cluster containing the input, the input
     included; no de-duplication across clusters."""
-    cw = vocab.conflation_wide
-    hits = _joined(vocab, "conflation_wide", _input(inputs, col, "query_curie"), "query_curie",
-                   [F.col("member_curie").alias("query_curie"), "cluster_id"])
-    mates = cw.select("cluster_id", "member_curie",
-                      F.col("is_canonical").alias("member_is_canonical"),
-                      F.col("conflation_type").alias("conflation_type_id"))
-    return hits.join(mates, "cluster_id").drop("cluster_id")
+    return conflation_links(vocab, inputs, col).join(conflation_members(vocab), "cluster_id").drop("cluster_id")
 
 
 def conflation_type_id(name: str | None) -> int | None:

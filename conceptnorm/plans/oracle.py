@@ -247,6 +247,15 @@ FROM (SELECT DISTINCT member_curie FROM cw) q
 JOIN cw a ON a.member_curie = q.member_curie JOIN cw b ON a.cluster_id = b.cluster_id
 """
 
+ORACLE["conflation_factored"] = _with() + f"""
+SELECT 'link' AS kind, cw.cluster_id, cw.member_curie AS curie, CAST(NULL AS INTEGER) AS is_canonical,
+       CAST(NULL AS INTEGER) AS conflation_type_id
+FROM customer JOIN cw ON cw.member_curie = 'CUST:' || {_s('c_custkey')}
+UNION ALL
+SELECT 'member', cluster_id, member_curie, is_canonical, conflation_type FROM cw
+WHERE cluster_id IN (SELECT x.cluster_id FROM cw x WHERE x.member_curie IN (SELECT 'CUST:' || {_s('c_custkey')} FROM customer))
+"""
+
 ORACLE["conflation_one"] = _with() + f"""
 SELECT a.member_curie AS query_curie, b.member_curie, b.is_canonical
 FROM cw a JOIN cw b ON a.cluster_id = b.cluster_id
@@ -308,6 +317,15 @@ SELECT DISTINCT curie, type_curie AS category FROM groups JOIN spread USING (g)
 WHERE curie IN (SELECT curie FROM ident)
 """
 
+ORACLE["all_names_ordered"] = f"""
+SELECT curie, row_number() OVER (PARTITION BY curie ORDER BY {_lower('name')}, name) AS position, name FROM ({ORACLE["all_names"]})
+"""
+
+ORACLE["categories_ordered"] = f"""
+SELECT curie, row_number() OVER (PARTITION BY curie ORDER BY {_lower('category')}, category) AS position, category
+FROM ({ORACLE["categories"]})
+"""
+
 ORACLE["name_variants"] = _with(VARIANTS) + "SELECT name, variant_ord, variant FROM var"
 
 ORACLE["name_to_curie"] = _with(VARIANTS, f"""
@@ -564,3 +582,56 @@ lines AS (
 SELECT DISTINCT json_extract_string(t.atom, '$') AS curie FROM lines, json_tree(line) t
 WHERE t.type = 'VARCHAR' AND regexp_matches(json_extract_string(t.atom, '$'), '^[A-Za-z][A-Za-z0-9._-]*:[^\s]+$')
 """
+
+# the whole store with the appended rows (``added``), audited in full: only what they broke is left,
+# as the release itself breaks nothing
+ORACLE["audit_append"] = _with(f"""
+ai AS (
+  SELECT 1000000000000 + s_suppkey AS id, 'SUPP:' || {_s('s_suppkey')} AS curie FROM supplier
+  UNION ALL SELECT 2000000000000 + c_custkey, 'NEW:' || {_s('c_custkey')} FROM customer)""", f"""
+ac AS (
+  SELECT 1000000000000 + s_suppkey AS id, ident.id AS primary_identifier_id, typ.id AS type_id, s_name AS preferred_name
+  FROM supplier JOIN ident ON ident.curie = 'SUPP:' || {_s('s_suppkey')} JOIN typ ON typ.curie = 'biolink:Drug'
+  UNION ALL
+  SELECT 2000000000000 + c_custkey, CASE WHEN c_custkey % 7 = 0 THEN 4000000000000 ELSE 2000000000000 END + c_custkey, typ.id,
+         CASE WHEN c_custkey % 7 = 0 THEN c_name END
+  FROM customer JOIN typ ON typ.curie = 'biolink:Gene' WHERE c_custkey % 7 < 2)""", f"""
+am AS (
+  SELECT ident.id AS identifier_id, 1000000000000 + s_suppkey AS clique_id
+  FROM supplier JOIN ident ON ident.curie = 'SUPP:' || {_s('s_suppkey')} WHERE s_suppkey % 2 = 0
+  UNION ALL SELECT 2000000000000 + c_custkey, 2000000000000 + c_custkey FROM customer WHERE c_custkey % 7 = 0
+  UNION ALL SELECT 2000000000000 + c_custkey, 4000000000000 + c_custkey FROM customer WHERE c_custkey % 7 = 2)""", """
+lk AS (SELECT DISTINCT a.id AS identifier_id, b.id AS taxa_identifier_id
+       FROM ms JOIN ident a ON a.curie = ms.curie JOIN ident b ON b.curie = ms.taxon)""", """
+rl AS (SELECT * FROM lk WHERE identifier_id % 2 = 0)""", """
+cm AS (SELECT cw.cluster_id, ident.id AS identifier_id, cw.is_canonical FROM cw JOIN ident ON ident.curie = cw.member_curie)""", """
+an AS (SELECT DISTINCT cluster_id, cluster_id + 6000000000000 AS identifier_id, 1 + cluster_id % 3 AS is_canonical
+       FROM cw WHERE cluster_id % 3 < 2)""", """
+wi AS (SELECT id, curie FROM ident UNION ALL SELECT * FROM ai)""", """
+wc AS (SELECT c.clique_id AS id, i.id AS primary_identifier_id, t.id AS type_id, c.preferred_name
+       FROM clq c JOIN ident i ON i.curie = c.primary_curie JOIN typ t ON t.curie = c.type_curie UNION ALL SELECT * FROM ac)""", """
+wm AS (SELECT i.id AS identifier_id, ms.clique_id FROM ms JOIN ident i ON i.curie = ms.curie UNION ALL SELECT * FROM am)""", """
+wl AS (SELECT * FROM lk UNION ALL SELECT * FROM rl)""", """
+wn AS (SELECT * FROM cm UNION ALL SELECT * FROM an)""") + """
+SELECT 'unique_identifiers_curie' AS check_name, curie AS row_key FROM wi GROUP BY curie HAVING count(*) > 1
+UNION ALL SELECT 'unique_cliques_primary_type', primary_identifier_id || ',' || type_id FROM wc
+  GROUP BY primary_identifier_id, type_id HAVING count(*) > 1
+UNION ALL SELECT 'unique_identifiers_taxa', identifier_id || ',' || taxa_identifier_id FROM wl
+  GROUP BY identifier_id, taxa_identifier_id HAVING count(*) > 1
+UNION ALL SELECT 'unique_conflation_members', identifier_id || ',' || cluster_id FROM wn
+  GROUP BY identifier_id, cluster_id HAVING count(*) > 1
+UNION ALL SELECT 'fk_cliques_primary', CAST(primary_identifier_id AS VARCHAR) FROM wc WHERE primary_identifier_id NOT IN (SELECT id FROM wi)
+UNION ALL SELECT 'fk_cliques_type', CAST(type_id AS VARCHAR) FROM wc WHERE type_id NOT IN (SELECT id FROM typ)
+UNION ALL SELECT 'fk_icliques_identifier', CAST(identifier_id AS VARCHAR) FROM wm WHERE identifier_id NOT IN (SELECT id FROM wi)
+UNION ALL SELECT 'fk_icliques_clique', CAST(clique_id AS VARCHAR) FROM wm WHERE clique_id NOT IN (SELECT id FROM wc)
+UNION ALL SELECT 'fk_itaxa_identifier', CAST(identifier_id AS VARCHAR) FROM wl WHERE identifier_id NOT IN (SELECT id FROM wi)
+UNION ALL SELECT 'fk_itaxa_taxon', CAST(taxa_identifier_id AS VARCHAR) FROM wl WHERE taxa_identifier_id NOT IN (SELECT id FROM wi)
+UNION ALL SELECT 'fk_members_cluster', CAST(cluster_id AS VARCHAR) FROM wn WHERE cluster_id NOT IN (SELECT cluster_id FROM cw)
+UNION ALL SELECT 'fk_members_identifier', CAST(identifier_id AS VARCHAR) FROM wn WHERE identifier_id NOT IN (SELECT id FROM wi)
+UNION ALL SELECT 'not_null_identifiers_curie', CAST(id AS VARCHAR) FROM wi WHERE curie IS NULL
+UNION ALL SELECT 'not_null_cliques_columns', CAST(id AS VARCHAR) FROM wc
+  WHERE primary_identifier_id IS NULL OR type_id IS NULL OR preferred_name IS NULL
+UNION ALL SELECT 'empty_cliques', CAST(id AS VARCHAR) FROM wc WHERE id NOT IN (SELECT clique_id FROM wm)
+UNION ALL SELECT 'check_is_canonical', cluster_id || ',' || identifier_id FROM wn WHERE is_canonical NOT IN (0, 1)
+UNION ALL SELECT 'one_canonical_per_cluster', CAST(cluster_id AS VARCHAR) FROM wn GROUP BY cluster_id HAVING sum(is_canonical) <> 1
+"""

@@ -16,7 +16,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from conceptnorm.operators import audit, conflate, lookup, names
+from conceptnorm.operators import append_audit, audit, conflate, lookup, names, ordered
 from conceptnorm.plans.vocabulary import Vocabulary, max_id
 from conceptnorm.operators.keys import staging_scope
 from conceptnorm.session import configure, drop_paths, scratch_path, session_key
@@ -183,6 +183,19 @@ def conflation_bulk(spark, sf_dir):
     return lookup.conflation(v, v.conflation_wide.select(F.col("member_curie").alias("curie")).distinct())
 
 
+def conflation_factored(spark, sf_dir):
+    """E4 for every customer as links and members: each cluster's members once."""
+    v = vocabulary(spark, sf_dir)
+    inputs = fx.table(spark, sf_dir, "customer").select(fx.curie("CUST:", "c_custkey").alias("curie"))
+    links = lookup.conflation_links(v, inputs)
+    none = {"is_canonical": "int", "conflation_type_id": "int"}
+    return (links.select(F.lit("link").alias("kind"), "cluster_id", F.col("query_curie").alias("curie"),
+                         *(F.lit(None).cast(t).alias(c) for c, t in none.items()))
+            .unionByName(lookup.conflation_members(v, links).select(
+                F.lit("member").alias("kind"), "cluster_id", F.col("member_curie").alias("curie"),
+                F.col("member_is_canonical").alias("is_canonical"), "conflation_type_id")))
+
+
 def conflation_one(spark, sf_dir):
     """E3 for one CURIE (the least customer), GeneProtein clusters only."""
     v = vocabulary(spark, sf_dir)
@@ -232,6 +245,18 @@ def categories(spark, sf_dir):
     return lookup.categories(v, _all_identifiers(v))
 
 
+def all_names_ordered(spark, sf_dir):
+    """E10 for every identifier, each one's names in NOCASE order."""
+    v = vocabulary(spark, sf_dir)
+    return ordered.all_names(v, _all_identifiers(v))
+
+
+def categories_ordered(spark, sf_dir):
+    """E11 for every identifier, each one's categories in NOCASE order."""
+    v = vocabulary(spark, sf_dir)
+    return ordered.categories(v, _all_identifiers(v))
+
+
 def query_names(spark, sf_dir) -> DataFrame:
     """Every part name as typed, pluralized, with a trailing note, upper-cased
     and reversed (the last resolves to nothing)."""
@@ -324,6 +349,12 @@ def audit_report(spark, sf_dir):
     return audit.report(vocabulary(spark, sf_dir))
 
 
+def audit_append(spark, sf_dir):
+    """D1-D6 of an append, by its own keys: what it would break, row by row."""
+    v = vocabulary(spark, sf_dir)
+    return append_audit.violations(v, fx.faulty_append(spark, sf_dir, v))
+
+
 def max_ids(spark, sf_dir):
     """D9 of each table that has ids, of the written store."""
     tables = vocabulary(spark, sf_dir).tables()
@@ -456,6 +487,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "edges_normalized": edges_normalized,
     "conflation_clusters_resolved": conflation_clusters_resolved,
     "conflation_bulk": conflation_bulk,
+    "conflation_factored": conflation_factored,
     "conflation_one": conflation_one,
     "preferred_cliques": preferred_cliques,
     "any_cliques": any_cliques,
@@ -464,6 +496,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "label": label,
     "all_names": all_names,
     "categories": categories,
+    "all_names_ordered": all_names_ordered,
+    "categories_ordered": categories_ordered,
     "name_variants": name_variants,
     "name_to_curie": name_to_curie,
     "sample_identifiers": sample_identifiers,
@@ -478,6 +512,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "max_ids": max_ids,
     "audit_report": audit_report,
     "audit_violations": audit_violations,
+    "audit_append": audit_append,
     "audit_unique_reappend": audit_unique_reappend,
     "duplicate_primary_type": duplicate_primary_type,
     "file_type_profile": file_type_profile,

@@ -32,6 +32,8 @@ from conceptnorm.schema import CONFLATION_TYPE_IDS
 COMPENDIA_FILES = ("OrganismTaxon.txt", "Gene.txt", "MolecularMixture.txt",
                    "SmallMolecule.txt")
 CONFLATION_FILES = ("DrugChemical.txt", "GeneProtein.txt")
+# ids of appended rows start after these
+AGAIN, NEW = 10**12, 2 * 10**12
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -242,3 +244,34 @@ FAULTY = {
                             "CASE WHEN k % 15 = 0 THEN k + 100000000 ELSE CAST(floor(k / 2) AS BIGINT) END AS identifier_id",
                             "CAST(k % 4 AS INT) AS is_canonical"], "cluster_id >= 0"),
 }
+
+
+def faulty_append(spark: SparkSession, sf_dir: str, store) -> dict[str, DataFrame]:
+    """Rows that an append would add to the release's store, many of which break a constraint:
+    every supplier again (identifier and clique; odd ones without a member), new identifiers and,
+    for some customers, cliques with an unknown primary, without a name or members of an unknown
+    clique, stored taxon links again, and unknown identifiers as second canonical members."""
+    supplier = table(spark, sf_dir, "supplier").select(
+        F.col("s_suppkey").cast("bigint").alias("k"), curie("SUPP:", "s_suppkey").alias("curie"), "s_name")
+    customer = table(spark, sf_dir, "customer").select(F.col("c_custkey").cast("bigint").alias("k"), "c_name")
+    again, new = F.col("k") + AGAIN, F.col("k") + NEW
+    known = supplier.join(store.identifiers.select("curie", F.col("id").alias("old_id")), "curie")
+    type_id = {t: F.broadcast(store.types.where(F.col("curie") == t).select(F.col("id").alias("type_id")))   # one row
+               for t in ("biolink:Drug", "biolink:Gene")}
+    k7, no_ic = F.col("k") % 7, F.lit(None).cast("double").alias("ic")
+    cliques = (known.join(type_id["biolink:Drug"]).select(
+        again.alias("id"), F.col("old_id").alias("primary_identifier_id"), no_ic, "type_id", F.col("s_name").alias("preferred_name"))
+        .unionByName(customer.where(k7 < 2).join(type_id["biolink:Gene"]).select(
+            new.alias("id"), F.when(k7 == 0, new + NEW).otherwise(new).alias("primary_identifier_id"), no_ic, "type_id",
+            F.when(k7 == 0, F.col("c_name")).alias("preferred_name"))))
+    members = (known.where("k % 2 = 0").select(F.col("old_id").alias("identifier_id"), again.alias("clique_id"))
+               .unionByName(customer.where(k7 == 0).select(new.alias("identifier_id"), new.alias("clique_id")))
+               .unionByName(customer.where(k7 == 2).select(new.alias("identifier_id"), (new + NEW).alias("clique_id"))))
+    c3 = F.col("cluster_id") % 3
+    return {
+        "identifiers": supplier.select(again.alias("id"), "curie", F.col("s_name").alias("label")).unionByName(
+            customer.select(new.alias("id"), curie("NEW:", "k").alias("curie"), F.col("c_name").alias("label"))),
+        "cliques": cliques, "identifiers_cliques": members,
+        "identifiers_taxa": store.identifiers_taxa.where("identifier_id % 2 = 0"),
+        "conflation_members": store.conflation_wide.select("cluster_id").distinct().where(c3 < 2).select(
+            "cluster_id", (F.col("cluster_id") + 3 * NEW).alias("identifier_id"), (1 + c3).cast("int").alias("is_canonical"))}
