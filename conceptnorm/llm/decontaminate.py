@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from conceptnorm.llm.common import texts
-from conceptnorm.llm.words import ALNUM, Words, grams, slices, sliding
+from conceptnorm.llm.words import ALNUM, SLICE, Words, grams, slices, sliding
 
 WINDOW, GRAM = 13, 5
 #: Bytes of benchmark text in a broadcast block, about.
@@ -121,7 +121,7 @@ def _merge(spans: list[tuple[int, int]]) -> list[dict]:
 def _pass(index: Index, text_col: str, carry: list[str], again: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for batch in slices(whole, text_col):
+            for batch in slices(whole, text_col, SLICE):
                 words = Words(batch.column(text_col), ALNUM)
                 row = words.row_of_word()
                 spans: dict[int, list] = {}

@@ -90,10 +90,10 @@ class Space:
 
     def bundle(self, grams: np.ndarray, counts: np.ndarray) -> np.ndarray:
         out = np.zeros(self.dim)
-        for i in range(0, len(grams), 8192):
-            part = counts[i:i + 8192]
+        for i in range(0, len(grams), 2048):
+            part = counts[i:i + 2048]
             kind = np.float32 if part.sum() < 1 << 24 else np.float64       # exact either way
-            out += part.astype(kind) @ self.vectors(grams[i:i + 8192]).astype(kind)
+            out += part.astype(kind) @ self.vectors(grams[i:i + 2048]).astype(kind)
         return out
 
 

@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from conceptnorm.llm.common import small, stage, texts
-from conceptnorm.llm.words import Words, grams, mix, slices
+from conceptnorm.llm.words import SLICE, Words, grams, mix, slices
 
 HALF, ROWS, SEED = 16, 3, 20240607
 #: A frame of ids is broadcast up to so many rows (16 bytes each).
@@ -75,7 +75,7 @@ def _sketch(n: int, half: int, rows: int, seed: int):
         a = rng.integers(0, 2**63, 2 * half * rows, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
         b = rng.integers(0, 2**63, 2 * half * rows, dtype=np.uint64)
         for whole in batches:
-            for batch in slices(whole, "text"):
+            for batch in slices(whole, "text", SLICE):
                 sizes, key1, key2, bands = [], [], [], []
                 for values in shingle_sets(Words(batch.column("text")), n):
                     sizes.append(len(values))
@@ -93,7 +93,7 @@ def _sketch(n: int, half: int, rows: int, seed: int):
 def _sets(n: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for batch in slices(whole, "text"):
+            for batch in slices(whole, "text", SLICE):
                 sets = [x.view(np.int64) for x in shingle_sets(Words(batch.column("text")), n)]
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("doc_id"), pa.array(sets, pa.list_(pa.int64()))], names=["node", "shingles"])

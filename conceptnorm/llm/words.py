@@ -131,6 +131,10 @@ def sliding(values: np.ndarray, n: int, op) -> np.ndarray:
     return out
 
 
+#: Bytes of text in a slice where several operators share a Python worker, whose memory stays with it.
+SLICE = 1 << 20
+
+
 def slices(batch: pa.RecordBatch, text_col: str, limit: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """Consecutive parts of a batch with about ``limit`` bytes of text each (a longer text is a
     part of its own), so that numpy's temporary arrays stay small."""
