@@ -1,16 +1,17 @@
 """Toxicity by compression distance, with two zstandard dictionaries.
 
-One dictionary is made of toxic text and one of ordinary text. A document is cut into overlapping
-windows of ``WINDOW`` words; each is compressed with either dictionary, and the bytes that the toxic one saves are its
-margin. The document's score is a logistic function of how many of its windows, and what share of
-them, reach each margin. Its weights, and the margin from which a window counts as toxic, are
-calibrated.
+One dictionary is made of toxic text and one of ordinary text. A document is cut into windows of
+each length of ``WINDOWS``; each is compressed with either dictionary, and the bytes that the toxic one saves are its
+margin. The document's score is a logistic function of how many of its windows of each length, and what share of
+them, reach each margin. Its weights, and the margin from which a long window counts as toxic, are
+calibrated together.
 
 zstandard's own trainer keeps what is frequent, which is much the same in both classes. So each
-dictionary is the trained content of a sample of ordinary text, which both share, and after it the words,
+dictionary is the trained content of a sample of ordinary text, which both share, and the words,
 beginnings of words and phrases that set its class apart, being found in many more of its documents. The
 shared part lies at the same distance in both, so a window's lengths differ only by what sets the
-classes apart.
+classes apart. For single words the shared part is last, which disturbs their lengths least; for longer
+windows the class's part is, as phrases are found there only where the search for matches begins.
 
 Labels are learned from a bounded sample: up to ``SAMPLE`` labelled documents of each class, those
 of least hash. Two thirds make the dictionaries, the rest calibrates threshold and score. All
@@ -18,7 +19,8 @@ documents are scored, whole, in a map without a shuffle.
 
 Defined results: a null, empty or wordless text has no windows and gets the score of such a text;
 without labels of both classes every score is 0; each row gets its own score; a document with
-several labels is toxic if one of them says so. Other columns are ignored.
+several labels is toxic if one of them says so, and of several texts with its id the first by code point is
+learned from. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -28,6 +30,7 @@ import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -39,8 +42,12 @@ from conceptnorm.llm.words import Words, slices
 
 #: Labelled documents of each class that are learned from, at most.
 SAMPLE = 3000
-#: Windows of so many words, one beginning after so many; a margin of so many bytes or more.
-WINDOW, STEP, MARGINS = 10, 5, 16
+#: Windows of so many words, one beginning after so many, from short to long; a margin of so many bytes or more.
+WINDOWS, MARGINS = ((1, 1), (10, 5)), 16
+#: Margins of words met before are kept in a task, so many.
+KEPT = 1 << 16
+#: The trainer gets windows of so many words.
+TRAINED = 10
 #: Beginnings of words are looked at with so many characters.
 BEGINNINGS = range(4, 9)
 #: A window is stored as it is unless it gets some bytes shorter, and then its lengths tell nothing.
@@ -63,7 +70,8 @@ class Model:
     lead: bytes = b""                # stands before each window
     tail: bytes = b""                # and after it
     margin: int = 1                  # from which on a window counts as toxic
-    weights: tuple[float, ...] = (0.0,) * (2 * MARGINS + 1)
+    weights: tuple[float, ...] = (0.0,) * (2 * MARGINS * len(WINDOWS) + 1)
+    words: tuple[bytes, bytes] | None = None     # the two dictionaries for single words, if they are others
 
     def score(self, counts: np.ndarray) -> float:
         z = float(features(counts[None, :])[0] @ np.array(self.weights))
@@ -71,11 +79,12 @@ class Model:
 
 
 def features(counts: np.ndarray) -> np.ndarray:
-    """1, and logarithms of how many windows reach each margin, and what share in percent: all 0
-    without windows."""
-    reach = np.cumsum(counts[:, ::-1], axis=1)[:, ::-1].astype(float)
-    share = 100 * reach / np.maximum(reach[:, :1], 1)
-    return np.concatenate([np.ones((len(counts), 1)), np.log1p(reach[:, 1:]), np.log1p(share[:, 1:])], axis=1)
+    """1, and for each length logarithms of how many windows reach each margin, and what share in
+    percent: all 0 without windows. counts: by document, length and margin."""
+    reach = np.cumsum(counts[:, :, ::-1], axis=2)[:, :, ::-1].astype(float)
+    share = 100 * reach / np.maximum(reach[:, :, :1], 1)
+    both = np.log1p(np.concatenate([reach[:, :, 1:], share[:, :, 1:]], axis=2))
+    return np.concatenate([np.ones((len(counts), 1)), both.reshape(len(counts), -1)], axis=1)
 
 
 def _compressor(content: bytes) -> zstandard.ZstdCompressor:
@@ -87,19 +96,31 @@ def _compressor(content: bytes) -> zstandard.ZstdCompressor:
     return zstandard.ZstdCompressor(dict_data=made, compression_params=how)
 
 
-def margins(model: Model, column: pa.Array) -> Iterator[np.ndarray]:
-    """For each text, how many of its windows have each margin from 0 (or less) to MARGINS (or more)."""
+def margin_of(model: Model) -> tuple:
+    """The margin, from 0 (or less) to MARGINS (or more), of a window, and that of a word, which keeps those met before."""
+    def margin(ordinary: bytes, toxic: bytes):
+        one, other = _compressor(ordinary).compress, _compressor(toxic).compress
+
+        def of(window: bytes) -> int:
+            part = model.lead + window + model.tail
+            return max(0, min(MARGINS, len(one(part)) - len(other(part))))
+        return of
+    return margin(model.ordinary, model.toxic), lru_cache(KEPT)(margin(*(model.words or (model.ordinary, model.toxic))))
+
+
+def margins(model: Model, column: pa.Array, of: tuple | None = None) -> Iterator[np.ndarray]:
+    """For each text, by length of the windows, how many have each margin. of: from ``margin_of``, if there already."""
+    of = of or margin_of(model)
     words = Words(column)
     data = words.data.tobytes()
-    ordinary, toxic = _compressor(model.ordinary).compress, _compressor(model.toxic).compress
     for first, end in zip(words.first[:-1].tolist(), words.first[1:].tolist(), strict=True):
-        counts = [0] * (MARGINS + 1)
-        # the last window is the first that reaches the end
-        begins = range(first, max(first + 1, end - WINDOW + STEP), STEP) if end > first else range(0)
-        for i in begins:
-            part = model.lead + data[words.starts[i]:words.ends[min(i + WINDOW, end) - 1]] + model.tail
-            counts[max(0, min(MARGINS, len(ordinary(part)) - len(toxic(part))))] += 1
-        yield np.array(counts)
+        counts = np.zeros((len(WINDOWS), MARGINS + 1), np.int64)
+        for row, (size, step) in zip(counts, WINDOWS, strict=True):
+            margin = of[size == 1]
+            # the last window is the first that reaches the end
+            for i in range(first, max(first + 1, end - size + step), step) if end > first else range(0):
+                row[margin(data[words.starts[i]:words.ends[min(i + size, end) - 1]])] += 1
+        yield counts
 
 
 def _parts(word: str) -> set[str]:
@@ -162,7 +183,7 @@ def _words(text: str) -> list[str]:
 
 def _trained(docs: list[list[str]], size: int) -> bytes:
     """zstandard's dictionary of the documents' windows."""
-    windows = [" ".join(words[i:i + WINDOW]).encode() for words in docs for i in range(0, len(words), WINDOW)]
+    windows = [" ".join(words[i:i + TRAINED]).encode() for words in docs for i in range(0, len(words), TRAINED)]
     try:
         return zstandard.train_dictionary(size, windows, level=3).as_bytes()
     except zstandard.ZstdError:      # too little text to train on
@@ -176,11 +197,11 @@ def dictionaries(samples: list[tuple[str, int]], plain: bool = False) -> Model:
     if plain:
         return Model(*(_trained(own, SHARED_BYTES + CLASS_BYTES) for own in docs))
     shared = _trained(docs[0], SHARED_BYTES)
-    # last, where the search for matches begins; and as long, so the shared part is as far in both
-    apart = [_apart(docs[k], docs[1 - k]) for k in (0, 1)]
-    longest = max(map(len, apart))
-    ordinary, toxic = (shared + bytes(longest - len(part)) + part for part in apart)
-    return Model(ordinary, toxic, shared[-LEAD_BYTES:] + b" ", b" " + shared[-LEAD_BYTES:-LEAD_BYTES + 16])
+    # filled up, so the shared part is as far in both
+    longest = max(map(len, apart := [_apart(docs[k], docs[1 - k]) for k in (0, 1)]))
+    apart = [bytes(longest - len(part)) + part for part in apart]
+    return Model(*(shared + part for part in apart), shared[-LEAD_BYTES:] + b" ", b" " + shared[-LEAD_BYTES:-LEAD_BYTES + 16],
+                 words=tuple(part + shared for part in apart))
 
 
 def calibrate(model: Model, counts: np.ndarray, labels: np.ndarray, odds: float | None = None) -> Model:
@@ -188,7 +209,7 @@ def calibrate(model: Model, counts: np.ndarray, labels: np.ndarray, odds: float
     toxic among all labelled documents, to which the sample's are corrected."""
     best = -1.0
     for margin in range(1, MARGINS + 1):
-        x = counts[:, margin:].sum(axis=1)
+        x = counts[:, -1, margin:].sum(axis=1)
         order = np.sort(x[labels == 0])
         low, high = (np.searchsorted(order, x[labels == 1], side) for side in ("left", "right"))
         area = float((low + high).mean()) / 2 / max(1, len(order))
@@ -223,32 +244,34 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     ids = spark.createDataFrame([(r["doc_id"], r["y"], i % 3) for i, r in enumerate(picked)],
                                 f"doc_id {labels.schema[id_col].dataType.simpleString()}, y int, part int")
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text")) \
-        .join(F.broadcast(ids), "doc_id").dropDuplicates(["doc_id"])
+        .join(F.broadcast(ids), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"), F.first("y").alias("y"), F.first("part").alias("part"))
     made = [(r["text"], r["y"]) for r in rows.filter("part < 2").select("text", "y").orderBy("doc_id").toLocalIterator()]
     if len({y for _, y in made}) < 2:
         return None
     model = dictionaries(made)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        of = margin_of(model)
         for batch in batches:
-            found = [x.tolist() for x in margins(model, batch.column("text"))]
-            yield pa.RecordBatch.from_arrays([batch.column("y"), pa.array(found, pa.list_(pa.int64()))], names=["y", "counts"])
+            found = [x.tolist() for x in margins(model, batch.column("text"), of)]
+            yield pa.RecordBatch.from_arrays([batch.column("y"), pa.array(found, pa.list_(pa.list_(pa.int64())))], names=["y", "counts"])
 
-    rest = rows.filter("part = 2").select("text", "y").mapInArrow(run, "y int, counts array<bigint>").collect()
+    rest = rows.filter("part = 2").select("text", "y").mapInArrow(run, "y int, counts array<array<bigint>>").collect()
     if len({r["y"] for r in rest}) < 2:
         return None
     return calibrate(model, np.array([r["counts"] for r in rest]), np.array([float(r["y"]) for r in rest]), number[1] / number[0])
 
 
 def scores(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document: id, n_windows, n_toxic (windows over the threshold), score."""
+    """One row per document: id, n_windows (long ones), n_toxic (those over the threshold), score."""
     docs = docs.select(F.col(id_col), F.col(text_col).cast("string").alias("__text"))
     kind = docs.schema[0].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        of = margin_of(model) if model else None
         for whole in batches:
             for batch in slices(whole, "__text"):
-                found = [(int(x.sum()), int(x[model.margin:].sum()), model.score(x)) for x in margins(model, batch.column(1))] \
+                found = [(int(x[-1].sum()), int(x[-1, model.margin:].sum()), model.score(x)) for x in margins(model, batch.column(1), of)] \
                     if model else [(0, 0, 0.0)] * batch.num_rows
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0), *(pa.array([x[i] for x in found], t) for i, t in enumerate((pa.int64(), pa.int64(), pa.float64())))],

@@ -1,9 +1,13 @@
+import os
 import random
 
 import numpy as np
+import pytest
+from pyspark.sql import functions as F
 
 from conceptnorm.llm import toxicity as T
 
+TABLES = "/root/testdata/sf0.1"
 BAD = ["grobbler", "zwelfmuck", "vexturd"]
 
 
@@ -57,11 +61,16 @@ def test_margins_are_differences_of_compressed_lengths():
     text = "and the other one grobbler grobbler x y z"
     counts = next(T.margins(model, pa.array([text])))
     a, b = T._compressor(model.ordinary), T._compressor(model.toxic)
-    want = np.zeros(T.MARGINS + 1, int)
+    want = np.zeros((len(T.WINDOWS), T.MARGINS + 1), int)
     words = text.split()
-    for i in range(0, len(words), T.WINDOW):
-        part = model.lead + " ".join(words[i:i + T.WINDOW]).encode() + model.tail
-        want[max(0, min(T.MARGINS, len(a.compress(part)) - len(b.compress(part))))] += 1
+    for row, (size, step) in zip(want, T.WINDOWS, strict=True):
+        i = 0
+        while True:
+            part = model.lead + " ".join(words[i:i + size]).encode() + model.tail
+            row[max(0, min(T.MARGINS, len(a.compress(part)) - len(b.compress(part))))] += 1
+            if i + size >= len(words):
+                break
+            i += step
     assert counts.tolist() == want.tolist()
 
 
@@ -84,3 +93,23 @@ def test_phrases_of_ordinary_words():
     held = np.array([model.score(x) for x in counts[500:]])
     toxic, ordinary = held[y[500:] == 1], held[y[500:] == 0]
     assert (toxic[:, None] > ordinary).mean() >= 0.9
+
+
+def test_several_texts_of_an_id_teach_the_first(spark):
+    rows, labels = corpus(120)
+    y = spark.createDataFrame(labels, "doc_id long, toxic int")
+    twins = [(i, "\uffff " + t, x) for i, t, x in rows]
+    models = [T.learn(spark.createDataFrame(r, "doc_id long, text string, score double").repartition(n), y)
+              for r, n in ((rows, 1), (rows + twins, 3), (twins + rows, 2))]
+    assert models[0] == models[1] == models[2]
+
+
+@pytest.mark.skipif(not os.path.exists(f"{TABLES}/labels.parquet"), reason="no tables")
+def test_held_out_labels_of_the_tables(spark):
+    # a floor below what the README measures: most toxic documents found, few others marked
+    from conceptnorm.llm.queries import op9_toxicity
+    y = spark.read.parquet(f"{TABLES}/labels.parquet").groupBy("doc_id").agg(F.max("toxic").alias("y")).dropna()
+    got = op9_toxicity(spark, TABLES).filter("held_out").join(y, "doc_id").groupBy("y").agg(
+        F.avg("predicted").alias("marked"), F.count("*").alias("n"))
+    marked = {r["y"]: r["marked"] for r in got.collect()}
+    assert marked[1] >= 0.75 and marked[0] <= 0.02
