@@ -12,9 +12,11 @@ from __future__ import annotations
 
 from contextlib import contextmanager
 from contextvars import ContextVar, copy_context
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from conceptnorm.session import configure, scratch_path
 
@@ -116,15 +118,22 @@ def dense_ids_by_split(df: DataFrame, id_col: str = "id", start_after: int = 0,
               .drop("_off", "_first", "_rank"))
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast ``df`` only after proving it has at most ``max_rows`` rows.
+# a frame of more bytes isn't broadcast, however few its rows; a row takes so many besides its texts
+MAX_BROADCAST_BYTES, ROW_BYTES = 256 << 20, 48
 
-    The proof reads at most ``max_rows + 1`` rows. Above the bound the frame
+
+def bounded_broadcast(df: DataFrame, max_rows: int, max_bytes: int | None = None) -> DataFrame:
+    """Broadcast ``df`` (of texts and numbers) only after proving that it has
+    at most ``max_rows`` rows and ``max_bytes`` (MAX_BROADCAST_BYTES) bytes.
+
+    The proof reads at most ``max_rows + 1`` rows. Above a bound the frame
     is returned unchanged and the planner keeps a shuffle join.
     """
-    if df.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(df)
-    return df
+    most = MAX_BROADCAST_BYTES if max_bytes is None else max_bytes
+    texts = [F.coalesce(F.octet_length(f"`{f.name}`"), F.lit(0)) for f in df.schema if isinstance(f.dataType, StringType)]
+    width = reduce(Column.__add__, texts, F.lit(ROW_BYTES)).cast("bigint")
+    size = df.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(width), F.lit(0)).alias("bytes")).first()
+    return F.broadcast(df) if size["n"] <= max_rows and size["bytes"] <= most else df
 
 
 # a Bloom filter's bits per key and at most (8 MB)

@@ -30,7 +30,7 @@ from conceptnorm.schema import ORDER_KEY, UNKNOWN_TAXON_LABEL
 
 # cliques whose description counts are summed in one window
 CLIQUES_PER_BLOCK = 1 << 16
-# distinct taxa above this many are joined with a shuffle (AQE splits skew)
+# distinct taxa above this many, or of too many bytes (operators.keys), are joined with a shuffle (AQE splits skew)
 MAX_BROADCAST_TAXA = 5_000_000
 # a type vocabulary larger than this is joined with a shuffle, not broadcast
 MAX_BROADCAST_TYPES = 100_000

@@ -118,8 +118,8 @@ def _norm(x: str) -> str:
 
 
 def _strip(x: str) -> str:
-    # one trailing parenthetical without nested parentheses
-    pat = f"^(.*?)[{_WS}]*\\([^()]*\\)[{_WS}]*$"
+    # one trailing parenthetical, in it parentheses of one level
+    pat = f"^(.*?)[{_WS}]*\\((?:[^()]|\\([^()]*\\))*\\)[{_WS}]*$"
     return (f"(CASE WHEN regexp_matches({x}, '{pat}') "
             f"THEN nullif(regexp_extract({x}, '{pat}', 1), '') END)")
 
@@ -140,7 +140,9 @@ qn AS (
     UNION ALL SELECT p_name || 's' FROM part
     UNION ALL SELECT p_name || ' (abc def)' FROM part
     UNION ALL SELECT upper(p_name) FROM part
-    UNION ALL SELECT reverse(p_name) FROM part)
+    UNION ALL SELECT reverse(p_name) FROM part
+    UNION ALL SELECT replace(c_name, '#', ' (AB1)#') FROM customer
+    UNION ALL SELECT c_name || ' (of 1 (see 2) or 3)' FROM customer)
 ),
 """
 
@@ -496,6 +498,31 @@ ORACLE["rebuild_conflation"] = ORACLE["conflation_clusters_resolved"]
 
 ORACLE["stream_append_identifiers"] = _with() + "SELECT curie, label FROM ident"
 
+_KEYS = "'ic,identifiers,preferred_name,taxa,type'"
+ORACLE["odd_release"] = f"""
+WITH gene AS (SELECT c_custkey AS k, CASE WHEN c_custkey % 3 = 0 THEN 'biolink:Protein' ELSE 'biolink:Gene' END AS t FROM customer),
+drug AS (SELECT s_suppkey AS k, s_suppkey % 5 = 0 AS bad, s_suppkey % 2 = 0 AND s_suppkey % 5 <> 0 AS typed FROM supplier),
+prof AS (
+  SELECT 'OrganismTaxon.txt' AS file_name, count(*) AS n_records, 0 AS n_malformed, 'biolink:OrganismTaxon' AS first_type,
+         1 AS n_types, '' AS missing, {_KEYS} AS present FROM nation
+  UNION ALL SELECT 'Gene.txt.0' || (k % 2), count(*), 0, arg_min(t, k), count(DISTINCT t), '', {_KEYS} FROM gene GROUP BY k % 2
+  UNION ALL SELECT 'Protein.txt', count(*), 0, 'biolink:Protein', 1,
+         CASE WHEN bool_or(p_partkey % 3 = 0) THEN 'taxa' ELSE 'ic,taxa' END,
+         CASE WHEN bool_or(p_partkey % 3 = 0) THEN 'ic,' ELSE '' END || 'identifiers,preferred_name,type' FROM part
+  UNION ALL SELECT 'Drug.txt', count(*), count(*) FILTER (WHERE bad), CASE WHEN arg_min(typed, k) THEN 'biolink:Drug' END,
+         max(CAST(typed AS INTEGER)), CASE WHEN bool_or(typed) THEN '' ELSE 'type' END,
+         'ic,identifiers,preferred_name,taxa' || CASE WHEN bool_or(typed) THEN ',type' ELSE '' END FROM drug
+),
+chosen(file_name, selected, file_ord, note) AS (
+  VALUES ('OrganismTaxon.txt', true, 1, NULL), ('Drug.txt', true, 2, NULL), ('Gene.txt.00', true, 3, NULL),
+         ('Gene.txt.01', true, 4, NULL), ('Protein.txt', true, 5, NULL), ('Gene.txt', false, NULL, 'replaced by shards'),
+         ('README.md', false, NULL, 'unrecognized file name')
+)
+SELECT c.file_name, c.selected, c.file_ord, c.note, CAST(p.n_records AS BIGINT) AS n_records,
+       CAST(p.n_malformed AS BIGINT) AS n_malformed, p.first_type, CAST(p.n_types AS BIGINT) AS n_types, p.missing, p.present
+FROM chosen c LEFT JOIN prof p ON p.file_name = c.file_name
+"""
+
 ORACLE["release_manifest"] = _with() + """
 SELECT DISTINCT file_name, true AS selected, CAST(file_ord AS INTEGER) AS file_ord,
        CAST(NULL AS VARCHAR) AS note

@@ -259,7 +259,8 @@ def categories_ordered(spark, sf_dir):
 
 def query_names(spark, sf_dir) -> DataFrame:
     """Every part name as typed, pluralized, with a trailing note, upper-cased
-    and reversed (the last resolves to nothing)."""
+    and reversed (the last resolves to nothing); every customer name with an
+    abbreviation inside and with a note that has one of its own."""
     p = fx.table(spark, sf_dir, "part").select("p_name")
     forms = [F.col("p_name"), F.concat("p_name", F.lit("s")),
              F.concat("p_name", F.lit(" (abc def)")), F.upper("p_name"), F.reverse("p_name")]
@@ -267,7 +268,9 @@ def query_names(spark, sf_dir) -> DataFrame:
     for f in forms:
         d = p.select(f.alias("name"))
         out = d if out is None else out.unionByName(d)
-    return out
+    c = fx.table(spark, sf_dir, "customer").select("c_name")
+    return (out.unionByName(c.select(F.replace("c_name", F.lit("#"), F.lit(" (AB1)#")).alias("name")))
+            .unionByName(c.select(F.concat("c_name", F.lit(" (of 1 (see 2) or 3)")).alias("name"))))
 
 
 def name_variants(spark, sf_dir):
@@ -405,6 +408,17 @@ def release_manifest(spark, sf_dir):
             .select("file_name", "selected", "file_ord", "note"))
 
 
+def odd_release(spark, sf_dir):
+    """A4, A7, A8, D7, D8 of a folder with shards, a foreign name, missing keys
+    and faulty lines: what is selected, and the profile of what is read."""
+    folder = f"{scratch_path(spark, 'odd')}/compendia"
+    for name, lines in fx.odd_release(spark, sf_dir).items():
+        lines.orderBy("line_key").select("value").write.text(f"{folder}/{name}")
+    chosen = release.selected_compendia(release.list_entries(spark, folder)).select("file_name", "selected", "file_ord", "note")
+    profile = release.profile(spark, release.compendia_paths(spark, folder.removesuffix("/compendia")))
+    return chosen.join(profile, "file_name", "left")
+
+
 def ingest_from_files(spark, sf_dir):
     """A1/A2/A5: the whole store loaded from written JSON-lines/list files;
     returns the identifiers (same rows as ``identifiers_first_label``)."""
@@ -518,6 +532,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "file_type_profile": file_type_profile,
     "required_columns": required_columns,
     "release_manifest": release_manifest,
+    "odd_release": odd_release,
     "ingest_from_files": ingest_from_files,
     "append_new_identifiers": append_new_identifiers,
     "rejected_rows": rejected_rows,

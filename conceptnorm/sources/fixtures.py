@@ -216,6 +216,34 @@ def faulty_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select((2 * k + F.col("n")).alias("line_key"), "value"))
 
 
+def odd_release(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """Entries of a compendia folder that a load can't take as they are, as (line_key, value): a file
+    beside its two shards, a foreign name, a file without ``taxa`` and mostly without ``ic``, and one whose
+    odd lines lack a type and whose every fifth is cut short."""
+    def lines(name: str, key: str, label: str, kind, prefix: str, taxa=F.lit(',"taxa":[]'), ic=F.lit(',"ic":null'), where=None):
+        k = F.col(key)
+        value = F.concat(F.lit('{"identifiers":[{"i":"'), F.lit(prefix), k.cast("string"), F.lit('"}],"preferred_name":"'),
+                         F.col(label), F.lit('"'), ic, taxa, kind, F.lit("}"))
+        rows = table(spark, sf_dir, name).select(k.cast("bigint").alias("line_key"), value.alias("value"))
+        return rows if where is None else rows.where(where)
+
+    def typed(kind: str):
+        return F.lit(f',"type":"{kind}"')
+
+    line = F.col("line_key")
+    gene = F.when(F.col("c_custkey") % 3 == 0, typed("biolink:Protein")).otherwise(typed("biolink:Gene"))
+    genes = lines("customer", "c_custkey", "c_name", gene, "CUST:")
+    ic = F.when(F.col("p_partkey") % 3 == 0, F.lit(',"ic":1.5')).otherwise(F.lit(""))
+    drugs = lines("supplier", "s_suppkey", "s_name", F.when(F.col("s_suppkey") % 2 == 0, typed("biolink:Drug")).otherwise(F.lit("")), "SUPP:")
+    return {
+        "OrganismTaxon.txt": lines("nation", "n_nationkey", "n_name", typed("biolink:OrganismTaxon"), "NCBITaxon:"),
+        "Gene.txt": genes, "Gene.txt.00": genes.where(line % 2 == 0), "Gene.txt.01": genes.where(line % 2 == 1),
+        "Protein.txt": lines("part", "p_partkey", "p_name", typed("biolink:Protein"), "PART:", taxa=F.lit(""), ic=ic),
+        "Drug.txt": drugs.withColumn("value", F.when(line % 5 == 0, F.left("value", F.lit(25))).otherwise(F.col("value"))),
+        "README.md": table(spark, sf_dir, "region").select(F.col("r_regionkey").cast("bigint").alias("line_key"), F.col("r_name").alias("value")),
+    }
+
+
 def faulty_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """The nine tables of a store that breaks every constraint, made from the parts' keys."""
     part = table(spark, sf_dir, "part").withColumn("k", F.col("p_partkey").cast("bigint"))

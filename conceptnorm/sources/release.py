@@ -14,7 +14,7 @@ from __future__ import annotations
 
 import threading
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -233,6 +233,12 @@ def malformed_lines(spark: SparkSession, paths: list[tuple[str, int, str]]) -> D
     nothing after it and fits the record's types."""
     lines = line_numbers(_with_order(spark.read.text([p for _, _, p in paths]), paths))
     lines = lines.where(stripped("value") != "")
+    return (_checked(lines).where(~F.col("well_formed"))
+                  .select("file_name", "line_number", F.substring("value", 1, PREVIEW_CHARS).alias("preview")))
+
+
+def _checked(lines: DataFrame) -> DataFrame:
+    """Lines with ``well_formed``: one JSON object, nothing after it, of the record's types."""
     record = T.StructType([*COMPENDIA_RECORD.fields, T.StructField("_corrupt", T.StringType())])
     parsed = (lines.withColumn("_one", F.from_json(F.concat(F.lit("["), "value", F.lit("]")), "array<variant>"))
               .withColumn("_rec", F.from_json("value", record, {"mode": "PERMISSIVE",
@@ -240,8 +246,40 @@ def malformed_lines(spark: SparkSession, paths: list[tuple[str, int, str]]) -> D
     single = F.coalesce(F.size("_one") == 1, F.lit(False))
     fits = F.col("_rec").isNotNull() & F.col("_rec._corrupt").isNull()
     is_object = F.ltrim("value").startswith("{")
-    return (parsed.where(~(single & fits & is_object))
-                  .select("file_name", "line_number", F.substring("value", 1, PREVIEW_CHARS).alias("preview")))
+    return parsed.withColumn("well_formed", single & fits & is_object).drop("_one", "_rec")
+
+
+def profile(spark: SparkSession, paths: list[tuple[str, int, str]]) -> DataFrame:
+    """A7, A8, D7 and D8 from one scan of the release. Per file: n_records
+    (lines that aren't blank), n_malformed, first_type (of the first such line;
+    NULL if it has none or is malformed), n_types, missing (required keys that no record has)
+    and present keys. Only (file, key or type) counts are exchanged."""
+    order = F.struct("file_path", "split_start", "row_in_split")
+    lines = _checked(_lines(spark, paths))
+    good = F.col("well_formed")
+
+    def fact(kind: str, value) -> Column:
+        return F.struct(F.lit(kind).alias("kind"), value.cast("string").alias("value"))
+
+    none = F.array().cast("array<struct<kind:string,value:string>>")
+    facts = F.concat(
+        F.array(fact("type", F.when(good, F.get_json_object("value", "$.type")))),
+        F.when(good, none).otherwise(F.array(fact("malformed", F.lit(None)))),
+        F.transform(F.when(good, F.json_object_keys("value")).otherwise(F.array().cast("array<string>")), lambda k: fact("key", k)))
+    seen = (lines.select("file_name", order.alias("at"), F.explode(facts).alias("fact"))
+            .groupBy("file_name", "fact.kind", "fact.value")
+            .agg(F.count(F.lit(1)).alias("n"), F.min("at").alias("at")))
+    is_type, required = F.col("kind") == "type", F.array(*[F.lit(c) for c in COMPENDIA_COLUMNS])
+    # distinct keys per file: bounded by the record schema's width
+    files = seen.groupBy("file_name").agg(
+        F.sum(F.when(is_type, F.col("n"))).alias("n_records"),
+        F.coalesce(F.sum(F.when(F.col("kind") == "malformed", F.col("n"))), F.lit(0)).alias("n_malformed"),
+        F.min_by("value", F.when(is_type, F.col("at"))).alias("first_type"),
+        F.count(F.when(is_type, F.col("value"))).alias("n_types"),
+        F.array_sort(F.collect_list(F.when(F.col("kind") == "key", F.col("value")))).alias("keys"))
+    return files.select("file_name", "n_records", "n_malformed", "first_type", "n_types",
+                        F.array_join(F.array_except(required, "keys"), ",").alias("missing"),
+                        F.array_join("keys", ",").alias("present"))
 
 
 def type_profile(spark: SparkSession, paths: list[tuple[str, int, str]],

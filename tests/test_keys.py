@@ -25,6 +25,14 @@ def test_bounded_broadcast_checks_the_bound(spark):
     assert bounded_broadcast(small, 9) is small
 
 
+def test_bounded_broadcast_checks_bytes(spark):
+    # few rows, but of wide texts: bytes are counted in UTF-8, nulls have none
+    wide = spark.createDataFrame([("\u00e9" * 500, 1), (None, 2)], "curie string, id bigint")
+    assert bounded_broadcast(wide, 2, 1000) is wide
+    assert "broadcast" in bounded_broadcast(wide, 2, 1100)._jdf.queryExecution().logical().toString().lower()
+    assert bounded_broadcast(wide, 1, 1100) is wide
+
+
 def test_top_k_on_a_hot_group(spark):
     # one group holds most rows; salting splits it before the final ranking
     rows = [("hot", f"m{i:05d}") for i in range(3000)] + [("cold", "b"), ("cold", "a")]

@@ -113,3 +113,22 @@ def test_sample_release_reads(spark, tmp_path):
     assert recs.count() == 6
     assert {r.file_name for r in recs.select("file_name").distinct().collect()} == {
         "OrganismTaxon.txt", "Gene.txt", "Protein.txt"}
+
+
+def test_profile_is_one_scan_and_agrees_with_the_single_checks(spark, tmp_path):
+    folder = tmp_path / "compendia"
+    folder.mkdir()
+    good = '{"type":"T","ic":null,"identifiers":[{"i":"A:1"}],"preferred_name":"a","taxa":[]}'
+    (folder / "A.txt").write_text(f"\n{good}\n   \n[1,2]\n{good[:20]}\n{good} xyz\n{good.replace('T', 'U', 1)}\n")
+    (folder / "B.txt").write_text('{"type":1,"other":2}\n{bad\n')
+    (folder / "C.txt").write_text(f"{{bad\n{good}\n")
+    paths = release.compendia_paths(spark, str(tmp_path))
+    found = release.profile(spark, paths)
+    got = {r["file_name"]: r.asDict() for r in found.collect()}
+    assert {k: (r["n_records"], r["n_malformed"], r["first_type"], r["n_types"], r["missing"]) for k, r in got.items()} == {
+        "A.txt": (5, 3, "T", 2, ""), "B.txt": (2, 1, "1", 1, "ic,identifiers,preferred_name,taxa"), "C.txt": (2, 1, None, 1, "")}
+    assert got["B.txt"]["present"] == "other,type"
+    malformed = {r["file_name"]: r["count"] for r in release.malformed_lines(spark, paths).groupBy("file_name").count().collect()}
+    assert malformed == {k: r["n_malformed"] for k, r in got.items()}
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [") == 1
