@@ -44,8 +44,8 @@ from conceptnorm.llm.words import Words, slices
 SAMPLE = 3000
 #: Windows of so many words, one beginning after so many, from short to long; a margin of so many bytes or more.
 WINDOWS, MARGINS = ((1, 1), (10, 5)), 16
-#: Margins of words met before are kept in a task, so many.
-KEPT = 1 << 16
+#: Margins of words met before are kept in a task, so many (about 50 MB).
+KEPT = 1 << 18
 #: The trainer gets windows of so many words.
 TRAINED = 10
 #: Beginnings of words are looked at with so many characters.
