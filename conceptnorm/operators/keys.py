@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from conceptnorm.session import configure, scratch_path
+from conceptnorm.session import PARQUET_CODEC, configure, scratch_path
 
 # monotonically_increasing_id() = partition index << 33 | row within partition
 _ROW_BITS = 33
@@ -43,11 +43,11 @@ def dense_ids(df: DataFrame, order_cols: list[str | Column], id_col: str = "id",
     pid = F.shiftright(F.col("_mid"), _ROW_BITS)
     row = F.col("_mid").bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
     counts = ranged.groupBy(pid.alias("_pid")).agg(F.count(F.lit(1)).alias("_n"))
-    # one row per partition: its running offset
-    offsets = counts.select(
+    # one row per partition: its running offset, staged so that no later use counts again
+    offsets = stage(counts.select(
         "_pid",
         F.coalesce(F.sum("_n").over(Window.orderBy("_pid").rowsBetween(
-            Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
+            Window.unboundedPreceding, -1)), F.lit(0)).alias("_off")), "offsets")
     return (ranged.join(F.broadcast(offsets), pid == F.col("_pid"))
                   .withColumn(id_col, (F.col("_off") + row + 1 + F.lit(start_after)).cast("bigint"))
                   .drop("_mid", "_pid", "_off"))
@@ -80,7 +80,7 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     back: lineage is cut, the rows are fixed (a lost executor recomputes
     nothing nondeterministic), and later reads prune columns, nested ones too."""
     path = scratch_path(df.sparkSession, name)
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").option("compression", PARQUET_CODEC).parquet(path)
     scope = _SCOPE.get()
     if scope is not None:
         scope.append(path)
@@ -103,17 +103,19 @@ def dense_ids_by_split(df: DataFrame, id_col: str = "id", start_after: int = 0,
     split = ["file_ord", "file_path", "split_start"]
     stats = (df.groupBy(*split)
                .agg(F.count(F.lit(1)).alias("_n"), F.min("row_in_split").alias("_first")))
-    # one row per split
-    offsets = stats.select(
+    # one row per split, staged so that no later use counts again
+    offsets = stage(stats.select(
         *split, "_first",
         F.coalesce(F.sum("_n").over(Window.orderBy(*split).rowsBetween(
-            Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
+            Window.unboundedPreceding, -1)), F.lit(0)).alias("_off")), "offsets")
     if whole_splits:
         rank = F.col("row_in_split") - F.col("_first")
     else:
         rank = F.row_number().over(Window.partitionBy(*split).orderBy("row_in_split")) - 1
         df, rank = df.withColumn("_rank", rank), F.col("_rank")
-    return (df.join(offsets, split)
+    # without the hint the planner judges the offsets by the rows that they
+    # are counted from, and exchanges all rows for each use
+    return (df.join(F.broadcast(offsets), split)
               .withColumn(id_col, (F.col("_off") + rank + 1 + F.lit(start_after)).cast("bigint"))
               .drop("_off", "_first", "_rank"))
 

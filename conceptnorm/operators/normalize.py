@@ -53,6 +53,8 @@ class CompendiaTables:
     # lookup needs
     membership_wide: DataFrame
     cliques_wide: DataFrame
+    # (identifier_id, description_id, description)
+    descriptions_wide: DataFrame
     # records that a lenient load has left out (a strict one raises)
     rejected: DataFrame
 
@@ -181,7 +183,7 @@ def normalize_compendia(records: DataFrame, types_vocab: DataFrame,
     # (nested) columns it needs
     start = existing.max_clique_id if existing else 0
     def vocabulary_map():
-        types = type_table(types_vocab)
+        types = stage(type_table(types_vocab), "types")
         type_map = bounded_broadcast(
             types.select(F.col("curie").alias("type_curie"), F.col("id").alias("type_id")),
             MAX_BROADCAST_TYPES)
@@ -192,7 +194,7 @@ def normalize_compendia(records: DataFrame, types_vocab: DataFrame,
         if scan_order:
             recs = number_records(stage(records, "records"), start, scan_order=True)
         else:
-            recs = stage(number_records(records, start), "records")
+            recs = number_records(records, start)        # stages the sorted records
         types, type_map = types_job.result()
     if strict:
         bad = check_types(recs, types).limit(1).collect()
@@ -300,8 +302,12 @@ def normalize_compendia(records: DataFrame, types_vocab: DataFrame,
     desc_ids = desc_rows.join(offsets, "clique_id").withColumn(
         "description_id", (F.col("desc_offset") + F.col("dpos") + 1).cast("bigint"))
     descriptions = desc_ids.select(F.col("description_id").alias("id"), "desc")
-    identifiers_descriptions = (desc_ids.join(id_map, "curie")
-                                        .select("description_id", "identifier_id"))
+    # ids are resolved without the texts, which then move once
+    desc_links = desc_ids.select("clique_id", "dpos", "description_id", "curie").join(id_map, "curie")
+    identifiers_descriptions = desc_links.select("description_id", "identifier_id")
+    descriptions_wide = (desc_rows.select("clique_id", "dpos", F.col("desc").alias("description"))
+                         .join(desc_links.select("clique_id", "dpos", "description_id", "identifier_id"), ["clique_id", "dpos"])
+                         .select("identifier_id", "description_id", "description"))
 
     labelled = member_ids.select("clique_id", "pos", "curie", "member_label",
                                  F.col("identifier_id").alias("member_id"))
@@ -311,7 +317,7 @@ def normalize_compendia(records: DataFrame, types_vocab: DataFrame,
                                "primary_curie", "primary_identifier_id", "type_curie",
                                "ic", "preferred_name"))
     if materialize:
-        membership_wide = membership_wide.checkpoint(eager=True)
+        membership_wide = stage(membership_wide, "membership")
 
     return CompendiaTables(
         types=types.select("id", "curie"),
@@ -324,5 +330,6 @@ def normalize_compendia(records: DataFrame, types_vocab: DataFrame,
         membership_wide=membership_wide,
         cliques_wide=cliques_wide.select("clique_id", "primary_curie", "primary_identifier_id",
                                          "type_curie", "ic", "preferred_name"),
+        descriptions_wide=descriptions_wide,
         rejected=rejected,
     )

@@ -25,6 +25,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
+from conceptnorm.session import PARQUET_CODEC
+
 # serving table -> (bucket column, identifier id column, second sort key of heavy rows)
 BUCKETED = {"identifiers": ("curie", "id", "id"),
             "membership_wide": ("member_curie", "member_id", "clique_id"),
@@ -66,10 +68,10 @@ def write_table(df: DataFrame, path: str, name: str, buckets: int, heavy: DataFr
         # bounded by rows / HEAVY_ROWS, so the planner may broadcast them
         few = heavy.withColumnRenamed("heavy_id", id_col)
         (df.join(few, id_col, "left_semi").repartitionByRange(column, second).sortWithinPartitions(column, second)
-           .write.mode("overwrite").option(bloom, "true").parquet(f"{folder}_heavy"))
+           .write.mode("overwrite").option("compression", PARQUET_CODEC).option(bloom, "true").parquet(f"{folder}_heavy"))
         df = df.join(few, id_col, "left_anti").select(*df.columns)
     (df.repartition(buckets, column).write.format("parquet").mode("overwrite")
-       .option("path", folder).option(bloom, "true")
+       .option("path", folder).option("compression", PARQUET_CODEC).option(bloom, "true")
        .bucketBy(buckets, column).sortBy(column).saveAsTable(table))
 
 

@@ -19,10 +19,10 @@ from pyspark.sql import functions as F
 from conceptnorm.operators import label_order
 from conceptnorm.operators.conflate import normalize_conflation, prepare_conflation
 from conceptnorm.operators.normalize import normalize_compendia
-from conceptnorm.operators.keys import submit
+from conceptnorm.operators.keys import stage, submit
 from conceptnorm.plans import layout
 from conceptnorm.schema import TABLE_NAMES
-from conceptnorm.session import configure
+from conceptnorm.session import PARQUET_CODEC, configure
 
 @dataclass
 class Vocabulary:
@@ -42,7 +42,7 @@ class Vocabulary:
     # of a written store: its folder, and the parts of its bucketed tables
     path = None
     parts_of = None
-    # of a written store: its texts by identifier, in buckets
+    # the texts by identifier, of a written store in buckets
     descriptions_wide = None
 
     def parts(self, name: str) -> list[DataFrame]:
@@ -93,10 +93,11 @@ class Vocabulary:
             conflation_members=conf.conflation_members,
             membership_wide=comp.membership_wide,
             cliques_wide=comp.cliques_wide,
-            conflation_wide=(conf.conflation_wide.checkpoint(eager=True) if materialize
+            conflation_wide=(stage(conf.conflation_wide, "conflation") if materialize
                              else conf.conflation_wide),
         )
         store.rejected = comp.rejected.unionByName(conf.rejected)
+        store.descriptions_wide = comp.descriptions_wide
         return store
 
     @classmethod
@@ -164,7 +165,7 @@ class Vocabulary:
         def write_one(item: tuple[str, DataFrame]) -> tuple[str, int, bool] | None:
             name, df = item
             if name not in layout.BUCKETED:
-                df.write.mode("overwrite").parquet(f"{path}/{name}")
+                df.write.mode("overwrite").option("compression", PARQUET_CODEC).parquet(f"{path}/{name}")
                 return None
             heavy = layout.heavy_ids(*ids[name], heavy_rows) if name in ids else None
             heavy = heavy if heavy is not None and heavy.head(1) else None

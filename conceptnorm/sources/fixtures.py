@@ -104,9 +104,9 @@ def part_records(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("p_partkey", F.transform("docs", lambda x: x["text"]).alias("d")))
     supps = (table(spark, sf_dir, "lineitem")
              .select(F.col("l_partkey").alias("p_partkey"), "l_suppkey")
-             .distinct()
+             .repartition("p_partkey")      # the pairs move once, and aren't held twice
              .groupBy("p_partkey")          # a record's member list, as the format holds it
-             .agg(F.array_sort(F.collect_list("l_suppkey")).alias("supps")))
+             .agg(F.array_sort(F.collect_set("l_suppkey")).alias("supps")))
     joined = part.join(docs, "p_partkey", "left").join(supps, "p_partkey", "left")
     primary = member(curie("PART:", "p_partkey"), F.col("p_name"),
                      F.coalesce(F.col("d"), _no_strings()))

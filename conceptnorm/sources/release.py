@@ -20,6 +20,7 @@ from pyspark.sql import types as T
 
 from conceptnorm.functions.scalars import stripped
 from conceptnorm.operators.conflate import conflation_type_of
+from conceptnorm.operators.keys import stage
 from conceptnorm.schema import (COMPENDIA_COLUMNS, COMPENDIA_RECORD, CONFLATION_TYPE_IDS, FILE_SUFFIX,
                                 FIRST_SHARD_SUFFIX, TAXON_FILE)
 from conceptnorm.session import jvm_context, scratch_path, session_key
@@ -312,7 +313,7 @@ def write_release(records: DataFrame, lines: DataFrame, root: str) -> str:
         (records.where(F.col("file_name") == name)
                 .orderBy("row_in_split")
                 .select(*COMPENDIA_COLUMNS)
-                .write.mode("overwrite").option("ignoreNullFields", "false")
+                .write.mode("overwrite").option("ignoreNullFields", "false").option("compression", "gzip")
                 .json(f"{root}/compendia/{name}"))
     for name in [r["file_name"] for r in lines.select("file_name").distinct().collect()]:
         (lines.where(F.col("file_name") == name).orderBy("row_in_split").select("value")
@@ -344,7 +345,8 @@ def load_release(spark: SparkSession, root: str, strict: bool = True,
         records = read_compendia(spark, compendia_paths(spark, root))
         lines = lines_future.result()
     if types_vocab is None:
-        types_vocab = records.select(F.col("type").alias("curie")).distinct()
+        # staged: the files are parsed for it once, not for each use
+        types_vocab = stage(records.select(F.col("type").alias("curie")).distinct(), "types")
     return Vocabulary.build(records, lines, types_vocab, strict=strict,
                             scan_order=True, materialize=materialize)
 

@@ -28,7 +28,7 @@ from conceptnorm.operators.keys import stage
 from conceptnorm.operators.normalize import normalize_compendia
 from conceptnorm.plans.vocabulary import Vocabulary
 from conceptnorm.schema import COMPENDIA_RECORD, TAXON_FILE, UNKNOWN_TAXON_LABEL
-from conceptnorm.session import configure
+from conceptnorm.session import PARQUET_CODEC, configure
 
 EPOCH = "epoch"
 # labels of taxa that an earlier epoch only knew by reference
@@ -102,7 +102,7 @@ def append_batch(records: DataFrame, epoch: int, store: str, types_vocab: DataFr
     for name, schema in CONFLATION_SCHEMAS.items():
         delta[name] = spark.createDataFrame([], schema)
     for name, df in delta.items():
-        df.write.mode("overwrite").parquet(f"{store.rstrip('/')}/{name}/{EPOCH}={epoch}")
+        df.write.mode("overwrite").option("compression", PARQUET_CODEC).parquet(f"{store.rstrip('/')}/{name}/{EPOCH}={epoch}")
 
 
 def start_append_stream(spark: SparkSession, source_dir: str, store: str, checkpoint: str,
