@@ -79,3 +79,7 @@ def test_written_records_are_compressed(spark, tmp_path):
     back = release.read_compendia(spark, release.compendia_paths(spark, root))
     key = F.to_json(F.struct("type", "ic", "identifiers", "preferred_name", "taxa")).alias("x")
     assert sorted(r.x for r in back.select(key).collect()) == sorted(r.x for r in recs.select(key).collect())
+
+
+def test_a_task_takes_no_more_than_32_mb_of_an_exchange(spark):
+    assert spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == "32m"
