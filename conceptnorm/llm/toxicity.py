@@ -30,7 +30,6 @@ import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -44,8 +43,10 @@ from conceptnorm.llm.words import Words, slices
 SAMPLE = 3000
 #: Windows of so many words, one beginning after so many, from short to long; a margin of so many bytes or more.
 WINDOWS, MARGINS = ((1, 1), (10, 5)), 16
-#: Margins of words met before are kept in a task, so many (about 50 MB).
-KEPT = 1 << 18
+#: Margins of words met before are kept in a task, so many (9 bytes each, and as much while some are added).
+KEPT = 1 << 21
+#: Windows that are compressed at once.
+AT_ONCE = 1 << 16
 #: The trainer gets windows of so many words.
 TRAINED = 10
 #: Beginnings of words are looked at with so many characters.
@@ -74,8 +75,11 @@ class Model:
     words: tuple[bytes, bytes] | None = None     # the two dictionaries for single words, if they are others
 
     def score(self, counts: np.ndarray) -> float:
-        z = float(features(counts[None, :])[0] @ np.array(self.weights))
-        return 1 / (1 + math.exp(-max(-30.0, min(30.0, z))))
+        return self.scores(counts[None, :])[0]
+
+    def scores(self, counts: np.ndarray) -> list[float]:
+        weights = np.array(self.weights)
+        return [1 / (1 + math.exp(-max(-30.0, min(30.0, float(x @ weights))))) for x in features(counts)]
 
 
 def features(counts: np.ndarray) -> np.ndarray:
@@ -96,31 +100,67 @@ def _compressor(content: bytes) -> zstandard.ZstdCompressor:
     return zstandard.ZstdCompressor(dict_data=made, compression_params=how)
 
 
-def margin_of(model: Model) -> tuple:
-    """The margin, from 0 (or less) to MARGINS (or more), of a window, and that of a word, which keeps those met before."""
-    def margin(ordinary: bytes, toxic: bytes):
-        one, other = _compressor(ordinary).compress, _compressor(toxic).compress
+class _Margin:
+    """Margins of windows, from 0 (or less) to MARGINS (or more). Many are compressed with one dictionary and then
+    with the other, so that its tables stay in the processor's cache."""
+
+    def __init__(self, model: Model, ordinary: bytes, toxic: bytes):
+        self.lead, self.tail = model.lead, model.tail
+        self.one, self.other = _compressor(ordinary).compress, _compressor(toxic).compress
+
+    def of(self, words: Words, data: bytes, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """Of the windows from word ``begin`` to word ``end``."""
+        out = np.zeros(len(begin), np.int8)
+        for i in range(0, len(begin), AT_ONCE):
+            part = slice(i, i + AT_ONCE)
+            places = zip(words.starts[begin[part]].tolist(), words.ends[end[part]].tolist(), strict=True)
+            parts = [b"".join((self.lead, data[a:b], self.tail)) for a, b in places]
+            lengths = list(map(len, map(self.one, parts)))
+            out[part] = np.clip(np.array(lengths) - np.array(list(map(len, map(self.other, parts)))), 0, MARGINS)
+        return out
+
+
+class _WordMargin(_Margin):
+    """The same of single words, by their hashes; those met before are kept."""
+
+    kept, margin = np.zeros(0, np.uint64), np.zeros(0, np.int8)
+
+    def of(self, words: Words, data: bytes, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+        hashes, first, back = np.unique(words.hashes()[begin], return_index=True, return_inverse=True)
+        place = np.searchsorted(self.kept, hashes)
+        there = place < len(self.kept)
+        there[there] = self.kept[place[there]] == hashes[there]
+        found = np.zeros(len(hashes), np.int8)
+        found[there] = self.margin[place[there]]
+        new = np.flatnonzero(~there)
+        found[new] = super().of(words, data, begin[first[new]], end[first[new]])
+        if len(self.kept) + len(new) > KEPT:
+            self.kept, self.margin = hashes[:KEPT], found[:KEPT]
+        else:
+            self.kept, self.margin = np.insert(self.kept, place[new], hashes[new]), np.insert(self.margin, place[new], found[new])
+        return found[back]
+
 
-        def of(window: bytes) -> int:
-            part = model.lead + window + model.tail
-            return max(0, min(MARGINS, len(one(part)) - len(other(part))))
-        return of
-    return margin(model.ordinary, model.toxic), lru_cache(KEPT)(margin(*(model.words or (model.ordinary, model.toxic))))
+def margin_of(model: Model) -> tuple[_Margin, _Margin]:
+    """The margins of windows, and those of words."""
+    return _Margin(model, model.ordinary, model.toxic), _WordMargin(model, *(model.words or (model.ordinary, model.toxic)))
 
 
 def margins(model: Model, column: pa.Array, of: tuple | None = None) -> Iterator[np.ndarray]:
     """For each text, by length of the windows, how many have each margin. of: from ``margin_of``, if there already."""
     of = of or margin_of(model)
     words = Words(column)
-    data = words.data.tobytes()
-    for first, end in zip(words.first[:-1].tolist(), words.first[1:].tolist(), strict=True):
-        counts = np.zeros((len(WINDOWS), MARGINS + 1), np.int64)
-        for row, (size, step) in zip(counts, WINDOWS, strict=True):
-            margin = of[size == 1]
-            # the last window is the first that reaches the end
-            for i in range(first, max(first + 1, end - size + step), step) if end > first else range(0):
-                row[margin(data[words.starts[i]:words.ends[min(i + size, end) - 1]])] += 1
-        yield counts
+    data, n = words.data.tobytes(), len(words.counts)
+    counts = []
+    for size, step in WINDOWS:
+        # the last window is the first that reaches the end
+        number = np.where(words.counts > 0, 1 - np.minimum(0, size - words.counts) // step, 0)
+        row = np.repeat(np.arange(n), number)
+        begin = words.first[row] + step * (np.arange(len(row)) - np.repeat(np.cumsum(number) - number, number))
+        end = np.minimum(begin + size, words.first[row + 1]) - 1
+        found = of[size == 1].of(words, data, begin, end)
+        counts.append(np.bincount(row * (MARGINS + 1) + found, minlength=n * (MARGINS + 1)).reshape(n, MARGINS + 1))
+    yield from np.stack(counts, axis=1)
 
 
 def _parts(word: str) -> set[str]:
@@ -271,10 +311,14 @@ def scores(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_co
         of = margin_of(model) if model else None
         for whole in batches:
             for batch in slices(whole, "__text"):
-                found = [(int(x[-1].sum()), int(x[-1, model.margin:].sum()), model.score(x)) for x in margins(model, batch.column(1), of)] \
-                    if model else [(0, 0, 0.0)] * batch.num_rows
+                none = np.zeros(batch.num_rows, np.int64)
+                if not model:
+                    found = none, none, none.astype(float)
+                else:
+                    counts = np.array(list(margins(model, batch.column(1), of)))
+                    found = counts[:, -1].sum(axis=1), counts[:, -1, model.margin:].sum(axis=1), model.scores(counts)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0), *(pa.array([x[i] for x in found], t) for i, t in enumerate((pa.int64(), pa.int64(), pa.float64())))],
+                    [batch.column(0), *(pa.array(x, t) for x, t in zip(found, (pa.int64(), pa.int64(), pa.float64()), strict=True))],
                     names=["id", "n_windows", "n_toxic", "score"])
 
     return docs.mapInArrow(run, f"id {kind}, n_windows bigint, n_toxic bigint, score double").withColumnRenamed("id", id_col)

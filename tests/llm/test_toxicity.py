@@ -113,3 +113,31 @@ def test_held_out_labels_of_the_tables(spark):
         F.avg("predicted").alias("marked"), F.count("*").alias("n"))
     marked = {r["y"]: r["marked"] for r in got.collect()}
     assert marked[1] >= 0.75 and marked[0] <= 0.02
+
+
+def test_each_word_is_compressed_once_and_dictionaries_take_turns_seldom(monkeypatch):
+    import pyarrow as pa
+    made, calls = [], []
+
+    def compressor(content, real=T._compressor):
+        name, inner = len(made), real(content)
+        made.append(name)
+
+        class Counting:
+            def compress(self, part):
+                calls.append((name, part))
+                return inner.compress(part)
+        return Counting()
+
+    monkeypatch.setattr(T, "_compressor", compressor)
+    model = T.Model(b" and the other one " * 3, b" and the other one " * 3 + b" grobbler ", b"and the other one ", b" and the other")
+    of = T.margin_of(model)
+    text = pa.array(["and the other one grobbler grobbler x y z " * 20, None, "", "x y new"])
+    first = [x.tolist() for x in T.margins(model, text, of)]
+    ofwords = [part for name, part in calls if name == made[-1]]
+    assert len(ofwords) == len(set(ofwords)) == 9
+    turns = sum(a != b for (a, _), (b, _) in zip(calls, calls[1:], strict=False))
+    assert turns <= 4
+    # words that no longer fit are looked up again, with the same result
+    monkeypatch.setattr(T, "KEPT", 2)
+    assert [x.tolist() for x in T.margins(model, text, of)] == [x.tolist() for x in T.margins(model, text)] == first
