@@ -9,8 +9,9 @@ least as frequent and reach the threshold within their own cycles. It ends when
 
 Each step is a job over one shard. Tasks leave out what can't be active with two bitmaps of the
 phrases that have reached the threshold (so far, and within the last cycle; at most MAX_BITS each,
-so a few phrases too many pass), count what is left, and a join with those phrases leaves exactly
-the active ones before counts are shuffled. Counts of a step are staged. A phrase can only come to
+so a few phrases too many pass), count what is left, and only exactly the active ones go on before
+counts are shuffled: tasks look them up in the keys of those phrases, and beyond BROADCAST_PHRASES a join
+does. Spark's own broadcast isn't used for it, as the driver would hold several times the keys. Counts of a step are staged. A phrase can only come to
 the threshold over a cycle if it has the threshold's share of a cycle's steps in one of them, so
 only such phrases' counts are added up. Phrases are 60-bit hashes with their length (n frequent ones
 among m meet one of another phrase with a chance of n * m / 2**60); a last scan counts the frequent
@@ -32,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from conceptnorm.llm.common import small, stage
+from conceptnorm.llm.common import stage
 from conceptnorm.llm.words import Words, mix, slices
 from conceptnorm.operators.skew import top_k_per_group
 
@@ -41,7 +42,7 @@ LEAST, LONGEST, PERCENT, TOP = 100, 5, 100, 2_000
 SHARDS = 3
 #: Bits of a bitmap: 16 for each phrase, within these bounds.
 MIN_BITS, MAX_BITS = 1 << 16, 1 << 28
-#: Phrases that are broadcast at most (16 bytes each); more are joined by a shuffle.
+#: Phrases that each task holds at most (12 bytes each); more are joined by a shuffle.
 BROADCAST_PHRASES = 1_000_000
 #: Counts that a task holds before it passes them on.
 HELD = 1 << 21
@@ -64,20 +65,68 @@ class _Bitmap:
         return (self.words[(slot >> _U(6)).astype(np.int64)] >> (slot & _U(63))) & _U(1) == 1
 
 
-def _bitmaps(phrases: DataFrame, n: int, *among) -> list[_Bitmap]:
-    """A bitmap of the n keys for each condition. What comes to the driver is MAX_BITS each at most."""
+def _bits(n: int) -> int:
     bits = MIN_BITS
     while bits < min(MAX_BITS, 16 * n):
         bits *= 2
+    return bits
+
+
+class _Held:
+    """Keys in ascending order, and the steps at which they reached the threshold."""
+
+    def __init__(self, keys: np.ndarray, steps: np.ndarray):
+        order = np.argsort(keys)
+        self.keys, self.steps = keys[order], steps[order]
+
+    def bitmap(self, since: int = 0) -> _Bitmap:
+        bits = _bits(len(self.keys))
+        has = np.zeros(bits, bool)
+        has[(self.keys[self.steps >= since] >> _U(_LENGTH_BITS)) & _U(bits - 1)] = True
+        return _Bitmap(bits, np.packbits(has, bitorder="little").view("<u8"))
+
+    def step(self, keys: np.ndarray) -> np.ndarray:
+        """The step of each key, -1 for those that aren't here."""
+        if not len(self.keys):
+            return np.full(len(keys), -1, np.int32)
+        place = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        return np.where(self.keys[place] == keys, self.steps[place], -1)
+
+
+def _held(phrases: DataFrame, n: int) -> _Held | None:
+    """The n rows (key, step), if they are few enough."""
+    if n > BROADCAST_PHRASES:
+        return None
+    rows = phrases.select("key", "step").toArrow()
+    return _Held(rows.column("key").to_numpy().view(_U), rows.column("step").to_numpy())
+
+
+def _among(held: _Held, wanted: bool):
+    """The rows whose key is held, or those whose isn't."""
+    maybe = held.bitmap()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys = batch.column("key").to_numpy().view(_U)
+            has = maybe.has(keys)
+            at = np.flatnonzero(has)
+            has[at] = held.step(keys[at]) >= 0
+            yield batch.filter(pa.array(has == wanted))
+    return run
+
+
+def _bitmaps(phrases: DataFrame, n: int, *since: int) -> list[_Bitmap]:
+    """A bitmap of those of the n keys that have come since each step. What comes to the driver is MAX_BITS each at most."""
+    bits = _bits(n)
     slot = F.shiftrightunsigned("key", _LENGTH_BITS).bitwiseAND(F.lit(bits - 1).cast("bigint"))
     bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), slot.bitwiseAND(F.lit(63).cast("bigint")).cast("int"))
     rows = phrases.groupBy(F.shiftright(slot, 6).alias("word")).agg(
-        *(F.bit_or(F.when(x, bit).otherwise(F.lit(0).cast("bigint"))).alias(f"b{i}") for i, x in enumerate(among)))
-    found = rows.toPandas()
+        *(F.bit_or(F.when(F.col("step") >= x, bit).otherwise(F.lit(0).cast("bigint"))).alias(f"b{i}") for i, x in enumerate(since)))
+    found = rows.toArrow()
     out = []
-    for i in range(len(among)):
+    for i in range(len(since)):
         words = np.zeros(bits >> 6, _U)
-        words[found["word"].to_numpy(np.int64)] = found[f"b{i}"].to_numpy(np.int64).view(_U)
+        words[found.column("word").to_numpy()] = found.column(f"b{i}").to_numpy().view(_U)
         out.append(_Bitmap(bits, words))
     return out
 
@@ -115,8 +164,9 @@ class _Phrases:
             at = at[nearby]
 
 
-def _counted(known: _Bitmap, recent: _Bitmap, words_too: bool, longest: int):
-    """(key, head, tail, n): counts of active phrases, with the keys of their two parts."""
+def _counted(known: _Bitmap, recent: _Bitmap, held: _Held | None, since: int, words_too: bool, longest: int):
+    """(key, head, tail, n): counts of active phrases, with the keys of their two parts. held: the
+    phrases that have reached the threshold, so that none but the active ones come; without it, a few more."""
     def pack(rows: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, ...]:
         key, head, tail, n = (np.concatenate(x) for x in zip(*rows, strict=True))
         order = np.argsort(key)
@@ -124,13 +174,21 @@ def _counted(known: _Bitmap, recent: _Bitmap, words_too: bool, longest: int):
         first = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
         return key[first], head[order][first], tail[order][first], np.add.reduceat(n[order], first)
 
+    def active(rows: tuple[np.ndarray, ...]) -> tuple[np.ndarray, ...]:
+        if held is None:
+            return rows
+        key, head, tail, _ = rows
+        one, other = held.step(head), held.step(tail)
+        own = (key & _U((1 << _LENGTH_BITS) - 1) == 1) | ((one >= 0) & (other >= 0) & (np.maximum(one, other) >= since))
+        return tuple(x[own] for x in rows)
+
     def batch(rows: tuple[np.ndarray, ...]) -> pa.RecordBatch:
         key, head, tail, n = rows
         return pa.RecordBatch.from_arrays([pa.array(x.view(np.int64)) for x in (key, head, tail)] + [pa.array(n)],
                                           names=["key", "head", "tail", "n"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple[np.ndarray, ...]] = []
+        counts: list[tuple[np.ndarray, ...]] = []
         for whole in batches:
             for part in slices(whole, "text"):
                 phrases = _Phrases(part)
@@ -144,14 +202,14 @@ def _counted(known: _Bitmap, recent: _Bitmap, words_too: bool, longest: int):
                         new = recent.has(head) | recent.has(tail)
                         own = (keys[new], head[new], tail[new])
                     if own is not None and len(own[0]):
-                        held.append(pack([(*own, np.ones(len(own[0]), np.int64))]))
+                        counts.append(pack([(*own, np.ones(len(own[0]), np.int64))]))
                     old_at, old_keys = at, keys
-                if sum(len(x[0]) for x in held) > HELD:
-                    held = [pack(held)]
-                    if len(held[0][0]) > HELD // 2:
-                        yield batch(held.pop())
-        if held:
-            yield batch(pack(held))
+                if sum(len(x[0]) for x in counts) > HELD:
+                    counts = [active(pack(counts))]
+                    if len(counts[0][0]) > HELD // 2:
+                        yield batch(counts.pop())
+        if counts:
+            yield batch(active(pack(counts)))
     return run
 
 
@@ -208,20 +266,23 @@ def frequent(corpus: DataFrame, least: int, longest: int, shards: int) -> tuple[
     counts: list[DataFrame] = []
     step = 0
     while step < shards or n_open:
-        known, recent = _bitmaps(reached, n_reached, F.lit(True), F.col("step") >= step - shards)
-        found = corpus.filter(F.col("shard") == step % shards).select("text", "lang").mapInArrow(
-            _counted(known, recent, step < shards, longest), "key bigint, head bigint, tail bigint, n bigint")
-        parts = F.broadcast(reached) if n_reached <= BROADCAST_PHRASES else reached
-        active = found.join(parts.select(F.col("key").alias("head"), F.col("step").alias("head_step")), "head", "left") \
-            .join(parts.select(F.col("key").alias("tail"), F.col("step").alias("tail_step")), "tail", "left") \
-            .filter((_length("key") == 1) | (F.col("head_step").isNotNull() & F.col("tail_step").isNotNull()
-                                             & (F.greatest("head_step", "tail_step") >= step - shards)))
+        held, since = _held(reached, n_reached), step - shards
+        known, recent = (held.bitmap(), held.bitmap(since)) if held else _bitmaps(reached, n_reached, 0, since)
+        active = corpus.filter(F.col("shard") == step % shards).select("text", "lang").mapInArrow(
+            _counted(known, recent, held, since, step < shards, longest), "key bigint, head bigint, tail bigint, n bigint")
+        if held is None:
+            active = active.join(reached.select(F.col("key").alias("head"), F.col("step").alias("head_step")), "head", "left") \
+                .join(reached.select(F.col("key").alias("tail"), F.col("step").alias("tail_step")), "tail", "left") \
+                .filter((_length("key") == 1) | (F.col("head_step").isNotNull() & F.col("tail_step").isNotNull()
+                                                 & (F.greatest("head_step", "tail_step") >= since)))
         counts = [*counts, stage(active.groupBy("key").agg(F.sum("n").alias("n")), "counts")][-shards:]
         # whoever comes to the threshold now has its share of it in one of the cycle's steps
         cycle = reduce(DataFrame.unionByName, counts)
-        likely = stage(cycle.filter(F.col("n") * shards >= least).select("key").distinct().join(
-            parts.select("key"), "key", "left_anti"), "likely")
-        new = cycle.join(small(likely, BROADCAST_PHRASES), "key", "left_semi").groupBy("key").agg(F.sum("n").alias("n")) \
+        likely = cycle.filter(F.col("n") * shards >= least).select("key").distinct()
+        likely = stage(likely.mapInArrow(_among(held, False), "key bigint") if held else likely.join(reached.select("key"), "key", "left_anti"), "likely")
+        few = _held(likely.withColumn("step", F.lit(0)), likely.count())
+        new = cycle.mapInArrow(_among(few, True), "key bigint, n bigint") if few else cycle.join(likely, "key", "left_semi")
+        new = new.groupBy("key").agg(F.sum("n").alias("n")) \
             .filter(F.col("n") >= least).select("key", F.lit(step).alias("step"))
         reached = stage(reached.unionByName(new), "reached")
         step += 1
@@ -238,7 +299,7 @@ def collocations(docs: DataFrame, lang_col: str = "lang", text_col: str = "text"
                          F.coalesce(F.col(f"`{lang_col}`").cast("string"), F.lit("und")).alias("lang"),
                          F.pmod(F.monotonically_increasing_id(), F.lit(shards)).cast("int").alias("shard"))
     corpus = stage(corpus, "shards", by="shard", compression="zstd")
-    known, = _bitmaps(*frequent(corpus, least, longest, shards), F.lit(True))
+    known, = _bitmaps(*frequent(corpus, least, longest, shards), 0)
     found = corpus.select("text", "lang").mapInArrow(_written(known, longest), "lang string, phrase string, n bigint")
     found = stage(found.groupBy("lang", "phrase").agg(F.sum("n").alias("n")).filter(F.col("phrase").isNull() | (F.col("n") >= least)), "phrases")
 

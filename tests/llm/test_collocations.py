@@ -82,3 +82,22 @@ def test_scores_beyond_64_bits(spark):
 def test_no_rows(spark):
     assert c.collocations(spark.createDataFrame([], "text string, lang string")).collect() == []
     assert c.collocations(spark.createDataFrame([(None, None), ("one", "en")], "text string, lang string"), least=1).collect() == []
+
+
+def test_few_phrases_are_looked_up_in_tasks(spark, monkeypatch):
+    """No broadcast of Spark's, whose tables the driver would hold, and the rows of the shuffled join."""
+    plans = []
+
+    def stage(df, name, real=c.stage, **how):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return real(df, name, **how)
+
+    monkeypatch.setattr(c, "stage", stage)
+    docs = spark.createDataFrame(corpus(80), "text string, lang string")
+    docs = docs.select(docs.text, docs.lang)
+    reached, n = c.frequent(docs.selectExpr("coalesce(text, '') AS text", "coalesce(lang, 'und') AS lang", "0 AS shard"), 10, 4, 1)
+    held = sorted(tuple(r) for r in reached.collect())
+    assert n == len(held) > 0 and not any("Broadcast" in p for p in plans)
+    monkeypatch.setattr(c, "BROADCAST_PHRASES", -1)
+    reached, n = c.frequent(docs.selectExpr("coalesce(text, '') AS text", "coalesce(lang, 'und') AS lang", "0 AS shard"), 10, 4, 1)
+    assert sorted(tuple(r) for r in reached.collect()) == held
