@@ -88,3 +88,22 @@ def test_long_text_over_several_blocks(spark):
 
 def test_no_rows(spark):
     assert without_repeats(spark.createDataFrame([], "doc_id string, text string")).collect() == []
+
+
+def test_memory_of_a_task_is_small():
+    """What looking for anchors takes at once: numpy's arrays, of two megabytes of text."""
+    import tracemalloc
+
+    import numpy as np
+    import pyarrow as pa
+
+    from conceptnorm.llm import repeats
+    rng = np.random.default_rng(3)
+    rows = [rng.integers(97, 123, 2_000, np.uint8).tobytes().decode() for _ in range(1_000)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(1_000)), pa.array(rows), pa.array(range(1_000))], names=["doc_id", "text", "text_hash"])
+    tracemalloc.start()
+    for _ in repeats._anchored(400, 200)([batch]):
+        pass
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 48 << 20
