@@ -11,22 +11,25 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from conceptnorm.llm import decontaminate, language, mixing, near_dup
-from conceptnorm.llm.common import intermediates, stage
+from conceptnorm.llm.common import intermediates, small_batches, stage
 from conceptnorm.llm.queries import language_prototypes, sharded
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a language (no text, no letter) go. Learned from the stage's own input."""
+    small_batches(spark)
     return language.identified(docs, language_prototypes(docs))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates stays, the one of least id."""
+    small_batches(spark)
     return near_dup.one_of_each(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the contamination rule clears stay, as they are."""
+    small_batches(spark)
     return decontaminate.clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 

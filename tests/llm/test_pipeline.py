@@ -2,13 +2,14 @@ import random
 import re
 import zlib
 
+import pyarrow as pa
 import pytest
 from test_decontaminate import brute as contamination_of
 from test_mixing import brute_targets, size
 from test_near_dup import brute as components_of
 
 import corpus_pipeline as P
-from conceptnorm.llm.common import stage
+from conceptnorm.llm.common import BATCH_BYTES, stage
 from conceptnorm.llm.queries import QUERIES
 
 COLUMNS = "doc_id long, text string, lang string, source string, n_chars long"
@@ -74,6 +75,19 @@ def test_stages_against_brute_force(spark, sf_dir):
         docs = out
 
 
+def test_python_stages_get_batches_bound_by_bytes(spark, sf_dir):
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.nbytes]), pa.array([b.num_rows])], names=["size", "n"])
+
+    other = spark.newSession()                   # what the stage sets is the session's
+    P.language_id(other, other.read.parquet(f"{sf_dir}/documents.parquet"), sf_dir)
+    texts = other.range(4100).coalesce(1).selectExpr("id", "repeat('x', if(id = 7, 9000000, 2000)) text")
+    got = texts.mapInArrow(sizes, "size long, n long").collect()
+    assert sum(r["n"] for r in got) == 4100 and sum(r["size"] for r in got) > 17_000_000
+    assert sorted(r["size"] for r in got)[-2] <= 1.1 * BATCH_BYTES
+
+
 def test_run_gives_the_last_stage(spark, sf_dir):
     out = P.run(spark, sf_dir)
     assert {"doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard"} <= set(out.columns) and out.count() > 0
@@ -90,6 +104,9 @@ CONTRACT = {
     "op8": "doc_id held_out lang_pred score",
     "op9": "doc_id held_out score predicted",
     "op10": "doc_id n_assign n_access n_hex base_sha256 spans",
+    "op11": "doc_id n_bytes n_removed n_spans kept_sha256",
+    "op12": "doc_id n_runs start length period exponent_milli runs_sha256 collapsed_sha256",
+    "op13": "lang rank phrase a l r n score",
 }
 
 
@@ -98,6 +115,12 @@ def test_queries_give_whole_tables(spark, name):
     d = "/root/testdata/sf0.001"
     out = QUERIES[name](spark, d)
     assert set(CONTRACT[name.split("_")[0]].split()) <= set(out.columns)
+    if name.startswith("op13_"):                 # a row per rank and lang, not per document
+        ranks = {}
+        for r in out.collect():
+            ranks.setdefault(r["lang"], []).append(r["rank"])
+        assert ranks and all(sorted(x) == list(range(1, len(x) + 1)) and len(x) <= 2000 for x in ranks.values())
+        return
     source = {"op2": "conversations", "op6": "pages"}.get(name.split("_")[0], "documents")
     rows = spark.read.parquet(f"{d}/{source}.parquet")
     n = rows.select("conv_id").distinct().count() + 1 if source == "conversations" else rows.count()
