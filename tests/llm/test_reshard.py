@@ -1,6 +1,7 @@
 import random
 import zlib
 
+from conceptnorm.llm import queries as Q
 from conceptnorm.llm import reshard as R
 
 
@@ -138,3 +139,39 @@ def test_rewrite_of_equal_rows_of_several_old_shards(spark, tmp_path):
 
 
 R_CRC = zlib.crc32(b"same text")
+
+
+def test_query_writes_the_shards(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(R, "BLOCK", 100)
+    monkeypatch.setattr(Q, "shared_folder", lambda spark: str(tmp_path))
+    rows = corpus() + [(i, "hot", "same", i % 2) for i in range(200) for _ in range(2)]
+    d = spark.createDataFrame(rows, "doc_id long, source string, text string, shard int").repartition(7)
+    got = Q.sharded(d).collect()
+    paths = list(tmp_path.glob("llm/shards-*"))
+    assert len(paths) == 1
+    files = spark.read.parquet(str(paths[0]))
+    # each document once, whole, in the shard and slot that the query gives for it
+    assert sorted(map(str, files.select("doc_id", "source", "text", "shard").collect())) == sorted(map(str, d.collect()))
+    assert sorted((r["doc_id"] or -1, zlib.crc32((r["text"] or "").encode()), r["in_shard"], r["in_slot"]) for r in files.collect()) == \
+        sorted((r["doc_id"] or -1, r["text_crc32"], r["shard"], r["slot"]) for r in got)
+    number = {"b": 0, "hot": 1, "ä": 2, None: 3}
+    assert all(r["was_shard"] == number[r["source"]] for r in files.collect())
+    # a file is a range of its shard's slots, in their order
+    slots = [r["in_slot"] for f in sorted(paths[0].glob("in_shard=5/*.parquet")) for r in spark.read.parquet(str(f)).coalesce(1).collect()]
+    assert slots == list(range(len(slots))) and slots
+    columns = ["doc_id", "size", "text_crc32", "old_shard", "shard", "slot"]
+    want = R.reshard(d, "source").collect()
+    assert sorted(str([r[c] for c in columns]) for r in want) == sorted(str([r[c] for c in columns]) for r in got)
+
+
+def test_unaffected_shards_are_not_written(spark, tmp_path):
+    rows = [(i, s, "x" * 92) for i, s in enumerate("aabbccdd")]
+    d = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    got = R.resharded(d, "source", str(tmp_path / "same"), 4)
+    assert not (tmp_path / "same").exists() or not list((tmp_path / "same").glob("in_shard=*"))
+    assert sorted((r["doc_id"], r["shard"], r["old_shard"]) for r in got.collect()) == [(i, i // 2, i // 2) for i in range(8)]
+    # c and d are as they should be, a's surplus goes to b
+    rows = [(i, s, "x" * 92) for i, s in enumerate("aaabccdd")]
+    got = R.resharded(spark.createDataFrame(rows, "doc_id long, source string, text string"), "source", str(tmp_path / "some"), 4).collect()
+    assert sorted(p.name for p in (tmp_path / "some").glob("in_shard=*")) == ["in_shard=0", "in_shard=1"]
+    assert sorted((r["doc_id"], r["shard"] >= 2) for r in got) == [(i, i >= 4) for i in range(8)]
