@@ -2,6 +2,7 @@
 
 import os
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -173,3 +174,13 @@ def test_harvest_at_any_depth(spark):
     with pytest.raises(Exception, match="MALFORMED"):
         conflate.harvest_any(bad).collect()
     assert conflate.harvest_any(spark.createDataFrame([], "value string")).collect() == []
+
+
+def test_shuffle_files_go_with_their_query(spark):
+    disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    before = disk.getAllBlocks().length()
+    spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count().write.format("noop").mode("overwrite").save()
+    until = time.time() + 10
+    while disk.getAllBlocks().length() > before and time.time() < until:
+        time.sleep(0.1)
+    assert disk.getAllBlocks().length() <= before
