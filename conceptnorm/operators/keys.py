@@ -164,16 +164,21 @@ def bloom_filter(keys: DataFrame, col: str) -> tuple[DataFrame, int]:
     return stage(row.select(F.transform("x", lambda y: y["w"]).alias("bits")), "bloom"), bits
 
 
-def possibly_among(df: DataFrame, col: str, keys: DataFrame, key_col: str | None = None) -> DataFrame:
-    """The rows of ``df`` whose ``col`` is among the keys, and about one in
-    sixty of the others: a filter on the scan, before any exchange."""
-    row, bits = bloom_filter(keys, key_col or col)
-    words = row.scalar()
+def maybe_among(col: str | Column, bloom: tuple[DataFrame, int]) -> Column:
+    """Whether a value may be among the keys of a ``bloom_filter``: false is certain (null for null)."""
+    row, bits = bloom
+    words, found = row.scalar(), F.lit(True)
     for slot in _slots(col, bits):
         word = F.get(words, F.shiftright(slot, 6).cast("int"))
         bit = F.call_function("shiftrightunsigned", word, slot.bitwiseAND(F.lit(63).cast("bigint")).cast("int"))
-        df = df.where(bit.bitwiseAND(F.lit(1).cast("bigint")) == 1)
-    return df
+        found = found & (bit.bitwiseAND(F.lit(1).cast("bigint")) == 1)
+    return found
+
+
+def possibly_among(df: DataFrame, col: str, keys: DataFrame, key_col: str | None = None) -> DataFrame:
+    """The rows of ``df`` whose ``col`` is among the keys, and about one in
+    sixty of the others: a filter on the scan, before any exchange."""
+    return df.where(maybe_among(col, bloom_filter(keys, key_col or col)))
 
 
 def max_id(df: DataFrame, col: str = "id") -> int:

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from conceptnorm.functions.scalars import is_named
+from conceptnorm.operators.keys import bloom_filter, maybe_among
 from conceptnorm.plans.vocabulary import Vocabulary
 from conceptnorm.schema import CONFLATION_TYPE_IDS
 
@@ -137,10 +138,13 @@ def conflation_filtered(vocab: Vocabulary, inputs: DataFrame, col: str = "curie"
 
 def _with_descriptions(rows: DataFrame, vocab: Vocabulary) -> DataFrame:
     # LEFT join: one output row per description of the primary, one NULL row
-    # when it has none (description fan-out is part of the semantics)
-    return (rows.join(descriptions_of(vocab).withColumnRenamed("identifier_id",
-                                                               "primary_identifier_id"),
-                      "primary_identifier_id", "left"))
+    # when it has none (description fan-out is part of the semantics). Only rows
+    # whose primary may have one are exchanged for it.
+    texts = descriptions_of(vocab).withColumnRenamed("identifier_id", "primary_identifier_id")
+    keys = texts.select("primary_identifier_id").distinct()
+    described = F.coalesce(maybe_among("primary_identifier_id", bloom_filter(keys, "primary_identifier_id")), F.lit(False))
+    without = rows.where(~described).withColumn("description", F.lit(None).cast("string"))
+    return rows.where(described).join(texts, "primary_identifier_id", "left").unionByName(without)
 
 
 def preferred_cliques(vocab: Vocabulary, inputs: DataFrame, col: str = "curie") -> DataFrame:

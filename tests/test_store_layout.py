@@ -184,3 +184,28 @@ def test_shuffle_files_go_with_their_query(spark):
     while disk.getAllBlocks().length() > before and time.time() < until:
         time.sleep(0.1)
     assert disk.getAllBlocks().length() <= before
+
+
+def below(df, node):
+    """The plan from the first line with ``node`` to the end of what is below it."""
+    lines = df._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    at = next(i for i, line in enumerate(lines) if node in line)
+    depth = len(lines[at]) - len(lines[at].lstrip(" :+-"))
+    end = next((i for i in range(at + 1, len(lines)) if len(lines[i]) - len(lines[i].lstrip(" :+-")) <= depth), len(lines))
+    return "\n".join(lines[at:end])
+
+
+def test_only_described_cliques_are_exchanged_for_texts(spark, tmp_path):
+    rows = [("x.txt", 1, "x.txt", 0, k, TYPES[k % 2], 1.0 * k, [(f"A:{k}", f"a {k}", [f"text {k}", "more"] if k % 9 == 0 else [], []), ("M:1", None, [], [])], f"name {k}", [])
+            for k in range(60)]
+    types = spark.createDataFrame([(t,) for t in TYPES], "curie string")
+    path = str(tmp_path / "described")
+    Vocabulary.build(spark.createDataFrame(rows, RECORD), None, types, strict=False).write(path)
+    store = Vocabulary.load(spark, path)
+    inputs = spark.createDataFrame([(f"A:{k}",) for k in range(60)] + [("M:1",), ("M:1",), ("none",)], "curie string")
+    for found, heads in ((lookup.any_cliques(store, inputs).select("input_curie", "identifier", "description", "label"), 3),
+                         (lookup.preferred_cliques(store, inputs).select(F.col("identifier").alias("input_curie"), "identifier", "description", "label"), 1)):
+        want = [(i, f"A:{k}", d, f"name {k}") for k in range(60) for i in (f"A:{k}", "M:1", "M:1")[:heads]
+                for d in ([f"text {k}", "more"] if k % 9 == 0 else [None])]
+        assert sorted(map(str, map(tuple, found.collect()))) == sorted(map(str, want))
+        assert "shiftrightunsigned" in below(found, "Join LeftOuter")
