@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from conceptnorm.functions.scalars import is_named
-from conceptnorm.operators.keys import bloom_filter, maybe_among
+from conceptnorm.operators.keys import bloom_filter, maybe_among, possibly_among
 from conceptnorm.plans.vocabulary import Vocabulary
 from conceptnorm.schema import CONFLATION_TYPE_IDS
 
@@ -217,37 +217,45 @@ def label(vocab: Vocabulary, inputs: DataFrame, col: str = "curie") -> DataFrame
 # E10 / E11 ----------------------------------------------------------------
 
 def _target_cliques(vocab: Vocabulary, targets: DataFrame) -> DataFrame:
-    """(input_curie, clique_id): cliques the target heads UNION contains."""
-    member = vocab.membership_wide.select(F.col("member_curie").alias("target_curie"),
-                                          "clique_id")
-    primary = vocab.cliques_wide.select(F.col("primary_curie").alias("target_curie"),
-                                        "clique_id")
-    return (targets.join(member, "target_curie").select("input_curie", "clique_id")
-            .unionByName(targets.join(primary, "target_curie").select("input_curie", "clique_id"))
+    """(input_curie, clique_id, name): cliques the target heads UNION contains, each with its
+    preferred name, which the serving tables hold beside the target."""
+    name = F.col("preferred_name").alias("name")
+    member = vocab.membership_wide.select(F.col("member_curie").alias("target_curie"), "clique_id", name)
+    primary = vocab.cliques_wide.select(F.col("primary_curie").alias("target_curie"), "clique_id", name)
+    columns = ["input_curie", "clique_id", "name"]
+    return (targets.join(member, "target_curie").select(*columns)
+            .unionByName(targets.join(primary, "target_curie").select(*columns))
             .distinct())
 
 
-def clique_names(vocab: Vocabulary, cliques: DataFrame) -> DataFrame:
-    """(clique_id, name): distinct non-blank preferred name and member labels
-    of each wanted clique (``clique_id``, distinct), aggregated map-side first."""
-    pref = vocab.cliques_wide.select("clique_id", F.col("preferred_name").alias("name"))
-    labels = vocab.membership_wide.select("clique_id", F.col("member_label").alias("name"))
-    return (pref.unionByName(labels).where(is_named("name"))
-                .join(cliques, "clique_id", "left_semi").distinct())
+def other_names(vocab: Vocabulary) -> DataFrame:
+    """(clique_id, name): non-blank labels of a clique's members that aren't its preferred name;
+    labels alike may repeat."""
+    label, preferred = F.col("member_label"), F.col("preferred_name")
+    return (vocab.membership_wide.where(is_named("member_label") & ~label.eqNullSafe(preferred))
+            .select("clique_id", label.alias("name")))
 
 
 def all_names(vocab: Vocabulary, inputs: DataFrame, col: str = "curie") -> DataFrame:
     """Distinct non-blank (curie, name): own label, preferred names of
-    its cliques, labels of every member of those cliques."""
+    its cliques, labels of every member of those cliques.
+
+    Only what is beside the target is known without an exchange: the other members' labels
+    are met by clique. Neither side moves where the other has nothing: cliques without a
+    further name stay, and so do the names of cliques that no input is in."""
     targets = (_input(inputs, col, "input_curie").select("input_curie").distinct()
                .join(vocab.identifiers.select(F.col("curie").alias("input_curie"), "label"),
                      "input_curie"))
     tc = _target_cliques(vocab, targets.select("input_curie",
                                                F.col("input_curie").alias("target_curie")))
     own = targets.where(is_named("label")).select("input_curie", F.col("label").alias("name"))
-    names = clique_names(vocab, tc.select("clique_id").distinct())
-    via = tc.join(names, "clique_id").select("input_curie", "name")
-    return (own.unionByName(via)
+    preferred = tc.where(is_named("name")).select("input_curie", "name")
+    others = other_names(vocab)
+    further = possibly_among(tc.select("input_curie", "clique_id"), "clique_id", others.select("clique_id").distinct())
+    # a clique's names are made distinct before they meet its inputs
+    names = others.join(further.select("clique_id").distinct(), "clique_id", "left_semi").distinct()
+    via = further.join(names, "clique_id").select("input_curie", "name")
+    return (own.unionByName(preferred).unionByName(via)
                .select(F.col("input_curie").alias("curie"), "name")
                .distinct())
 

@@ -209,3 +209,21 @@ def test_only_described_cliques_are_exchanged_for_texts(spark, tmp_path):
                 for d in ([f"text {k}", "more"] if k % 9 == 0 else [None])]
         assert sorted(map(str, map(tuple, found.collect()))) == sorted(map(str, want))
         assert "shiftrightunsigned" in below(found, "Join LeftOuter")
+
+
+def test_names_meet_by_clique_only_where_there_are_further_ones(spark, written):
+    built, _, path = written(80)
+    store = Vocabulary.load(spark, path)
+    inputs = spark.createDataFrame([(f"A:{k}",) for k in range(0, 80, 2)] + [("HOT:1",), ("B:3",), ("B:3",), ("none",)], "curie string")
+    asked = {r["curie"] for r in inputs.collect()}
+    want, label = set(), {r["curie"]: r["label"] for r in store.identifiers.collect()}
+    of = {}
+    for r in store.membership_wide.collect():
+        of.setdefault(r["clique_id"], []).append(r)
+    for members in of.values():
+        for i in asked & {m["member_curie"] for m in members}:
+            want |= {(i, n) for n in [label[i], members[0]["preferred_name"], *(m["member_label"] for m in members)] if n}
+    for v in (store, built):
+        found = lookup.all_names(v, inputs)
+        assert sorted(map(tuple, found.collect())) == sorted(want)
+    assert "shiftrightunsigned" in lookup.all_names(store, inputs)._jdf.queryExecution().optimizedPlan().toString()
